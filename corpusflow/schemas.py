@@ -1,0 +1,28 @@
+"""Schemas of the tables that pass between operators."""
+
+from pyspark.sql import types as T
+
+TERM_DICTIONARY = T.StructType([T.StructField("term", T.StringType()), T.StructField("term_id", T.LongType())])
+DOC_DICTIONARY = T.StructType([T.StructField("doc_name", T.StringType()), T.StructField("doc_id", T.LongType())])
+TRIPLES = T.StructType(
+    [
+        T.StructField("term_id", T.LongType()),
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("freq", T.LongType()),
+    ]
+)
+WEIGHTS = T.StructType(
+    [
+        T.StructField("term_id", T.LongType()),
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("weight", T.DoubleType()),
+    ]
+)
+CLASSES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("cluster", T.IntegerType())])
+CENTROIDS = T.StructType(
+    [
+        T.StructField("cluster", T.IntegerType()),
+        T.StructField("term_id", T.LongType()),
+        T.StructField("weight", T.DoubleType()),
+    ]
+)
