@@ -56,21 +56,24 @@ def initial_centroids(
     return grid.select(*([] if restarts is None else ["restart"]), *columns)
 
 
-def lay_out(weights: DataFrame) -> DataFrame:
+def lay_out(weights: DataFrame, triples: DataFrame | None = None) -> DataFrame:
     """``weights`` as a written table bucketed by document, for repeated passes.
 
     Later joins and sums by document read their bucket and shuffle nothing.
     A document with too many terms for one task is cut into parts by term; the
-    column ``part`` is 0 for all other documents.
+    column ``part`` is 0 for all other documents. ``triples``, a written table
+    with the same terms and documents, spares writing the weights twice.
     """
     spark = weights.sparkSession
-    stored = written(weights.select("term_id", "doc_id", "weight"))
-    buckets = max(spark.sparkContext.defaultParallelism, math.ceil(stored.count() / BUCKET_ROWS))
-    hot = hot_keys(stored, ["doc_id"])
+    rows = weights.select("term_id", "doc_id", "weight")
+    if triples is None:
+        rows = triples = written(rows)
+    buckets = max(spark.sparkContext.defaultParallelism, math.ceil(triples.count() / BUCKET_ROWS))
+    hot = hot_keys(triples, ["doc_id"])
     if hot is None:
-        rows = stored.withColumn("part", F.lit(0))
+        rows = rows.withColumn("part", F.lit(0))
     else:
-        rows = stored.join(F.broadcast(written(hot)), "doc_id", "left")
+        rows = rows.join(F.broadcast(written(hot)), "doc_id", "left")
         part = F.pmod(F.xxhash64("term_id"), F.coalesce("_parts", F.lit(1))).cast("int")
         rows = rows.select("term_id", "doc_id", "weight", part.alias("part"))
     path = table_path(spark)
@@ -94,14 +97,15 @@ def _score(weights: DataFrame, centroids: DataFrame, slots: int) -> DataFrame:
     unit = centroids.join(F.broadcast(lengths), "slot").select(
         "slot", "term_id", F.try_divide("weight", "length").alias("weight")
     )
-    wide = unit.groupBy("term_id").pivot("slot", list(range(slots))).agg(F.sum("weight"))
-    wide = wide.toDF("term_id", *[f"c{s}" for s in range(slots)])
+    column = [F.sum(F.when(F.col("slot") == s, F.col("weight"))).alias(f"c{s}") for s in range(slots)]
+    wide = written(unit.groupBy("term_id").agg(*column))
 
-    joined = lookup_join(weights, written(wide), "term_id", "left")
+    laid_out = "part" in weights.columns
+    joined = lookup_join(weights, wide, "term_id", "left", stored=laid_out)
     w = F.col("weight")
     sums = [F.sum(w * F.col(f"c{s}")).alias(f"d{s}") for s in range(slots)]
     squares = F.sum(w * w).alias("sq")
-    if "part" in weights.columns:
+    if laid_out:
         # first sum inside the bucket, then over the parts of a document
         joined = joined.groupBy("doc_id", "part").agg(*sums, squares)
         sums = [F.sum(f"d{s}").alias(f"d{s}") for s in range(slots)]
@@ -245,15 +249,22 @@ def _tagged(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def kmeans_fit(weights: DataFrame, centroids: DataFrame, k: int = 5, iterations: int = 2, n_top: int = 10) -> KMeansRun:
+def kmeans_fit(
+    weights: DataFrame,
+    centroids: DataFrame,
+    k: int = 5,
+    iterations: int = 2,
+    n_top: int = 10,
+    triples: DataFrame | None = None,
+) -> KMeansRun:
     """Assign, update, loss and top terms, each pass starting from the last centroids.
 
-    The weights are laid out once; a pass then moves only partial sums and one
+    The weights are laid out once (``triples`` as in ``lay_out``); a pass then moves only partial sums and one
     row per document. The scores against the new centroids give both this
     pass's loss and the next pass's classes, so each pass scores once. Scores
     and centroids of each pass are written tables.
     """
-    points = lay_out(weights)
+    points = lay_out(weights, triples)
     scores = written(_score(points, centroids.withColumnRenamed("cluster", "slot"), k))
     classes, centers, losses = [], [], []
     for _ in range(iterations):
@@ -276,12 +287,13 @@ def kmeans_restarts(
     method: str = "uniform",
     seed: int = 0,
     n_top: int = 10,
+    triples: DataFrame | None = None,
 ) -> KMeansRun:
     """Independent one-step runs from fresh random centroids, all in one pass.
 
-    Column ``iteration`` numbers the restarts.
+    Column ``iteration`` numbers the restarts; ``triples`` as in ``lay_out``.
     """
-    points = lay_out(weights)
+    points = lay_out(weights, triples)
     slot = (F.col("restart") * k + F.col("cluster")).alias("slot")
     start = initial_centroids(vocabulary, k, method, seed, restarts).select(slot, "term_id", "weight")
     choices = _choose(written(_score(points, start, restarts * k)), k, restarts)

@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side is broadcast only when its measured size stays below this.
+# A side is broadcast only when its measured size stays below this many bytes
+# (session setting spark.corpusflow.broadcastBytes).
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key with more rows than this is split over several tasks.
+# A key with more rows than this is split over several tasks
+# (session setting spark.corpusflow.hotRows).
 HOT_ROWS = 4_000_000
 # At most this many keys can count as hot, so their list is always small.
 MAX_HOT_KEYS = 10_000
@@ -20,6 +22,10 @@ MAX_HOT_KEYS = 10_000
 _local_folder: tempfile.TemporaryDirectory | None = None
 
 
+def _setting(spark: SparkSession, name: str, default: int) -> int:
+    return int(spark.conf.get(f"spark.corpusflow.{name}", str(default)))
+
+
 def table_path(spark: SparkSession) -> str:
     """A fresh path for one written table, in the cluster's shared folder.
 
@@ -64,7 +70,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Measure ``df`` (flat columns only) and compare it with the broadcast limit."""
     row_bytes = sum((_column_bytes(f) for f in df.schema.fields), F.lit(16))
     size = df.agg(F.sum(row_bytes.cast("bigint")).alias("bytes")).first()["bytes"]
-    return (size or 0) <= BROADCAST_BYTES
+    return (size or 0) <= _setting(df.sparkSession, "broadcastBytes", BROADCAST_BYTES)
 
 
 def hot_keys(rows: DataFrame, key: list[str]) -> DataFrame | None:
@@ -76,7 +82,7 @@ def hot_keys(rows: DataFrame, key: list[str]) -> DataFrame | None:
     written table, for which the count reads footers only.
     """
     total = rows.count()
-    limit = max(HOT_ROWS, math.ceil(total / MAX_HOT_KEYS))
+    limit = max(_setting(rows.sparkSession, "hotRows", HOT_ROWS), math.ceil(total / MAX_HOT_KEYS))
     if total <= limit:
         return None
     counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
@@ -86,9 +92,10 @@ def hot_keys(rows: DataFrame, key: list[str]) -> DataFrame | None:
 def salted_join(rows: DataFrame, lookup: DataFrame, key: list[str], how: str) -> DataFrame:
     """Shuffle join in which the rows of a hot key are dealt out over several tasks.
 
-    ``lookup`` has one row per key; only its rows for hot keys are repeated.
-    ``rows`` must be a written table: the row numbers that deal out the hot
-    rows then come out the same when a lost task is run again.
+    ``lookup`` has one row per key; only its rows for hot keys are repeated. A
+    row's part comes from a hash of its content, so a task that is run again
+    deals its rows the same way. Rows should be distinct, as equal rows stay
+    together. ``rows`` is read three times, so it should be a written table.
     """
     hot = hot_keys(rows, key)
     if hot is None:
@@ -97,7 +104,7 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: list[str], how: str) ->
     parts = F.coalesce("_parts", F.lit(1))
     dealt = (
         rows.join(F.broadcast(hot), key, "left")
-        .withColumn("_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int"))
+        .withColumn("_part", F.pmod(F.xxhash64(*rows.columns), parts).cast("int"))
         .drop("_parts")
     )
     copies = (
@@ -108,17 +115,20 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: list[str], how: str) ->
     return dealt.join(copies, [*key, "_part"], how).drop("_part")
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, key: str | list[str], how: str = "inner", stored: bool = False
+) -> DataFrame:
     """Join ``rows`` with ``lookup``, which has at most one row per key.
 
     A lookup below the broadcast limit is broadcast, so ``rows`` is not
     shuffled; a larger one goes through ``salted_join``. The lookup is
-    measured, so pass a file-backed or written table.
+    measured, so pass a file-backed or written table. ``stored`` says that
+    ``rows`` is one too and need not be written for the salted join.
     """
     key = [key] if isinstance(key, str) else key
     if fits_broadcast(lookup):
         return rows.join(F.broadcast(lookup), key, how)
-    return salted_join(written(rows), lookup, key, how)
+    return salted_join(rows if stored else written(rows), lookup, key, how)
 
 
 def numbered(df: DataFrame, order: str, name: str) -> DataFrame:

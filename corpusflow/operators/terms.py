@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from .scale import fits_broadcast, lookup_join, numbered
+from .scale import fits_broadcast, lookup_join, numbered, written
 
 
 def tokenize(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -19,18 +19,18 @@ def tokenize(lines: DataFrame, text: str = "value") -> DataFrame:
     return lines.select(*keep, F.explode(tokens(F.col(text))).alias("term")).filter(F.col("term") != "")
 
 
-def remove_stop_words(tokens: DataFrame, stop_words: DataFrame) -> DataFrame:
-    return lookup_join(tokens, stop_words.select("term"), "term", "left_anti")
+def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, stored: bool = False) -> DataFrame:
+    return lookup_join(tokens, stop_words.select("term"), "term", "left_anti", stored)
 
 
-def encode_terms(tokens: DataFrame, term_dict: DataFrame) -> DataFrame:
+def encode_terms(tokens: DataFrame, term_dict: DataFrame, stored: bool = False) -> DataFrame:
     """Replace ``term`` by its ``term_id``; terms outside the dictionary are dropped."""
-    return lookup_join(tokens, term_dict, "term").drop("term")
+    return lookup_join(tokens, term_dict.select("term", "term_id"), "term", stored=stored).drop("term")
 
 
-def encode_documents(lines: DataFrame, doc_dict: DataFrame) -> DataFrame:
+def encode_documents(lines: DataFrame, doc_dict: DataFrame, stored: bool = False) -> DataFrame:
     """Replace ``doc_name`` by its ``doc_id``; unknown documents are dropped."""
-    return lookup_join(lines, doc_dict, "doc_name").drop("doc_name")
+    return lookup_join(lines, doc_dict.select("doc_name", "doc_id"), "doc_name", stored=stored).drop("doc_name")
 
 
 def term_frequency(
@@ -43,24 +43,27 @@ def term_frequency(
     """Occurrences of each term in each document, one row per pair.
 
     ``corpus`` has the text column and ``doc_name`` (with ``doc_dict``) or
-    ``doc_id``. Documents are looked up before the text is taken apart. Lists
-    small enough to broadcast act on the single tokens, so only the partial
-    counts are shuffled; with a larger list the tokens are counted first.
+    ``doc_id``. Lists small enough to broadcast act on the lines and the single
+    tokens, before anything is shuffled. If one of them is larger, the tokens
+    are counted first: text is never shuffled, and the joins meet one row per
+    document and word.
     """
-    lines = corpus if doc_dict is None else encode_documents(corpus, doc_dict)
-    rows = tokenize(lines, text)
-    lists = [d for d in (stop_words, term_dict) if d is not None]
-    count_first = not all(fits_broadcast(d) for d in lists)
-    if count_first:
-        rows = rows.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("freq"))
+    term = "term" if term_dict is None else "term_id"
+    occurrences = F.count(F.lit(1)).alias("freq")
+    lists = [d for d in (stop_words, term_dict, doc_dict) if d is not None]
+    small = all([fits_broadcast(d) for d in lists])
+    if small:
+        rows = corpus if doc_dict is None else encode_documents(corpus, doc_dict)
+        rows = tokenize(rows, text)
+    else:
+        doc = "doc_id" if doc_dict is None else "doc_name"
+        rows = written(tokenize(corpus.select(doc, text), text).groupBy(doc, "term").agg(occurrences))
+        rows = rows if doc_dict is None else encode_documents(rows, doc_dict, stored=True)
     if stop_words is not None:
         rows = remove_stop_words(rows, stop_words)
     if term_dict is not None:
         rows = encode_terms(rows, term_dict)
-    term = "term" if term_dict is None else "term_id"
-    if count_first:
-        return rows.select(term, "doc_id", "freq")
-    return rows.groupBy(term, "doc_id").agg(F.count(F.lit(1)).alias("freq"))
+    return rows.groupBy(term, "doc_id").agg(occurrences) if small else rows.select(term, "doc_id", "freq")
 
 
 def vocabulary(terms: DataFrame) -> DataFrame:
@@ -82,11 +85,15 @@ def eliminate_terms(
 ) -> DataFrame:
     """Triples of suitable terms, each once.
 
-    ``unique_input`` skips the distinct (a shuffle of all rows) for triples
-    that are unique already, as those of ``term_frequency`` are.
+    ``unique_input`` skips the distinct (a shuffle of all rows) for a written
+    table of unique triples, such as the stored result of ``term_frequency``.
     """
-    kept = lookup_join(triples, suitable.select(term), term, "left_semi").select(term, "doc_id", "freq")
-    return kept if unique_input else kept.distinct()
+    triples, kept = triples.select(term, "doc_id", "freq"), suitable.select(term)
+    if unique_input:
+        return lookup_join(triples, kept, term, "left_semi", stored=True)
+    if fits_broadcast(kept):
+        return lookup_join(triples, kept, term, "left_semi").distinct()
+    return lookup_join(triples.distinct(), kept, term, "left_semi")
 
 
 def top_terms(totals: DataFrame, k: int = 10, term: str = "term_id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scale import lookup_join, written
@@ -13,6 +13,10 @@ def document_frequency(triples: DataFrame, term: str = "term_id") -> DataFrame:
     return triples.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
 
 
+def _log_ratio(n_docs: int) -> Column:
+    return F.log(F.lit(float(n_docs)) / F.col("df")).alias("idf")
+
+
 def idf(triples: DataFrame, n_docs: int | None = None, term: str = "term_id") -> DataFrame:
     """Natural log of ``n_docs / df``, unsmoothed.
 
@@ -20,7 +24,7 @@ def idf(triples: DataFrame, n_docs: int | None = None, term: str = "term_id") ->
     """
     if n_docs is None:
         n_docs = triples.select("doc_id").distinct().count()
-    return document_frequency(triples, term).select(term, F.log(F.lit(float(n_docs)) / F.col("df")).alias("idf"))
+    return document_frequency(triples, term).select(term, _log_ratio(n_docs))
 
 
 def doc_length(triples: DataFrame) -> DataFrame:
@@ -38,14 +42,21 @@ def tf_idf(
 ) -> DataFrame:
     """Weight ``freq / n_terms * idf`` of each term in each document.
 
-    Reads ``triples`` three times, so pass a written table. The two lookups
-    are written once (they are measured and then joined). ``unique_input``
-    skips the final sum over repeated rows.
+    Repeated rows of a term and document count apart in the document frequency
+    and together in the weight; they are combined first. ``unique_input`` skips
+    that for a written table of unique triples. The triples are read three
+    times, each lookup is written once, measured and then joined.
     """
+    copies = F.count(F.lit(1)).alias("copies")
+    if unique_input:
+        triples = triples.withColumn("copies", F.lit(1))
+    else:
+        triples = written(triples.groupBy(term, "doc_id").agg(F.sum("freq").alias("freq"), copies))
     lengths = written(doc_length(triples))
     if n_docs is None:
         n_docs = lengths.count()
-    rarity = written(idf(triples, n_docs, term))
-    rows = lookup_join(lookup_join(triples, rarity, term), lengths, "doc_id")
-    weights = rows.select(term, "doc_id", (F.col("freq") / F.col("n_terms") * F.col("idf")).alias("weight"))
-    return weights if unique_input else sum_weights(weights, term)
+    rarity = triples.groupBy(term).agg(F.sum("copies").alias("df")).select(term, _log_ratio(n_docs))
+    # the lengths first: they are the lookup that outgrows a broadcast, and the triples are stored
+    rows = lookup_join(triples.drop("copies"), lengths, "doc_id", stored=True)
+    rows = lookup_join(rows, written(rarity), term)
+    return rows.select(term, "doc_id", (F.col("freq") / F.col("n_terms") * F.col("idf")).alias("weight"))

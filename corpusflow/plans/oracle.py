@@ -161,6 +161,9 @@ ORACLE: dict[str, str] = {
         select="SELECT term, doc_id, round(weight, 6) AS weight FROM weights JOIN suitable USING (term_id)",
     ),
     "sum_weights": _with(
+        *OPEN_WEIGHTS, select="SELECT term_id, doc_id, round(2 * weight, 6) AS weight FROM weights"
+    ),
+    "tf_idf_copies": _with(
         *OPEN,
         LISTS,
         select="SELECT term, doc_id, round(2 * CAST(freq AS DOUBLE) / CAST(2 * n_terms AS DOUBLE)"

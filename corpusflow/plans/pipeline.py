@@ -35,7 +35,7 @@ def weigh(
     counts = scale.written(terms.term_frequency(corpus, stop_words, term_dict, doc_dict))
     if term_dict is None:
         vocabulary = terms.vocabulary(terms.suitable_terms(counts, min_total, term="term"))
-        triples = terms.encode_terms(counts, vocabulary).select("term_id", "doc_id", "freq")
+        triples = terms.encode_terms(counts, vocabulary, stored=True).select("term_id", "doc_id", "freq")
     else:
         suitable = scale.written(terms.suitable_terms(counts, min_total))
         vocabulary = suitable.select("term_id")
@@ -59,4 +59,4 @@ def cluster_corpus(
     """From text to classes, centroids, loss and top terms of each pass."""
     weighted = weigh(corpus, stop_words, term_dict, doc_dict, min_total, n_docs)
     start = clustering.initial_centroids(weighted.vocabulary, k, method, seed)
-    return clustering.kmeans_fit(weighted.weights, start, k, iterations)
+    return clustering.kmeans_fit(weighted.weights, start, k, iterations, triples=weighted.triples)

@@ -138,13 +138,19 @@ def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.select("term", "doc_id", _rounded("weight"))
 
 
-def sum_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weights of repeated rows are added: every triple is given twice."""
+def tf_idf_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every triple is given twice."""
     triples = _kept(spark, sf_dir)
-    weighted = weights.tf_idf(scale.written(triples.unionByName(triples)), term="term")
+    weighted = weights.tf_idf(triples.unionByName(triples), term="term")
     return weighted.select("term", "doc_id", _rounded("weight"))
 
 
+def sum_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every weight is given twice."""
+    weighted = _open_weights(spark, sf_dir).weights
+    return weights.sum_weights(weighted.unionByName(weighted)).select("term_id", "doc_id", _rounded("weight"))
+
+
 def dense_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense rows as text, each weight in millionths."""
     weighted = _dictionary_weights(spark, sf_dir)
@@ -273,7 +279,9 @@ def kmeans_iterations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kmeans_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = weigh(corpus(spark, sf_dir), stop_words(spark))
-    run = clustering.kmeans_restarts(weighted.weights, weighted.vocabulary, K, restarts=2)
+    run = clustering.kmeans_restarts(
+        weighted.weights, weighted.vocabulary, K, restarts=2, triples=weighted.triples
+    )
     return run.loss.select("iteration", _rounded("loss"))
 
 
@@ -317,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idf": idf,
     "doc_length": doc_length,
     "tf_idf": tf_idf,
+    "tf_idf_copies": tf_idf_copies,
     "sum_weights": sum_weights,
     "dense_vectors": dense_vectors,
     "vector_roundtrip": vector_roundtrip,
