@@ -43,6 +43,21 @@ def golden():
     return path
 
 
+@pytest.fixture
+def settings(spark):
+    """Set ``spark.corpusflow.*`` limits for one test."""
+    changed = set()
+
+    def change(**limits):
+        for name, value in limits.items():
+            spark.conf.set(f"spark.corpusflow.{name}", str(value))
+            changed.add(name)
+
+    yield change
+    for name in changed:
+        spark.conf.unset(f"spark.corpusflow.{name}")
+
+
 def rows(df, *columns):
     """The rows of a small result as a sorted list of tuples."""
     return sorted(tuple(r) for r in (df.select(*columns) if columns else df).collect())
