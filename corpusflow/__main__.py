@@ -1,3 +1,7 @@
+from pyspark.sql import SparkSession
+
+from .operators.scale import remove_written
 from .plans.programs import main
 
 main()
+remove_written(SparkSession.active())

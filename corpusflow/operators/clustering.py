@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
-from .scale import fits_broadcast, hot_keys, lookup_join, table_path, written
+from .scale import below_broadcast_limit, fits_broadcast, hot_keys, lookup_join, table_bytes, table_path, written
 
 # Similarities are compared after rounding, so that the order in which a sum
 # was added up cannot decide between equal clusters.
@@ -77,42 +77,46 @@ def lay_out(weights: DataFrame, triples: DataFrame | None = None) -> DataFrame:
         part = F.pmod(F.xxhash64("term_id"), F.coalesce("_parts", F.lit(1))).cast("int")
         rows = rows.select("term_id", "doc_id", "weight", part.alias("part"))
     path = table_path(spark)
-    name = path.rsplit("/", 1)[1].replace("-", "_")
+    name = path.rsplit("/", 1)[1]
     # one task per bucket, so one file per bucket
     rows.repartition(buckets, "doc_id", "part").write.bucketBy(buckets, "doc_id", "part").option(
         "path", path
     ).saveAsTable(name)
-    return spark.table(name)
+    laid_out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only the name: the files lie outside the warehouse
+    return laid_out
 
 
 def _score(weights: DataFrame, centroids: DataFrame, slots: int) -> DataFrame:
     """Cosine of every document with every slot: (doc_id, parts, sims array).
 
-    Centroids come as (slot, term_id, weight). They are scaled to length one
-    and turned to one row per term, so a weight row meets all of them in one
-    join row and the sums are plain columns. A similarity is null for a zero
-    document or an empty slot.
+    Centroids come as (slot, term_id, weight) and are turned to one row per
+    term, so a weight row meets all of them in one join row and the sums are
+    plain columns. One small query over the result gives its size and the
+    length of each centroid. A similarity is null for a zero document or an
+    empty slot.
     """
-    lengths = centroids.groupBy("slot").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
-    unit = centroids.join(F.broadcast(lengths), "slot").select(
-        "slot", "term_id", F.try_divide("weight", "length").alias("weight")
-    )
-    column = [F.sum(F.when(F.col("slot") == s, F.col("weight"))).alias(f"c{s}") for s in range(slots)]
-    wide = written(unit.groupBy("term_id").agg(*column))
+    w, slot = F.col("weight"), range(slots)
+    column = [F.sum(F.when(F.col("slot") == s, w)).alias(f"c{s}") for s in slot]
+    wide = written(centroids.groupBy("term_id").agg(*column))
+    lengths = [F.sqrt(F.sum(F.col(f"c{s}") * F.col(f"c{s}"))) for s in slot]
+    size, *lengths = wide.agg(table_bytes(wide), *lengths).first()
+    small = below_broadcast_limit(weights.sparkSession, size)
 
     laid_out = "part" in weights.columns
-    joined = lookup_join(weights, wide, "term_id", "left", stored=laid_out)
-    w = F.col("weight")
-    sums = [F.sum(w * F.col(f"c{s}")).alias(f"d{s}") for s in range(slots)]
+    joined = lookup_join(weights, wide, "term_id", "left", stored=laid_out, small=small)
+    sums = [F.sum(w * F.col(f"c{s}")).alias(f"d{s}") for s in slot]
     squares = F.sum(w * w).alias("sq")
     if laid_out:
         # first sum inside the bucket, then over the parts of a document
         joined = joined.groupBy("doc_id", "part").agg(*sums, squares)
-        sums = [F.sum(f"d{s}").alias(f"d{s}") for s in range(slots)]
+        sums = [F.sum(f"d{s}").alias(f"d{s}") for s in slot]
         scored = joined.groupBy("doc_id").agg((F.max("part") + 1).alias("parts"), *sums, F.sum("sq").alias("sq"))
     else:
         scored = joined.groupBy("doc_id").agg(F.lit(1).alias("parts"), *sums, squares)
-    sims = [F.try_divide(f"d{s}", F.sqrt("sq")) for s in range(slots)]
+    # a document that shares no term with a slot has a null sum, not similarity null
+    dots = [F.coalesce(f"d{s}", F.lit(0.0)) for s in slot]
+    sims = [F.try_divide(dots[s], F.sqrt("sq") * F.lit(lengths[s])) for s in slot]
     return scored.select("doc_id", "parts", F.array(*sims).alias("sims"))
 
 

@@ -26,11 +26,12 @@ def _setting(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(f"spark.corpusflow.{name}", str(default)))
 
 
-def table_path(spark: SparkSession) -> str:
-    """A fresh path for one written table, in the cluster's shared folder.
+def _work_folder(spark: SparkSession) -> str:
+    """The folder for the tables this application writes between stages.
 
-    The folder is ``spark.checkpoint.dir`` (or the context's checkpoint
-    folder). Only a local session may fall back to a temporary folder.
+    It lies in ``spark.checkpoint.dir`` (or the context's checkpoint folder),
+    which all executors share. Only a local session may fall back to a
+    temporary folder.
     """
     global _local_folder
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -40,7 +41,18 @@ def table_path(spark: SparkSession) -> str:
         if _local_folder is None:
             _local_folder = tempfile.TemporaryDirectory(prefix="corpusflow-", ignore_cleanup_errors=True)
         base = _local_folder.name
-    return f"{base.rstrip('/')}/corpusflow-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/corpusflow-{spark.sparkContext.applicationId}"
+
+
+def table_path(spark: SparkSession) -> str:
+    """A fresh path for one written table."""
+    return f"{_work_folder(spark)}/table_{uuid.uuid4().hex}"
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete every table this application has written between stages; call it last."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_work_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -68,9 +80,17 @@ def _column_bytes(field: T.StructField) -> Column:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Measure ``df`` (flat columns only) and compare it with the broadcast limit."""
+    return below_broadcast_limit(df.sparkSession, df.agg(table_bytes(df)).first()[0])
+
+
+def table_bytes(df: DataFrame) -> Column:
+    """Aggregate: the size of all rows of ``df``, with some bytes for each row."""
     row_bytes = sum((_column_bytes(f) for f in df.schema.fields), F.lit(16))
-    size = df.agg(F.sum(row_bytes.cast("bigint")).alias("bytes")).first()["bytes"]
-    return (size or 0) <= _setting(df.sparkSession, "broadcastBytes", BROADCAST_BYTES)
+    return F.coalesce(F.sum(row_bytes.cast("bigint")), F.lit(0))
+
+
+def below_broadcast_limit(spark: SparkSession, size: int) -> bool:
+    return size <= _setting(spark, "broadcastBytes", BROADCAST_BYTES)
 
 
 def hot_keys(rows: DataFrame, key: list[str]) -> DataFrame | None:
@@ -116,17 +136,23 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: list[str], how: str) ->
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, key: str | list[str], how: str = "inner", stored: bool = False
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str | list[str],
+    how: str = "inner",
+    stored: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``rows`` with ``lookup``, which has at most one row per key.
 
     A lookup below the broadcast limit is broadcast, so ``rows`` is not
     shuffled; a larger one goes through ``salted_join``. The lookup is
     measured, so pass a file-backed or written table. ``stored`` says that
-    ``rows`` is one too and need not be written for the salted join.
+    ``rows`` is one too and need not be written for the salted join; ``small``
+    is the result of ``fits_broadcast`` where the caller has it already.
     """
     key = [key] if isinstance(key, str) else key
-    if fits_broadcast(lookup):
+    if fits_broadcast(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), key, how)
     return salted_join(rows if stored else written(rows), lookup, key, how)
 

@@ -19,18 +19,19 @@ def tokenize(lines: DataFrame, text: str = "value") -> DataFrame:
     return lines.select(*keep, F.explode(tokens(F.col(text))).alias("term")).filter(F.col("term") != "")
 
 
-def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, stored: bool = False) -> DataFrame:
-    return lookup_join(tokens, stop_words.select("term"), "term", "left_anti", stored)
+def remove_stop_words(tokens: DataFrame, stop_words: DataFrame, **known: bool) -> DataFrame:
+    """``known``: the arguments ``stored`` and ``small`` of ``lookup_join``, here and below."""
+    return lookup_join(tokens, stop_words.select("term"), "term", "left_anti", **known)
 
 
-def encode_terms(tokens: DataFrame, term_dict: DataFrame, stored: bool = False) -> DataFrame:
+def encode_terms(tokens: DataFrame, term_dict: DataFrame, **known: bool) -> DataFrame:
     """Replace ``term`` by its ``term_id``; terms outside the dictionary are dropped."""
-    return lookup_join(tokens, term_dict.select("term", "term_id"), "term", stored=stored).drop("term")
+    return lookup_join(tokens, term_dict.select("term", "term_id"), "term", **known).drop("term")
 
 
-def encode_documents(lines: DataFrame, doc_dict: DataFrame, stored: bool = False) -> DataFrame:
+def encode_documents(lines: DataFrame, doc_dict: DataFrame, **known: bool) -> DataFrame:
     """Replace ``doc_name`` by its ``doc_id``; unknown documents are dropped."""
-    return lookup_join(lines, doc_dict.select("doc_name", "doc_id"), "doc_name", stored=stored).drop("doc_name")
+    return lookup_join(lines, doc_dict.select("doc_name", "doc_id"), "doc_name", **known).drop("doc_name")
 
 
 def term_frequency(
@@ -52,17 +53,18 @@ def term_frequency(
     occurrences = F.count(F.lit(1)).alias("freq")
     lists = [d for d in (stop_words, term_dict, doc_dict) if d is not None]
     small = all([fits_broadcast(d) for d in lists])
+    known = {"small": True} if small else {}
     if small:
-        rows = corpus if doc_dict is None else encode_documents(corpus, doc_dict)
+        rows = corpus if doc_dict is None else encode_documents(corpus, doc_dict, **known)
         rows = tokenize(rows, text)
     else:
         doc = "doc_id" if doc_dict is None else "doc_name"
         rows = written(tokenize(corpus.select(doc, text), text).groupBy(doc, "term").agg(occurrences))
         rows = rows if doc_dict is None else encode_documents(rows, doc_dict, stored=True)
     if stop_words is not None:
-        rows = remove_stop_words(rows, stop_words)
+        rows = remove_stop_words(rows, stop_words, **known)
     if term_dict is not None:
-        rows = encode_terms(rows, term_dict)
+        rows = encode_terms(rows, term_dict, **known)
     return rows.groupBy(term, "doc_id").agg(occurrences) if small else rows.select(term, "doc_id", "freq")
 
 
@@ -92,8 +94,8 @@ def eliminate_terms(
     if unique_input:
         return lookup_join(triples, kept, term, "left_semi", stored=True)
     if fits_broadcast(kept):
-        return lookup_join(triples, kept, term, "left_semi").distinct()
-    return lookup_join(triples.distinct(), kept, term, "left_semi")
+        return lookup_join(triples, kept, term, "left_semi", small=True).distinct()
+    return lookup_join(triples.distinct(), kept, term, "left_semi", small=False)
 
 
 def top_terms(totals: DataFrame, k: int = 10, term: str = "term_id") -> DataFrame:

@@ -34,7 +34,8 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP_WORDS], "term string")
+    listed = ", ".join(f"('{w}')" for w in STOP_WORDS)
+    return spark.sql(f"SELECT term FROM VALUES {listed} AS s(term)")
 
 
 def _benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
