@@ -56,6 +56,21 @@ def initial_centroids(
     return grid.select(*([] if restarts is None else ["restart"]), *columns)
 
 
+def document_centroids(weights: DataFrame, k: int = 5) -> DataFrame:
+    """The first ``k`` documents with different vectors, by id, as centroids.
+
+    Vectors are told apart by a signature (the terms' hashes combined, and
+    their number), so no vector is gathered in one place. ``weights`` is read
+    twice and should be a written table with one row per term and document.
+    """
+    signature = [F.bit_xor(F.xxhash64("term_id", "weight")).alias("hash"), F.count(F.lit(1)).alias("n")]
+    first = weights.groupBy("doc_id").agg(*signature).groupBy("hash", "n").agg(F.min("doc_id").alias("doc_id"))
+    chosen = first.select("doc_id").orderBy("doc_id").limit(k)  # k rows from here on
+    place = (F.row_number().over(Window.orderBy("doc_id")) - 1).alias("cluster")
+    chosen = chosen.select("doc_id", place)
+    return weights.join(F.broadcast(chosen), "doc_id").select("cluster", "term_id", "weight")
+
+
 def lay_out(weights: DataFrame, triples: DataFrame | None = None) -> DataFrame:
     """``weights`` as a written table bucketed by document, for repeated passes.
 

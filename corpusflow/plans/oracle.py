@@ -129,6 +129,10 @@ _RUN_CENTROIDS = _stacked(
 
 ORACLE: dict[str, str] = {
     "token_counts": _with(TOKENS, select="SELECT term, count(*) AS n FROM tokens GROUP BY term"),
+    "corpus_scan": _with(
+        TOKENS,
+        select="SELECT source AS folder, count(*) AS n FROM tokens JOIN documents USING (doc_id) GROUP BY source",
+    ),
     "stopword_filtered_counts": _with(
         TOKENS,
         select=f"SELECT term, count(*) AS n FROM tokens WHERE term NOT IN (SELECT term FROM {_STOP}) GROUP BY term",
@@ -188,6 +192,13 @@ ORACLE: dict[str, str] = {
         _start("start", vocabulary="suitable"),
         select="SELECT cluster, term_id, round(weight, 6) AS weight FROM start",
     ),
+    "document_centroids": _with(
+        *OPEN_WEIGHTS,
+        "vectors AS (SELECT doc_id, list((term_id, weight) ORDER BY term_id) AS vector FROM weights GROUP BY doc_id)",
+        "seeds AS (SELECT min(doc_id) AS doc_id FROM vectors GROUP BY vector ORDER BY doc_id LIMIT 5)",
+        select="SELECT CAST(cluster AS INTEGER) AS cluster, term_id, round(weight, 6) AS weight FROM weights JOIN"
+        " (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS cluster FROM seeds) USING (doc_id)",
+    ),
     "centroid_similarity": _with(
         *OPEN_WEIGHTS,
         _start("start"),

@@ -87,6 +87,17 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.tokenize(corpus(spark, sf_dir)).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
+def corpus_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as text files, one folder per source, and read as a corpus: tokens by folder."""
+    path = scale.table_path(spark)
+    docs = _table(spark, sf_dir, "documents").select(F.col("source").alias("folder"), "text")
+    docs.write.partitionBy("folder").text(path)
+    lines = sources.read_corpus(spark, path)
+    folder = F.regexp_extract("doc_name", r"^folder=(.*?)\.part-", 1)
+    tokens = terms.tokenize(lines.select(folder.alias("folder"), "value"))
+    return tokens.groupBy("folder").agg(F.count(F.lit(1)).alias("n"))
+
+
 def stopword_filtered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = terms.remove_stop_words(terms.tokenize(corpus(spark, sf_dir)), stop_words(spark))
     return tokens.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
@@ -195,6 +206,11 @@ def _start(weighted: Weighted) -> DataFrame:
     return clustering.initial_centroids(weighted.vocabulary, K)
 
 
+def document_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = clustering.document_centroids(_open_weights(spark, sf_dir).weights, K)
+    return start.select("cluster", "term_id", _rounded("weight"))
+
+
 def centroid_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = _open_weights(spark, sf_dir)
     found = clustering.similarities(weighted.weights, _start(weighted), K)
@@ -313,6 +329,7 @@ def corpus_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_counts": token_counts,
+    "corpus_scan": corpus_scan,
     "stopword_filtered_counts": stopword_filtered_counts,
     "term_dictionary": term_dictionary,
     "dictionary_file": dictionary_file,
@@ -333,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "triples_roundtrip": triples_roundtrip,
     "pairs_roundtrip": pairs_roundtrip,
     "initial_centroids": initial_centroids,
+    "document_centroids": document_centroids,
     "centroid_similarity": centroid_similarity,
     "kmeans_assign": kmeans_assign,
     "kmeans_update": kmeans_update,

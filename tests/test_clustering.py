@@ -168,6 +168,14 @@ def test_initial_centroids(spark, method):
     assert rows(runs.filter("restart = 1").drop("restart")) == found
 
 
+def test_document_centroids(spark):
+    """Copies of a document are skipped, also when they are in the majority."""
+    data = [(t, d, w) for d in range(3, 30) for t, w in [(1, 0.5), (2, 0.25)]]
+    data += [(1, 40, 0.25), (2, 40, 0.5), (1, 50, 0.5), (9, 60, 1.0)]
+    found = rows(clustering.document_centroids(spark.createDataFrame(data, WEIGHTS), 3))
+    assert found == [(0, 1, 0.5), (0, 2, 0.25), (1, 1, 0.25), (1, 2, 0.5), (2, 1, 0.5)]
+
+
 def test_one_pass_against_brute_force(spark, points, start):
     brute = Brute(points, 4)
     classes = clustering.assign(points, start, 4)
