@@ -13,11 +13,6 @@ def norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda total, x: total + x * x))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity; null where either vector has length zero."""
-    return F.try_divide(dot(a, b), norm(a) * norm(b))
-
-
 def vector_text(entries: Column) -> Column:
     """An array of (term_id, weight) structs as ``t:w,t:w,...``."""
     return F.array_join(F.transform(entries, lambda e: F.concat_ws(":", e.term_id, e.weight)), ",")

@@ -15,14 +15,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import cosine
+from ..functions.vectors import dot, norm
 from .scale import below_broadcast_limit, fits_broadcast, hot_keys, lookup_join, table_bytes, table_path, written
 
 # Similarities are compared after rounding, so that the order in which a sum
 # was added up cannot decide between equal clusters.
 SIMILARITY_DIGITS = 9
-# Weight rows per bucket of a laid-out table, around 100 MB.
-BUCKET_ROWS = 4_000_000
+# Weight rows per bucket of a laid-out table, around 200 MB. A task adds up the
+# terms of its bucket before it shuffles, so large buckets shuffle less.
+BUCKET_ROWS = 16_000_000
 
 # Fixed values of the reproducible start: multipliers and prime modulus.
 _CLUSTER_STEP, _RANK_STEP, _SEED_STEP, _MODULUS = 7919, 104729, 15485863, 10007
@@ -331,31 +332,29 @@ def assign_dense(vectors: DataFrame, centroids: DataFrame, key: str = "doc_id")
     """Closest cluster of dense vectors: (key, cluster, similarity).
 
     ``vectors`` has an array of doubles ``vector``; ``centroids`` has one row
-    (cluster, vector) per cluster. The centroids are handed to every task as one
-    measured array, so the vectors are scanned once and never shuffled.
+    (cluster, vector) per cluster. The centroids, scaled to length one, are
+    handed to every task as one measured array, so the vectors are scanned once
+    and never shuffled. A vector without a positive similarity gets cluster 0
+    and similarity 0.
     """
     if not fits_broadcast(centroids.select("cluster", F.explode("vector").alias("weight"))):
         raise ValueError("dense centroids too large to hand to every task; use the sparse form")
-    table = centroids.agg(F.array_sort(F.collect_list(F.struct("cluster", "vector"))).alias("all")).scalar()
-    sims = F.transform(
-        "all",
-        lambda c: F.struct(cosine(c["vector"], F.col("vector")).alias("similarity"), c["cluster"].alias("cluster")),
-    )
-    found = F.filter("sims", lambda s: s["similarity"] > 0)
-    ranked = F.transform(
-        found,
-        lambda s: F.struct(
-            F.round(s["similarity"], SIMILARITY_DIGITS).alias("rounded"), (-s["cluster"]).alias("minus"), s["similarity"]
-        ),
-    )
-    best = F.array_max(ranked)
-    return (
-        vectors.select(key, "vector", table.alias("all"))
-        .select(key, sims.alias("sims"))
-        .select(key, best.alias("best"))
-        .select(
-            key,
-            F.coalesce(-F.col("best.minus"), F.lit(0)).alias("cluster"),
-            F.coalesce("best.similarity", F.lit(0.0)).alias("similarity"),
+    scaled = centroids.withColumn("length", norm(F.col("vector")))
+    unit = F.transform("vector", lambda x: F.try_divide(x, F.col("length"))).alias("unit")
+    table = scaled.select("cluster", unit).agg(F.array_sort(F.collect_list(F.struct("cluster", "unit")))).scalar()
+    rows = vectors.select(key, "vector", norm(F.col("vector")).alias("length"), table.alias("all"))
+
+    def ranked(center: Column) -> Column:
+        similarity = F.try_divide(dot(center["unit"], F.col("vector")), F.col("length"))
+        return F.struct(
+            F.round(similarity, SIMILARITY_DIGITS).alias("rounded"),
+            (-center["cluster"]).alias("minus"),
+            similarity.alias("similarity"),
         )
+
+    best = F.array_max(F.filter(F.transform("all", ranked), lambda s: s["similarity"] > 0))
+    return rows.select(key, best.alias("best")).select(
+        key,
+        F.coalesce(-F.col("best.minus"), F.lit(0)).alias("cluster"),
+        F.coalesce("best.similarity", F.lit(0.0)).alias("similarity"),
     )

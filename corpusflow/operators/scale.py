@@ -18,6 +18,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 4_000_000
 # At most this many keys can count as hot, so their list is always small.
 MAX_HOT_KEYS = 10_000
+# Input bytes per shuffle partition: the counts of a text take about its own size.
+SHUFFLE_BYTES = 128 * 1024 * 1024
 
 _local_folder: tempfile.TemporaryDirectory | None = None
 
@@ -72,6 +74,18 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to suit the files below ``path``; return the setting.
+
+    A session setting that is higher stays. AQE joins partitions that turn out small.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    size = files.agg(F.sum("length")).first()[0] or 0  # reads file names and lengths only
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / SHUFFLE_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def _column_bytes(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType):
         return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16

@@ -1,7 +1,7 @@
 """The batch programs: text in, text out, one Spark application each.
 
-Run ``spark-submit -m``-style as ``python -m corpusflow <program> INPUT OUTPUT``;
-every output folder is replaced.
+Run as ``python -m corpusflow <program> INPUT OUTPUT``; every output folder is
+replaced.
 """
 
 from __future__ import annotations
@@ -141,4 +141,6 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(SparkSession.builder.appName("corpusflow").getOrCreate(), args)
+    spark = SparkSession.builder.appName("corpusflow").getOrCreate()
+    scale.size_shuffles(spark, args.input)
+    args.run(spark, args)

@@ -288,6 +288,15 @@ def test_dense_assignment_equals_sparse(spark, points):
     close(rows(found, "doc_id", "similarity"), rows(sims))
 
 
+def test_dense_edge_cases(spark):
+    """Opposite direction, zero vector and a tie of equal directions."""
+    data = [(1, [-1.0, 0.0]), (2, [0.0, 0.0]), (3, [2.0, 2.0])]
+    arrays = spark.createDataFrame(data, "doc_id bigint, vector array<double>")
+    centers = [(1, [1.0, 0.0]), (2, [3.0, 3.0]), (3, [1.0, 1.0]), (4, [0.0, 0.0])]
+    table = spark.createDataFrame(centers, "cluster int, vector array<double>")
+    close(rows(clustering.assign_dense(arrays, table)), [(1, 0, 0.0), (2, 0, 0.0), (3, 2, 1.0)])
+
+
 def test_iterations_sink(spark, tmp_path, points, start):
     run = clustering.kmeans_fit(points, start, 4, iterations=2)
     path = str(tmp_path / "run")

@@ -119,13 +119,14 @@ def test_pairs_and_triples_round_trip(spark, tmp_path):
     assert rows(spark.read.text(str(tmp_path / "tab"))) == [("1 2\t3",), ("4 5\t6",)]
 
 
-def test_salted_counts_equal_broadcast_counts(spark, settings, sf_dir):
+@pytest.mark.parametrize("name", ["term_frequency", "term_frequency_open", "eliminated_terms", "doc_length"])
+def test_salted_counts_equal_broadcast_counts(spark, settings, sf_dir, name):
     """The same counts when no list may be broadcast and every frequent key is cut."""
-    from corpusflow.plans import queries
+    from corpusflow.plans.queries import QUERIES
 
-    wide = rows(queries.term_frequency(spark, sf_dir))
+    wide = rows(QUERIES[name](spark, sf_dir))
     settings(broadcastBytes=0, hotRows=20)
-    assert rows(queries.term_frequency(spark, sf_dir)) == wide
+    assert rows(QUERIES[name](spark, sf_dir)) == wide
 
 
 def test_hot_keys(spark, settings):
@@ -146,5 +147,19 @@ def test_salted_join_kinds(spark, settings, how):
     assert sorted(tuple(r) for r in joined.collect()) == expected
 
 
+def test_shuffle_size_follows_the_input(spark, tmp_path, monkeypatch):
+    (tmp_path / "d" / "e").mkdir(parents=True)
+    for name in ("a.txt", "d/b.txt", "d/e/c.txt"):
+        (tmp_path / name).write_text("x" * 1000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert scale.size_shuffles(spark, str(tmp_path)) == int(before)
+        monkeypatch.setattr(scale, "SHUFFLE_BYTES", 100)
+        assert scale.size_shuffles(spark, str(tmp_path)) == 30
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_stop_list_is_clean():
     assert len(STOP_WORDS) == len(set(STOP_WORDS)) and all(w == w.lower().strip() for w in STOP_WORDS)
