@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from .scale import fits_broadcast, lookup_join, numbered, written
+from .scale import fits_broadcast, lookup_join, numbered
 
 
 def tokenize(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -45,27 +45,32 @@ def term_frequency(
 
     ``corpus`` has the text column and ``doc_name`` (with ``doc_dict``) or
     ``doc_id``. Lists small enough to broadcast act on the lines and the single
-    tokens, before anything is shuffled. If one of them is larger, the tokens
-    are counted first: text is never shuffled, and the joins meet one row per
-    document and word.
+    tokens, before anything is shuffled. A larger list is joined after the
+    tokens have been counted: text is never shuffled for it, and the join meets
+    one row per document and word.
     """
-    term = "term" if term_dict is None else "term_id"
-    occurrences = F.count(F.lit(1)).alias("freq")
-    lists = [d for d in (stop_words, term_dict, doc_dict) if d is not None]
-    small = all([fits_broadcast(d) for d in lists])
-    known = {"small": True} if small else {}
-    if small:
-        rows = corpus if doc_dict is None else encode_documents(corpus, doc_dict, **known)
-        rows = tokenize(rows, text)
-    else:
-        doc = "doc_id" if doc_dict is None else "doc_name"
-        rows = written(tokenize(corpus.select(doc, text), text).groupBy(doc, "term").agg(occurrences))
-        rows = rows if doc_dict is None else encode_documents(rows, doc_dict, stored=True)
-    if stop_words is not None:
-        rows = remove_stop_words(rows, stop_words, **known)
-    if term_dict is not None:
-        rows = encode_terms(rows, term_dict, **known)
-    return rows.groupBy(term, "doc_id").agg(occurrences) if small else rows.select(term, "doc_id", "freq")
+    doc = "doc_id" if doc_dict is None else "doc_name"
+    docs_first, stop_first, terms_first = [d is not None and fits_broadcast(d) for d in (doc_dict, stop_words, term_dict)]
+    # a stop word may be in the dictionary, so ids cannot come before the stop words
+    terms_first = terms_first and (stop_words is None or stop_first)
+
+    rows = corpus.select(doc, text)
+    if docs_first:
+        rows = encode_documents(rows, doc_dict, small=True)
+    rows = tokenize(rows, text)
+    if stop_first:
+        rows = remove_stop_words(rows, stop_words, small=True)
+    if terms_first:
+        rows = encode_terms(rows, term_dict, small=True)
+    rows = rows.groupBy(*reversed(rows.columns)).agg(F.count(F.lit(1)).alias("freq"))
+
+    if doc_dict is not None and not docs_first:
+        rows = encode_documents(rows, doc_dict, small=False)
+    if stop_words is not None and not stop_first:
+        rows = remove_stop_words(rows, stop_words, small=False)
+    if term_dict is not None and not terms_first:
+        rows = encode_terms(rows, term_dict)
+    return rows.select("term" if term_dict is None else "term_id", "doc_id", "freq")
 
 
 def vocabulary(terms: DataFrame) -> DataFrame:
@@ -82,6 +87,12 @@ def suitable_terms(triples: DataFrame, min_total: int = 3, term: str = "term_id"
     return term_totals(triples, term).filter(F.col("total") >= min_total)
 
 
+def suitable_words(tokens: DataFrame, min_total: int = 3) -> DataFrame:
+    """``suitable_terms`` straight from tokens, when the counts per document are not at hand."""
+    totals = tokens.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    return totals.filter(F.col("total") >= min_total)
+
+
 def eliminate_terms(
     triples: DataFrame, suitable: DataFrame, term: str = "term_id", unique_input: bool = False
 ) -> DataFrame:

@@ -28,18 +28,27 @@ def weigh(
 ) -> Weighted:
     """Count, drop rare terms, weigh.
 
-    With a term dictionary the ids are its own. Without one every word counts:
-    the words that survive the threshold are numbered by alphabet, and one
-    join both drops the rare ones and puts in the ids.
+    With a term dictionary the ids are its own. Without one every word counts,
+    and the words that reach the threshold are numbered by alphabet. They are
+    found in a first pass over the text and are the dictionary of the second:
+    reading text again costs less than to shuffle and store the counts of all
+    words, most of which are rare. (If documents have to be looked up too, the
+    counts are stored after all, as the lookup may be too large for two passes.)
     """
-    counts = scale.written(terms.term_frequency(corpus, stop_words, term_dict, doc_dict))
-    if term_dict is None:
-        vocabulary = terms.vocabulary(terms.suitable_terms(counts, min_total, term="term"))
-        triples = terms.encode_terms(counts, vocabulary, stored=True).select("term_id", "doc_id", "freq")
+    if term_dict is None and doc_dict is None:
+        tokens = terms.tokenize(corpus.select("value"))
+        if stop_words is not None:
+            tokens = terms.remove_stop_words(tokens, stop_words)
+        vocabulary = terms.vocabulary(terms.suitable_words(tokens, min_total))
+        triples = terms.term_frequency(corpus, term_dict=vocabulary)
     else:
-        suitable = scale.written(terms.suitable_terms(counts, min_total))
-        vocabulary = suitable.select("term_id")
-        triples = terms.eliminate_terms(counts, suitable, unique_input=True)
+        counts = scale.written(terms.term_frequency(corpus, stop_words, term_dict, doc_dict))
+        if term_dict is None:
+            vocabulary = terms.vocabulary(terms.suitable_terms(counts, min_total, term="term"))
+            triples = terms.encode_terms(counts, vocabulary, stored=True).select("term_id", "doc_id", "freq")
+        else:
+            vocabulary = scale.written(terms.suitable_terms(counts, min_total))
+            triples = terms.eliminate_terms(counts, vocabulary, unique_input=True)
     triples = scale.written(triples)
     return Weighted(vocabulary, triples, weights.tf_idf(triples, n_docs, unique_input=True))
 

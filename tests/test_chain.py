@@ -32,10 +32,10 @@ def test_tokens(spark):
 
 
 @pytest.mark.parametrize("limits", [{}, {"broadcastBytes": 0, "hotRows": 15}])
-@pytest.mark.parametrize("seed", [2, 3])
-def test_weights(spark, settings, limits, seed):
+@pytest.mark.parametrize("named", [False, True])
+def test_weights(spark, settings, limits, named):
     """Half of the lines belong to one document, and one word is in nearly every line."""
-    rng = random.Random(seed)
+    rng = random.Random(3 + named)
     words = [f"w{i}" for i in range(60)]
     lines = []
     for _ in range(150):
@@ -58,7 +58,14 @@ def test_weights(spark, settings, limits, seed):
 
     settings(**limits)
     corpus = spark.createDataFrame(lines, "doc_id bigint, value string").repartition(5)
-    weighted = weigh(corpus, spark.createDataFrame([(w,) for w in stop], "term string"))
+    docs = None
+    if named:  # with a document dictionary, and lines of documents that are not in it
+        docs = spark.createDataFrame([(f"d.{i}", i) for i in range(41)], "doc_name string, doc_id bigint")
+        other = [("d.99", "w1 w2 w3 rare rare rare")] * 20
+        corpus = corpus.selectExpr("concat('d.', doc_id) AS doc_name", "value").union(
+            spark.createDataFrame(other, "doc_name string, value string")
+        )
+    weighted = weigh(corpus, spark.createDataFrame([(w,) for w in stop], "term string"), doc_dict=docs)
     assert rows(weighted.vocabulary, "term_id", "term") == sorted((i, t) for t, i in ids.items())
     assert rows(weighted.triples, "term_id", "doc_id", "freq") == sorted((ids[t], d, n) for (t, d), n in kept.items())
     found = rows(weighted.weights, "term_id", "doc_id", "weight")
