@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, norm
-from .scale import below_broadcast_limit, fits_broadcast, hot_keys, lookup_join, table_bytes, table_path, written
+from .scale import below_broadcast_limit, fits_broadcast, hot_keys, lookup_join, table_bytes, table_path, with_parts, written
 
 # Similarities are compared after rounding, so that the order in which a sum
 # was added up cannot decide between equal clusters.
@@ -89,7 +89,7 @@ def lay_out(weights: DataFrame, triples: DataFrame | None = None) -> DataFrame:
     if hot is None:
         rows = rows.withColumn("part", F.lit(0))
     else:
-        rows = rows.join(F.broadcast(written(hot)), "doc_id", "left")
+        rows = with_parts(rows, written(hot), ["doc_id"])
         part = F.pmod(F.xxhash64("term_id"), F.coalesce("_parts", F.lit(1))).cast("int")
         rows = rows.select("term_id", "doc_id", "weight", part.alias("part"))
     path = table_path(spark)

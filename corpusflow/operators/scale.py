@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,14 +15,12 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is split over several tasks
 # (session setting spark.corpusflow.hotRows).
 HOT_ROWS = 4_000_000
-# At most this many keys can count as hot, so their list is always small.
-MAX_HOT_KEYS = 10_000
+# A list of hot keys may be broadcast up to this size (spark.corpusflow.hotListBytes).
+# It has at most one entry per HOT_ROWS rows: some 50 MB for the counts of 100 TB of text.
+HOT_LIST_BYTES = 256 * 1024 * 1024
 # Input bytes per shuffle partition: the counts of a text take about its own size.
 SHUFFLE_BYTES = 128 * 1024 * 1024
 
-_local_folder: tempfile.TemporaryDirectory | None = None
-
-
 def _setting(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(f"spark.corpusflow.{name}", str(default)))
 
@@ -32,17 +29,11 @@ def _work_folder(spark: SparkSession) -> str:
     """The folder for the tables this application writes between stages.
 
     It lies in ``spark.checkpoint.dir`` (or the context's checkpoint folder),
-    which all executors share. Only a local session may fall back to a
-    temporary folder.
+    which all executors share; where neither is set, below the session's
+    warehouse, which a cluster shares too.
     """
-    global _local_folder
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if _local_folder is None:
-            _local_folder = tempfile.TemporaryDirectory(prefix="corpusflow-", ignore_cleanup_errors=True)
-        base = _local_folder.name
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/corpusflow-{spark.sparkContext.applicationId}"
 
 
@@ -87,8 +78,10 @@ def size_shuffles(spark: SparkSession, path: str) -> int:
 
 
 def _column_bytes(field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.StringType):
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
         return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+    if isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+        raise TypeError(f"column {field.name} is nested: its size is not measured, flatten it first")
     return F.lit(8)
 
 
@@ -110,39 +103,50 @@ def below_broadcast_limit(spark: SparkSession, size: int) -> bool:
 def hot_keys(rows: DataFrame, key: list[str]) -> DataFrame | None:
     """Keys that hold too many rows for one task, with the number of parts to cut each into.
 
-    A key is hot above ``limit`` rows, and ``limit`` is at least the row count
-    over MAX_HOT_KEYS: the result cannot have more than MAX_HOT_KEYS rows.
-    Returns None when the whole table is below the limit. ``rows`` should be a
-    written table, for which the count reads footers only.
+    The limit does not grow with the table: any key above it is cut. Returns
+    None when the whole table is below the limit. ``rows`` should be a written
+    table, for which the count reads footers only.
     """
     total = rows.count()
-    limit = max(_setting(rows.sparkSession, "hotRows", HOT_ROWS), math.ceil(total / MAX_HOT_KEYS))
+    limit = _setting(rows.sparkSession, "hotRows", HOT_ROWS)
     if total <= limit:
         return None
     counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
     return counts.select(*key, F.ceil(F.col("_n") / limit).cast("int").alias("_parts"))
 
 
+def with_parts(rows: DataFrame, hot: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with ``_parts`` of their key, null for keys that are not hot.
+
+    ``hot`` is a written result of ``hot_keys``. Its size is checked: a list
+    beyond ``hotListBytes`` is joined by shuffle, where AQE splits large keys.
+    """
+    size = hot.agg(table_bytes(hot)).first()[0]
+    small = size <= _setting(rows.sparkSession, "hotListBytes", HOT_LIST_BYTES)
+    return rows.join(F.broadcast(hot) if small else hot, key, "left")
+
+
 def salted_join(rows: DataFrame, lookup: DataFrame, key: list[str], how: str) -> DataFrame:
     """Shuffle join in which the rows of a hot key are dealt out over several tasks.
 
     ``lookup`` has one row per key; only its rows for hot keys are repeated. A
-    row's part comes from a hash of its content, so a task that is run again
-    deals its rows the same way. Rows should be distinct, as equal rows stay
-    together. ``rows`` is read three times, so it should be a written table.
+    row's part comes from a hash of its content and its place in ``rows``, a
+    written table: equal rows are dealt out too, and a task that is run again
+    deals its rows the same way. ``rows`` is read three times.
     """
     hot = hot_keys(rows, key)
     if hot is None:
         return rows.join(lookup, key, how)
     hot = written(hot)
     parts = F.coalesce("_parts", F.lit(1))
+    placed = rows.select("*", F.col("_metadata.row_index").alias("_row"))
     dealt = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("_part", F.pmod(F.xxhash64(*rows.columns), parts).cast("int"))
-        .drop("_parts")
+        with_parts(placed, hot, key)
+        .withColumn("_part", F.pmod(F.xxhash64(*rows.columns, "_row"), parts).cast("int"))
+        .drop("_parts", "_row")
     )
     copies = (
-        lookup.join(F.broadcast(hot), key, "left")
+        with_parts(lookup, hot, key)
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_parts")
     )
@@ -183,7 +187,9 @@ def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     sizes = stored.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    in_order = Window.orderBy(F.split("_file", "-")[1].cast("int"))
+    # a task may write several files: they share the part number and differ in the sequence number
+    place = [F.regexp_extract("_file", pattern, 1).cast("int") for pattern in (r"^part-(\d+)", r"-c(\d+)\.")]
+    in_order = Window.orderBy(*place, "_file").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = sizes.select("_file", (F.sum("_n").over(in_order) - F.col("_n")).alias("_before"))
     return stored.join(F.broadcast(before), "_file").select(
         *df.columns, (F.col("_before") + F.col("_row") + 1).alias(name)
