@@ -1,7 +1,7 @@
 """Byte-level BPE by merge replay over all words of a slice of the corpus.
 
 The text is cut into words by the vocabulary's pattern. A task replays the
-merges over the distinct words of a slice at once: an inverted index leads from
+merges over the new distinct words of a slice at once: an inverted index leads from
 the rank of each token pair to the places where the pair stands, the ranks are
 taken in ascending order, and a merge updates only the places next to it.
 Words do not depend on each other, so a corpus can be replayed in slices of
@@ -29,6 +29,8 @@ from .common import gather, text_blocks
 
 #: Characters of text in a slice.
 SLICE_CHARS = 6_000_000
+#: Distinct words that a task remembers before it starts anew.
+REMEMBERED_WORDS = 600_000
 _NONE = -1
 
 
@@ -121,18 +123,34 @@ class MergeReplay:
         return results
 
 
-def _encoded(replay: MergeReplay, pattern, texts: list[str]) -> Iterator[np.ndarray]:
-    """Ids of each text of a slice."""
-    words: dict[str, int] = {}
-    per_text = []
-    for text in texts:
-        per_text.append(np.fromiter((words.setdefault(w, len(words)) for w in pattern.findall(text)), np.int64))
-    ids = replay.encode([w.encode("utf-8") for w in words])
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-    starts = np.cumsum(lengths) - lengths
-    flat = np.fromiter((i for word in ids for i in word), np.uint32, int(lengths.sum()))
-    for chosen in per_text:
-        yield gather(flat, starts[chosen], lengths[chosen])
+class SliceEncoder:
+    """Ids of the texts of slices; words of earlier slices are remembered up to a bound."""
+
+    def __init__(self, replay: MergeReplay, pattern):
+        self.replay, self.pattern = replay, pattern
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.flat = np.empty(0, np.uint32)
+        self.starts = self.lengths = np.empty(0, np.int64)
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if len(self.words) > REMEMBERED_WORDS:
+            self._forget()
+        words, known = self.words, len(self.words)
+        per_text = [
+            np.fromiter((words.setdefault(w, len(words)) for w in self.pattern.findall(text)), np.int64) for text in texts
+        ]
+        if len(words) > known:
+            ids = self.replay.encode([w.encode("utf-8") for w in list(words)[known:]])
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter((i for word in ids for i in word), np.uint32, int(lengths.sum()))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.flat = np.concatenate([self.flat, flat])
+        for chosen in per_text:
+            yield gather(self.flat, self.starts[chosen], self.lengths[chosen])
 
 
 def split_pattern(pattern: str):
@@ -149,9 +167,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, words = MergeReplay(read_ranks(vocabulary)), split_pattern(pattern)
+        encoder = SliceEncoder(MergeReplay(read_ranks(vocabulary)), split_pattern(pattern))
         for doc_ids, texts in text_blocks(batches, slice_chars, "doc_id", "text"):
-            ids = pa.array(list(_encoded(replay, words, texts)), pa.list_(pa.int32()))
+            ids = pa.array(list(encoder.encode(texts)), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), ids], ["doc_id", "ids"])
 
     return docs.select("doc_id", F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, ids array<int>")
@@ -179,10 +197,10 @@ def digests(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(vocabulary)
-        replay, words, decoder = MergeReplay(ranks), split_pattern(pattern), Decoder(ranks)
+        encoder, decoder = SliceEncoder(MergeReplay(ranks), split_pattern(pattern)), Decoder(ranks)
         for doc_ids, texts in text_blocks(batches, slice_chars, "doc_id", "text"):
             counts, coded, decoded = [], [], []
-            for ids in _encoded(replay, words, texts):
+            for ids in encoder.encode(texts):
                 counts.append(len(ids))
                 coded.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 decoded.append(hashlib.sha256(decoder.decode(ids)).hexdigest())

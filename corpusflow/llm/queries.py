@@ -8,11 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, packing, secrets, warc
+from . import bpe, chat, exact_dedup, jaccard, packing, repetition, secrets, suffix_dedup, tokencount, warc
 from .common import read
 from ..operators.scale import written
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(
+        read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(repetition.measure(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents", "doc_id", "text"), digest=True)
 
@@ -52,6 +66,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.archive_index(read(spark, sf_dir, "pages", "page_id", "url", "html"), min_revisit_bytes=0)
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -68,9 +87,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_warc": op8_warc,
     "op9_pack": op9_pack,
     "op10_byte_bpe": op10_byte_bpe,
