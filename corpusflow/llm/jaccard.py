@@ -140,22 +140,22 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, sig_a bigint, sig_b bigint")
 
 
-def _place(tokens: np.ndarray) -> np.ndarray:
-    return (mixed(tokens, 7) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
+def _place(tokens: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed(tokens, 7) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def frequency_levels(docs: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
+def frequency_levels(docs: DataFrame, shingle: int = SHINGLE, place_bits: int = PLACE_BITS) -> np.ndarray:
     """Table of 4-bit levels, two per byte: 0 for places hit at most once, else the bits of (hits - 1).
 
     Tasks send the places of their tokens, two bytes each, by group of places;
     a group is added up in 2^16 counters while its rows stream by. Only the
     finished table, whose size is fixed, goes to the driver.
     """
-    groups, width = 1 << (PLACE_BITS - GROUP_BITS), 1 << GROUP_BITS
+    groups, width = 1 << (place_bits - GROUP_BITS), 1 << GROUP_BITS
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (texts,) in text_blocks(batches, BLOCK_CHARS, "text"):
-            places = np.sort(_place(shingle_sets(texts, shingle)[1]))
+            places = np.sort(_place(shingle_sets(texts, shingle)[1], place_bits))
             cuts = np.searchsorted(places >> GROUP_BITS, np.arange(groups + 1))
             low = (places & (width - 1)).astype("<u2")
             held = np.flatnonzero(np.diff(cuts))
@@ -205,6 +205,7 @@ def prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, shingl
     whose prefix has only unique tokens under some order has no row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
+    place_bits = (2 * len(levels)).bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -212,7 +213,7 @@ def prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, shingl
             doc, tokens = shingle_sets(texts, shingle)
             size = np.bincount(doc, minlength=len(texts)).astype(np.int64)
             first = np.cumsum(size) - size
-            place = _place(tokens)
+            place = _place(tokens, place_bits)
             level = (table[place >> 1] >> ((place & 1) << 2).astype(np.uint8)) & 15
             length = size - (percent * size + 99) // 100 + 1
             unique = np.bincount(doc[level == 0], minlength=len(texts))
@@ -325,13 +326,15 @@ def linked_classes(sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     return (found if more.isEmpty() else written(components(links))), links
 
 
-def similar_groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def similar_groups(
+    docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, place_bits: int = PLACE_BITS
+) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     sizes = written(signatures(docs, shingle))
     key = ["n_shingles", "sig_a", "sig_b"]
     classes = written(sizes.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("first")))
-    sets = written(prefixes(docs, frequency_levels(docs, shingle), percent, shingle))
+    sets = written(prefixes(docs, frequency_levels(docs, shingle, place_bits), percent, shingle))
     # one text of each class
     sets = sets.join(classes.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
     found, _ = linked_classes(sets, percent)

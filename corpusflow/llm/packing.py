@@ -40,6 +40,8 @@ END_ID = 0
 #: Characters of text that a task encodes at once, and distinct words it remembers.
 BLOCK_CHARS = 6_000_000
 REMEMBERED_WORDS = 400_000
+#: Marks that every word pattern sets apart from a letter before them.
+MARKS = ".,;:!?"
 #: Pieces that one part of a length numbers, about.
 PART_ROWS = 200_000
 
@@ -60,6 +62,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.words: dict[str, int] = {"": 0}
+        self.ids: dict[str, list[int]] = {}
         self.flat = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
         self.lengths = np.zeros(1, np.int64)
@@ -73,8 +76,13 @@ class WordEncoder:
             for text in texts
         ]
         if len(words) > known:
+            # a word and the mark behind it are encoded apart: many words differ in the mark only
             new = list(words)[known:]
-            ids = [e.ids for e in self.library.encode_batch(new, add_special_tokens=False)]
+            split = {w: (w[:-1], w[-1]) for w in new if w[-1] in MARKS and w[-2:-1].isalpha()}
+            plain = list(dict.fromkeys(part for w in new for part in split.get(w, (w,)) if part not in self.ids))
+            for word, encoded in zip(plain, self.library.encode_batch(plain, add_special_tokens=False), strict=True):
+                self.ids[word] = encoded.ids
+            ids = [self.ids[w] if w not in split else self.ids[split[w][0]] + self.ids[split[w][1]] for w in new]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter((i for word in ids for i in word), np.uint32, int(lengths.sum()))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])

@@ -128,12 +128,14 @@ def _measures(texts: list[str], min_words: int) -> dict[str, np.ndarray]:
     }
 
 
-def measure(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def measure(
+    docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS, block_chars: int = BLOCK_CHARS
+) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, longest_repeat) of every row."""
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, texts in text_blocks(batches, BLOCK_CHARS, "doc_id", "text"):
+        for doc_ids, texts in text_blocks(batches, block_chars, "doc_id", "text"):
             found = _measures(texts, min_words)
             columns = [pa.array(doc_ids, pa.int64()), *(pa.array(found[n]) for n in names)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *names])

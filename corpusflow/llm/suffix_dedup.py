@@ -63,14 +63,14 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 Batches = Iterator[pa.RecordBatch]
 
 
-def _blocks(batches: Batches) -> Iterator[tuple[list, list, list[bytes]]]:
+def _blocks(batches: Batches, size: int) -> Iterator[tuple[list, list, list[bytes]]]:
     """(doc_id, version, text bytes) in blocks of bounded size."""
     held: tuple[list, list, list[bytes]] = ([], [], [])
     total = 0
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "text")), strict=True):
             text = row[2].encode("utf-8")
-            if total and total + len(text) > BLOCK_BYTES:
+            if total and total + len(text) > size:
                 yield held
                 held, total = ([], [], []), 0
             for column, value in zip(held, (*row[:2], text), strict=True):
@@ -127,7 +127,7 @@ _SEGMENTS = (
 )
 
 
-def segments(texts: DataFrame, length: int) -> DataFrame:
+def segments(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Segments of every text: where they start, how many strings start in them, keys of their bytes, anchors.
 
     A run says that the strings ``low`` to ``high`` (counted in the segment)
@@ -135,7 +135,7 @@ def segments(texts: DataFrame, length: int) -> DataFrame:
     """
 
     def run(batches: Batches) -> Batches:
-        for ids, versions, coded in _blocks(batches):
+        for ids, versions, coded in _blocks(batches, block_bytes):
             data = np.frombuffer(b"".join(coded), np.uint8)
             if len(data) < length:
                 continue
