@@ -3,5 +3,8 @@ from pyspark.sql import SparkSession
 from .operators.scale import remove_written
 from .plans.programs import main
 
-main()
-remove_written(SparkSession.active())
+try:
+    main()
+finally:
+    if (spark := SparkSession.getActiveSession()) is not None:
+        remove_written(spark)

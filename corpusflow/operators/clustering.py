@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, norm
-from .scale import below_broadcast_limit, fits_broadcast, hot_keys, lookup_join, table_bytes, table_path, with_parts, written
+from .scale import below_broadcast_limit, hot_keys, lookup_join, table_bytes, table_path, with_parts, written
 
 # Similarities are compared after rounding, so that the order in which a sum
 # was added up cannot decide between equal clusters.
@@ -84,7 +84,9 @@ def lay_out(weights: DataFrame, triples: DataFrame | None = None) -> DataFrame:
     rows = weights.select("term_id", "doc_id", "weight")
     if triples is None:
         rows = triples = written(rows)
-    buckets = max(spark.sparkContext.defaultParallelism, math.ceil(triples.count() / BUCKET_ROWS))
+    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(triples.count() / BUCKET_ROWS))
+    # beyond Spark's own limit buckets grow, and with them the tasks
+    buckets = min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     hot = hot_keys(triples, ["doc_id"])
     if hot is None:
         rows = rows.withColumn("part", F.lit(0))
@@ -223,9 +225,16 @@ def cluster_top_terms(centroids: DataFrame, n: int = 10, by: list[str] | None =
 
     ``by`` adds further grouping columns (``iteration``, ``restart``). The rank
     filter is applied before the shuffle as well, so at most ``n`` rows per
-    cluster and task move.
+    cluster and task move; for a large ``n`` it is applied to parts of a cluster.
     """
     keys = [*(by or []), "cluster"]
+    spark = centroids.sparkSession
+    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        # Spark no longer cuts before the shuffle: cut parts of each cluster first
+        part = F.pmod(F.xxhash64("term_id"), F.lit(max(2, spark.sparkContext.defaultParallelism))).alias("_part")
+        centroids = centroids.select("*", part)
+        first = Window.partitionBy(*keys, "_part").orderBy(F.desc("weight"), F.asc("term_id"))
+        centroids = centroids.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= n)
     order = Window.partitionBy(*keys).orderBy(F.desc("weight"), F.asc("term_id"))
     ranked = centroids.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
     return ranked.select(*keys, "rank", "term_id", "weight")
@@ -328,33 +337,49 @@ def kmeans_restarts(
     return KMeansRun(classes, centroids, losses.withColumnRenamed("restart", "iteration"), top)
 
 
-def assign_dense(vectors: DataFrame, centroids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Closest cluster of dense vectors: (key, cluster, similarity).
-
-    ``vectors`` has an array of doubles ``vector``; ``centroids`` has one row
-    (cluster, vector) per cluster. The centroids, scaled to length one, are
-    handed to every task as one measured array, so the vectors are scanned once
-    and never shuffled. A vector without a positive similarity gets cluster 0
-    and similarity 0.
-    """
-    if not fits_broadcast(centroids.select("cluster", F.explode("vector").alias("weight"))):
-        raise ValueError("dense centroids too large to hand to every task; use the sparse form")
+def _best_dense(rows: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
+    """``rows`` (key, vector, length, best) with ``best`` raised by the centroids, one array for every task."""
     scaled = centroids.withColumn("length", norm(F.col("vector")))
     unit = F.transform("vector", lambda x: F.try_divide(x, F.col("length"))).alias("unit")
     table = scaled.select("cluster", unit).agg(F.array_sort(F.collect_list(F.struct("cluster", "unit")))).scalar()
-    rows = vectors.select(key, "vector", norm(F.col("vector")).alias("length"), table.alias("all"))
 
     def ranked(center: Column) -> Column:
         similarity = F.try_divide(dot(center["unit"], F.col("vector")), F.col("length"))
         return F.struct(
             F.round(similarity, SIMILARITY_DIGITS).alias("rounded"),
-            (-center["cluster"]).alias("minus"),
+            (-center["cluster"]).cast("bigint").alias("minus"),
             similarity.alias("similarity"),
         )
 
+    rows = rows.select("*", table.alias("all"))
     best = F.array_max(F.filter(F.transform("all", ranked), lambda s: s["similarity"] > 0))
-    return rows.select(key, best.alias("best")).select(
+    return rows.select(key, "vector", "length", F.greatest("best", best).alias("best"))
+
+
+def assign_dense(vectors: DataFrame, centroids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Closest cluster of dense vectors: (key, cluster, similarity).
+
+    ``vectors`` has an array of doubles ``vector``; ``centroids`` has one row
+    (cluster, vector) per cluster. The centroids, scaled to length one, are
+    handed to every task in blocks of clusters below the broadcast limit, and
+    the best of all blocks is kept. With one block the vectors are scanned once;
+    each further block reads and writes them once more. They are never
+    shuffled. A vector without a positive similarity gets cluster 0 and
+    similarity 0.
+    """
+    spark = vectors.sparkSession
+    sizes = {row.cluster: 8 * row.width + 16 for row in centroids.select("cluster", F.size("vector").alias("width")).collect()}
+    blocks: list[list[int]] = [[]]
+    for cluster in sorted(sizes):  # k rows, a parameter
+        if blocks[-1] and not below_broadcast_limit(spark, sum(sizes[c] for c in [*blocks[-1], cluster])):
+            blocks.append([])
+        blocks[-1].append(cluster)
+    none = F.lit(None).cast("struct<rounded:double,minus:bigint,similarity:double>").alias("best")
+    rows = vectors.select(key, "vector", norm(F.col("vector")).alias("length"), none)
+    for number, block in enumerate(blocks):
+        rows = _best_dense(written(rows) if number else rows, centroids.filter(F.col("cluster").isin(block)), key)
+    return rows.select(
         key,
-        F.coalesce(-F.col("best.minus"), F.lit(0)).alias("cluster"),
+        F.coalesce(-F.col("best.minus"), F.lit(0)).cast("int").alias("cluster"),
         F.coalesce("best.similarity", F.lit(0.0)).alias("similarity"),
     )

@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scale import fits_broadcast, lookup_join, numbered, written
+from .scale import below_broadcast_limit, lookup_join, numbered, written
 
+# Terms in one row of a dense vector, about 1 MB.
+BLOCK_TERMS = 65_536
 
-def sparse_vectors(weights: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per document: its (term_id, weight) entries by ascending term.
 
-    A group holds a document's distinct terms, never more than the vocabulary.
+def sparse_vectors(weights: DataFrame, key: str = "doc_id", entries_per_row: int | None = None) -> DataFrame:
+    """Rows (key, vector): the (term_id, weight) entries of a document by ascending term.
+
+    By default a document is one row. ``entries_per_row`` deals its entries out
+    over rows of about that many, by a hash of the term; for keys with a great
+    part of all terms.
     """
-    entries = F.array_sort(F.collect_list(F.struct("term_id", "weight")))
-    return weights.groupBy(key).agg(entries.alias("vector"))
+    entries = F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("vector")
+    if entries_per_row is None:
+        return weights.groupBy(key).agg(entries)
+    weights = written(weights)
+    sizes = weights.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / entries_per_row)
+    rows = lookup_join(weights, written(sizes), key, stored=True)
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64("term_id"), parts))
+    return rows.groupBy(key, "_part").agg(entries).drop("_part")
 
 
 def from_vectors(vectors: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -22,36 +34,42 @@ def from_vectors(vectors: DataFrame, key: str = "doc_id") -> DataFrame:
     return vectors.select(key, F.inline("vector")).select("term_id", key, "weight")
 
 
-def to_dense_vectors(weights: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
-    """One row per document with an entry for every vocabulary term, zeros filled in.
+def to_dense_vectors(
+    weights: DataFrame, vocabulary: DataFrame | None = None, block_terms: int = BLOCK_TERMS
+) -> DataFrame:
+    """Rows (doc_id, block, vector) with an entry for every vocabulary term, zeros filled in.
 
-    ``vocabulary`` (column term_id) defaults to the terms of ``weights``; other
-    terms of ``weights`` are dropped. The result has documents x terms cells:
-    it is an export form, clustering works on the sparse rows. The vocabulary
-    travels to every task, so it must stay below the broadcast limit.
+    A block holds ``block_terms`` terms of the sorted vocabulary, the last one
+    what is left, so no row grows with the vocabulary. ``vocabulary`` (column
+    term_id) defaults to the terms of ``weights``; other terms of ``weights``
+    are dropped, their documents stay. The result has documents x terms cells:
+    it is an export form, clustering works on the sparse rows.
     """
     source = weights if vocabulary is None else vocabulary
-    terms = written(source.select("term_id").distinct())
-    if not fits_broadcast(terms):
-        raise ValueError("vocabulary too large for dense rows; use the sparse weights")
-    places = numbered(terms, "term_id", "place")
-    size = places.count()
-    all_terms = places.agg(F.array_sort(F.collect_list("term_id")).alias("terms"))
-
-    placed = lookup_join(weights, places, "term_id")
-    entries = F.array_sort(F.collect_list(F.struct("place", "weight")))
-    docs = placed.groupBy("doc_id").agg(entries.alias("e"))
+    places = numbered(source.select("term_id").distinct(), "term_id", "place")
+    at = F.col("place") - 1
+    places = written(
+        places.select("term_id", F.floor(at / block_terms).alias("block"), F.pmod(at, F.lit(block_terms)).alias("at"))
+    )
+    blocks = written(
+        places.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "term_id")))["term_id"].alias("terms"))
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(blocks.count(), 1) - 1).cast("bigint")))
+    grid = weights.select("doc_id").distinct().select("doc_id", every.alias("block"))
+    entries = F.array_sort(F.collect_list(F.struct("at", "weight")))
+    found = lookup_join(weights, places, "term_id").groupBy("doc_id", "block").agg(entries.alias("e"))
+    # a block stands against all documents: small tables of blocks are broadcast, AQE splits larger ones
+    size = below_broadcast_limit(weights.sparkSession, 16 * places.count())
+    rows = grid.join(found, ["doc_id", "block"], "left").join(F.broadcast(blocks) if size else blocks, "block")
 
     def after_gap(entry, i):
         # zeros since the previous entry, then the entry itself
-        previous = F.when(i == 0, F.lit(0).cast("bigint")).otherwise(F.get("e", i - 1)["place"])
-        return F.concat(
-            F.array_repeat(F.lit(0.0), (entry["place"] - previous - 1).cast("int")), F.array(entry["weight"])
-        )
+        previous = F.when(i == 0, F.lit(-1).cast("bigint")).otherwise(F.get("e", i - 1)["at"])
+        return F.concat(F.array_repeat(F.lit(0.0), (entry["at"] - previous - 1).cast("int")), F.array(entry["weight"]))
 
-    filled = F.flatten(F.transform("e", after_gap))
-    tail = F.array_repeat(F.lit(0.0), (F.lit(size) - F.element_at("e", -1)["place"]).cast("int"))
+    filled = F.coalesce(F.flatten(F.transform("e", after_gap)), F.array().cast("array<double>"))
+    tail = F.array_repeat(F.lit(0.0), F.size("terms") - F.size(filled))
     labelled = F.zip_with(
         "terms", F.concat(filled, tail), lambda t, w: F.struct(t.alias("term_id"), w.alias("weight"))
     )
-    return docs.select("*", all_terms.scalar().alias("terms")).select("doc_id", labelled.alias("vector"))
+    return rows.select("doc_id", "block", labelled.alias("vector"))

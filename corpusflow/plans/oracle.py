@@ -176,9 +176,47 @@ ORACLE: dict[str, str] = {
     ),
     "dense_vectors": _with(
         *DICT_WEIGHTS,
-        select="SELECT doc_id, string_agg(term_id || ':' || CAST(round(coalesce(weight, 0) * 1e6) AS BIGINT), ','"
+        "places AS (SELECT term_id, (row_number() OVER (ORDER BY term_id) - 1) // 65536 AS block FROM vocabulary)",
+        select="SELECT doc_id, block, string_agg(term_id || ':' || CAST(round(coalesce(weight, 0) * 1e6) AS BIGINT), ','"
         " ORDER BY term_id) AS vector"
-        " FROM lengths CROSS JOIN vocabulary LEFT JOIN weights USING (doc_id, term_id) GROUP BY doc_id",
+        " FROM lengths CROSS JOIN places LEFT JOIN weights USING (doc_id, term_id) GROUP BY doc_id, block",
+    ),
+    "dense_vectors_subset": _with(
+        *DICT_WEIGHTS,
+        "places AS (SELECT term_id, (row_number() OVER (ORDER BY term_id) - 1) // 20 AS block"
+        " FROM vocabulary WHERE term_id % 3 = 0)",
+        select="SELECT doc_id, block, count(*) AS cells, round(sum(coalesce(weight, 0)), 6) AS total"
+        " FROM lengths CROSS JOIN places LEFT JOIN weights USING (doc_id, term_id) GROUP BY doc_id, block",
+    ),
+    "stop_word_file": _with(
+        TOKENS,
+        DICTIONARY,
+        select="SELECT term, count(*) AS n FROM tokens WHERE term NOT IN (SELECT term FROM dictionary) GROUP BY term",
+    ),
+    "doc_dictionary_file": "SELECT 'doc.' || doc_id AS doc_name, row_number() OVER (ORDER BY CAST(doc_id AS VARCHAR))"
+    " AS doc_id FROM (SELECT DISTINCT doc_id FROM labels)",
+    "document_names": "SELECT 'lang=' || lang || ' +x.txt' AS doc_name,"
+    " CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n FROM documents GROUP BY lang",
+    "eliminated_copies": _with(*OPEN, select="SELECT term, doc_id, freq FROM kept"),
+    "overwritten_output": _with(
+        TOKENS,
+        DICTIONARY,
+        DICT_COUNTS,
+        select="SELECT term_id, CAST(sum(freq) AS BIGINT) AS total FROM dict_counts GROUP BY term_id",
+    ),
+    "kmeans_restart_classes": _with(
+        *OPEN_WEIGHTS,
+        _start("start_0", seed=0),
+        *_pass(0, "start_0"),
+        _start("start_1", seed=1),
+        *_pass(1, "start_1"),
+        select=_stacked("SELECT {i} AS iteration, doc_id, cluster FROM classes_{i}"),
+    ),
+    "kmeans_iteration_loss": _with(
+        *_passes(OPEN_WEIGHTS),
+        select=" UNION ALL ".join(
+            f"SELECT {i} AS iteration, loss FROM ({_loss(f'own_{i}', f'classes_{i}')})" for i in (0, 1)
+        ),
     ),
     "vector_roundtrip": _with(
         *OPEN_WEIGHTS, select="SELECT term_id, doc_id, round(weight, 6) AS weight FROM weights"

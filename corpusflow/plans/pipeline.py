@@ -37,10 +37,15 @@ def weigh(
     """
     if term_dict is None and doc_dict is None:
         tokens = terms.tokenize(corpus.select("value"))
-        if stop_words is not None:
-            tokens = terms.remove_stop_words(tokens, stop_words)
-        vocabulary = terms.vocabulary(terms.suitable_words(tokens, min_total))
-        triples = terms.term_frequency(corpus, term_dict=vocabulary)
+        if stop_words is not None and scale.fits_broadcast(stop_words):
+            suitable = terms.suitable_words(terms.remove_stop_words(tokens, stop_words, small=True), min_total)
+        else:
+            # counted first: a large list meets one row per word, never the tokens
+            suitable = terms.suitable_words(tokens, min_total)
+            if stop_words is not None:
+                suitable = terms.remove_stop_words(scale.written(suitable), stop_words, stored=True, small=False)
+        vocabulary = terms.vocabulary(suitable)
+        triples = terms.term_frequency(corpus, stop_words, term_dict=vocabulary)
     else:
         counts = scale.written(terms.term_frequency(corpus, stop_words, term_dict, doc_dict))
         if term_dict is None:
@@ -53,6 +58,13 @@ def weigh(
     return Weighted(vocabulary, triples, weights.tf_idf(triples, n_docs, unique_input=True))
 
 
+def start_centroids(weighted: Weighted, k: int, method: str, seed: int) -> DataFrame:
+    """Centroids to start from: random ones, or the first ``k`` different documents (method "docs")."""
+    if method == "docs":
+        return clustering.document_centroids(weighted.weights, k)
+    return clustering.initial_centroids(weighted.vocabulary, k, method, seed)
+
+
 def cluster_corpus(
     corpus: DataFrame,
     stop_words: DataFrame | None = None,
@@ -67,5 +79,6 @@ def cluster_corpus(
 ) -> clustering.KMeansRun:
     """From text to classes, centroids, loss and top terms of each pass."""
     weighted = weigh(corpus, stop_words, term_dict, doc_dict, min_total, n_docs)
-    start = clustering.initial_centroids(weighted.vocabulary, k, method, seed)
+    weighted.weights = scale.written(weighted.weights)
+    start = start_centroids(weighted, k, method, seed)
     return clustering.kmeans_fit(weighted.weights, start, k, iterations, triples=weighted.triples)

@@ -1,7 +1,8 @@
 """The batch programs: text in, text out, one Spark application each.
 
-Run as ``python -m corpusflow <program> INPUT OUTPUT``; every output folder is
-replaced.
+Run as ``python -m corpusflow <program> INPUT OUTPUT``; OUTPUT is deleted first.
+A corpus is a folder of text files, or Parquet with the columns doc_name and
+value (``--packed``), which spares listing one file per document.
 """
 
 from __future__ import annotations
@@ -12,21 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import sinks, sources
 from ..operators import clustering, scale, terms, vectors, weights
-from .pipeline import weigh
+from .pipeline import Weighted, start_centroids, weigh
 
 
-def _lists(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, DataFrame, DataFrame]:
-    skip = args.skip_first_line
-    return (
-        sources.read_stop_words(spark, args.stop_words),
-        sources.read_term_dictionary(spark, args.terms, skip),
-        sources.read_doc_dictionary(spark, args.docs, skip),
-    )
+def _lists(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
+    """The lists that are given, by the names that ``weigh`` and ``term_frequency`` have for them."""
+    skip, found = args.skip_first_line, {}
+    if args.stop_words:
+        found["stop_words"] = sources.read_stop_words(spark, args.stop_words)
+    if args.terms:
+        found["term_dict"] = sources.read_term_dictionary(spark, args.terms, skip)
+    if args.docs:
+        found["doc_dict"] = sources.read_doc_dictionary(spark, args.docs, skip)
+    return found
+
+
+def _corpus(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    lines = spark.read.parquet(args.input) if args.packed else sources.read_corpus(spark, args.input)
+    # without a dictionary the name itself is the id
+    return lines if args.docs else lines.withColumnRenamed("doc_name", "doc_id")
 
 
 def term_frequency(spark: SparkSession, args: argparse.Namespace) -> None:
-    counts = terms.term_frequency(sources.read_corpus(spark, args.input), *_lists(spark, args))
-    sinks.write_pairs(counts.select("term_id", "doc_id", "freq"), args.output)
+    counts = terms.term_frequency(_corpus(spark, args), **_lists(spark, args))
+    sinks.write_pairs(counts, args.output)
 
 
 def eliminate(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -72,26 +82,37 @@ def _write_run(run: clustering.KMeansRun, iterations: int, output: str) -> None:
         sinks.write_lines(sinks.top_term_lines(of_pass(run.top_terms)), f"{output}/top10_{i}")
 
 
-def _cluster(points: DataFrame, vocabulary: DataFrame, args: argparse.Namespace) -> None:
+def _cluster(weighted: Weighted, triples: DataFrame, args: argparse.Namespace, spark: SparkSession) -> None:
     if args.independent:
-        run = clustering.kmeans_restarts(points, vocabulary, args.k, args.iterations, "hash", args.seed)
+        run = clustering.kmeans_restarts(
+            weighted.weights, weighted.vocabulary, args.k, args.iterations, args.method, args.seed, triples=triples
+        )
     else:
-        start = clustering.initial_centroids(vocabulary, args.k, "hash", args.seed)
-        run = clustering.kmeans_fit(points, start, args.k, args.iterations)
+        if args.centroids:
+            start = sources.read_centroids(spark, args.centroids)
+        else:
+            start = start_centroids(weighted, args.k, args.method, args.seed)
+        run = clustering.kmeans_fit(weighted.weights, start, args.k, args.iterations, triples=triples)
     _write_run(run, args.iterations, args.output)
 
 
 def kmeans(spark: SparkSession, args: argparse.Namespace) -> None:
     read = sources.read_weights if args.sparse else sources.read_vectors
     points = scale.written(read(spark, args.input))
-    _cluster(points, points.select("term_id").distinct(), args)
+    _cluster(Weighted(points.select("term_id").distinct(), points, points), points, args, spark)
 
 
 def pipeline(spark: SparkSession, args: argparse.Namespace) -> None:
-    weighted = weigh(
-        sources.read_corpus(spark, args.input), *_lists(spark, args), min_total=args.min_total, n_docs=args.n_docs
-    )
-    _cluster(weighted.weights, weighted.vocabulary, args)
+    weighted = weigh(_corpus(spark, args), **_lists(spark, args), min_total=args.min_total, n_docs=args.n_docs)
+    if args.method == "docs":
+        weighted.weights = scale.written(weighted.weights)  # read twice
+    _cluster(weighted, weighted.triples, args, spark)
+
+
+def _clear(spark: SparkSession, path: str) -> None:
+    """Delete an output of an earlier run, whatever it holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -107,13 +128,16 @@ def parser() -> argparse.ArgumentParser:
 
     def lists(sub: argparse.ArgumentParser) -> None:
         for name in ("stop-words", "terms", "docs"):
-            sub.add_argument(f"--{name}", required=True, help="one entry per line")
+            sub.add_argument(f"--{name}", help="one entry per line; left out, nothing is filtered or encoded by it")
+        sub.add_argument("--packed", action="store_true", help="the corpus is Parquet with doc_name and value")
         sub.add_argument("--skip-first-line", action="store_true", help="number dictionaries from their second line")
 
     def run_options(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--k", type=int, default=5)
         sub.add_argument("--iterations", type=int, default=2)
         sub.add_argument("--seed", type=int, default=0)
+        sub.add_argument("--method", choices=["uniform", "hash", "docs"], default="hash", help="random start, or documents")
+        sub.add_argument("--centroids", help="file of centroids to start from")
         sub.add_argument("--independent", action="store_true", help="every pass from fresh random centroids")
 
     lists(program(term_frequency, "corpus folder -> term doc<tab>freq"))
@@ -142,5 +166,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("corpusflow").getOrCreate()
+    if getattr(args, "independent", False) and (args.centroids or args.method == "docs"):
+        raise SystemExit("--independent makes its own random start")
     scale.size_shuffles(spark, args.input)
+    _clear(spark, args.output)
     args.run(spark, args)

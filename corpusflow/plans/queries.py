@@ -110,6 +110,49 @@ def dictionary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_term_dictionary(spark, path)
 
 
+def stop_word_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of ``benchmark`` written as a stop-word file with padding and capitals, read and applied."""
+    path = scale.table_path(spark)
+    padded = F.concat(F.lit(" \t"), F.upper("term"), F.lit(" \x01 ")).alias("value")
+    sinks.write_lines(_benchmark_terms(spark, sf_dir).select(padded), path)
+    left = terms.remove_stop_words(terms.tokenize(corpus(spark, sf_dir)), scale.written(sources.read_stop_words(spark, path)))
+    return left.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def doc_dictionary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents as a dictionary file of names, numbered when it is read."""
+    path = scale.table_path(spark)
+    names = doc_dictionary(spark, sf_dir).orderBy("doc_name").select(F.concat(F.lit(" Doc."), "doc_name").alias("value"))
+    sinks.write_lines(names, path)
+    return sources.read_doc_dictionary(spark, path)
+
+
+def document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written by source and language, read as a corpus: lines by folder and file name without its number."""
+    path = scale.table_path(spark)
+    docs = _table(spark, sf_dir, "documents").select("source", F.concat("lang", F.lit(" +x.txt")).alias("lang"), "text")
+    docs.write.partitionBy("source", "lang").text(path)
+    lines = sources.read_corpus(spark, path)
+    name = F.regexp_replace("doc_name", r"\.part-.*", "")
+    return lines.groupBy(name.alias("doc_name")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def eliminated_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every triple is given twice and comes out once."""
+    counts = scale.written(open_counts(spark, sf_dir))
+    suitable = scale.written(terms.suitable_terms(counts, term="term"))
+    return terms.eliminate_terms(counts.unionByName(counts), suitable, "term")
+
+
+def overwritten_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals written over the lengths of an earlier run, then read."""
+    path = scale.table_path(spark)
+    sinks.write_pairs(doc_length(spark, sf_dir), path)
+    counts = term_frequency(spark, sf_dir)
+    sinks.write_pairs(terms.term_totals(counts), path)
+    return sources.read_pairs(spark, path, "term_id", "total")
+
+
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_frequency(
         named_corpus(spark, sf_dir), stop_words(spark), term_dictionary(spark, sf_dir), doc_dictionary(spark, sf_dir)
@@ -170,7 +213,17 @@ def dense_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     millionths = F.transform(
         "vector", lambda e: F.concat_ws(":", e["term_id"], F.round(e["weight"] * 1e6).cast("bigint"))
     )
-    return dense.select("doc_id", F.array_join(millionths, ",").alias("vector"))
+    return dense.select("doc_id", "block", F.array_join(millionths, ",").alias("vector"))
+
+
+def dense_vectors_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense rows over a third of the vocabulary, in blocks of 20 terms; other documents keep zero rows."""
+    weighted = _dictionary_weights(spark, sf_dir)
+    third = weighted.vocabulary.filter("term_id % 3 = 0")
+    dense = vectors.to_dense_vectors(scale.written(weighted.weights), third, block_terms=20)
+    total = F.aggregate("vector", F.lit(0.0), lambda acc, e: acc + e["weight"])
+    cells = F.size("vector").cast("bigint").alias("cells")
+    return dense.select("doc_id", "block", cells, F.round(total, 6).alias("total"))
 
 
 def vector_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,6 +355,19 @@ def kmeans_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.loss.select("iteration", _rounded("loss"))
 
 
+def kmeans_restart_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighted = weigh(corpus(spark, sf_dir), stop_words(spark))
+    run = clustering.kmeans_restarts(weighted.weights, weighted.vocabulary, K, restarts=2, triples=weighted.triples)
+    return run.classes
+
+
+def kmeans_iteration_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loss of both passes written by iteration and read back."""
+    path = scale.table_path(spark)
+    sinks.write_iterations({"loss": _fit(spark, sf_dir).loss}, path)
+    return spark.read.parquet(f"{path}/loss").select("iteration", _rounded("loss"))
+
+
 def kmeans_assign_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings against random centroids with one coordinate per array position."""
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
@@ -346,6 +412,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tf_idf_copies": tf_idf_copies,
     "sum_weights": sum_weights,
     "dense_vectors": dense_vectors,
+    "dense_vectors_subset": dense_vectors_subset,
+    "stop_word_file": stop_word_file,
+    "doc_dictionary_file": doc_dictionary_file,
+    "document_names": document_names,
+    "eliminated_copies": eliminated_copies,
+    "overwritten_output": overwritten_output,
+    "kmeans_restart_classes": kmeans_restart_classes,
+    "kmeans_iteration_loss": kmeans_iteration_loss,
     "vector_roundtrip": vector_roundtrip,
     "triples_roundtrip": triples_roundtrip,
     "pairs_roundtrip": pairs_roundtrip,

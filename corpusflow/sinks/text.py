@@ -1,7 +1,8 @@
 """Text lines of the result tables, and their writers.
 
-The vector and top-term formats put a whole vector on one line, so a line
-grows with the vocabulary. They are for exchange; between stages use Parquet.
+The vector and top-term formats put a whole vector on one line unless told
+otherwise, so a line grows with the vocabulary. They are for exchange; between
+stages use Parquet.
 """
 
 from __future__ import annotations
@@ -33,9 +34,13 @@ def vector_lines(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.concat_ws("|", "doc_id", vector_text(F.col("vector"))).alias("value"))
 
 
-def centroid_lines(centroids: DataFrame) -> DataFrame:
-    """``cluster<tab>t:w,t:w,...`` from (cluster, term_id, weight)."""
-    packed = sparse_vectors(centroids, "cluster")
+def centroid_lines(centroids: DataFrame, entries_per_line: int | None = None) -> DataFrame:
+    """``cluster<tab>t:w,t:w,...`` from (cluster, term_id, weight).
+
+    By default a cluster is one line; ``entries_per_line`` gives it several of
+    about that many entries, which the readers put together again.
+    """
+    packed = sparse_vectors(centroids, "cluster", entries_per_line)
     return packed.select(F.concat_ws("\t", "cluster", vector_text(F.col("vector"))).alias("value"))
 
 

@@ -5,6 +5,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from corpusflow import sinks, sources
 from corpusflow.operators import clustering, scale, vectors, weights
@@ -124,21 +125,58 @@ def test_tf_idf_with_salted_joins(spark, settings):
         close(rows(weights.tf_idf(triples, unique_input=unique), "term_id", "doc_id", "weight"), wide)
 
 
-def test_dense_vectors(spark):
-    data = spark.createDataFrame([(5, 1, 0.5), (9, 1, 0.25), (2, 2, 1.0), (7, 2, 2.0), (3, 2, 8.0)], WEIGHTS)
+@pytest.mark.parametrize("block_terms", [1, 2, 3, 100])
+@pytest.mark.parametrize("limit", [0, 10**6])
+def test_dense_vectors(spark, settings, block_terms, limit):
+    settings(broadcastBytes=limit)
+    data = [(5, 1, 0.5), (9, 1, 0.25), (2, 2, 1.0), (7, 2, 2.0), (3, 2, 8.0), (3, 11, 1.0)]
+    points = scale.written(spark.createDataFrame(data, WEIGHTS))
     vocabulary = spark.createDataFrame([(t,) for t in (2, 5, 7, 9, 11)], "term_id bigint")
-    dense = vectors.to_dense_vectors(data, vocabulary)
-    found = {r.doc_id: [(e.term_id, e.weight) for e in r.vector] for r in dense.collect()}
+    dense = vectors.to_dense_vectors(points, vocabulary, block_terms)
+    found = {}
+    for r in sorted(dense.collect(), key=lambda r: r.block):
+        assert len(r.vector) <= block_terms
+        found.setdefault(r.doc_id, []).extend((e.term_id, e.weight) for e in r.vector)
     assert found == {
         1: [(2, 0.0), (5, 0.5), (7, 0.0), (9, 0.25), (11, 0.0)],
         2: [(2, 1.0), (5, 0.0), (7, 2.0), (9, 0.0), (11, 0.0)],
+        11: [(t, 0.0) for t in (2, 5, 7, 9, 11)],  # without a term of the vocabulary
     }
 
 
-def test_dense_refuses_unbounded_vocabulary(spark, settings, points):
-    settings(broadcastBytes=100)
-    with pytest.raises(ValueError, match="too large"):
-        vectors.to_dense_vectors(points)
+def test_top_terms_for_any_number(spark):
+    data = [(c, t, float((t * 7919) % 997)) for c in range(2) for t in range(3000)]
+    centroids = spark.createDataFrame(data, "cluster int, term_id bigint, weight double")
+    found = rows(clustering.cluster_top_terms(centroids, 1500), "cluster", "rank", "term_id")
+    order = sorted(range(3000), key=lambda t: (-float((t * 7919) % 997), t))[:1500]
+    assert found == [(c, r + 1, t) for c in range(2) for r, t in enumerate(order)]
+
+
+def test_numbers_with_several_files_per_task(spark):
+    words = spark.createDataFrame([(f"w{i:05d}",) for i in range(3000)], "term string")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "100")
+    try:
+        found = rows(scale.numbered(words, "term", "term_id"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert found == [(f"w{i:05d}", i + 1) for i in range(3000)]
+
+
+def test_equal_rows_of_a_hot_key_are_dealt_out(spark, settings):
+    settings(hotRows=100)
+    tokens = scale.written(spark.createDataFrame([("the",)] * 900 + [(f"w{i}",) for i in range(100)], "term string"))
+    stop = scale.written(spark.createDataFrame([("w3",)], "term string"))
+    left = scale.salted_join(tokens, stop, ["term"], "left_anti")
+    assert left.count() == 999
+    parts = left.select("term", F.spark_partition_id().alias("p")).filter("term = 'the'").distinct().count()
+    assert parts > 1
+
+
+def test_vectors_over_several_lines(spark, tmp_path, start):
+    path = str(tmp_path / "blocks")
+    sinks.write_lines(sinks.centroid_lines(start, entries_per_line=1), path)
+    assert spark.read.text(path).count() > start.select("cluster").distinct().count()
+    assert rows(sources.read_centroids(spark, path)) == rows(start)
 
 
 def test_vector_text_round_trip(spark, tmp_path, points, start):
@@ -288,13 +326,15 @@ def test_dense_assignment_equals_sparse(spark, points):
     close(rows(found, "doc_id", "similarity"), rows(sims))
 
 
-def test_dense_edge_cases(spark):
+def test_dense_edge_cases(spark, settings):
     """Opposite direction, zero vector and a tie of equal directions."""
     data = [(1, [-1.0, 0.0]), (2, [0.0, 0.0]), (3, [2.0, 2.0])]
     arrays = spark.createDataFrame(data, "doc_id bigint, vector array<double>")
     centers = [(1, [1.0, 0.0]), (2, [3.0, 3.0]), (3, [1.0, 1.0]), (4, [0.0, 0.0])]
     table = spark.createDataFrame(centers, "cluster int, vector array<double>")
     close(rows(clustering.assign_dense(arrays, table)), [(1, 0, 0.0), (2, 0, 0.0), (3, 2, 1.0)])
+    settings(broadcastBytes=0)  # a block for each cluster
+    close(rows(clustering.assign_dense(arrays, table)), [(1, 0, 0.0), (2, 0, 0.0), (3, 2, 1.0)])
 
 
 def test_iterations_sink(spark, tmp_path, points, start):

@@ -88,3 +88,29 @@ def test_pipeline_equals_chain(spark, chain, lists):
     main(["pipeline", f"{chain}/corpus", f"{chain}/b", *lists, "--k=3", "--seed=2"])
     for name in ("classes_1", "top10_1"):
         assert rows(spark.read.text(f"{chain}/a/{name}")) == rows(spark.read.text(f"{chain}/b/{name}"))
+
+
+def test_a_shorter_run_replaces_a_longer_one(spark, chain):
+    out = f"{chain}/again"
+    main(["kmeans", f"{chain}/vectors", out, "--k=2", "--iterations=3"])
+    main(["kmeans", f"{chain}/vectors", out, "--k=2", "--iterations=1"])
+    assert {p.name for p in (chain / "again").iterdir()} == {"classes_0", "centers_0", "loss_0", "top10_0"}
+
+
+def test_given_start(spark, chain):
+    main(["kmeans", f"{chain}/vectors", f"{chain}/docs", "--k=2", "--iterations=1", "--method=docs"])
+    main(["kmeans", f"{chain}/vectors", f"{chain}/first", "--k=2", "--iterations=1"])
+    main(["kmeans", f"{chain}/vectors", f"{chain}/more", "--k=2", "--iterations=1", f"--centroids={chain}/first/centers_0"])
+    main(["kmeans", f"{chain}/vectors", f"{chain}/both", "--k=2", "--iterations=2"])
+    assert rows(spark.read.text(f"{chain}/more/classes_0")) == rows(spark.read.text(f"{chain}/both/classes_1"))
+    assert rows(spark.read.text(f"{chain}/docs/loss_0"))
+    with pytest.raises(SystemExit):
+        main(["kmeans", f"{chain}/vectors", f"{chain}/no", "--independent", "--method=docs"])
+
+
+def test_packed_corpus_and_no_lists(spark, chain, lists):
+    sources.read_corpus(spark, f"{chain}/corpus").write.parquet(f"{chain}/packed")
+    main(["term-frequency", f"{chain}/packed", f"{chain}/tf_packed", "--packed", *lists])
+    assert rows(spark.read.text(f"{chain}/tf_packed")) == rows(spark.read.text(f"{chain}/tf"))
+    main(["pipeline", f"{chain}/packed", f"{chain}/free", "--packed", "--k=2", "--min-total=1"])
+    assert len(rows(spark.read.text(f"{chain}/free/classes_1"))) == 5
