@@ -12,6 +12,7 @@ from corpusflow.operators import terms
 from corpusflow.plans.pipeline import weigh
 
 LETTERS = "abXYé ß漢-/$£%0"
+# Fixed value: the characters that separate tokens, as in corpusflow.functions.text.
 DELIMITERS = "\t\n\r\f,.:;?![]'\"()& "
 
 

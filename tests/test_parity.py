@@ -1,0 +1,80 @@
+"""The rules of the published results, worked by hand on a small invented corpus: nothing here skips."""
+
+import math
+
+import pytest
+from conftest import rows
+
+from corpusflow import sources
+from corpusflow.operators import clustering, terms, weights
+from corpusflow.plans.pipeline import weigh
+
+TEXTS = {
+    "a/1.txt": "Red red fox; the fox\n",
+    "a/2.txt": "fox (hen) hen hen\n",
+    "b/1.txt": "the hen 'red'\n",
+}
+TERMS = ["fox", "hen", "red"]
+NAMES = ["a.1", "a.2", "b.1"]
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    root = tmp_path_factory.mktemp("parity")
+    for name, text in TEXTS.items():
+        file = root / "corpus" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text(text)
+    (root / "stop.txt").write_text("the\n")
+    (root / "terms.txt").write_text("\n".join(TERMS) + "\n")
+    (root / "docs.txt").write_text("\n".join(NAMES) + "\n")
+    return root
+
+
+def counts(spark, folder, skip_first):
+    return terms.term_frequency(
+        sources.read_corpus(spark, f"{folder}/corpus"),
+        sources.read_stop_words(spark, f"{folder}/stop.txt"),
+        sources.read_term_dictionary(spark, f"{folder}/terms.txt", skip_first),
+        sources.read_doc_dictionary(spark, f"{folder}/docs.txt", skip_first),
+    )
+
+
+def test_counts(spark, folder):
+    # fox 1, hen 2, red 3; a.1 1, a.2 2, b.1 3
+    assert rows(counts(spark, folder, False)) == [(1, 1, 2), (1, 2, 1), (2, 2, 3), (2, 3, 1), (3, 1, 2), (3, 3, 1)]
+
+
+def test_first_line_left_out(spark, folder):
+    # hen 1, red 2; a.2 1, b.1 2: fox and a.1 are in no dictionary
+    assert rows(counts(spark, folder, True)) == [(1, 1, 3), (1, 2, 1), (2, 2, 1)]
+
+
+def test_given_number_of_documents(spark, folder):
+    triples = counts(spark, folder, False)
+    found = {t: x for t, x in rows(weights.idf(triples, n_docs=50))}
+    assert found == pytest.approx({t: math.log(50 / 2) for t in (1, 2, 3)})
+    weighed = {(t, d): w for t, d, w in weights.tf_idf(triples, n_docs=50).select("term_id", "doc_id", "weight").collect()}
+    assert weighed[2, 2] == pytest.approx(3 / 4 * math.log(25))
+    assert weighed[3, 1] == pytest.approx(2 / 4 * math.log(25))
+
+
+def test_chain_with_given_number(spark, folder):
+    found = weigh(
+        sources.read_corpus(spark, f"{folder}/corpus"),
+        sources.read_stop_words(spark, f"{folder}/stop.txt"),
+        sources.read_term_dictionary(spark, f"{folder}/terms.txt"),
+        sources.read_doc_dictionary(spark, f"{folder}/docs.txt"),
+        n_docs=50,
+    )
+    weighed = {(t, d): w for t, d, w in found.weights.select("term_id", "doc_id", "weight").collect()}
+    assert weighed[1, 1] == pytest.approx(2 / 4 * math.log(25))
+
+
+def test_collapsed_and_cumulative_lists(spark):
+    data = [(0, 1, 0.5), (0, 2, 0.5), (0, 3, 0.1), (1, 4, 0.5), (1, 5, 0.2)]
+    centers = spark.createDataFrame(data, "cluster int, term_id bigint, weight double")
+    single = rows(clustering.collapsed_top_terms(centers, 10), "cluster", "rank", "term_id")
+    assert single == [(0, 1, 2), (0, 2, 3), (1, 1, 4), (1, 2, 5)]
+    running = rows(clustering.collapsed_top_terms(centers, 10, cumulative=True), "cluster", "rank", "term_id")
+    assert running == [(0, 1, 2), (0, 2, 3), (1, 1, 4), (1, 2, 5), (1, 3, 3)]
