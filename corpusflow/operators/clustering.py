@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, norm
-from .scale import below_broadcast_limit, hot_keys, lookup_join, table_bytes, table_path, with_parts, written
+from .scale import below_broadcast_limit, hot_keys, is_stored, lookup_join, table_bytes, table_path, with_parts, written
 
 # Similarities are compared after rounding, so that the order in which a sum
 # was added up cannot decide between equal clusters.
@@ -88,31 +88,67 @@ def lay_out(weights: DataFrame, triples: DataFrame | None = None) -> DataFrame:
     # beyond Spark's own limit buckets grow, and with them the tasks
     buckets = min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     hot = hot_keys(triples, ["doc_id"])
+    return _bucketed(rows, buckets, "doc_id", "term_id", None if hot is None else written(hot))
+
+
+def _bucketed(rows: DataFrame, buckets: int, key: str, other: str, hot: DataFrame | None) -> DataFrame:
+    """``rows`` as a written table bucketed by ``key`` and ``part``; hot keys are cut by a hash of ``other``."""
+    spark = rows.sparkSession
     if hot is None:
         rows = rows.withColumn("part", F.lit(0))
     else:
-        rows = with_parts(rows, written(hot), ["doc_id"])
-        part = F.pmod(F.xxhash64("term_id"), F.coalesce("_parts", F.lit(1))).cast("int")
+        rows = with_parts(rows, hot, [key])
+        part = F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1))).cast("int")
         rows = rows.select("term_id", "doc_id", "weight", part.alias("part"))
     path = table_path(spark)
     name = path.rsplit("/", 1)[1]
     # one task per bucket, so one file per bucket
-    rows.repartition(buckets, "doc_id", "part").write.bucketBy(buckets, "doc_id", "part").option(
-        "path", path
-    ).saveAsTable(name)
+    rows.repartition(buckets, key, "part").write.bucketBy(buckets, key, "part").option("path", path).saveAsTable(name)
     laid_out = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # only the name: the files lie outside the warehouse
     return laid_out
 
 
-def _score(weights: DataFrame, centroids: DataFrame, slots: int) -> DataFrame:
+class TermLayout:
+    """The weights once more, bucketed by term, for centroids that are too large to broadcast.
+
+    Made when the first such pass needs it and kept for the passes after it:
+    hot terms are found once, and a pass joins bucket by bucket, so that only
+    the centroids and the partial sums of documents move.
+    """
+
+    def __init__(self, points: DataFrame):
+        self.points = points
+        self.table: DataFrame | None = None
+        self.hot: DataFrame | None = None
+
+    def join(self, wide: DataFrame) -> DataFrame:
+        """Weights with the row of ``wide`` for their term, or nulls."""
+        if self.table is None:
+            hot = hot_keys(self.points, ["term_id"])
+            self.hot = None if hot is None else written(hot)
+            spark = self.points.sparkSession
+            wanted = max(spark.sparkContext.defaultParallelism, math.ceil(self.points.count() / BUCKET_ROWS))
+            buckets = min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+            rows = self.points.select("term_id", "doc_id", "weight")
+            self.table = _bucketed(rows, buckets, "term_id", "doc_id", self.hot)
+        if self.hot is None:
+            wide = wide.withColumn("part", F.lit(0))
+        else:
+            wide = with_parts(wide, self.hot, ["term_id"])
+            last = F.coalesce("_parts", F.lit(1)) - 1
+            wide = wide.withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop("_parts")
+        return self.table.join(wide.hint("shuffle_hash"), ["term_id", "part"], "left").drop("part")
+
+
+def _score(weights: DataFrame, centroids: DataFrame, slots: int, by_term: TermLayout | None = None) -> DataFrame:
     """Cosine of every document with every slot: (doc_id, parts, sims array).
 
     Centroids come as (slot, term_id, weight) and are turned to one row per
     term, so a weight row meets all of them in one join row and the sums are
     plain columns. One small query over the result gives its size and the
     length of each centroid. A similarity is null for a zero document or an
-    empty slot.
+    empty slot. ``by_term`` is used when the centroids outgrow a broadcast.
     """
     w, slot = F.col("weight"), range(slots)
     column = [F.sum(F.when(F.col("slot") == s, w)).alias(f"c{s}") for s in slot]
@@ -122,16 +158,22 @@ def _score(weights: DataFrame, centroids: DataFrame, slots: int) -> DataFrame:
     small = below_broadcast_limit(weights.sparkSession, size)
 
     laid_out = "part" in weights.columns
-    joined = lookup_join(weights, wide, "term_id", "left", stored=laid_out, small=small)
     sums = [F.sum(w * F.col(f"c{s}")).alias(f"d{s}") for s in slot]
     squares = F.sum(w * w).alias("sq")
-    if laid_out:
-        # first sum inside the bucket, then over the parts of a document
-        joined = joined.groupBy("doc_id", "part").agg(*sums, squares)
-        sums = [F.sum(f"d{s}").alias(f"d{s}") for s in slot]
-        scored = joined.groupBy("doc_id").agg((F.max("part") + 1).alias("parts"), *sums, F.sum("sq").alias("sq"))
+    if by_term is not None and not small:
+        # summed inside the buckets before the sums of a document move; its parts are those of the layout by document
+        joined = by_term.join(wide).groupBy("doc_id").agg(*sums, squares)
+        parts = weights.groupBy("doc_id", "part").agg(F.lit(1).alias("one")).groupBy("doc_id")
+        scored = joined.join(parts.agg((F.max("part") + 1).alias("parts")), "doc_id")
     else:
-        scored = joined.groupBy("doc_id").agg(F.lit(1).alias("parts"), *sums, squares)
+        joined = lookup_join(weights, wide, "term_id", "left", stored=laid_out, small=small)
+        if laid_out:
+            # first sum inside the bucket, then over the parts of a document
+            joined = joined.groupBy("doc_id", "part").agg(*sums, squares)
+            sums = [F.sum(f"d{s}").alias(f"d{s}") for s in slot]
+            scored = joined.groupBy("doc_id").agg((F.max("part") + 1).alias("parts"), *sums, F.sum("sq").alias("sq"))
+        else:
+            scored = joined.groupBy("doc_id").agg(F.lit(1).alias("parts"), *sums, squares)
     # a document that shares no term with a slot has a null sum, not similarity null
     dots = [F.coalesce(f"d{s}", F.lit(0.0)) for s in slot]
     sims = [F.try_divide(dots[s], F.sqrt("sq") * F.lit(lengths[s])) for s in slot]
@@ -206,9 +248,8 @@ def _as_choices(classes: DataFrame) -> DataFrame:
 
 def update(weights: DataFrame, classes: DataFrame) -> DataFrame:
     """New centroids: the mean raw vector of each cluster that has documents."""
-    return _means(weights.select("term_id", "doc_id", "weight"), _as_choices(classes)).withColumnRenamed(
-        "slot", "cluster"
-    )
+    plain = weights if is_stored(weights) else weights.select("term_id", "doc_id", "weight")
+    return _means(plain, _as_choices(classes)).withColumnRenamed("slot", "cluster")
 
 
 def loss(weights: DataFrame, classes: DataFrame, centroids: DataFrame, k: int = 5) -> DataFrame:
@@ -294,12 +335,13 @@ def kmeans_fit(
     and centroids of each pass are written tables.
     """
     points = lay_out(weights, triples)
-    scores = written(_score(points, centroids.withColumnRenamed("cluster", "slot"), k))
+    by_term = TermLayout(points)
+    scores = written(_score(points, centroids.withColumnRenamed("cluster", "slot"), k, by_term))
     classes, centers, losses = [], [], []
     for _ in range(iterations):
         choices = _choose(scores, k)
         center = written(_means(points, choices))
-        scores = written(_score(points, center, k))
+        scores = written(_score(points, center, k, by_term))
         classes.append(choices.select("doc_id", F.get("slots", F.lit(0)).alias("cluster")))
         centers.append(center.withColumnRenamed("slot", "cluster"))
         losses.append(_losses(scores, choices, k).select("loss"))
@@ -325,9 +367,10 @@ def kmeans_restarts(
     points = lay_out(weights, triples)
     slot = (F.col("restart") * k + F.col("cluster")).alias("slot")
     start = initial_centroids(vocabulary, k, method, seed, restarts).select(slot, "term_id", "weight")
-    choices = _choose(written(_score(points, start, restarts * k)), k, restarts)
+    by_term = TermLayout(points)
+    choices = _choose(written(_score(points, start, restarts * k, by_term)), k, restarts)
     center = written(_means(points, choices))
-    losses = _losses(_score(points, center, restarts * k), choices, k)
+    losses = _losses(_score(points, center, restarts * k, by_term), choices, k)
 
     run, cluster = F.floor(F.col("slot") / k).cast("int"), F.pmod("slot", F.lit(k))
     classes = choices.select("doc_id", F.explode("slots").alias("slot"))

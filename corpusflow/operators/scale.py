@@ -52,7 +52,14 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a written table: computed once, lineage cut, safe from executor loss."""
     path = table_path(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.is_written_table = True  # for is_stored; results of operations on it do not have this
+    return table
+
+
+def is_stored(df: DataFrame) -> bool:
+    """Whether ``df`` is itself a result of ``written``: reading it again costs a scan, not its plan."""
+    return getattr(df, "is_written_table", False)
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -172,7 +179,7 @@ def lookup_join(
     key = [key] if isinstance(key, str) else key
     if fits_broadcast(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), key, how)
-    return salted_join(rows if stored else written(rows), lookup, key, how)
+    return salted_join(rows if stored or is_stored(rows) else written(rows), lookup, key, how)
 
 
 def numbered(df: DataFrame, order: str, name: str) -> DataFrame:

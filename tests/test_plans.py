@@ -75,3 +75,20 @@ def test_assignment_sums_all_clusters_in_one_row(triples, plan):
     text = plan(clustering.assign(points, start, 3))
     assert text.count("Exchange hashpartitioning") == 1
     assert "NestedLoop" not in text and "Cartesian" not in text and "Generate" not in text
+
+
+def test_large_centroids_move_no_weights(spark, triples, plan, settings):
+    settings(broadcastBytes=0, hotRows=25)
+    points = clustering.lay_out(triples.selectExpr("term_id", "doc_id", "double(freq) AS weight"))
+    start = clustering.initial_centroids(points.select("term_id").distinct(), 3)
+    by_term = clustering.TermLayout(points)
+    scores = clustering._score(points, start.withColumnRenamed("cluster", "slot"), 3, by_term)
+    text = plan(scores)
+    scan = text[: text.index("ReadSchema: struct<term_id:bigint,doc_id:bigint,weight:double,part:int>")]
+    assert "Bucketed: true" in text
+    # from the scan of the weights up to the join with the centroids nothing is shuffled
+    join = scan.rindex("ShuffledHashJoin")
+    assert "Exchange" not in scan[join:]
+    table, hot = by_term.table, by_term.hot
+    clustering._score(points, start.withColumnRenamed("cluster", "slot"), 3, by_term)
+    assert by_term.table is table and by_term.hot is hot and hot is not None
