@@ -2,10 +2,10 @@
 
 Two first-order Markov models over characters are trained from labelled
 samples: one on strings known to be random (the values that the patterns
-find), one on ordinary identifiers (long tokens that no pattern touches and
-that hold letters only). A token that could be a secret is scored by the mean
-log-likelihood ratio of its character pairs under both; above the threshold it
-is a secret of kind ``random``.
+find, and encoded digests), one on ordinary identifiers (long tokens of letters
+that no pattern touches, and names made of them). A token that could be a secret
+is scored by the mean log-likelihood ratio of its character pairs under both;
+above the threshold it is a secret of kind ``random``.
 
 All of it is DataFrame functions. Where a pattern matches, the text is split at
 the matches; the lengths of the pieces and matches give the places, counted in
@@ -38,9 +38,9 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 #: At most this many labelled tokens of each class train the models.
 SAMPLE_ROWS = 50_000
 #: Mean log-likelihood ratio per character pair from which a token counts as random.
-THRESHOLD = 0.5
-#: Prior count of each character pair.
-PRIOR = 0.1
+THRESHOLD = 0.0
+#: Weight, in observed pairs, of the frequency of single characters behind each character.
+BACKOFF = 20
 _CODES = 128  # the tokens are ASCII by their pattern
 
 
@@ -115,20 +115,31 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[float]:
     """For every pair of ASCII characters the log ratio of its probability under both models.
 
     ``labelled`` has ``random`` (values of the patterns) and ``ordinary`` (one
-    token of letters) of each document. Of each class the ``sample_rows``
-    distinct tokens with the smallest hash train its model. The model is
-    128 x 128 numbers at any size of the input.
+    token of letters) of each document. The patterns find few alphabets, so
+    strings whose label holds by construction are added for each token of
+    letters: the base64 form of its SHA-256 as random, a name with capitals,
+    underscores and a number made of it as ordinary. Of each class the
+    ``sample_rows`` distinct tokens with the smallest hash train its model. The
+    model is 128 x 128 numbers at any size of the input.
     """
+    word = F.col("ordinary")
+    number = F.pmod(F.xxhash64("ordinary"), F.lit(10_000)).cast("string")
+    made = F.concat(F.initcap(word), F.lit("_"), word, number)
+    coded = F.base64(F.unhex(F.sha2(word, 256)))
 
     def sample(tokens: Column) -> DataFrame:
         tokens = labelled.select(F.explode(tokens).alias("value")).filter(F.col("value").rlike(r"^[\x21-\x7E]{2,}$"))
         return tokens.distinct().orderBy(F.xxhash64("value"), "value").limit(sample_rows)
 
-    counted = _pairs(sample(F.col("random")), "r").join(_pairs(sample(F.array("ordinary")), "o"), "pair", "full")
-    counts = np.full((2, _CODES, _CODES), PRIOR)
-    for pair, random, ordinary in counted.select("pair", "r", "o").collect():  # at most 128 x 128 rows
-        counts[:, pair // _CODES, pair % _CODES] += (random or 0, ordinary or 0)
-    shares = counts / counts.sum(axis=2, keepdims=True)
+    random, ordinary = F.concat("random", F.array(coded)), F.array(word, made)
+    counted = _pairs(sample(random), "r").join(_pairs(sample(ordinary), "o"), "pair", "full")
+    counts = np.zeros((2, _CODES, _CODES))
+    for pair, random_count, ordinary_count in counted.select("pair", "r", "o").collect():  # at most 128 x 128 rows
+        counts[:, pair // _CODES, pair % _CODES] = (random_count or 0, ordinary_count or 0)
+    # pairs that are rarely seen fall back to how frequent their second character is
+    single = counts.sum(axis=1, keepdims=True) + 1
+    single /= single.sum(axis=2, keepdims=True)
+    shares = (counts + BACKOFF * single) / (counts.sum(axis=2, keepdims=True) + BACKOFF)
     return np.log(shares[0] / shares[1]).ravel().tolist()
 
 
@@ -147,8 +158,8 @@ def score(token: Column, model: list[float]) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Written table (doc_id, base, candidates, random, ordinary): one scan, texts stay behind.
 
-    ``candidates`` are the tokens with a digit; ``ordinary`` is the token of
-    letters with the smallest hash.
+    ``candidates`` are the tokens with a letter and a digit; ``ordinary`` is the
+    token of letters with the smallest hash.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("_text"))
     rows = rows.withColumn("base", base_spans(F.col("_text")))
@@ -159,15 +170,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         rows.select(
             "doc_id",
             "base",
-            F.filter("_tokens", _has_digit).alias("candidates"),
+            F.filter("_tokens", _mixed).alias("candidates"),
             F.transform("base", lambda s: s["value"]).alias("random"),
             F.array_min(hashed)["value"].alias("ordinary"),
         )
     )
 
 
-def _has_digit(span: Column) -> Column:
-    return span["value"].rlike("[0-9]")
+def _mixed(span: Column) -> Column:
+    """A word or a number alone is no key."""
+    return span["value"].rlike("[0-9]") & span["value"].rlike("[A-Za-z]")
 
 
 def _with_model(base: Column, candidates: Column, model: list[float], threshold: float) -> Column:
@@ -212,7 +224,7 @@ def redact(
     keyed = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
     model = train(scan(keyed), sample_rows)
     base = base_spans(text_or_empty(text_col))
-    found = _with_model(base, F.filter(candidate_spans(text_or_empty(text_col), base), _has_digit), model, threshold)
+    found = _with_model(base, F.filter(candidate_spans(text_or_empty(text_col), base), _mixed), model, threshold)
     text = F.col(text_col)
     # from left to right: the text before a span, then the mark unless the span before reaches into it
     state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))

@@ -1,6 +1,8 @@
 """Exact dedup, secrets, BPE and packing against brute force."""
 
+import base64
 import hashlib
+import random as random_numbers
 import re
 import zlib
 
@@ -91,10 +93,13 @@ def test_redact(edge):
 def test_model_tells_random_strings_from_identifiers(spark):
     """Held-out accuracy: trained on one half of labelled tokens, tested on the other."""
     random = [hashlib.sha256(str(i).encode()).hexdigest()[: 20 + i % 20] for i in range(400)]
-    plain = ["_".join(w for w in ("customer", "order", "total", "index", "value")[i % 4 :][: 2 + i % 3]) + str(i) for i in range(400)]
-    rows = [([r], re.sub(r"\d", "", p)) for r, p in zip(random[:200], plain[:200])]
+    parts = "cust om er ord tot al ind ex val ue in put out fer con ten name list size text".split()
+    draw = random_numbers.Random(3)
+    plain = ["".join(draw.choice(parts) for _ in range(6)) + f"_{i}" for i in range(400)]
+    rows = [([r], re.sub(r"[\d_]", "", p)) for r, p in zip(random[:200], plain[:200])]
     model = secrets.train(spark.createDataFrame(rows, "random array<string>, ordinary string"))
-    held = [(r, True) for r in random[200:]] + [(p, False) for p in plain[200:] if len(p) >= 16]
+    coded = [base64.b64encode(hashlib.sha256(str(i).encode()).digest()).decode()[:32] for i in range(200)]
+    held = [(r, True) for r in random[200:] + coded] + [(p, False) for p in plain[200:] if len(p) >= 16]
     table = spark.createDataFrame(held, "value string, label boolean")
     said = table.select("label", (secrets.score(F.col("value"), model) >= secrets.THRESHOLD).alias("found")).collect()
     assert sum(r.label == r.found for r in said) / len(said) > 0.95
