@@ -113,7 +113,9 @@ def dictionary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stop_word_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of ``benchmark`` written as a stop-word file with padding and capitals, read and applied."""
     path = scale.table_path(spark)
-    padded = F.concat(F.lit(" \t"), F.upper("term"), F.lit(" \x01 ")).alias("value")
+    letters = "abcdefghijklmnopqrstuvwxyz"  # capitals of others need not lead back to the same word
+    capitals = F.translate("term", letters, letters.upper())
+    padded = F.concat(F.lit(" \t"), capitals, F.lit(" \x01 ")).alias("value")
     sinks.write_lines(_benchmark_terms(spark, sf_dir).select(padded), path)
     left = terms.remove_stop_words(terms.tokenize(corpus(spark, sf_dir)), scale.written(sources.read_stop_words(spark, path)))
     return left.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
