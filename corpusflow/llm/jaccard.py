@@ -16,15 +16,25 @@ no token is known to be unique, and a tenth of the tokens is shuffled.
 Texts with equal sets are one class from the start and count once. Links are
 looked for class by class, without making all pairs of a group:
 
-1. The members of a token's group are compared with one of them, that with the
-   fewest unique tokens (copies of a text differ from it less than from each
-   other). Components of these links are built.
-2. What is left are pairs in a group whose components differ. They are all
-   compared. No pair of candidates is left out, so no link between components
-   can be missed.
-
-A comparison is preceded by the filters on size, position and the prefixes
-under the other orders; only then are the sets of two texts joined.
+1. A group is the texts that share a prefix token. They are compared with one
+   of them, the leader: that with the fewest unique tokens, as copies of a text
+   differ less from it than from each other. A text is near if its Jaccard
+   distance to the leader is at most 2 (1 - t), linked if it is at most 1 - t.
+   Most far texts are known without a comparison by their unique tokens.
+2. Two near texts differ by their differences to the leader, less what these
+   have in common. If that is nothing and the texts are similar, both are linked
+   with the leader. So links between components are left only between texts
+   whose differences share a token, and these are found by a prefix filter on
+   the differences, rare tokens first: the text with the smaller difference
+   probes as many tokens as it could have apart from the other, and one more.
+3. Of the pairs with a far text those are left in which neither is linked with
+   the leader: the distance is a metric, so a linked and a far text are more
+   than 1 - t apart. These pairs are compared if their components differ.
+
+No pair of similar texts in different components can escape these steps.
+A pair of the later steps is compared only if it passes the filters on size,
+unique tokens and the prefixes under the other orders; only then are the sets
+joined.
 
 Cases: null and empty texts have an empty set and are linked with nothing. A
 text of one or two words is one token. Repeated rows get one row each, ids that
@@ -194,15 +204,14 @@ def frequency_levels(docs: DataFrame, shingle: int = SHINGLE, place_bits: int =
 _PREFIXES = (
     "doc_id bigint, n int, n_unique int, "
     + ", ".join(f"prefix_{i} array<bigint>" for i in range(ORDERS))
-    + ", places array<int>, tokens binary"
+    + ", tokens binary"
 )
 
 
 def prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Texts that can be in a pair: their prefixes without unique tokens, and their sets.
 
-    ``places`` are the positions of ``prefix_0`` in the first order. A text
-    whose prefix has only unique tokens under some order has no row.
+    A text whose prefix has only unique tokens under some order has no row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     place_bits = (2 * len(levels)).bit_length() - 1
@@ -217,13 +226,12 @@ def prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, shingl
             level = (table[place >> 1] >> ((place & 1) << 2).astype(np.uint8)) & 15
             length = size - (percent * size + 99) // 100 + 1
             unique = np.bincount(doc[level == 0], minlength=len(texts))
-            chosen, at = [], []
+            chosen = []
             for salt in range(ORDERS):
                 order = np.lexsort((mixed(tokens, salt), level, doc))
                 rank = np.arange(len(order)) - first[doc[order]]
                 inside = (rank < length[doc[order]]) & (level[order] > 0)
                 chosen.append(order[inside])
-                at.append(rank[inside])
             held = [np.bincount(doc[c], minlength=len(texts)) for c in chosen]
             use = np.flatnonzero(np.minimum.reduce(held) > 0)
             if not len(use):
@@ -233,11 +241,9 @@ def prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, shingl
             for c, h in zip(chosen, held, strict=True):
                 flat = gather(tokens[c].view(np.int64), (np.cumsum(h) - h)[use], h[use])
                 columns.append(_lists(flat, h[use]))
-            flat = gather(at[0], (np.cumsum(held[0]) - held[0])[use], held[0][use]).astype(np.int32)
-            columns.append(_lists(flat, held[0][use]))
             sets = [tokens[first[i] : first[i] + size[i]].astype("<u8").tobytes() for i in use]
             columns.append(pa.array(sets, pa.binary()))
-            names = ["doc_id", "n", "n_unique", *(f"prefix_{i}" for i in range(ORDERS)), "places", "tokens"]
+            names = ["doc_id", "n", "n_unique", *(f"prefix_{i}" for i in range(ORDERS)), "tokens"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(run, _PREFIXES)
@@ -248,32 +254,25 @@ def _lists(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def _can_link(percent: int) -> Column:
-    """Filters on the sizes and places of a token that ``a`` and ``b`` share."""
-    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    # (100 + p) * common >= p * (n_a + n_b), and what lies behind the token bounds what is common
-    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    before = F.least("place_a", "place_b")
-    return sizes & ((100 + percent) * (rest + before) >= percent * (F.col("n_a") + F.col("n_b")))
+def _with_tokens(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    tokens = sets.select("doc_id", "tokens")
+    for side in ("a", "b"):
+        pairs = pairs.join(tokens.select(F.col("doc_id").alias(side), F.col("tokens").alias(f"t_{side}")), side)
+    return pairs.select("a", "b", "t_a", "t_b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that are similar.
 
     First the prefixes under the other orders must meet; the sets of the pairs
-    that are left are joined and compared.
+    that are left are joined and compared. ``sets`` has one row per text.
     """
     others = [f"prefix_{i}" for i in range(1, ORDERS)]
-    narrow = sets.select("doc_id", *others).dropDuplicates(["doc_id"])
     for side in ("a", "b"):
-        named = narrow.select(F.col("doc_id").alias(side), *[F.col(o).alias(f"{o}_{side}") for o in others])
+        named = sets.select(F.col("doc_id").alias(side), *[F.col(o).alias(f"{o}_{side}") for o in others])
         pairs = pairs.join(named, side)
     for o in others:
         pairs = pairs.filter(F.arrays_overlap(f"{o}_a", f"{o}_b"))
-    pairs = written(pairs.select("a", "b"))
-    tokens = sets.select("doc_id", "tokens").dropDuplicates(["doc_id"])
-    for side in ("a", "b"):
-        pairs = pairs.join(tokens.select(F.col("doc_id").alias(side), F.col("tokens").alias(f"t_{side}")), side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,48 +281,130 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
                 x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(good, pa.bool_())
-            yield batch.select(["a", "b"]).filter(keep)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.select("a", "b", "t_a", "t_b").mapInArrow(run, "a bigint, b bigint")
+    return _with_tokens(written(pairs.select("a", "b")), sets).mapInArrow(run, "a bigint, b bigint")
 
 
-def linked_classes(sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Components of the classes, and the links that were found: (node, component), (a, b)."""
-    rows = sets.select("doc_id", "n", "n_unique", F.explode(F.arrays_zip("prefix_0", "places")).alias("t"))
-    rows = rows.select("doc_id", "n", "n_unique", F.col("t.prefix_0").alias("token"), F.col("t.places").alias("place"))
-    # counted first: tokens that one text has in its prefix make no group
-    leader = F.min(F.struct("n_unique", "doc_id", "n", "place")).alias("leader")
-    groups = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"), leader).filter("size > 1")
-    groups = written(groups.select("token", "size", "leader"))
-    rows = written(rows.join(groups.select("token", "leader"), "token"))
+_MEASURED = "a bigint, b bigint, linked boolean, near boolean, n int, d int, own int, difference array<bigint>"
 
-    a, b = F.col("leader.doc_id"), F.col("doc_id")
-    first = rows.filter(a != b).select(
-        a.alias("a"), b.alias("b"), F.col("leader.n").alias("n_a"), F.col("n").alias("n_b"),
-        F.col("leader.place").alias("place_a"), F.col("place").alias("place_b"),
-    )
-    first = first.filter(_can_link(percent)).select("a", "b").distinct()
-    links = written(verified(first, sets, percent))
-    found = written(components(links))
 
-    # pairs of one group whose components differ
-    member = rows.select("token", "doc_id", "n", "place").join(
-        found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
+def measured(pairs: DataFrame, sets: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """Texts ``b`` compared with leaders ``a``: whether they are linked or near, and of near ones the difference.
+
+    ``d`` is the size of the difference. ``own`` of its tokens are unique to
+    ``b``, so no other difference has them; ``difference`` are the rest, first
+    those of ``b``, rare ones first, then those of the leader, where its unique
+    tokens, which all others lack, come last.
+    """
+    shared = pairs.sparkSession.sparkContext.broadcast(levels)
+    place_bits = (2 * len(levels)).bit_length() - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+
+        def level_of(tokens: np.ndarray) -> np.ndarray:
+            place = _place(tokens, place_bits)
+            return (table[place >> 1] >> ((place & 1) << 2).astype(np.uint8)) & 15
+
+        for batch in batches:
+            linked, near, size, total, own, rest = [], [], [], [], [], []
+            for x, y in zip(batch.column("t_a"), batch.column("t_b"), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                mine, lacking = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+                both = len(y) - len(mine)
+                union = len(x) + len(y) - both
+                linked.append(100 * both >= percent * union)
+                near.append(100 * both >= (2 * percent - 100) * union)
+                size.append(len(y))
+                total.append(len(mine) + len(lacking))
+                level, missing = level_of(mine), level_of(lacking)
+                own.append(int((level == 0).sum()))
+                mine, level = mine[level > 0], level[level > 0]
+                mine = mine[np.lexsort((mine, level))]
+                lacking = lacking[np.lexsort((lacking, missing == 0))]
+                rest.append(np.concatenate([mine, lacking]).view(np.int64) if near[-1] else None)
+            columns = [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(near, pa.bool_())]
+            columns += [pa.array(c, pa.int32()) for c in (size, total, own)]
+            columns.append(pa.array(rest, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "linked", "near", "n", "d", "own", "difference"])
+
+    return _with_tokens(pairs, sets).mapInArrow(run, _MEASURED)
+
+
+def _can_reach(percent: int) -> Column:
+    """Whether texts x and y can be this similar: unique tokens are in no other text."""
+    common = F.least(F.col("n_x") - F.col("unique_x"), F.col("n_y") - F.col("unique_y"))
+    return (100 + percent) * common >= percent * (F.col("n_x") + F.col("n_y"))
+
+
+def _differing(near: DataFrame, percent: int) -> DataFrame:
+    """Step 2: pairs (a, b) of near texts in different components whose differences share a token."""
+    apart = near.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    near = written(near.join(written(apart.filter("low < high").select("a")), "a"))
+    # similar texts differ by at most this part of the sum of their sizes
+    most = lambda n: F.floor(F.lit(100 - percent) * n / F.lit(100 + percent))
+    half = F.floor(most(F.col("n") + F.col("n") * 100 / percent) / 2).cast("int") + 1
+    probes = F.slice("difference", F.lit(1), F.greatest(half - F.col("own"), F.lit(0)))
+    sides = [
+        near.select("a", *[F.col(c).alias(f"{c}_{s}") for c in ("b", "n", "d", "component")], F.explode(t).alias("token"))
+        for s, t in (("x", probes), ("y", F.col("difference")))
+    ]
+    left = sides[0].join(sides[1], ["a", "token"]).filter(
+        (F.col("component_x") != F.col("component_y"))
+        & (F.struct("d_x", "b_x") < F.struct("d_y", "b_y"))
+        & (F.col("d_y") - F.col("d_x") <= most(F.col("n_x") + F.col("n_y")))
+        & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
     )
-    member = written(member.withColumn("component", F.coalesce("component", "doc_id")))
-    mixed_groups = member.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = written(member.join(written(mixed_groups.filter("low < high").select("token")), "token"))
+    return left.select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b"))
+
+
+def _far_pairs(rows: DataFrame, found: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Step 3: pairs (a, b) of a group, not both near and none linked with the leader, in different components."""
+    known = found.select("a", F.col("b").alias("doc_id"), "linked", "near")
+    member = rows.filter("a <> doc_id").join(known, ["a", "doc_id"], "left").filter("linked IS NULL OR NOT linked")
+    member = member.join(label.withColumnRenamed("b", "doc_id"), "doc_id", "left").select(
+        "token", "doc_id", "n", F.col("n_unique").alias("unique"), F.coalesce("near", F.lit(False)).alias("near"),
+        F.coalesce("component", "doc_id").alias("component"),
+    )
+    member = written(member)
+    several = member.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    member = written(member.join(written(several.filter("low < high").select("token")), "token"))
     sides = [
-        open_.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "n", "place", "component")])
-        for s in ("a", "b")
+        member.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "n", "unique", "near", "component")])
+        for s in ("x", "y")
     ]
-    left = sides[0].join(sides[1], "token").filter("doc_id_a < doc_id_b AND component_a <> component_b")
-    left = left.filter(_can_link(percent)).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = written(verified(left.join(done, ["a", "b"], "left_anti"), sets, percent))
-    links = links.unionByName(more)
-    return (found if more.isEmpty() else written(components(links))), links
+    left = sides[0].join(sides[1], "token").filter(
+        (F.col("doc_id_x") < F.col("doc_id_y"))
+        & (F.col("component_x") != F.col("component_y"))
+        & ~(F.col("near_x") & F.col("near_y"))
+        & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+        & _can_reach(percent)
+    )
+    return left.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b"))
+
+
+def linked_classes(sets: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """(node, component) of the classes that have links. ``sets`` has one row per text."""
+    rows = sets.select("doc_id", "n", "n_unique", F.explode("prefix_0").alias("token"))
+    # counted first: tokens that one text has in its prefix make no group
+    leader = F.min(F.struct("n_unique", "doc_id", "n")).alias("leader")
+    groups = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"), leader).filter("size > 1")
+    groups = groups.select("token", F.col("leader.doc_id").alias("a"), F.col("leader.n").alias("n_x"), F.col("leader.n_unique").alias("unique_x"))
+    rows = written(rows.join(written(groups), "token"))
+    near = 2 * percent - 100
+    pairs = rows.withColumnsRenamed({"n": "n_y", "n_unique": "unique_y"}).filter("a <> doc_id")
+    pairs = pairs.filter((100 * F.least("n_x", "n_y") >= near * F.greatest("n_x", "n_y")) & _can_reach(near))
+    pairs = written(pairs.select("a", F.col("doc_id").alias("b")).distinct())
+    found = written(measured(pairs, sets, levels, percent))
+    links = found.filter("linked").select("a", "b")
+    first = written(components(links))
+
+    label = first.select(F.col("node").alias("b"), "component")
+    members = found.filter("near").join(label, "b", "left").withColumn("component", F.coalesce("component", "b"))
+    left = _differing(written(members), percent).unionByName(_far_pairs(rows, found, label, percent)).distinct()
+    more = written(verified(written(left), sets, percent))
+    return first if more.isEmpty() else written(components(links.unionByName(more)))
 
 
 def similar_groups(
@@ -334,10 +415,11 @@ def similar_groups(
     sizes = written(signatures(docs, shingle))
     key = ["n_shingles", "sig_a", "sig_b"]
     classes = written(sizes.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("first")))
-    sets = written(prefixes(docs, frequency_levels(docs, shingle, place_bits), percent, shingle))
-    # one text of each class
-    sets = sets.join(classes.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    found, _ = linked_classes(sets, percent)
+    levels = frequency_levels(docs, shingle, place_bits)
+    # one text of each class, and one row of it
+    chosen = classes.select(F.col("first").alias("doc_id")).distinct()
+    sets = prefixes(docs, levels, percent, shingle).join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    found = linked_classes(written(sets), levels, percent)
     labels = classes.join(found.withColumnRenamed("node", "first"), "first", "left")
     labels = written(labels.select(*key, F.coalesce("component", "first").alias("component_id")))
     # one row stands against all copies of a text: AQE splits a class with very many
