@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, norm
-from .scale import below_broadcast_limit, hot_keys, is_stored, lookup_join, table_bytes, table_path, with_parts, written
+from .scale import below_broadcast_limit, drop_written, hot_keys, is_stored, lookup_join, table_bytes, table_path, with_parts, written
 
 # Similarities are compared after rounding, so that the order in which a sum
 # was added up cannot decide between equal clusters.
@@ -331,20 +331,22 @@ def kmeans_fit(
 
     The weights are laid out once (``triples`` as in ``lay_out``); a pass then moves only partial sums and one
     row per document. The scores against the new centroids give both this
-    pass's loss and the next pass's classes, so each pass scores once. Scores
-    and centroids of each pass are written tables.
+    pass's loss and the next pass's classes, so each pass scores once. The
+    results of each pass are written tables; its scores are deleted when the
+    next pass has used them.
     """
     points = lay_out(weights, triples)
     by_term = TermLayout(points)
     scores = written(_score(points, centroids.withColumnRenamed("cluster", "slot"), k, by_term))
     classes, centers, losses = [], [], []
     for _ in range(iterations):
-        choices = _choose(scores, k)
+        choices = written(_choose(scores, k))
+        drop_written(scores)
         center = written(_means(points, choices))
         scores = written(_score(points, center, k, by_term))
         classes.append(choices.select("doc_id", F.get("slots", F.lit(0)).alias("cluster")))
         centers.append(center.withColumnRenamed("slot", "cluster"))
-        losses.append(_losses(scores, choices, k).select("loss"))
+        losses.append(written(_losses(scores, choices, k).select("loss")))
     all_centers = _tagged(centers)
     top = cluster_top_terms(all_centers, n_top, by=["iteration"])
     return KMeansRun(_tagged(classes), all_centers, _tagged(losses), top)

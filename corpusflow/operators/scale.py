@@ -44,8 +44,7 @@ def table_path(spark: SparkSession) -> str:
 
 def remove_written(spark: SparkSession) -> None:
     """Delete every table this application has written between stages; call it last."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_work_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _work_folder(spark))
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -53,13 +52,23 @@ def written(df: DataFrame) -> DataFrame:
     path = table_path(df.sparkSession)
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
-    table.is_written_table = True  # for is_stored; results of operations on it do not have this
+    table.written_path = path  # results of operations on the table do not have this
     return table
 
 
 def is_stored(df: DataFrame) -> bool:
     """Whether ``df`` is itself a result of ``written``: reading it again costs a scan, not its plan."""
-    return getattr(df, "is_written_table", False)
+    return hasattr(df, "written_path")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_written(table: DataFrame) -> None:
+    """Delete a result of ``written`` that no later step reads, not even through a plan made of it."""
+    _delete(table.sparkSession, table.written_path)
 
 
 def spread(scan: DataFrame) -> DataFrame:
