@@ -16,7 +16,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, norm
-from .scale import below_broadcast_limit, drop_written, hot_keys, is_stored, lookup_join, table_bytes, table_path, with_parts, written
+from .scale import (
+    below_broadcast_limit,
+    drop_written,
+    hot_keys,
+    is_stored,
+    lookup_join,
+    table_bytes,
+    table_path,
+    with_parts,
+    written,
+)
 
 # Similarities are compared after rounding, so that the order in which a sum
 # was added up cannot decide between equal clusters.
