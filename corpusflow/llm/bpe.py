@@ -140,7 +140,8 @@ class SliceEncoder:
             self._forget()
         words, known = self.words, len(self.words)
         per_text = [
-            np.fromiter((words.setdefault(w, len(words)) for w in self.pattern.findall(text)), np.int64) for text in texts
+            np.fromiter((words.setdefault(w, len(words)) for w in self.pattern.findall(text)), np.int64)
+            for text in texts
         ]
         if len(words) > known:
             ids = self.replay.encode([w.encode("utf-8") for w in list(words)[known:]])
@@ -160,7 +161,9 @@ def split_pattern(pattern: str):
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", slice_chars: int = SLICE_CHARS) -> DataFrame:
+def encode(
+    docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", slice_chars: int = SLICE_CHARS
+) -> DataFrame:
     """(doc_id, ids array<int>) of every row.
 
     ``vocabulary`` is the path of a rank file that every executor can read.
@@ -191,7 +194,9 @@ class Decoder:
         return gather(self.flat, self.starts[ids], self.lengths[ids]).tobytes()
 
 
-def digests(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", slice_chars: int = SLICE_CHARS) -> DataFrame:
+def digests(
+    docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", slice_chars: int = SLICE_CHARS
+) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode, decode the ids again, and digest both."""
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 

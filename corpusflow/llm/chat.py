@@ -55,7 +55,11 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     # the order of the fields is the order of the turns
     head = F.concat(F.lit(OPEN), escape(role), F.lit(CLOSE))
     turn = F.struct(
-        F.col("turn").alias("turn"), role.alias("role"), text.alias("order"), head.alias("head"), escape(text).alias("body")
+        F.col("turn").alias("turn"),
+        role.alias("role"),
+        text.alias("order"),
+        head.alias("head"),
+        escape(text).alias("body"),
     )
     nulls_first = lambda a, b: F.when(a["turn"].eqNullSafe(b["turn"]), _compare(a, b)).otherwise(
         F.when(a["turn"].isNull() | (a["turn"] < b["turn"]), -1).otherwise(1)
@@ -67,7 +71,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     def step(acc: Column, t: Column) -> Column:
         begin = acc["at"] + F.length(t["head"])
         stop = begin + F.length(t["body"])
-        one = F.array(F.struct(t["turn"].cast("bigint").alias("turn"), begin.alias("loss_start"), stop.alias("loss_end")))
+        number = t["turn"].cast("bigint").alias("turn")
+        one = F.array(F.struct(number, begin.alias("loss_start"), stop.alias("loss_end")))
         more = F.when(t["role"] == TARGET_ROLE, F.concat(acc["examples"], one)).otherwise(acc["examples"])
         return F.struct((stop + len(END)).alias("at"), more.alias("examples"))
 
@@ -95,7 +100,9 @@ def expand(formatted: DataFrame) -> DataFrame:
     rows = formatted.select("conv_id", "formatted", F.explode("examples").alias("e"))
     start, end = F.col("e.loss_start"), F.col("e.loss_end")
     target = F.substring(F.col("formatted"), start + 1, end - start)
-    return rows.select("conv_id", "e.turn", (end + len(END)).alias("text_end"), "e.loss_start", "e.loss_end", target.alias("target"))
+    return rows.select(
+        "conv_id", "e.turn", (end + len(END)).alias("text_end"), "e.loss_start", "e.loss_end", target.alias("target")
+    )
 
 
 def example_texts(formatted: DataFrame) -> DataFrame:

@@ -34,7 +34,8 @@ def _bit(hash_: Column) -> tuple[Column, Column]:
 
 
 #: Whether the bit ``_bit`` of the bitmap row ``_bits`` is set.
-_MARKED = "coalesce(shiftright(cast(conv(hex(substring(_bits, _bit div 8 + 1, 1)), 16, 10) AS int), _bit % 8) & 1, 0) = 1"
+_BYTE = "cast(conv(hex(substring(_bits, _bit div 8 + 1, 1)), 16, 10) AS int)"
+_MARKED = f"coalesce(shiftright({_BYTE}, _bit % 8) & 1, 0) = 1"
 
 
 def bitmap_of(keys: DataFrame, hash_: Column) -> DataFrame:
