@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.scale import written
-from .common import text_or_empty
+from .common import fresh, text_or_empty
 
 #: Fixed values of the contract: kind, pattern, and the condition on a match.
 #: The shortest length is that of group 2 for ``assign``, of the match else.
@@ -223,8 +223,11 @@ def redact(
     """
     keyed = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
     model = train(scan(keyed), sample_rows)
-    base = base_spans(text_or_empty(text_col))
-    found = _with_model(base, F.filter(candidate_spans(text_or_empty(text_col), base), _mixed), model, threshold)
+    # columns of their own: an expression used inside another's lambda would be computed for every token
+    base, tokens, found = (fresh(docs, f"_{name}") for name in ("base", "tokens", "found"))
+    rows = docs.withColumn(base, base_spans(text_or_empty(text_col)))
+    rows = rows.withColumn(tokens, F.filter(candidate_spans(text_or_empty(text_col), F.col(base)), _mixed))
+    rows = rows.withColumn(found, _with_model(F.col(base), F.col(tokens), model, threshold))
     text = F.col(text_col)
     # from left to right: the text before a span, then the mark unless the span before reaches into it
     state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
@@ -237,6 +240,5 @@ def redact(
     def finish(acc: Column) -> Column:
         return F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
 
-    look = "|".join(f"({p})" for p in (*LOOK.values(), CANDIDATE))
-    clean = F.when(F.rlike(text, F.lit(look)), F.aggregate(found, state, step, finish)).otherwise(text)
-    return docs.withColumn(text_col, clean)
+    clean = F.when(F.size(found) > 0, F.aggregate(F.col(found), state, step, finish)).otherwise(text)
+    return rows.withColumn(text_col, clean).drop(base, tokens, found)
