@@ -48,6 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -154,7 +155,7 @@ def _place(tokens: np.ndarray, bits: int) -> np.ndarray:
     return (mixed(tokens, 7) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def frequency_levels(docs: DataFrame, shingle: int = SHINGLE, place_bits: int = PLACE_BITS) -> np.ndarray:
+def frequency_levels(docs: DataFrame, shingle: int = SHINGLE, place_bits: int = PLACE_BITS) -> Broadcast:
     """Table of 4-bit levels, two per byte: 0 for places hit at most once, else the bits of (hits - 1).
 
     Tasks send the places of their tokens, two bytes each, by group of places;
@@ -197,8 +198,8 @@ def frequency_levels(docs: DataFrame, shingle: int = SHINGLE, place_bits: int =
     rows = rows.repartition("place_group").sortWithinPartitions("place_group")
     table = np.zeros((groups, width // 2), np.uint8)
     for group, packed in rows.mapInArrow(levels, "place_group int, packed binary").collect():  # 64 MB at most
-        table[group] = np.frombuffer(bytes(packed), np.uint8)
-    return table.ravel()
+        table[group] = np.frombuffer(packed, np.uint8)
+    return docs.sparkSession.sparkContext.broadcast(table.ravel())
 
 
 _PREFIXES = (
@@ -208,22 +209,24 @@ _PREFIXES = (
 )
 
 
-def prefixes(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def _level(table: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    place = _place(tokens, (2 * len(table)).bit_length() - 1)
+    return (table[place >> 1] >> ((place & 1) << 2).astype(np.uint8)) & 15
+
+
+def prefixes(docs: DataFrame, levels: Broadcast, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Texts that can be in a pair: their prefixes without unique tokens, and their sets.
 
     A text whose prefix has only unique tokens under some order has no row.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
-    place_bits = (2 * len(levels)).bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table = levels.value
         for ids, texts in text_blocks(batches, BLOCK_CHARS, "doc_id", "text"):
             doc, tokens = shingle_sets(texts, shingle)
             size = np.bincount(doc, minlength=len(texts)).astype(np.int64)
             first = np.cumsum(size) - size
-            place = _place(tokens, place_bits)
-            level = (table[place >> 1] >> ((place & 1) << 2).astype(np.uint8)) & 15
+            level = _level(table, tokens)
             length = size - (percent * size + 99) // 100 + 1
             unique = np.bincount(doc[level == 0], minlength=len(texts))
             chosen = []
@@ -289,7 +292,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 _MEASURED = "a bigint, b bigint, linked boolean, near boolean, n int, d int, own int, difference array<bigint>"
 
 
-def measured(pairs: DataFrame, sets: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+def measured(pairs: DataFrame, sets: DataFrame, levels: Broadcast, percent: int = PERCENT) -> DataFrame:
     """Texts ``b`` compared with leaders ``a``: whether they are linked or near, and of near ones the difference.
 
     ``d`` is the size of the difference. ``own`` of its tokens are unique to
@@ -297,15 +300,9 @@ def measured(pairs: DataFrame, sets: DataFrame, levels: np.ndarray, percent: int
     those of ``b``, rare ones first, then those of the leader, where its unique
     tokens, which all others lack, come last.
     """
-    shared = pairs.sparkSession.sparkContext.broadcast(levels)
-    place_bits = (2 * len(levels)).bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-
-        def level_of(tokens: np.ndarray) -> np.ndarray:
-            place = _place(tokens, place_bits)
-            return (table[place >> 1] >> ((place & 1) << 2).astype(np.uint8)) & 15
+        table = levels.value
 
         for batch in batches:
             linked, near, size, total, own, rest = [], [], [], [], [], []
@@ -318,7 +315,7 @@ def measured(pairs: DataFrame, sets: DataFrame, levels: np.ndarray, percent: int
                 near.append(100 * both >= (2 * percent - 100) * union)
                 size.append(len(y))
                 total.append(len(mine) + len(lacking))
-                level, missing = level_of(mine), level_of(lacking)
+                level, missing = _level(table, mine), _level(table, lacking)
                 own.append(int((level == 0).sum()))
                 mine, level = mine[level > 0], level[level > 0]
                 mine = mine[np.lexsort((mine, level))]
@@ -384,7 +381,7 @@ def _far_pairs(rows: DataFrame, found: DataFrame, label: DataFrame, percent: int
     return left.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b"))
 
 
-def linked_classes(sets: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+def linked_classes(sets: DataFrame, levels: Broadcast, percent: int = PERCENT) -> DataFrame:
     """(node, component) of the classes that have links. ``sets`` has one row per text."""
     rows = sets.select("doc_id", "n", "n_unique", F.explode("prefix_0").alias("token"))
     # counted first: tokens that one text has in its prefix make no group
@@ -420,6 +417,7 @@ def similar_groups(
     chosen = classes.select(F.col("first").alias("doc_id")).distinct()
     sets = prefixes(docs, levels, percent, shingle).join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     found = linked_classes(written(sets), levels, percent)
+    levels.unpersist()
     labels = classes.join(found.withColumnRenamed("node", "first"), "first", "left")
     labels = written(labels.select(*key, F.coalesce("component", "first").alias("component_id")))
     # one row stands against all copies of a text: AQE splits a class with very many
