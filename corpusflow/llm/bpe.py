@@ -18,7 +18,9 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from .common import gather, text_blocks
 #: Characters of text in a slice.
 SLICE_CHARS = 6_000_000
 #: Distinct words that a task remembers before it starts anew.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 700_000
 _NONE = -1
 
 
@@ -144,9 +146,9 @@ class SliceEncoder:
             for text in texts
         ]
         if len(words) > known:
-            ids = self.replay.encode([w.encode("utf-8") for w in list(words)[known:]])
+            ids = self.replay.encode([w.encode("utf-8") for w in islice(words, known, None)])
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for word in ids for i in word), np.uint32, int(lengths.sum()))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.flat = np.concatenate([self.flat, flat])
@@ -161,6 +163,12 @@ def split_pattern(pattern: str):
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
 
 
+@lru_cache(maxsize=2)
+def _encoder(vocabulary: str, pattern: str) -> SliceEncoder:
+    """One for all tasks of a worker: words of earlier tasks are remembered."""
+    return SliceEncoder(MergeReplay(read_ranks(vocabulary)), split_pattern(pattern))
+
+
 def encode(
     docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", slice_chars: int = SLICE_CHARS
 ) -> DataFrame:
@@ -170,7 +178,7 @@ def encode(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = SliceEncoder(MergeReplay(read_ranks(vocabulary)), split_pattern(pattern))
+        encoder = _encoder(vocabulary, pattern)
         for doc_ids, texts in text_blocks(batches, slice_chars, "doc_id", "text"):
             ids = pa.array(list(encoder.encode(texts)), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), ids], ["doc_id", "ids"])
@@ -201,8 +209,8 @@ def digests(
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(vocabulary)
-        encoder, decoder = SliceEncoder(MergeReplay(ranks), split_pattern(pattern)), Decoder(ranks)
+        encoder = _encoder(vocabulary, pattern)
+        decoder = Decoder(encoder.replay.ranks)
         for doc_ids, texts in text_blocks(batches, slice_chars, "doc_id", "text"):
             counts, coded, decoded = [], [], []
             for ids in encoder.encode(texts):

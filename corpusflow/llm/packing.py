@@ -25,6 +25,8 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ CAPACITY = 2048
 END_ID = 0
 #: Characters of text that a task encodes at once, and distinct words it remembers.
 BLOCK_CHARS = 6_000_000
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 700_000
 #: Marks that every word pattern sets apart from a letter before them.
 MARKS = ".,;:!?"
 #: Pieces that one part of a length numbers, about.
@@ -62,7 +64,6 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.words: dict[str, int] = {"": 0}
-        self.ids: dict[str, list[int]] = {}
         self.flat = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
         self.lengths = np.zeros(1, np.int64)
@@ -76,21 +77,37 @@ class WordEncoder:
             for text in texts
         ]
         if len(words) > known:
-            # a word and the mark behind it are encoded apart: many words differ in the mark only
-            new = list(words)[known:]
-            split = {w: (w[:-1], w[-1]) for w in new if w[-1] in MARKS and w[-2:-1].isalpha()}
-            plain = list(dict.fromkeys(part for w in new for part in split.get(w, (w,)) if part not in self.ids))
-            for word, encoded in zip(plain, self.library.encode_batch(plain, add_special_tokens=False), strict=True):
-                self.ids[word] = encoded.ids
-            ids = [self.ids[w] if w not in split else self.ids[split[w][0]] + self.ids[split[w][1]] for w in new]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for word in ids for i in word), np.uint32, int(lengths.sum()))
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.flat = np.concatenate([self.flat, flat])
+            self._add(list(islice(words, known, None)), known)
         for places in chosen:
             yield gather(self.flat, self.starts[places], self.lengths[places])
 
+    def _add(self, new: list[str], known: int) -> None:
+        """Ids of new words; a word and the mark behind it are encoded apart: many words differ in the mark only."""
+        split = {w: (w[:-1], w[-1]) for w in new if w[-1] in MARKS and w[-2:-1].isalpha()}
+
+        def remembered(word: str) -> list[int] | None:
+            place = self.words.get(word, known)
+            if place >= known:
+                return None
+            return self.flat[self.starts[place] : self.starts[place] + self.lengths[place]].tolist()
+
+        encoded = {part: remembered(part) for w in new for part in split.get(w, (w,))}
+        missing = [part for part, ids in encoded.items() if ids is None]
+        for part, found in zip(missing, self.library.encode_batch(missing, add_special_tokens=False), strict=True):
+            encoded[part] = found.ids
+        ids = [encoded[split[w][0]] + encoded[split[w][1]] if w in split else encoded[w] for w in new]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, flat])
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One for all tasks of a worker: words of earlier tasks are remembered."""
+    return WordEncoder(path)
+
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32), with ``ids`` if asked for.
@@ -101,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text_col:
     schema += ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for doc_ids, texts in text_blocks(batches, BLOCK_CHARS, "doc_id", "text"):
             rows: list[tuple] = []
             for doc_id, ids in zip(doc_ids, encoder.encode(texts), strict=True):
