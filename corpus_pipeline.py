@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from corpusflow.llm import exact_dedup, jaccard, packing, repetition, secrets
 from corpusflow.operators.scale import written
 
+#: Near copies: Jaccard similarity in percent, words in a shingle.
+NEAR_PERCENT, NEAR_SHINGLE = 80, 5
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the limits on repetition."""
@@ -28,8 +31,12 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar texts the document with the smallest id."""
-    return jaccard.one_of_each(docs)
+    """Of each group of similar texts the document with the smallest id.
+
+    Similar are texts whose sets of five-word shingles have a Jaccard similarity
+    of at least 0.8; the contract of ``op3`` (three words, 0.9) is that query's own.
+    """
+    return jaccard.one_of_each(docs, percent=NEAR_PERCENT, shingle=NEAR_SHINGLE)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
