@@ -53,7 +53,7 @@ LENGTH = 200
 ANCHOR = 32
 #: A place ends a segment with probability 1 / 2^SEGMENT_BITS; bounds of its length in strings.
 SEGMENT_BITS, LEAST_SEGMENT, MOST_SEGMENT = 8, 64, 4096
-#: Bytes of text in a block.
+#: Bytes of text in a block; longer texts are cut into several.
 BLOCK_BYTES = 1 << 21
 _AT_BITS = 24  # place in a block, below the anchor hash
 
@@ -63,19 +63,26 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 Batches = Iterator[pa.RecordBatch]
 
 
-def _blocks(batches: Batches, size: int) -> Iterator[tuple[list, list, list[bytes]]]:
-    """(doc_id, version, text bytes) in blocks of bounded size."""
-    held: tuple[list, list, list[bytes]] = ([], [], [])
+def _blocks(batches: Batches, size: int, length: int) -> Iterator[tuple[list, list, list[int], list[bytes]]]:
+    """(doc_id, version, place in the text, bytes) in blocks of bounded size.
+
+    A text longer than a block is cut into parts that overlap by ``length`` - 1
+    bytes, so every string of ``length`` bytes is in exactly one of them.
+    """
+    size = min(size, (1 << _AT_BITS) - length)  # places in a block have _AT_BITS bits
+    held: tuple[list, list, list[int], list[bytes]] = ([], [], [], [])
     total = 0
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "text")), strict=True):
             text = row[2].encode("utf-8")
-            if total and total + len(text) > size:
-                yield held
-                held, total = ([], [], []), 0
-            for column, value in zip(held, (*row[:2], text), strict=True):
-                column.append(value)
-            total += len(text)
+            for at in range(0, max(1, len(text) - length + 1), size):
+                part = text[at : at + size + length - 1]
+                if total and total + len(part) > size:
+                    yield held
+                    held, total = ([], [], [], []), 0
+                for column, value in zip(held, (*row[:2], at, part), strict=True):
+                    column.append(value)
+                total += len(part)
     if held[0]:
         yield held
 
@@ -135,12 +142,13 @@ def segments(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> D
     """
 
     def run(batches: Batches) -> Batches:
-        for ids, versions, coded in _blocks(batches, block_bytes):
+        for ids, versions, places, coded in _blocks(batches, block_bytes, length):
             data = np.frombuffer(b"".join(coded), np.uint8)
             if len(data) < length:
                 continue
             sizes = np.fromiter(map(len, coded), np.int64, len(coded))
             begin = np.cumsum(sizes) - sizes
+            shift = np.array(places) - begin  # from the block to the text
             hashes = Hashes(data)
             grams = hashes.all(ANCHOR)
             marks = np.flatnonzero(mixed(grams, 3) >> np.uint64(64 - SEGMENT_BITS) == 0)
@@ -169,7 +177,7 @@ def segments(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> D
             good = (of >= 0) & (edges < ends)
             edges, ends, of = edges[good], ends[good], of[good]
             anchor = (least[edges] >> np.uint64(_AT_BITS)).view(np.int64)
-            place = (least[edges] & np.uint64((1 << _AT_BITS) - 1)).astype(np.int64) - begin[doc[of]]
+            place = (least[edges] & np.uint64((1 << _AT_BITS) - 1)).astype(np.int64) + shift[doc[of]]
             parts = pa.StructArray.from_arrays(
                 [
                     pa.array(anchor),
@@ -184,7 +192,7 @@ def segments(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> D
                 [
                     pa.array([ids[d] for d in docs], pa.int64()),
                     pa.array([versions[d] for d in docs], pa.int64()),
-                    pa.array(start - begin[doc]),
+                    pa.array(start + shift[doc]),
                     pa.array((stop - start).astype(np.int32)),
                     *(pa.array(k) for k in keys),
                     pa.ListArray.from_arrays(pa.array(offsets), parts),
@@ -541,12 +549,12 @@ def partial_matches(frags: DataFrame, length: int) -> DataFrame:
     )
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, version, low, end): bytes to remove; spans may overlap.
 
     ``texts`` has doc_id, text and version, a hash of the text.
     """
-    found = written(segments(texts, length))
+    found = written(segments(texts, length, block_bytes))
     key = ["key_a", "key_b"]
     one = F.min(F.struct("doc_id", "version", "start", "windows", "runs")).alias("one")
     single = found.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), one)
@@ -560,12 +568,12 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return whole.unionByName(partial_matches(fragments(texts, single, length), length))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` are the bytes that stay."""
     text = F.coalesce("text", F.lit(""))
     texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("version"))
     span = F.struct("low", "end")
-    spans = repeated_spans(texts, length).groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(span)).alias("spans"))
+    spans = repeated_spans(texts, length, block_bytes).groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(span)).alias("spans"))
     spans = written(spans).withColumnsRenamed({"doc_id": "d", "version": "v"})
     rows = texts.join(spans, F.expr("doc_id <=> d AND version = v"), "left").select("doc_id", "text", "spans")
 

@@ -1,0 +1,36 @@
+"""Suffix-array dedup of texts longer than a block."""
+
+import random
+
+import pytest
+
+from corpusflow.llm import suffix_dedup
+
+from .test_similar import repeated_texts
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+"
+
+
+def drawn(draw, n):
+    return draw.randbytes(n).translate((LETTERS * 4).encode()).decode()
+
+
+def test_text_above_16_mib(spark):
+    """A string of 200 bytes on both sides of 2^24, another at the end of the text and in a short one."""
+    draw = random.Random(6)
+    once, last = drawn(draw, 200), drawn(draw, 230)
+    parts = ["<", once, ">", drawn(draw, (1 << 24) + 50_000), "[", once, "]", drawn(draw, 70_000), "{", last]
+    text, other = "".join(parts), f"({last})"
+    docs = spark.createDataFrame([(1, text), (2, other)], "doc_id bigint, text string").repartition(2)
+    found = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert [found[i].n_removed for i in (1, 2)] == [2 * 200 + 230, 230]
+    assert bytes(found[1].kept) == "".join(p for p in parts if p not in (once, last)).encode()
+    assert bytes(found[2].kept) == b"()"
+
+
+@pytest.mark.parametrize("block_bytes", [150, 997])
+def test_blocks_shorter_than_texts(spark, block_bytes):
+    texts = repeated_texts(block_bytes)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(docs, 200, block_bytes).collect()}
+    assert [found[i] for i in range(len(texts))] == suffix_dedup.brute_force([(t or "").encode() for t in texts], 200)
