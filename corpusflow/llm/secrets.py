@@ -2,10 +2,12 @@
 
 Two first-order Markov models over characters are trained from labelled
 samples: one on strings known to be random (the values that the patterns
-find, and encoded digests), one on ordinary identifiers (long tokens of letters
-that no pattern touches, and names made of them). A token that could be a secret
-is scored by the mean log-likelihood ratio of its character pairs under both;
-above the threshold it is a secret of kind ``random``.
+find, and encoded digests, also letters only), one on ordinary strings (long
+tokens of letters that no pattern touches, names made of them, numbers and
+repeated characters). Every long token, and every part of one that a pattern
+leaves over, is scored by the mean log-likelihood ratio of its character pairs
+under both; above the threshold it is a secret of kind ``random``. The threshold
+is the one with the fewest errors on labelled tokens that did not train the models.
 
 All of it is DataFrame functions. Where a pattern matches, the text is split at
 the matches; the lengths of the pieces and matches give the places, counted in
@@ -37,10 +39,14 @@ KINDS = [kind for kind, _, _ in BASE] + ["random"]
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 #: At most this many labelled tokens of each class train the models.
 SAMPLE_ROWS = 50_000
-#: Mean log-likelihood ratio per character pair from which a token counts as random.
+#: Mean log-likelihood ratio per character pair, less the threshold that the labelled samples set,
+#: from which a token counts as random.
 THRESHOLD = 0.0
+#: One in so many labelled tokens is kept from the training and sets the threshold.
+HELD_OUT = 4
 #: Weight, in observed pairs, of the frequency of single characters behind each character.
 BACKOFF = 20
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _CODES = 128  # the tokens are ASCII by their pattern
 
 
@@ -97,10 +103,53 @@ def base_spans(text: Column) -> Column:
 
 
 def candidate_spans(text: Column, taken: Column) -> Column:
-    """Tokens long enough for the models that do not touch the spans in ``taken``."""
+    """array of (start, end, kind, value, scored): what the models look at.
+
+    Tokens that the spans in ``taken`` (ordered by start) do not touch, and all
+    parts outside these spans of the tokens that they do touch, however short.
+    ``scored`` is the value, with the neighbouring character of a span beside it,
+    so that a part of one character has a pair.
+    """
     found = _labelled(_matches(text, CANDIDATE, 0), len(BASE), 16)
-    touches = lambda c: F.exists(taken, lambda o: (o["start"] < c["end"]) & (c["start"] < o["end"]))
-    return _where(text, CANDIDATE, F.filter(found, lambda c: ~touches(c)))
+
+    def parts(c: Column) -> Column:
+        inside = F.filter(taken, lambda o: (o["start"] < c["end"]) & (c["start"] < o["end"]))
+        gap = lambda low, high: F.when(
+            low < high, F.array(F.struct(low.alias("start"), high.alias("end")))
+        ).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+        state = F.struct(c["start"].alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("gaps"))
+        gaps = F.aggregate(
+            inside,
+            state,
+            lambda acc, o: F.struct(
+                F.greatest(acc["at"], o["end"]).alias("at"),
+                F.concat(acc["gaps"], gap(acc["at"], o["start"])).alias("gaps"),
+            ),
+            lambda acc: F.concat(acc["gaps"], gap(acc["at"], c["end"])),
+        )
+        return F.transform(gaps, lambda g: _part(c, g["start"], g["end"]))
+
+    # most texts have no span of a pattern: their tokens are taken as they are
+    whole = F.transform(found, lambda c: _part(c, c["start"], c["end"]))
+    split = F.flatten(F.transform(found, parts))
+    none = F.array().cast(_CANDIDATES)
+    looked = F.when(F.size(taken) == 0, whole).otherwise(split)
+    return F.when(F.rlike(text, F.lit(CANDIDATE)), looked).otherwise(none)
+
+
+_CANDIDATES = "array<struct<start:int,end:int,kind:int,value:string,scored:string>>"
+
+
+def _part(token: Column, start: Column, end: Column) -> Column:
+    low, high = F.greatest(token["start"], start - 1), F.least(token["end"], end + 1)
+    cut = lambda a, b: F.substring(token["value"], a - token["start"] + 1, b - a)
+    return F.struct(
+        start.alias("start"),
+        end.alias("end"),
+        token["kind"].alias("kind"),
+        cut(start, end).alias("value"),
+        cut(low, high).alias("scored"),
+    )
 
 
 def _pairs(tokens: DataFrame, label: str) -> DataFrame:
@@ -117,22 +166,32 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[float]:
     ``labelled`` has ``random`` (values of the patterns) and ``ordinary`` (one
     token of letters) of each document. The patterns find few alphabets, so
     strings whose label holds by construction are added for each token of
-    letters: the base64 form of its SHA-256 as random, a name with capitals,
-    underscores and a number made of it as ordinary. Of each class the
-    ``sample_rows`` distinct tokens with the smallest hash train its model. The
-    model is 128 x 128 numbers at any size of the input.
+    letters. Random are the base64 form of its SHA-256, the letters of that, and
+    these in lower case; ordinary are a name with capitals, underscores and a
+    number made of it, a decimal number, and a letter and a rule character repeated. Of each class the ``sample_rows`` distinct tokens with
+    the smallest hash are used, one in ``HELD_OUT`` of them to set the threshold,
+    which is taken off every ratio. The model is 128 x 128 numbers at any size of
+    the input.
     """
     word = F.col("ordinary")
-    number = F.pmod(F.xxhash64("ordinary"), F.lit(10_000)).cast("string")
+    hashed = F.xxhash64("ordinary")
+    number = F.pmod(hashed, F.lit(10_000)).cast("string")
     made = F.concat(F.initcap(word), F.lit("_"), word, number)
     coded = F.base64(F.unhex(F.sha2(word, 256)))
+    letters = F.regexp_replace(coded, "[^A-Za-z]", "")
+    digits = F.conv(F.substring(F.sha2(word, 256), 1, 15), 16, 10)
+    times = (F.pmod(hashed, F.lit(40)) + 16).cast("int")
+    at = lambda chars: F.substring(F.lit(chars), (F.pmod(hashed, F.lit(len(chars))) + 1).cast("int"), F.lit(1))
+    again, rule = F.repeat(at(LETTERS), times), F.repeat(at("=-_/+"), times)
 
     def sample(tokens: Column) -> DataFrame:
         tokens = labelled.select(F.explode(tokens).alias("value")).filter(F.col("value").rlike(r"^[\x21-\x7E]{2,}$"))
-        return tokens.distinct().orderBy(F.xxhash64("value"), "value").limit(sample_rows)
+        chosen = tokens.distinct().orderBy(F.xxhash64("value"), "value").limit(sample_rows)
+        return written(chosen.withColumn("held", F.pmod(F.xxhash64("value", F.lit(1)), F.lit(HELD_OUT)) == 0))
 
-    random, ordinary = F.concat("random", F.array(coded)), F.array(word, made)
-    counted = _pairs(sample(random), "r").join(_pairs(sample(ordinary), "o"), "pair", "full")
+    random = sample(F.concat("random", F.array(coded, letters, F.lower(letters))))
+    ordinary = sample(F.array(word, made, digits, again, rule))
+    counted = _pairs(random.filter("NOT held"), "r").join(_pairs(ordinary.filter("NOT held"), "o"), "pair", "full")
     counts = np.zeros((2, _CODES, _CODES))
     for pair, random_count, ordinary_count in counted.select("pair", "r", "o").collect():  # at most 128 x 128 rows
         counts[:, pair // _CODES, pair % _CODES] = (random_count or 0, ordinary_count or 0)
@@ -140,7 +199,35 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[float]:
     single = counts.sum(axis=1, keepdims=True) + 1
     single /= single.sum(axis=2, keepdims=True)
     shares = (counts + BACKOFF * single) / (counts.sum(axis=2, keepdims=True) + BACKOFF)
-    return np.log(shares[0] / shares[1]).ravel().tolist()
+    ratios = np.log(shares[0] / shares[1]).ravel()
+
+    held = random.filter("held").select("value", F.lit(True).alias("label"))
+    held = held.unionByName(ordinary.filter("held").select("value", F.lit(False).alias("label")))
+    bins = held.select("label", F.round(score(F.col("value"), ratios.tolist()) * 100).cast("int").alias("bin"))
+    return (ratios - best_threshold(bins.groupBy("bin", "label").count().collect())).tolist()
+
+
+def best_threshold(bins: list) -> float:
+    """Between the scores of both classes, where the shares of wrong labels have the smallest sum.
+
+    ``bins`` has (hundredths of score, whether random, number of tokens); there
+    are no more than the range of the scores has hundredths. Without tokens of
+    one class it is 0. Of equal sums the one in their middle is taken.
+    """
+    totals = {label: sum(n for _, of, n in bins if of == label) for label in (True, False)}
+    if not all(totals.values()):
+        return 0.0
+    edges = sorted({b for b, _, _ in bins})
+    missed, kept = 0.0, 1.0
+    tried = [(kept, edges[0] - 0.5)]
+    for at, edge in enumerate(edges):
+        for b, label, n in bins:
+            if b == edge:
+                missed, kept = (missed + n / totals[True], kept) if label else (missed, kept - n / totals[False])
+        tried.append((missed + kept, (edge + edges[at + 1]) / 2 if at + 1 < len(edges) else edge + 0.5))
+    least = min(wrong for wrong, _ in tried) + 1e-9
+    best = [t for wrong, t in tried if wrong <= least]
+    return best[len(best) // 2] / 100
 
 
 def score(token: Column, model: list[float]) -> Column:
@@ -158,33 +245,32 @@ def score(token: Column, model: list[float]) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Written table (doc_id, base, candidates, random, ordinary): one scan, texts stay behind.
 
-    ``candidates`` are the tokens with a letter and a digit; ``ordinary`` is the
-    token of letters with the smallest hash.
+    ``candidates`` are the tokens and parts for the models; ``ordinary`` is the
+    token of letters with the smallest hash that no pattern touches.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("_text"))
     rows = rows.withColumn("base", base_spans(F.col("_text")))
     rows = rows.withColumn("_tokens", candidate_spans(F.col("_text"), F.col("base")))
-    letters = F.filter("_tokens", lambda c: c["value"].rlike("^[A-Za-z_-]+$"))
+    letters = F.filter("_tokens", lambda c: (c["scored"] == c["value"]) & c["value"].rlike("^[A-Za-z_-]+$"))
     hashed = F.transform(letters, lambda c: F.struct(F.xxhash64(c["value"]).alias("hash"), c["value"].alias("value")))
     return written(
         rows.select(
             "doc_id",
             "base",
-            F.filter("_tokens", _mixed).alias("candidates"),
+            F.col("_tokens").alias("candidates"),
             F.transform("base", lambda s: s["value"]).alias("random"),
             F.array_min(hashed)["value"].alias("ordinary"),
         )
     )
 
 
-def _mixed(span: Column) -> Column:
-    """A word or a number alone is no key."""
-    return span["value"].rlike("[0-9]") & span["value"].rlike("[A-Za-z]")
+def _with_model(base: Column, candidates: Column, model: list[float], threshold: float) -> Column:
+    added = F.filter(candidates, lambda c: score(c["scored"], model) >= threshold)
+    return F.array_sort(F.concat(base, F.transform(added, _span)))
 
 
-def _with_model(base: Column, candidates: Column, model: list[float], threshold: float) -> Column:
-    added = F.filter(candidates, lambda c: score(c["value"], model) >= threshold)
-    return F.array_sort(F.concat(base, added))
+def _span(c: Column) -> Column:
+    return F.struct(*[c[name].alias(name) for name in ("start", "end", "kind", "value")])
 
 
 def find_secrets(
@@ -226,7 +312,7 @@ def redact(
     # columns of their own: an expression used inside another's lambda would be computed for every token
     base, tokens, found = (fresh(docs, f"_{name}") for name in ("base", "tokens", "found"))
     rows = docs.withColumn(base, base_spans(text_or_empty(text_col)))
-    rows = rows.withColumn(tokens, F.filter(candidate_spans(text_or_empty(text_col), F.col(base)), _mixed))
+    rows = rows.withColumn(tokens, candidate_spans(text_or_empty(text_col), F.col(base)))
     rows = rows.withColumn(found, _with_model(F.col(base), F.col(tokens), model, threshold))
     text = F.col(text_col)
     # from left to right: the text before a span, then the mark unless the span before reaches into it
