@@ -55,7 +55,9 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     loss = examples.groupBy("conv_id").agg(F.array_join(F.transform(replies, lambda r: r["text"]), "").alias("loss"))
     back = F.transform(chat.parse(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     rows = formatted.select("conv_id", "formatted", back.alias("turns"))
-    rows = rows.join(loss, "conv_id", "left").withColumn("loss", F.coalesce("loss", F.lit("")))
+    # a conversation without id is one, too
+    loss = loss.withColumnRenamed("conv_id", "_conv")
+    rows = rows.join(loss, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").withColumn("loss", F.coalesce("loss", F.lit("")))
     return rows.select(
         "conv_id",
         F.size("turns").cast("bigint").alias("n_turns"),
