@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, jaccard, packing, repetition, secrets, suffix_dedup, tokencount, warc
+from . import bpe, chat, exact_dedup, jaccard, packing, repair, repetition, secrets, suffix_dedup, tokencount, warc
 from .common import read
 from ..operators.scale import written
 
@@ -88,6 +88,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.report(repair.damage(turns), turns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_pack": op9_pack,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"

@@ -22,7 +22,7 @@ from .test_texts import check_packed  # noqa: E402
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLE) <= set(contract.oracle_sql())
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
