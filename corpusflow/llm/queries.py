@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, jaccard, packing, repair, repetition, secrets, suffix_dedup, tokencount, warc
+from . import bpe, chat, decontaminate, exact_dedup, jaccard, packing, repair, repetition, secrets, suffix_dedup, tokencount, warc
 from .common import read
 from ..operators.scale import written
 
@@ -93,6 +93,20 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.damage(turns), turns)
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.matches(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -105,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pack": op9_pack,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_decontaminate": op12_decontaminate,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
