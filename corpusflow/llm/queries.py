@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, jaccard, packing, repair, repetition, secrets, suffix_dedup, tokencount, warc
+from . import bpe, chat, collocations, decontaminate, exact_dedup, jaccard, packing, repair, repetition, secrets, suffix_dedup, tokencount, warc
 from .common import read
 from ..operators.scale import written
 
@@ -107,6 +107,10 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -120,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_decontaminate": op12_decontaminate,
+    "op13_collocations": op13_collocations,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -130,6 +135,8 @@ _BASE32 = " || ".join(
     for group in range(8)
     for shift in (15, 10, 5, 0)
 )
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": f"""WITH normal AS (SELECT doc_id, sha256({_NORMAL}) AS text_sha256 FROM documents),
@@ -152,4 +159,38 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id > first_page THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id > first_page THEN first_page END AS refers_to
 FROM payloads JOIN firsts USING (payload_digest)""",
+    "op12_decontaminate": f"""WITH items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item, list_slice(w, i, i + least(len(w), 10) - 1) AS win FROM (
+  SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS size FROM windows),
+docs AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+found AS (SELECT row, i, size, item FROM (
+    SELECT row, i, size, list_slice(w, i, i + size - 1) AS win FROM (
+      SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes)) JOIN windows USING (win)),
+hits AS (SELECT row, count(DISTINCT at) AS n_hit FROM (
+  SELECT row, unnest(range(i, i + size)) AS at FROM found) GROUP BY row),
+named AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+  SELECT DISTINCT row, item FROM found) GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)""",
+    "op13_collocations": rf"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(
+    unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), w -> w <> '') AS w FROM documents),
+grams AS (SELECT lang, list_slice(w, i, i + size - 1) AS g, count(*) AS f FROM (
+  SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, range(1, 6) AS s(size)) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE len(g) = 1 GROUP BY lang),
+often AS (SELECT lang, g, f FROM grams WHERE f >= 100),
+cuts AS (SELECT lang, g, f, unnest(range(1, len(g))) AS k FROM often),
+scores AS (SELECT c.lang, c.g, c.f AS a, k, l.f AS l, r.f AS r, n,
+    CAST(1000 * c.f::HUGEINT * n // (l.f::HUGEINT * r.f) AS BIGINT) AS score FROM cuts c
+  JOIN often l ON l.lang = c.lang AND l.g = list_slice(c.g, 1, k)
+  JOIN often r ON r.lang = c.lang AND r.g = list_slice(c.g, k + 1, len(c.g)) JOIN totals ON totals.lang = c.lang),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+covered AS (SELECT DISTINCT lang, list_slice(g, i, i + size - 1) AS g, f FROM (
+  SELECT lang, g, f, size, unnest(range(1, len(g) - size + 2)) AS i FROM often, range(2, 5) AS s(size) WHERE size < len(g))),
+kept AS (SELECT lowest.*, array_to_string(g, ' ') AS phrase FROM lowest WHERE NOT EXISTS (
+  SELECT 1 FROM covered WHERE covered.lang = lowest.lang AND covered.g = lowest.g AND 100 * covered.f >= 100 * lowest.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000""",
 }
