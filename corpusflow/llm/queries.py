@@ -164,19 +164,19 @@ FROM payloads JOIN firsts USING (payload_digest)""",
 windows AS (SELECT DISTINCT item, list_slice(w, i, i + least(len(w), 10) - 1) AS win FROM (
   SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT len(win) AS size FROM windows),
-docs AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
-found AS (SELECT row, i, size, item FROM (
-    SELECT row, i, size, list_slice(w, i, i + size - 1) AS win FROM (
-      SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes)) JOIN windows USING (win)),
-hits AS (SELECT row, count(DISTINCT at) AS n_hit FROM (
-  SELECT row, unnest(range(i, i + size)) AS at FROM found) GROUP BY row),
-named AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
-  SELECT DISTINCT row, item FROM found) GROUP BY row)
+docs AS (SELECT row_number() OVER () AS doc, doc_id, {_WORDS} AS w FROM documents),
+found AS (SELECT doc, i, size, item FROM (
+    SELECT doc, i, size, list_slice(w, i, i + size - 1) AS win FROM (
+      SELECT doc, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes)) JOIN windows USING (win)),
+hits AS (SELECT doc, count(DISTINCT spot) AS n_hit FROM (
+  SELECT doc, unnest(range(i, i + size)) AS spot FROM found) GROUP BY doc),
+named AS (SELECT doc, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+  SELECT DISTINCT doc, item FROM found) GROUP BY doc)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)""",
+FROM docs LEFT JOIN hits USING (doc) LEFT JOIN named USING (doc)""",
     "op13_collocations": rf"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(
-    unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), w -> w <> '') AS w FROM documents),
+    unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), lambda x: x <> '') AS w FROM documents),
 grams AS (SELECT lang, list_slice(w, i, i + size - 1) AS g, count(*) AS f FROM (
   SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, range(1, 6) AS s(size)) GROUP BY ALL),
 totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE len(g) = 1 GROUP BY lang),
