@@ -9,7 +9,9 @@ lengths at once; no n-grams are made length by length.
 A phrase with a rare word is rare. A first pass counts single words; frequent ones
 are marked in a bitmap of fixed size, and a window is padded from its first unmarked
 word on. A false mark leaves a window longer than need be, which changes no count of
-a frequent phrase. Texts of a block are counted together before they are shuffled,
+a frequent phrase. The counted windows also give the counts of their leading pairs,
+and are padded again from their first rare pair on before the ROLLUP, so that it
+meets few windows. Texts of a block are counted together before they are shuffled,
 so a very common word or window is one row per block.
 
 Both parts of any cut of a frequent phrase are at least as frequent as the phrase,
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.scale import lookup_join, written
+from ..operators.scale import fits_broadcast, lookup_join, written
 from .common import text_blocks
 
 #: Least occurrences of a phrase, words in the longest, phrases listed per language.
@@ -183,6 +185,25 @@ def padded_windows(texts: DataFrame, bitmap: np.ndarray, most: int, block: int)
     return texts.mapInArrow(run, schema)
 
 
+def _cut_at_rare_pairs(windows: DataFrame, names: list[str], min_count: int) -> DataFrame:
+    """``windows`` padded from the second word of their first rare pair on; counts of frequent phrases stay.
+
+    The pairs are counted from the windows that begin with them.
+    """
+    pairs = windows.filter("w2 <> ''").groupBy("lang", "w1", "w2").agg(F.sum("n").alias("n"))
+    pairs = written(pairs.filter(F.col("n") >= min_count).select("lang", "w1", "w2"))
+    small = fits_broadcast(pairs)
+    rows, whole = windows, F.lit(True)
+    kept = [F.col(names[0])]
+    for before, word in zip(names, names[1:], strict=False):
+        flag = f"_{word}"
+        side = pairs.select("lang", F.col("w1").alias(before), F.col("w2").alias(word), F.lit(True).alias(flag))
+        rows = lookup_join(rows, side, ["lang", before, word], "left", small=small)
+        whole = whole & F.coalesce(F.col(flag), F.lit(False))
+        kept.append(F.when(whole, F.col(word)).otherwise("").alias(word))
+    return rows.select("lang", *kept, "n")
+
+
 def frequent_phrases(
     docs: DataFrame,
     min_count: int = MIN_COUNT,
@@ -192,13 +213,16 @@ def frequent_phrases(
     block: int = BLOCK_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of all phrases up to ``most`` words with ``min_count`` occurrences, and (lang, n)."""
+    if most < 2:
+        raise ValueError("a phrase has two words at least")
     texts = _texts(docs, text_col, lang_col)
     counts = _word_counts(texts, block).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = written(counts.filter((F.col("n") >= min_count) | (F.col("word") == "")))
     totals = written(counts.filter("word = ''").select("lang", "n"))
-    windows = padded_windows(texts, _bitmap(counts.filter("word <> ''")), most, block)
     names = [f"w{i + 1}" for i in range(most)]
-    summed = windows.rollup("lang", *names).agg(F.sum("n").alias("f"))
+    windows = padded_windows(texts, _bitmap(counts.filter("word <> ''")), most, block)
+    windows = written(windows.groupBy("lang", *names).agg(F.sum("n").alias("n")))
+    summed = _cut_at_rare_pairs(windows, names, min_count).rollup("lang", *names).agg(F.sum("n").alias("f"))
     # a prefix with padding is a window's end, not a phrase; null stands for columns that are summed up
     phrase = [F.coalesce(n, F.lit("-")) != "" for n in names]
     phrases = summed.filter((F.col("f") >= min_count) & F.col("w1").isNotNull())
