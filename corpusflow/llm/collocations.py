@@ -6,13 +6,13 @@ occurrence of a shorter phrase begins at one word, so its count is the sum over
 windows that begin with it, and Spark's ROLLUP over the window's columns sums all
 lengths at once; no n-grams are made length by length.
 
-A phrase with a rare word is rare. A first pass counts single words; frequent ones
-are marked in a bitmap of fixed size, and a window is padded from its first unmarked
-word on. A false mark leaves a window longer than need be, which changes no count of
-a frequent phrase. The counted windows also give the counts of their leading pairs,
-and are padded again from their first rare pair on before the ROLLUP, so that it
-meets few windows. Texts of a block are counted together before they are shuffled,
-so a very common word or window is one row per block.
+A phrase with a rare word or a rare pair of neighbours is rare. A first pass counts
+words, a second one the pairs of frequent words, under hashes; both only mark what
+is frequent in bitmaps of fixed size, and a window is padded from its first unmarked
+word or pair on. A false mark leaves a window longer than need be, which changes no
+count of a frequent phrase. All counts of phrases come from the windows. Texts of a
+block are counted together before they are shuffled, so a very common word or window
+is one row per block.
 
 Both parts of any cut of a frequent phrase are at least as frequent as the phrase,
 so all counts that a score needs are in the table of frequent phrases. It is broadcast
@@ -35,10 +35,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.scale import fits_broadcast, lookup_join, written
+from ..operators.scale import lookup_join, written
 from .common import text_blocks
 
 #: Least occurrences of a phrase, words in the longest, phrases listed per language.
@@ -47,7 +48,7 @@ MIN_COUNT, MOST_WORDS, TOP = 100, 5, 2000
 COVERED_PERCENT = 100
 #: Bytes of text that are counted together.
 BLOCK_BYTES = 6_000_000
-#: The bitmap of frequent words: 2^26 bits, 8 MB.
+#: The bitmaps of frequent words and pairs: 2^26 bits, 8 MB, each.
 BITMAP_BITS = 26
 
 #: Fixed values of the contract: ends of pieces, white space between words.
@@ -120,36 +121,84 @@ def _word_counts(texts: DataFrame, block: int) -> DataFrame:
     return texts.mapInArrow(run, "lang string, word string, n bigint")
 
 
-def _bitmap(frequent: DataFrame) -> np.ndarray:
-    """Bits of all frequent words, at their checksums: 2^BITMAP_BITS bits, whatever the input."""
-    hashed = F.crc32(F.encode(F.concat("lang", F.lit("\n"), "word"), "UTF-8")).bitwiseAND((1 << BITMAP_BITS) - 1)
-    bits = frequent.select(F.shiftright(hashed, 15).alias("row"), hashed.bitwiseAND(32767).cast("int").alias("bit"))
+def _bitmap(places: DataFrame) -> np.ndarray:
+    """Bits at all ``place`` from 0 to 2^BITMAP_BITS - 1: an array of that size, whatever the input."""
+    bits = places.select(F.shiftright("place", 15).alias("row"), F.col("place").bitwiseAND(32767).cast("int").alias("bit"))
     made = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     for row in bits.groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
         made[row["row"] << 12 : (row["row"] + 1) << 12] = np.frombuffer(row["bits"], np.uint8)
     return made
 
 
-def _marked(lang: str, words: list[bytes], bitmap: np.ndarray) -> np.ndarray:
-    """Which of the words may be frequent; the end of a piece is not."""
+def _is_set(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bitmap[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+
+
+def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """64 bits for each word; the lower half is the checksum that Spark takes, too."""
     start = crc32(f"{lang}\n".encode())
-    places = np.fromiter((crc32(w, start) for w in words), np.int64, len(words)) & ((1 << BITMAP_BITS) - 1)
-    found = (bitmap[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
-    found[0] = False
-    return found
+    low = np.fromiter((crc32(w, start) for w in words), np.uint64, len(words))
+    high = np.fromiter((crc32(w, ~start & 0xFFFFFFFF) for w in words), np.uint64, len(words))
+    return low | high << np.uint64(32)
+
+
+def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    mixed_ = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (second * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(7))
+    mixed_ *= np.uint64(0xD6E8FEB86659FD93)
+    return (mixed_ ^ mixed_ >> np.uint64(31)).view(np.int64)
+
+
+_PLACES = np.int64((1 << BITMAP_BITS) - 1)
+
+
+class _Block:
+    """Tokens as numbers of frequent words, 0 for other words and ends of pieces."""
+
+    def __init__(self, lang: str, tokens: list[bytes], words_marked: np.ndarray):
+        ids, words = _numbered(tokens)
+        hashes = _hashes(lang, words)
+        marked = _is_set(words_marked, (hashes & np.uint64(_PLACES)).astype(np.int64))
+        marked[0] = False
+        self.ids = np.where(marked, np.cumsum(marked), 0)[ids]
+        self.hashes = np.concatenate([np.zeros(1, np.uint64), hashes[marked]])
+        self.words = [b"", *(w for w, m in zip(words, marked, strict=True) if m)]
+        #: Places with a frequent word before another one.
+        self.pairs = np.flatnonzero((self.ids[:-1] > 0) & (self.ids[1:] > 0))
+
+    def pair_hashes(self, at: np.ndarray) -> np.ndarray:
+        return _pair_hashes(self.hashes[self.ids[at]], self.hashes[self.ids[at + 1]])
 
 
-def count_windows(ids: np.ndarray, own: int, most: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _pair_counts(texts: DataFrame, words: Broadcast, block: int) -> DataFrame:
+    """(pair, n) per block: neighbouring frequent words under their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, some in _by_language(batches, block):
+            for tokens, own in token_parts(some, block, 1):
+                made = _Block(lang, tokens, words.value)
+                at = made.pairs[made.pairs < own]
+                _, first, counts = np.unique(
+                    made.ids[at] * len(made.words) + made.ids[at + 1], return_index=True, return_counts=True
+                )
+                found = made.pair_hashes(at[first])
+                for low in range(0, len(found), 500_000):
+                    part = slice(low, low + 500_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(found[part]), pa.array(counts[part])], ["pair", "n"])
+
+    return texts.mapInArrow(run, "pair bigint, n bigint")
+
+
+def count_windows(ids: np.ndarray, own: int, most: int, joined: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Lead columns of the distinct padded windows that begin with an owned word, and their counts.
 
-    ``ids`` has 0 where a window ends.
+    ``ids`` has 0 where a window ends; ``joined`` says of each token whether a
+    window goes on to the next.
     """
+    ids, joined = (np.concatenate([c, np.zeros(most, c.dtype)]) for c in (ids, joined))
     columns = [ids[:own]]
     for ahead in range(1, most):
-        lead = np.zeros(own, np.int64)
-        some = ids[ahead : own + ahead]
-        lead[: len(some)] = some
-        columns.append(np.where(columns[-1] > 0, lead, 0))
+        goes_on = (columns[-1] > 0) & joined[ahead - 1 : own + ahead - 1]
+        columns.append(np.where(goes_on, ids[ahead : own + ahead], 0))
     begins = columns[0] > 0
     columns = [c[begins] for c in columns]
     base = int(ids.max(initial=0)) + 1
@@ -163,18 +212,18 @@ def count_windows(ids: np.ndarray, own: int, most: int) -> tuple[list[np.ndarray
     return [c[first] for c in columns], counts
 
 
-def padded_windows(texts: DataFrame, bitmap: np.ndarray, most: int, block: int) -> DataFrame:
-    """(lang, w1, w2, ..., n): padded windows of frequent words, counted per block."""
+def padded_windows(texts: DataFrame, words: Broadcast, pairs: Broadcast, most: int, block: int) -> DataFrame:
+    """(lang, w1, w2, ..., n): padded windows of frequent words and pairs, counted per block."""
     names = [f"w{i + 1}" for i in range(most)]
-    marks = texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, some in _by_language(batches, block):
             for tokens, own in token_parts(some, block, most - 1):
-                ids, words = _numbered(tokens)
-                marked = _marked(lang, words, marks.value)
-                columns, counts = count_windows(np.where(marked, np.cumsum(marked), 0)[ids], own, most)
-                kept = pa.array([b"", *(w for w, m in zip(words, marked, strict=True) if m)], pa.binary()).cast(pa.string())
+                made = _Block(lang, tokens, words.value)
+                joined = np.zeros(len(made.ids), bool)
+                joined[made.pairs] = _is_set(pairs.value, made.pair_hashes(made.pairs) & _PLACES)
+                columns, counts = count_windows(made.ids, own, most, joined)
+                kept = pa.array(made.words, pa.binary()).cast(pa.string())
                 for at in range(0, len(counts), 100_000):
                     part = slice(at, at + 100_000)
                     arrays = [kept.take(pa.array(c[part])) for c in columns]
@@ -185,25 +234,6 @@ def padded_windows(texts: DataFrame, bitmap: np.ndarray, most: int, block: int)
     return texts.mapInArrow(run, schema)
 
 
-def _cut_at_rare_pairs(windows: DataFrame, names: list[str], min_count: int) -> DataFrame:
-    """``windows`` padded from the second word of their first rare pair on; counts of frequent phrases stay.
-
-    The pairs are counted from the windows that begin with them.
-    """
-    pairs = windows.filter("w2 <> ''").groupBy("lang", "w1", "w2").agg(F.sum("n").alias("n"))
-    pairs = written(pairs.filter(F.col("n") >= min_count).select("lang", "w1", "w2"))
-    small = fits_broadcast(pairs)
-    rows, whole = windows, F.lit(True)
-    kept = [F.col(names[0])]
-    for before, word in zip(names, names[1:], strict=False):
-        flag = f"_{word}"
-        side = pairs.select("lang", F.col("w1").alias(before), F.col("w2").alias(word), F.lit(True).alias(flag))
-        rows = lookup_join(rows, side, ["lang", before, word], "left", small=small)
-        whole = whole & F.coalesce(F.col(flag), F.lit(False))
-        kept.append(F.when(whole, F.col(word)).otherwise("").alias(word))
-    return rows.select("lang", *kept, "n")
-
-
 def frequent_phrases(
     docs: DataFrame,
     min_count: int = MIN_COUNT,
@@ -219,10 +249,14 @@ def frequent_phrases(
     counts = _word_counts(texts, block).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = written(counts.filter((F.col("n") >= min_count) | (F.col("word") == "")))
     totals = written(counts.filter("word = ''").select("lang", "n"))
+    low = (1 << BITMAP_BITS) - 1
+    send = texts.sparkSession.sparkContext.broadcast
+    checksum = F.crc32(F.encode(F.concat("lang", F.lit("\n"), "word"), "UTF-8"))
+    words = send(_bitmap(counts.filter("word <> ''").select(checksum.bitwiseAND(low).alias("place"))))
+    pairs = _pair_counts(texts, words, block).groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    pairs = send(_bitmap(pairs.select(F.col("pair").bitwiseAND(low).alias("place"))))
     names = [f"w{i + 1}" for i in range(most)]
-    windows = padded_windows(texts, _bitmap(counts.filter("word <> ''")), most, block)
-    windows = written(windows.groupBy("lang", *names).agg(F.sum("n").alias("n")))
-    summed = _cut_at_rare_pairs(windows, names, min_count).rollup("lang", *names).agg(F.sum("n").alias("f"))
+    summed = padded_windows(texts, words, pairs, most, block).rollup("lang", *names).agg(F.sum("n").alias("f"))
     # a prefix with padding is a window's end, not a phrase; null stands for columns that are summed up
     phrase = [F.coalesce(n, F.lit("-")) != "" for n in names]
     phrases = summed.filter((F.col("f") >= min_count) & F.col("w1").isNotNull())

@@ -66,7 +66,7 @@ def test_invented_texts(spark, min_count, top, block):
 
 
 def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "_bitmap", lambda frequent: np.full(1 << 23, 255, np.uint8))
+    monkeypatch.setattr(collocations, "_bitmap", lambda places: np.full(1 << 23, 255, np.uint8))
     rows = invented(9)
     df = spark.createDataFrame(rows, "lang string, text string")
     assert sorted(tuple(r) for r in collocations.collocations(df, min_count=4).collect()) == brute(rows, 4, 2000)
@@ -93,7 +93,7 @@ def test_windows_with_many_words():
     draw = np.random.default_rng(1)
     ids = draw.integers(0, 1 << 22, 300)
     ids = np.concatenate([ids, ids])
-    columns, counts = collocations.count_windows(ids, len(ids), 5)
+    columns, counts = collocations.count_windows(ids, len(ids), 5, draw.random(len(ids)) < 2)
     wanted = Counter()
     for at in range(len(ids)):
         window = []
