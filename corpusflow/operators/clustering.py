@@ -8,7 +8,7 @@ data, and fixes the number of columns of the wide centroid table.
 
 from __future__ import annotations
 
-import math
+import json
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,24 +16,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, norm
+from .layout import ByDocument, bucket_number, bucketed, by_document, parted, store
 from .scale import (
     below_broadcast_limit,
-    drop_written,
     hot_keys,
     is_stored,
     lookup_join,
     table_bytes,
-    table_path,
     with_parts,
     written,
+    written_lookup,
 )
 
 # Similarities are compared after rounding, so that the order in which a sum
 # was added up cannot decide between equal clusters.
 SIMILARITY_DIGITS = 9
-# Weight rows per bucket of a laid-out table, around 200 MB. A task adds up the
-# terms of its bucket before it shuffles, so large buckets shuffle less.
-BUCKET_ROWS = 16_000_000
 
 # Fixed values of the reproducible start: multipliers and prime modulus.
 _CLUSTER_STEP, _RANK_STEP, _SEED_STEP, _MODULUS = 7919, 104729, 15485863, 10007
@@ -82,41 +79,27 @@ def document_centroids(weights: DataFrame, k: int = 5) -> DataFrame:
     return weights.join(F.broadcast(chosen), "doc_id").select("cluster", "term_id", "weight")
 
 
-def lay_out(weights: DataFrame, triples: DataFrame | None = None) -> DataFrame:
-    """``weights`` as a written table bucketed by document, for repeated passes.
+def lay_out(weights: DataFrame | ByDocument, triples: DataFrame | None = None) -> DataFrame:
+    """``weights`` as a written table laid out by document, for repeated passes; its ``layout`` says how.
 
     Later joins and sums by document read their bucket and shuffle nothing.
-    A document with too many terms for one task is cut into parts by term; the
-    column ``part`` is 0 for all other documents. ``triples``, a written table
+    A table laid out before is returned as it is. ``triples``, a written table
     with the same terms and documents, spares writing the weights twice.
     """
-    spark = weights.sparkSession
-    rows = weights.select("term_id", "doc_id", "weight")
-    if triples is None:
-        rows = triples = written(rows)
-    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(triples.count() / BUCKET_ROWS))
-    # beyond Spark's own limit buckets grow, and with them the tasks
-    buckets = min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
-    hot = hot_keys(triples, ["doc_id"])
-    return _bucketed(rows, buckets, "doc_id", "term_id", None if hot is None else written(hot))
-
-
-def _bucketed(rows: DataFrame, buckets: int, key: str, other: str, hot: DataFrame | None) -> DataFrame:
-    """``rows`` as a written table bucketed by ``key`` and ``part``; hot keys are cut by a hash of ``other``."""
-    spark = rows.sparkSession
-    if hot is None:
-        rows = rows.withColumn("part", F.lit(0))
+    if isinstance(weights, ByDocument):
+        made = store(weights)
+    elif layout_of(weights) is not None:
+        return weights
     else:
-        rows = with_parts(rows, hot, [key])
-        part = F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1))).cast("int")
-        rows = rows.select("term_id", "doc_id", "weight", part.alias("part"))
-    path = table_path(spark)
-    name = path.rsplit("/", 1)[1]
-    # one task per bucket, so one file per bucket
-    rows.repartition(buckets, key, "part").write.bucketBy(buckets, key, "part").option("path", path).saveAsTable(name)
-    laid_out = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # only the name: the files lie outside the warehouse
-    return laid_out
+        made = by_document(weights.select("term_id", "doc_id", "weight"), triples)
+    points = made.rows.select("term_id", "doc_id", "weight", "part")
+    points.layout = made.having(points)
+    return points
+
+
+def layout_of(weights: DataFrame) -> ByDocument | None:
+    """How a result of ``lay_out`` is laid out; None for any other table."""
+    return getattr(weights, "layout", None)
 
 
 class TermLayout:
@@ -136,12 +119,10 @@ class TermLayout:
         """Weights with the row of ``wide`` for their term, or nulls."""
         if self.table is None:
             hot = hot_keys(self.points, ["term_id"])
-            self.hot = None if hot is None else written(hot)
-            spark = self.points.sparkSession
-            wanted = max(spark.sparkContext.defaultParallelism, math.ceil(self.points.count() / BUCKET_ROWS))
-            buckets = min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
-            rows = self.points.select("term_id", "doc_id", "weight")
-            self.table = _bucketed(rows, buckets, "term_id", "doc_id", self.hot)
+            self.hot = None if hot is None else written_lookup(hot)
+            rows = parted(self.points.select("term_id", "doc_id", "weight"), self.hot, "term_id", "doc_id")
+            buckets = bucket_number(self.points.sparkSession, self.points.count())
+            self.table = bucketed(rows.select("term_id", "doc_id", "weight", "part"), buckets, "term_id")
         if self.hot is None:
             wide = wide.withColumn("part", F.lit(0))
         else:
@@ -151,43 +132,66 @@ class TermLayout:
         return self.table.join(wide.hint("shuffle_hash"), ["term_id", "part"], "left").drop("part")
 
 
-def _score(weights: DataFrame, centroids: DataFrame, slots: int, by_term: TermLayout | None = None) -> DataFrame:
+def _parts(documents: DataFrame, layout: ByDocument | None) -> DataFrame:
+    """One row per document with the number of its ``parts``: 1, but for the documents that the layout lists."""
+    if layout is None or layout.hot is None:
+        return documents.withColumn("parts", F.lit(1))
+    return with_parts(documents, layout.hot, ["doc_id"]).withColumn("parts", F.coalesce("_parts", F.lit(1))).drop("_parts")
+
+
+def _score(
+    weights: DataFrame,
+    centroids: DataFrame,
+    slots: int,
+    by_term: TermLayout | None = None,
+    carry: DataFrame | None = None,
+) -> DataFrame:
     """Cosine of every document with every slot: (doc_id, parts, sims array).
 
     Centroids come as (slot, term_id, weight) and are turned to one row per
     term, so a weight row meets all of them in one join row and the sums are
-    plain columns. One small query over the result gives its size and the
-    length of each centroid. A similarity is null for a zero document or an
+    plain columns. The size of that table and the length of each centroid are
+    taken while it is written. A similarity is null for a zero document or an
     empty slot. ``by_term`` is used when the centroids outgrow a broadcast.
+    ``carry`` (doc_id, slots), the choice that led to these centroids, is
+    handed on in the same row as ``own``.
     """
     w, slot = F.col("weight"), range(slots)
     column = [F.sum(F.when(F.col("slot") == s, w)).alias(f"c{s}") for s in slot]
-    wide = written(centroids.groupBy("term_id").agg(*column))
-    lengths = [F.sqrt(F.sum(F.col(f"c{s}") * F.col(f"c{s}"))) for s in slot]
-    size, *lengths = wide.agg(table_bytes(wide), *lengths).first()
-    small = below_broadcast_limit(weights.sparkSession, size)
+    wide = centroids.groupBy("term_id").agg(*column)
+    squared = {f"l{s}": F.sqrt(F.sum(F.col(f"c{s}") * F.col(f"c{s}"))) for s in slot}
+    wide = written(wide, bytes=table_bytes(wide), **squared)
+    lengths = [wide.observed[f"l{s}"] for s in slot]
+    small = below_broadcast_limit(weights.sparkSession, wide.observed["bytes"])
 
-    laid_out = "part" in weights.columns
+    layout = layout_of(weights)
     sums = [F.sum(w * F.col(f"c{s}")).alias(f"d{s}") for s in slot]
     squares = F.sum(w * w).alias("sq")
+    key = ["doc_id"]
     if by_term is not None and not small:
-        # summed inside the buckets before the sums of a document move; its parts are those of the layout by document
-        joined = by_term.join(wide).groupBy("doc_id").agg(*sums, squares)
-        parts = weights.groupBy("doc_id", "part").agg(F.lit(1).alias("one")).groupBy("doc_id")
-        scored = joined.join(parts.agg((F.max("part") + 1).alias("parts")), "doc_id")
+        # summed inside the buckets before the sums of a document move
+        scored = by_term.join(wide).groupBy("doc_id").agg(*sums, squares)
     else:
-        joined = lookup_join(weights, wide, "term_id", "left", stored=laid_out, small=small)
-        if laid_out:
-            # first sum inside the bucket, then over the parts of a document
-            joined = joined.groupBy("doc_id", "part").agg(*sums, squares)
-            sums = [F.sum(f"d{s}").alias(f"d{s}") for s in slot]
-            scored = joined.groupBy("doc_id").agg((F.max("part") + 1).alias("parts"), *sums, F.sum("sq").alias("sq"))
+        joined = lookup_join(weights, wide, "term_id", "left", stored=layout is not None, small=small)
+        if layout is None:
+            scored = joined.groupBy("doc_id").agg(*sums, squares)
         else:
-            scored = joined.groupBy("doc_id").agg(F.lit(1).alias("parts"), *sums, squares)
+            scored = joined.groupBy("doc_id", "part").agg(*sums, squares)
+            if layout.hot is None:
+                key = ["doc_id", "part"]  # part is 0: all of a document is in its bucket
+            else:
+                both = [*(f"d{s}" for s in slot), "sq"]
+                scored = scored.groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in both])
     # a document that shares no term with a slot has a null sum, not similarity null
     dots = [F.coalesce(f"d{s}", F.lit(0.0)) for s in slot]
-    sims = [F.try_divide(dots[s], F.sqrt("sq") * F.lit(lengths[s])) for s in slot]
-    return scored.select("doc_id", "parts", F.array(*sims).alias("sims"))
+    sims = [F.try_divide(dots[s], F.sqrt("sq") * F.lit(lengths[s]).cast("double")) for s in slot]
+    scored = scored.select(*key, F.array(*sims).alias("sims"))
+    own = []
+    if carry is not None:
+        # only the choices move, one row per document
+        choices = carry.select("doc_id", *(F.lit(0).alias(c) for c in key[1:]), F.col("slots").alias("own"))
+        scored, own = scored.join(choices.hint("shuffle_hash"), key), ["own"]
+    return _parts(scored.select("doc_id", "sims", *own), layout).select("doc_id", "parts", "sims", *own)
 
 
 def _closest(sims: list[Column], first: int = 0) -> Column:
@@ -200,11 +204,11 @@ def _closest(sims: list[Column], first: int = 0) -> Column:
 
 
 def _choose(scores: DataFrame, k: int, restarts: int = 1) -> DataFrame:
-    """The chosen slot of every document, one per restart: (doc_id, parts, slots array)."""
+    """The scores with the chosen slot of every document, one per restart, in the array ``slots``."""
     picks = [
         _closest([F.get("sims", F.lit(s)) for s in range(r * k, r * k + k)], first=r * k) for r in range(restarts)
     ]
-    return scores.select("doc_id", "parts", F.array(*picks).alias("slots"))
+    return scores.withColumn("slots", F.array(*picks))
 
 
 def _means(weights: DataFrame, choices: DataFrame) -> DataFrame:
@@ -212,7 +216,7 @@ def _means(weights: DataFrame, choices: DataFrame) -> DataFrame:
 
     Absent entries count as zero: sums are divided by the documents of the slot.
     """
-    if "part" in weights.columns:
+    if layout_of(weights) is not None:
         places = choices.select("doc_id", "slots", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         # only the choices move; hashing them per bucket spares sorting the weights
         rows = weights.join(places.hint("shuffle_hash"), ["doc_id", "part"])
@@ -228,10 +232,9 @@ def _means(weights: DataFrame, choices: DataFrame) -> DataFrame:
     )
 
 
-def _losses(scores: DataFrame, choices: DataFrame, k: int) -> DataFrame:
-    """Sum of 1 - similarity to the chosen slot, per restart."""
-    own = scores.select("doc_id", "sims").join(choices.select("doc_id", "slots"), "doc_id")
-    own = own.select("sims", F.explode("slots").alias("slot"))
+def _losses(scores: DataFrame, k: int) -> DataFrame:
+    """Sum of 1 - similarity to the document's ``own`` slot, per restart."""
+    own = scores.select("sims", F.explode("own").alias("slot"))
     distance = 1 - F.coalesce(F.get("sims", F.col("slot")), F.lit(0.0))
     return own.groupBy(F.floor(F.col("slot") / k).cast("int").alias("restart")).agg(F.sum(distance).alias("loss"))
 
@@ -252,14 +255,14 @@ def assign(weights: DataFrame, centroids: DataFrame, k: int = 5) -> DataFrame:
     return choices.select("doc_id", F.get("slots", F.lit(0)).alias("cluster"))
 
 
-def _as_choices(classes: DataFrame) -> DataFrame:
-    return classes.select("doc_id", F.lit(1).alias("parts"), F.array("cluster").alias("slots"))
+def _as_choices(classes: DataFrame, weights: DataFrame) -> DataFrame:
+    return _parts(classes.select("doc_id", F.array("cluster").alias("slots")), layout_of(weights))
 
 
 def update(weights: DataFrame, classes: DataFrame) -> DataFrame:
     """New centroids: the mean raw vector of each cluster that has documents."""
-    plain = weights if is_stored(weights) else weights.select("term_id", "doc_id", "weight")
-    return _means(plain, _as_choices(classes)).withColumnRenamed("slot", "cluster")
+    plain = weights if is_stored(weights) or layout_of(weights) else weights.select("term_id", "doc_id", "weight")
+    return _means(plain, _as_choices(classes, weights)).withColumnRenamed("slot", "cluster")
 
 
 def loss(weights: DataFrame, classes: DataFrame, centroids: DataFrame, k: int = 5) -> DataFrame:
@@ -267,8 +270,9 @@ def loss(weights: DataFrame, classes: DataFrame, centroids: DataFrame, k: int =
 
     A document or centroid of length zero counts with distance 1.
     """
-    scores = _score(weights, centroids.withColumnRenamed("cluster", "slot"), k)
-    return _losses(scores, _as_choices(classes), k).select("loss")
+    choices = _as_choices(classes, weights)
+    scores = _score(weights, centroids.withColumnRenamed("cluster", "slot"), k, carry=choices)
+    return _losses(scores, k).select("loss")
 
 
 def cluster_top_terms(centroids: DataFrame, n: int = 10, by: list[str] | None = None) -> DataFrame:
@@ -341,22 +345,21 @@ def kmeans_fit(
 
     The weights are laid out once (``triples`` as in ``lay_out``); a pass then moves only partial sums and one
     row per document. The scores against the new centroids give both this
-    pass's loss and the next pass's classes, so each pass scores once. The
-    results of each pass are written tables; its scores are deleted when the
-    next pass has used them.
+    pass's loss and the next pass's classes, so each pass scores once, and
+    writes them and the classes in one row per document.
     """
     points = lay_out(weights, triples)
     by_term = TermLayout(points)
-    scores = written(_score(points, centroids.withColumnRenamed("cluster", "slot"), k, by_term))
+    start = centroids.withColumnRenamed("cluster", "slot")
+    state = written(_choose(_score(points, start, k, by_term), k))
     classes, centers, losses = [], [], []
     for _ in range(iterations):
-        choices = written(_choose(scores, k))
-        drop_written(scores)
-        center = written(_means(points, choices))
-        scores = written(_score(points, center, k, by_term))
-        classes.append(choices.select("doc_id", F.get("slots", F.lit(0)).alias("cluster")))
+        center = written(_means(points, state))
+        classes.append(state.select("doc_id", F.get("slots", F.lit(0)).alias("cluster")))
         centers.append(center.withColumnRenamed("slot", "cluster"))
-        losses.append(written(_losses(scores, choices, k).select("loss")))
+        # one row per document: its class so far, its similarities now, its next class
+        state = written(_choose(_score(points, center, k, by_term, state), k))
+        losses.append(written(_losses(state, k).select("loss")))
     all_centers = _tagged(centers)
     top = cluster_top_terms(all_centers, n_top, by=["iteration"])
     return KMeansRun(_tagged(classes), all_centers, _tagged(losses), top)
@@ -380,23 +383,23 @@ def kmeans_restarts(
     slot = (F.col("restart") * k + F.col("cluster")).alias("slot")
     start = initial_centroids(vocabulary, k, method, seed, restarts).select(slot, "term_id", "weight")
     by_term = TermLayout(points)
-    choices = _choose(written(_score(points, start, restarts * k, by_term)), k, restarts)
-    center = written(_means(points, choices))
-    losses = _losses(_score(points, center, restarts * k, by_term), choices, k)
+    state = written(_choose(_score(points, start, restarts * k, by_term), k, restarts))
+    center = written(_means(points, state))
+    losses = _losses(_score(points, center, restarts * k, by_term, state), k)
 
     run, cluster = F.floor(F.col("slot") / k).cast("int"), F.pmod("slot", F.lit(k))
-    classes = choices.select("doc_id", F.explode("slots").alias("slot"))
+    classes = state.select("doc_id", F.explode("slots").alias("slot"))
     classes = classes.select(run.alias("iteration"), "doc_id", cluster.alias("cluster"))
     centroids = center.select(run.alias("iteration"), cluster.alias("cluster"), "term_id", "weight")
     top = cluster_top_terms(centroids, n_top, by=["iteration"])
     return KMeansRun(classes, centroids, losses.withColumnRenamed("restart", "iteration"), top)
 
 
-def _best_dense(rows: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
-    """``rows`` (key, vector, length, best) with ``best`` raised by the centroids, one array for every task."""
-    scaled = centroids.withColumn("length", norm(F.col("vector")))
-    unit = F.transform("vector", lambda x: F.try_divide(x, F.col("length"))).alias("unit")
-    table = scaled.select("cluster", unit).agg(F.array_sort(F.collect_list(F.struct("cluster", "unit")))).scalar()
+def _best_dense(rows: DataFrame, block: list[tuple[int, list[float]]], key: str) -> DataFrame:
+    """``rows`` (key, vector, length, best) with ``best`` raised by a block of (cluster, unit vector)."""
+    # parsed once when the plan is made, from text, in which a double keeps its value
+    matrix = json.dumps([{"cluster": c, "unit": unit} for c, unit in block])
+    table = F.from_json(F.lit(matrix), "array<struct<cluster:int,unit:array<double>>>")
 
     def ranked(center: Column) -> Column:
         similarity = F.try_divide(dot(center["unit"], F.col("vector")), F.col("length"))
@@ -406,8 +409,7 @@ def _best_dense(rows: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
             similarity.alias("similarity"),
         )
 
-    rows = rows.select("*", table.alias("all"))
-    best = F.array_max(F.filter(F.transform("all", ranked), lambda s: s["similarity"] > 0))
+    best = F.array_max(F.filter(F.transform(table, ranked), lambda s: s["similarity"] > 0))
     return rows.select(key, "vector", "length", F.greatest("best", best).alias("best"))
 
 
@@ -429,10 +431,14 @@ def assign_dense(vectors: DataFrame, centroids: DataFrame, key: str = "doc_id")
         if blocks[-1] and not below_broadcast_limit(spark, sum(sizes[c] for c in [*blocks[-1], cluster])):
             blocks.append([])
         blocks[-1].append(cluster)
+    scaled = centroids.select("cluster", "vector", norm(F.col("vector")).alias("length"))
+    unit = scaled.select("cluster", F.transform("vector", lambda x: F.try_divide(x, F.col("length"))).alias("unit"))
     none = F.lit(None).cast("struct<rounded:double,minus:bigint,similarity:double>").alias("best")
     rows = vectors.select(key, "vector", norm(F.col("vector")).alias("length"), none)
     for number, block in enumerate(blocks):
-        rows = _best_dense(written(rows) if number else rows, centroids.filter(F.col("cluster").isin(block)), key)
+        some = unit if len(blocks) == 1 else unit.filter(F.col("cluster").isin(block))
+        found = [(r.cluster, r.unit) for r in some.collect()]  # a block: below the broadcast limit
+        rows = _best_dense(written(rows) if number else rows, sorted(found), key)
     return rows.select(
         key,
         F.coalesce(-F.col("best.minus"), F.lit(0)).cast("int").alias("cluster"),

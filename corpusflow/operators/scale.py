@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import uuid
+import warnings
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +21,9 @@ HOT_ROWS = 4_000_000
 HOT_LIST_BYTES = 256 * 1024 * 1024
 # Input bytes per shuffle partition: the counts of a text take about its own size.
 SHUFFLE_BYTES = 128 * 1024 * 1024
+# Rows of a table of marks, 4 KB (32,768 bits) each: 8 MB, whatever it marks.
+MARK_ROWS = 2048
+
 
 def _setting(spark: SparkSession, name: str, default: int) -> int:
     return int(spark.conf.get(f"spark.corpusflow.{name}", str(default)))
@@ -33,7 +37,10 @@ def _work_folder(spark: SparkSession) -> str:
     warehouse, which a cluster shares too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local[") and "://" not in base.removeprefix("file:"):
+            warnings.warn(f"spark.checkpoint.dir is not set: tables go to {base}, which all executors must share", stacklevel=3)
     return f"{base.rstrip('/')}/corpusflow-{spark.sparkContext.applicationId}"
 
 
@@ -47,15 +54,29 @@ def remove_written(spark: SparkSession) -> None:
     _delete(spark, _work_folder(spark))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a written table: computed once, lineage cut, safe from executor loss."""
+def written(df: DataFrame, **metrics: Column) -> DataFrame:
+    """``df`` as a written table: computed once, lineage cut, safe from executor loss.
+
+    ``metrics`` are aggregates taken while the rows are written; the table has
+    their values as ``observed``, which spares a job over it.
+    """
     path = table_path(df.sparkSession)
-    df.write.parquet(path)
+    if metrics:
+        seen = Observation()
+        df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).write.parquet(path)
+    else:
+        df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.written_path = path  # results of operations on the table do not have this
+    table.observed = dict(seen.get) if metrics else {}
     return table
 
 
+def written_lookup(df: DataFrame) -> DataFrame:
+    """``written`` for a lookup (flat columns): its rows and bytes are taken on the way, for ``fits_broadcast``."""
+    return written(df, rows=F.count(F.lit(1)), bytes=table_bytes(df))
+
+
 def is_stored(df: DataFrame) -> bool:
     """Whether ``df`` is itself a result of ``written``: reading it again costs a scan, not its plan."""
     return hasattr(df, "written_path")
@@ -81,13 +102,17 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def size_shuffles(spark: SparkSession, path: str) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to suit the files below ``path``; return the setting.
+def scan_bytes(scan: DataFrame) -> int:
+    """Bytes of the files of a table just read, from the listing that reading it has made."""
+    return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def size_shuffles(scan: DataFrame) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to suit the files of ``scan``; return the setting.
 
     A session setting that is higher stays. AQE joins partitions that turn out small.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    size = files.agg(F.sum("length")).first()[0] or 0  # reads file names and lengths only
+    spark, size = scan.sparkSession, scan_bytes(scan)
     wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / SHUFFLE_BYTES))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
@@ -103,7 +128,8 @@ def _column_bytes(field: T.StructField) -> Column:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Measure ``df`` (flat columns only) and compare it with the broadcast limit."""
-    return below_broadcast_limit(df.sparkSession, df.agg(table_bytes(df)).first()[0])
+    size = getattr(df, "observed", {}).get("bytes")
+    return below_broadcast_limit(df.sparkSession, df.agg(table_bytes(df)).first()[0] if size is None else size)
 
 
 def table_bytes(df: DataFrame) -> Column:
@@ -137,28 +163,33 @@ def with_parts(rows: DataFrame, hot: DataFrame, key: list[str]) -> DataFrame:
     ``hot`` is a written result of ``hot_keys``. Its size is checked: a list
     beyond ``hotListBytes`` is joined by shuffle, where AQE splits large keys.
     """
-    size = hot.agg(table_bytes(hot)).first()[0]
+    size = getattr(hot, "observed", {}).get("bytes")
+    size = hot.agg(table_bytes(hot)).first()[0] if size is None else size
     small = size <= _setting(rows.sparkSession, "hotListBytes", HOT_LIST_BYTES)
     return rows.join(F.broadcast(hot) if small else hot, key, "left")
 
 
-def salted_join(rows: DataFrame, lookup: DataFrame, key: list[str], how: str) -> DataFrame:
+def salted_join(rows: DataFrame, lookup: DataFrame, key: list[str], how: str, distinct: bool = False) -> DataFrame:
     """Shuffle join in which the rows of a hot key are dealt out over several tasks.
 
     ``lookup`` has one row per key; only its rows for hot keys are repeated. A
     row's part comes from a hash of its content and its place in ``rows``, a
     written table: equal rows are dealt out too, and a task that is run again
     deals its rows the same way. ``rows`` is read three times.
+
+    ``distinct`` drops repeated rows in the same pass: the place is left out of
+    the hash, so that equal rows meet where they are joined.
     """
     hot = hot_keys(rows, key)
     if hot is None:
-        return rows.join(lookup, key, how)
-    hot = written(hot)
+        joined = rows.join(lookup, key, how)
+        return joined.distinct() if distinct else joined
+    hot = written_lookup(hot)
     parts = F.coalesce("_parts", F.lit(1))
-    placed = rows.select("*", F.col("_metadata.row_index").alias("_row"))
+    placed = rows if distinct else rows.select("*", F.col("_metadata.row_index").alias("_row"))
     dealt = (
         with_parts(placed, hot, key)
-        .withColumn("_part", F.pmod(F.xxhash64(*rows.columns, "_row"), parts).cast("int"))
+        .withColumn("_part", F.pmod(F.xxhash64(*placed.columns), parts).cast("int"))
         .drop("_parts", "_row")
     )
     copies = (
@@ -166,7 +197,9 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: list[str], how: str) ->
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_parts")
     )
-    return dealt.join(copies, [*key, "_part"], how).drop("_part")
+    joined = dealt.join(copies, [*key, "_part"], how)
+    # the join has put equal rows of a part together: this moves nothing
+    return (joined.distinct() if distinct else joined).drop("_part")
 
 
 def lookup_join(
@@ -191,6 +224,34 @@ def lookup_join(
     return salted_join(rows if stored or is_stored(rows) else written(rows), lookup, key, how)
 
 
+def _mark(columns: list[Column]) -> tuple[Column, Column]:
+    """Row and bit of the marks of a key."""
+    key = F.xxhash64(*columns)
+    return F.pmod(key, F.lit(MARK_ROWS)), F.pmod(F.shiftright(key, 16), F.lit(32768)).cast("int")
+
+
+def marks(keys: DataFrame, *columns: str) -> DataFrame:
+    """Written table of marks for all keys: bits at their hashes, at most 8 MB.
+
+    It tells most rows without a partner before a shuffle. At very many keys
+    more rows pass; the join behind it decides.
+    """
+    row, bit = _mark([F.col(c) for c in columns])
+    bits = keys.select(row.alias("_mark_row"), bit.alias("_bit")).groupBy("_mark_row")
+    bits = bits.agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    word = lambda i: F.conv(F.hex(F.substring("_bits", i * 4 + 1, F.lit(4))), 16, 10).cast("bigint")
+    return written(bits.select("_mark_row", F.transform(F.sequence(F.lit(0), F.lit(1023)), word).alias("_marks")))
+
+
+def marked(rows: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """The rows whose key has a mark: all that ``marks`` has seen, and few others."""
+    row, bit = _mark([F.col(c) for c in columns])
+    # a byte has its lowest bit first, a word of four bytes its first byte on top
+    is_set = F.expr("shiftright(get(_marks, _bit div 32), 8 * (3 - _bit div 8 % 4) + _bit % 8) & 1 = 1")
+    found = rows.select("*", row.alias("_mark_row"), bit.alias("_bit")).join(F.broadcast(table), "_mark_row")
+    return found.filter(is_set).select(*rows.columns)
+
+
 def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
     """Add ``name``: 1, 2, 3, ... in the order of the unique column ``order``.
 
@@ -198,15 +259,16 @@ def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
     in its file plus the rows of the files before. Only one row per file meets
     in a single task.
     """
-    path = table_path(df.sparkSession)
-    df.orderBy(order).write.parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = written_lookup(df.orderBy(order))
+    rows, size = stored.observed["rows"], stored.observed["bytes"]
     stored = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     sizes = stored.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     # a task may write several files: they share the part number and differ in the sequence number
     place = [F.regexp_extract("_file", pattern, 1).cast("int") for pattern in (r"^part-(\d+)", r"-c(\d+)\.")]
     in_order = Window.orderBy(*place, "_file").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = sizes.select("_file", (F.sum("_n").over(in_order) - F.col("_n")).alias("_before"))
-    return stored.join(F.broadcast(before), "_file").select(
+    found = stored.join(F.broadcast(before), "_file").select(
         *df.columns, (F.col("_before") + F.col("_row") + 1).alias(name)
     )
+    found.observed = {"rows": rows, "bytes": size + 8 * rows}
+    return found

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from .scale import fits_broadcast, lookup_join, numbered
+from .layout import ByDocument, by_document, counted, hot_documents
+from .scale import fits_broadcast, lookup_join, marked, marks, numbered, salted_join, written
 
 
 def tokenize(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -34,6 +35,32 @@ def encode_documents(lines: DataFrame, doc_dict: DataFrame, **known: bool) -> Da
     return lookup_join(lines, doc_dict.select("doc_name", "doc_id"), "doc_name", **known).drop("doc_name")
 
 
+def _document_lines(corpus: DataFrame, doc_dict: DataFrame | None, text: str) -> tuple[DataFrame, bool]:
+    """Lines of the corpus, with ids if the documents need no dictionary or a small one, and whether they have them."""
+    if doc_dict is None:
+        return corpus.select("doc_id", text), True
+    lines = corpus.select("doc_name", text)
+    if fits_broadcast(doc_dict):
+        return encode_documents(lines, doc_dict, small=True), True
+    return lines, False
+
+
+def _early(
+    rows: DataFrame, stop_words: DataFrame | None, term_dict: DataFrame | None
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Tokens after the lists that are small enough to be broadcast, and the lists that are left."""
+    stop_first, terms_first = [d is not None and fits_broadcast(d) for d in (stop_words, term_dict)]
+    if stop_first:
+        rows, stop_words = remove_stop_words(rows, stop_words, small=True), None
+    # a stop word may be in the dictionary, so ids cannot come before the stop words
+    if terms_first and stop_words is None:
+        return encode_terms(rows, term_dict, small=True), None, None
+    if term_dict is not None:
+        # words outside the dictionary go before the counts move; the join behind decides
+        rows = marked(rows, marks(term_dict, "term"), "term")
+    return rows, stop_words, term_dict
+
+
 def term_frequency(
     corpus: DataFrame,
     stop_words: DataFrame | None = None,
@@ -47,32 +74,43 @@ def term_frequency(
     ``doc_id``. Lists small enough to broadcast act on the lines and the single
     tokens, before anything is shuffled. A larger list is joined after the
     tokens have been counted: text is never shuffled for it, and the join meets
-    one row per document and word.
+    one row per document and word. Of the words outside a large term dictionary
+    few are counted: marks of fixed size tell most of them.
     """
-    doc = "doc_id" if doc_dict is None else "doc_name"
-    docs_first, stop_first, terms_first = [d is not None and fits_broadcast(d) for d in (doc_dict, stop_words, term_dict)]
-    # a stop word may be in the dictionary, so ids cannot come before the stop words
-    terms_first = terms_first and (stop_words is None or stop_first)
-
-    rows = corpus.select(doc, text)
-    if docs_first:
-        rows = encode_documents(rows, doc_dict, small=True)
-    rows = tokenize(rows, text)
-    if stop_first:
-        rows = remove_stop_words(rows, stop_words, small=True)
-    if terms_first:
-        rows = encode_terms(rows, term_dict, small=True)
+    lines, known = _document_lines(corpus, doc_dict, text)
+    rows, stop_left, terms_left = _early(tokenize(lines, text), stop_words, term_dict)
     rows = rows.groupBy(*reversed(rows.columns)).agg(F.count(F.lit(1)).alias("freq"))
 
-    if doc_dict is not None and not docs_first:
+    if not known:
         rows = encode_documents(rows, doc_dict, small=False)
-    if stop_words is not None and not stop_first:
-        rows = remove_stop_words(rows, stop_words, small=False)
-    if term_dict is not None and not terms_first:
-        rows = encode_terms(rows, term_dict)
+    if stop_left is not None:
+        rows = remove_stop_words(rows, stop_left, small=False)
+    if terms_left is not None:
+        rows = encode_terms(rows, terms_left)
     return rows.select("term" if term_dict is None else "term_id", "doc_id", "freq")
 
 
+def counts_by_document(
+    corpus: DataFrame,
+    stop_words: DataFrame | None = None,
+    term_dict: DataFrame | None = None,
+    doc_dict: DataFrame | None = None,
+    text: str = "value",
+) -> ByDocument:
+    """``term_frequency`` as a layout by document: (term, doc_id, freq, part).
+
+    With lists that can be broadcast the tokens are dealt out by document and
+    counted there, one shuffle in all. Larger lists are joined with the counts
+    first, as in ``term_frequency``, and the rest is laid out.
+    """
+    term = "term" if term_dict is None else "term_id"
+    lines, known = _document_lines(corpus, doc_dict, text)
+    rows, stop_left, terms_left = _early(tokenize(lines, text), stop_words, term_dict)
+    if known and stop_left is None and terms_left is None:
+        return counted(rows, term, hot_documents(lines, text))
+    return by_document(term_frequency(corpus, stop_words, term_dict, doc_dict, text), term=term)
+
+
 def vocabulary(terms: DataFrame) -> DataFrame:
     """A term dictionary from the distinct values of ``term``: id 1..n by alphabet."""
     return numbered(terms.select("term").distinct(), "term", "term_id")
@@ -93,6 +131,11 @@ def suitable_words(tokens: DataFrame, min_total: int = 3) -> DataFrame:
     return totals.filter(F.col("total") >= min_total)
 
 
+def term_statistics(triples: DataFrame, term: str = "term_id") -> DataFrame:
+    """(term, total, df) of unique triples: occurrences and documents of each term in one pass."""
+    return triples.groupBy(term).agg(F.sum("freq").alias("total"), F.count(F.lit(1)).alias("df"))
+
+
 def eliminate_terms(
     triples: DataFrame, suitable: DataFrame, term: str = "term_id", unique_input: bool = False
 ) -> DataFrame:
@@ -100,13 +143,18 @@ def eliminate_terms(
 
     ``unique_input`` skips the distinct (a shuffle of all rows) for a written
     table of unique triples, such as the stored result of ``term_frequency``.
+    Beyond a broadcast, marks of fixed size drop most rows of other terms; the
+    rest is dealt out by term, a hot term by document, too, and joined and made
+    distinct there in one shuffle. Copies of one triple meet in one task.
     """
     triples, kept = triples.select(term, "doc_id", "freq"), suitable.select(term)
+    if fits_broadcast(suitable):
+        rows = lookup_join(triples, kept, term, "left_semi", small=True)
+        return rows if unique_input else rows.distinct()
     if unique_input:
-        return lookup_join(triples, kept, term, "left_semi", stored=True)
-    if fits_broadcast(kept):
-        return lookup_join(triples, kept, term, "left_semi", small=True).distinct()
-    return lookup_join(triples.distinct(), kept, term, "left_semi", small=False)
+        return lookup_join(triples, kept, term, "left_semi", stored=True, small=False)
+    rows = written(marked(triples, marks(kept, term), term))
+    return salted_join(rows, kept, [term], "left_semi", distinct=True)
 
 
 def top_terms(totals: DataFrame, k: int = 10, term: str = "term_id") -> DataFrame:

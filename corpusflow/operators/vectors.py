@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scale import below_broadcast_limit, lookup_join, numbered, written
+from .scale import below_broadcast_limit, is_stored, lookup_join, numbered, written
 
 # Terms in one row of a dense vector, about 1 MB.
 BLOCK_TERMS = 65_536
@@ -44,32 +46,39 @@ def to_dense_vectors(
     term_id) defaults to the terms of ``weights``; other terms of ``weights``
     are dropped, their documents stay. The result has documents x terms cells:
     it is an export form, clustering works on the sparse rows.
+
+    The entries of a block are sorted where they meet; each becomes the zeros
+    since the one before and itself, so a block is filled by place without a
+    look at its cells. The weights are written once if they are not stored.
     """
+    if not is_stored(weights):
+        weights = written(weights.select("term_id", "doc_id", "weight"))
     source = weights if vocabulary is None else vocabulary
     places = numbered(source.select("term_id").distinct(), "term_id", "place")
-    at = F.col("place") - 1
-    places = written(
-        places.select("term_id", F.floor(at / block_terms).alias("block"), F.pmod(at, F.lit(block_terms)).alias("at"))
-    )
-    blocks = written(
-        places.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "term_id")))["term_id"].alias("terms"))
-    )
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(blocks.count(), 1) - 1).cast("bigint")))
-    grid = weights.select("doc_id").distinct().select("doc_id", every.alias("block"))
-    entries = F.array_sort(F.collect_list(F.struct("at", "weight")))
-    found = lookup_join(weights, places, "term_id").groupBy("doc_id", "block").agg(entries.alias("e"))
-    # a block stands against all documents: small tables of blocks are broadcast, AQE splits larger ones
-    size = below_broadcast_limit(weights.sparkSession, 16 * places.count())
-    rows = grid.join(found, ["doc_id", "block"], "left").join(F.broadcast(blocks) if size else blocks, "block")
-
-    def after_gap(entry, i):
-        # zeros since the previous entry, then the entry itself
-        previous = F.when(i == 0, F.lit(-1).cast("bigint")).otherwise(F.get("e", i - 1)["at"])
-        return F.concat(F.array_repeat(F.lit(0.0), (entry["at"] - previous - 1).cast("int")), F.array(entry["weight"]))
+    n_terms, at = places.observed["rows"], F.col("place") - 1
+    size = {"rows": n_terms, "bytes": places.observed["bytes"] + 8 * n_terms}
+    places = places.select("term_id", F.floor(at / block_terms).alias("block"), F.pmod(at, F.lit(block_terms)).alias("at"))
+    small = below_broadcast_limit(weights.sparkSession, size["bytes"])
+    if not small:
+        places = written(places)
+    blocks = places.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "term_id")))["term_id"].alias("term_id"))
 
-    filled = F.coalesce(F.flatten(F.transform("e", after_gap)), F.array().cast("array<double>"))
-    tail = F.array_repeat(F.lit(0.0), F.size("terms") - F.size(filled))
-    labelled = F.zip_with(
-        "terms", F.concat(filled, tail), lambda t, w: F.struct(t.alias("term_id"), w.alias("weight"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(math.ceil(n_terms / block_terms), 1) - 1).cast("bigint")))
+    none = [F.lit(None).cast("bigint").alias("at"), F.lit(None).cast("double").alias("weight")]
+    grid = weights.select("doc_id").distinct().select("doc_id", every.alias("block"), *none)
+    found = lookup_join(weights, places, "term_id", stored=True, small=small).select("doc_id", "block", "at", "weight")
+    before = F.lag("at").over(Window.partitionBy("doc_id", "block").orderBy("at"))  # the row of the grid comes first
+    gap = (F.col("at") - F.coalesce(before, F.lit(-1)) - 1).cast("int")
+    piece = F.concat(F.array_repeat(F.lit(0.0), gap), F.array("weight"))
+    pieces = found.unionByName(grid).select("doc_id", "block", "at", piece.alias("piece"))
+    entry = F.when(F.col("at").isNotNull(), F.struct("at", "piece"))
+    rows = pieces.groupBy("doc_id", "block").agg(
+        F.array_sort(F.collect_list(entry))["piece"].alias("pieces"), (F.coalesce(F.max("at"), F.lit(-1)) + 1).alias("filled")
     )
-    return rows.select("doc_id", "block", labelled.alias("vector"))
+    # a block stands against all documents: small tables of blocks are broadcast, AQE splits larger ones
+    rows = rows.join(F.broadcast(blocks) if small else blocks, "block")
+    nothing = F.array().cast("array<array<double>>")
+    filled = F.flatten(F.concat(nothing, "pieces"))
+    tail = F.array_repeat(F.lit(0.0), (F.size("term_id") - F.col("filled")).cast("int"))
+    rows = rows.select("doc_id", "block", "term_id", F.concat(filled, tail).alias("weight"))
+    return rows.select("doc_id", "block", F.arrays_zip("term_id", "weight").alias("vector"))

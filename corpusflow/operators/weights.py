@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scale import lookup_join, written
+from .layout import ByDocument, look_up
+from .scale import below_broadcast_limit, fits_broadcast, lookup_join, written, written_lookup
 
 
 def document_frequency(triples: DataFrame, term: str = "term_id") -> DataFrame:
@@ -17,14 +18,17 @@ def _log_ratio(n_docs: int) -> Column:
     return F.log(F.lit(float(n_docs)) / F.col("df")).alias("idf")
 
 
-def idf(triples: DataFrame, n_docs: int | None = None, term: str = "term_id") -> DataFrame:
+def idf(
+    triples: DataFrame, n_docs: int | None = None, term: str = "term_id", df: DataFrame | None = None
+) -> DataFrame:
     """Natural log of ``n_docs / df``, unsmoothed.
 
-    ``n_docs`` defaults to the number of documents that occur in ``triples``.
+    ``n_docs`` defaults to the number of documents that occur in ``triples``;
+    ``df`` (term, df), if it is at hand, spares counting the documents of each term.
     """
     if n_docs is None:
         n_docs = triples.select("doc_id").distinct().count()
-    return document_frequency(triples, term).select(term, _log_ratio(n_docs))
+    return (document_frequency(triples, term) if df is None else df).select(term, _log_ratio(n_docs))
 
 
 def doc_length(triples: DataFrame) -> DataFrame:
@@ -60,3 +64,33 @@ def tf_idf(
     rows = lookup_join(triples.drop("copies"), lengths, "doc_id", stored=True)
     rows = lookup_join(rows, written(rarity), term)
     return rows.select(term, "doc_id", (F.col("freq") / F.col("n_terms") * F.col("idf")).alias("weight"))
+
+
+def tf_idf_by_document(
+    triples: ByDocument,
+    n_docs: int | None = None,
+    term: str = "term_id",
+    df: DataFrame | None = None,
+) -> ByDocument:
+    """``tf_idf`` of a layout of unique triples; the result has the same layout.
+
+    Lengths are summed and joined bucket by bucket. ``df`` (term, df), if it is
+    at hand, spares counting the documents of each term; rows of other terms are
+    harmless. Only where the idf is too large for a broadcast the triples move,
+    once by term and once back.
+    """
+    if df is None:
+        df = document_frequency(triples.rows, term)
+    number = triples.documents().agg(F.count(F.lit(1)).alias("n")).scalar() if n_docs is None else F.lit(n_docs)
+    known = getattr(df, "observed", {}).get("rows")
+    rarity = df.select(term, F.log(number.cast("double") / F.col("df")).alias("idf"))
+    if known is None:
+        rarity = written_lookup(rarity)
+        small = fits_broadcast(rarity)
+    else:
+        small = below_broadcast_limit(triples.rows.sparkSession, df.observed["bytes"])
+        rarity = rarity if small else written(rarity)
+    weight = F.col("freq") / F.col("n_terms") * F.col("idf")
+    sized = triples.having(triples.join_sums(F.sum("freq").alias("n_terms")))
+    found = look_up(sized, rarity, term, small=small)
+    return found.having(found.rows.select(term, "doc_id", weight.alias("weight"), "part"))

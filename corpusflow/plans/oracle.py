@@ -183,8 +183,9 @@ ORACLE: dict[str, str] = {
     ),
     "dense_vectors_subset": _with(
         *DICT_WEIGHTS,
+        f"spoken AS (SELECT DISTINCT unnest({_SPLIT}) AS term FROM conversations)",
         "places AS (SELECT term_id, (row_number() OVER (ORDER BY term_id) - 1) // 20 AS block"
-        " FROM vocabulary WHERE term_id % 3 = 0)",
+        " FROM vocabulary WHERE term_id IN (SELECT term_id FROM dictionary JOIN spoken USING (term)))",
         select="SELECT doc_id, block, count(*) AS cells, round(sum(coalesce(weight, 0)), 6) AS total"
         " FROM lengths CROSS JOIN places LEFT JOIN weights USING (doc_id, term_id) GROUP BY doc_id, block",
     ),

@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import clustering, scale, terms, weights
+from ..operators.layout import ByDocument, look_up
 
 
 @dataclass
@@ -16,6 +18,16 @@ class Weighted:
     vocabulary: DataFrame
     triples: DataFrame
     weights: DataFrame
+    layout: ByDocument | None = None
+
+    def points(self) -> DataFrame:
+        """The weights written once, laid out by document; they are ``weights`` from then on."""
+        if clustering.layout_of(self.weights) is None:
+            if self.layout is None:
+                self.weights = clustering.lay_out(self.weights, self.triples)
+            else:
+                self.weights = clustering.lay_out(self.layout)
+        return self.weights
 
 
 def weigh(
@@ -34,6 +46,9 @@ def weigh(
     reading text again costs less than to shuffle and store the counts of all
     words, most of which are rare. (If documents have to be looked up too, the
     counts are stored after all, as the lookup may be too large for two passes.)
+
+    The counts are laid out by document by the shuffle that makes them, and the
+    weights stay where they are.
     """
     if term_dict is None and doc_dict is None:
         tokens = terms.tokenize(corpus.select("value"))
@@ -45,17 +60,23 @@ def weigh(
             if stop_words is not None:
                 suitable = terms.remove_stop_words(scale.written(suitable), stop_words, stored=True, small=False)
         vocabulary = terms.vocabulary(suitable)
-        triples = terms.term_frequency(corpus, stop_words, term_dict=vocabulary)
+        triples = terms.counts_by_document(corpus, stop_words, term_dict=vocabulary)
+        layout = weights.tf_idf_by_document(triples, n_docs)
     else:
-        counts = scale.written(terms.term_frequency(corpus, stop_words, term_dict, doc_dict))
+        triples = terms.counts_by_document(corpus, stop_words, term_dict, doc_dict)
+        name = "term" if term_dict is None else "term_id"
+        known = terms.term_statistics(triples.rows, name).filter(F.col("total") >= min_total)
         if term_dict is None:
-            vocabulary = terms.vocabulary(terms.suitable_terms(counts, min_total, term="term"))
-            triples = terms.encode_terms(counts, vocabulary, stored=True).select("term_id", "doc_id", "freq")
+            vocabulary = terms.vocabulary(known.select("term"))
+            triples = look_up(triples, vocabulary, "term")
+            triples = triples.having(triples.rows.select("term_id", "doc_id", "freq", "part"))
+            layout = weights.tf_idf_by_document(triples, n_docs)
         else:
-            vocabulary = scale.written(terms.suitable_terms(counts, min_total))
-            triples = terms.eliminate_terms(counts, vocabulary, unique_input=True)
-    triples = scale.written(triples)
-    return Weighted(vocabulary, triples, weights.tf_idf(triples, n_docs, unique_input=True))
+            vocabulary = scale.written_lookup(known)
+            triples = look_up(triples, vocabulary.select("term_id"), "term_id", "left_semi", scale.fits_broadcast(vocabulary))
+            layout = weights.tf_idf_by_document(triples, n_docs, df=vocabulary)
+    flat = layout.rows.select("term_id", "doc_id", "weight")
+    return Weighted(vocabulary, triples.rows.select("term_id", "doc_id", "freq"), flat, layout)
 
 
 def start_centroids(weighted: Weighted, k: int, method: str, seed: int) -> DataFrame:
@@ -79,6 +100,5 @@ def cluster_corpus(
 ) -> clustering.KMeansRun:
     """From text to classes, centroids, loss and top terms of each pass."""
     weighted = weigh(corpus, stop_words, term_dict, doc_dict, min_total, n_docs)
-    weighted.weights = scale.written(weighted.weights)
-    start = start_centroids(weighted, k, method, seed)
-    return clustering.kmeans_fit(weighted.weights, start, k, iterations, triples=weighted.triples)
+    points = weighted.points()
+    return clustering.kmeans_fit(points, start_centroids(weighted, k, method, seed), k, iterations)

@@ -29,7 +29,7 @@ def _lists(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame
 
 
 def _corpus(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    lines = spark.read.parquet(args.input) if args.packed else sources.read_corpus(spark, args.input)
+    lines = sources.read_table(spark, args.input) if args.packed else sources.read_corpus(spark, args.input)
     # without a dictionary the name itself is the id
     return lines if args.docs else lines.withColumnRenamed("doc_name", "doc_id")
 
@@ -69,7 +69,7 @@ def dense_vectors(spark: SparkSession, args: argparse.Namespace) -> None:
     sinks.write_lines(sinks.vector_lines(vectors.to_dense_vectors(weighted)), args.output)
 
 
-def _write_run(run: clustering.KMeansRun, iterations: int, output: str) -> None:
+def _write_run(run: clustering.KMeansRun, iterations: int, output: str, entries_per_line: int | None) -> None:
     """``classes_i``, ``centers_i``, ``loss_i`` and ``top10_i`` for every pass."""
     for i in range(iterations):
 
@@ -77,36 +77,32 @@ def _write_run(run: clustering.KMeansRun, iterations: int, output: str) -> None:
             return table.filter(f"iteration = {i}").drop("iteration")
 
         sinks.write_pairs(of_pass(run.classes), f"{output}/classes_{i}")
-        sinks.write_lines(sinks.centroid_lines(of_pass(run.centroids)), f"{output}/centers_{i}")
+        sinks.write_lines(sinks.centroid_lines(of_pass(run.centroids), entries_per_line), f"{output}/centers_{i}")
         sinks.write_pairs(of_pass(run.loss).selectExpr("'Loss' AS name", "loss"), f"{output}/loss_{i}")
         sinks.write_lines(sinks.top_term_lines(of_pass(run.top_terms)), f"{output}/top10_{i}")
 
 
-def _cluster(weighted: Weighted, triples: DataFrame, args: argparse.Namespace, spark: SparkSession) -> None:
+def _cluster(weighted: Weighted, args: argparse.Namespace, spark: SparkSession) -> None:
+    points = weighted.points()
     if args.independent:
-        run = clustering.kmeans_restarts(
-            weighted.weights, weighted.vocabulary, args.k, args.iterations, args.method, args.seed, triples=triples
-        )
+        run = clustering.kmeans_restarts(points, weighted.vocabulary, args.k, args.iterations, args.method, args.seed)
     else:
         if args.centroids:
             start = sources.read_centroids(spark, args.centroids)
         else:
             start = start_centroids(weighted, args.k, args.method, args.seed)
-        run = clustering.kmeans_fit(weighted.weights, start, args.k, args.iterations, triples=triples)
-    _write_run(run, args.iterations, args.output)
+        run = clustering.kmeans_fit(points, start, args.k, args.iterations)
+    _write_run(run, args.iterations, args.output, args.entries_per_line)
 
 
 def kmeans(spark: SparkSession, args: argparse.Namespace) -> None:
     read = sources.read_weights if args.sparse else sources.read_vectors
     points = scale.written(read(spark, args.input))
-    _cluster(Weighted(points.select("term_id").distinct(), points, points), points, args, spark)
+    _cluster(Weighted(points.select("term_id").distinct(), points, points), args, spark)
 
 
 def pipeline(spark: SparkSession, args: argparse.Namespace) -> None:
-    weighted = weigh(_corpus(spark, args), **_lists(spark, args), min_total=args.min_total, n_docs=args.n_docs)
-    if args.method == "docs":
-        weighted.weights = scale.written(weighted.weights)  # read twice
-    _cluster(weighted, weighted.triples, args, spark)
+    _cluster(weigh(_corpus(spark, args), **_lists(spark, args), min_total=args.min_total, n_docs=args.n_docs), args, spark)
 
 
 def _clear(spark: SparkSession, path: str) -> None:
@@ -138,6 +134,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--seed", type=int, default=0)
         sub.add_argument("--method", choices=["uniform", "hash", "docs"], default="hash", help="random start, or documents")
         sub.add_argument("--centroids", help="file of centroids to start from")
+        sub.add_argument("--entries-per-line", type=int, help="entries of a centroid on one line (default: all)")
         sub.add_argument("--independent", action="store_true", help="every pass from fresh random centroids")
 
     lists(program(term_frequency, "corpus folder -> term doc<tab>freq"))
@@ -168,6 +165,5 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("corpusflow").getOrCreate()
     if getattr(args, "independent", False) and (args.centroids or args.method == "docs"):
         raise SystemExit("--independent makes its own random start")
-    scale.size_shuffles(spark, args.input)
     _clear(spark, args.output)
     args.run(spark, args)

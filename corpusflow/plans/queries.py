@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks, sources
 from ..operators import clustering, scale, terms, vectors, weights
+from ..operators.layout import ByDocument, look_up
 from .pipeline import Weighted, cluster_corpus, weigh
 
 STOP_WORDS = """
@@ -61,16 +62,17 @@ def open_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_frequency(corpus(spark, sf_dir), stop_words(spark))
 
 
-def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open counts without rare terms, as a written table."""
-    counts = scale.written(open_counts(spark, sf_dir))
-    suitable = scale.written(terms.suitable_terms(counts, term="term"))
-    return scale.written(terms.eliminate_terms(counts, suitable, "term", unique_input=True))
+def _kept(spark: SparkSession, sf_dir: str) -> tuple[ByDocument, DataFrame]:
+    """Open counts without rare terms, laid out by document, and the statistics of their terms."""
+    counts = terms.counts_by_document(corpus(spark, sf_dir), stop_words(spark))
+    known = scale.written_lookup(terms.term_statistics(counts.rows, "term").filter("total >= 3"))
+    return look_up(counts, known.select("term"), "term", "left_semi", scale.fits_broadcast(known)), known
 
 
 def _open_weights(spark: SparkSession, sf_dir: str) -> Weighted:
     weighted = weigh(corpus(spark, sf_dir), stop_words(spark))
-    return Weighted(weighted.vocabulary, weighted.triples, scale.written(weighted.weights))
+    weighted.points()
+    return weighted
 
 
 def _dictionary_weights(spark: SparkSession, sf_dir: str) -> Weighted:
@@ -142,7 +144,7 @@ def document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def eliminated_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every triple is given twice and comes out once."""
     counts = scale.written(open_counts(spark, sf_dir))
-    suitable = scale.written(terms.suitable_terms(counts, term="term"))
+    suitable = scale.written_lookup(terms.suitable_terms(counts, term="term"))
     return terms.eliminate_terms(counts.unionByName(counts), suitable, "term")
 
 
@@ -171,7 +173,7 @@ def suitable_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eliminated_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = scale.written(open_counts(spark, sf_dir))
-    return terms.eliminate_terms(counts, scale.written(terms.suitable_terms(counts, term="term")), "term")
+    return terms.eliminate_terms(counts, scale.written_lookup(terms.suitable_terms(counts, term="term")), "term")
 
 
 def top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,25 +181,27 @@ def top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weights.document_frequency(_kept(spark, sf_dir), "term")
+    return weights.document_frequency(_kept(spark, sf_dir)[0].rows, "term")
 
 
 def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weights.idf(_kept(spark, sf_dir), term="term").select("term", _rounded("idf"))
+    kept, known = _kept(spark, sf_dir)
+    return weights.idf(kept.rows, kept.documents().count(), "term", known).select("term", _rounded("idf"))
 
 
 def doc_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weights.doc_length(_kept(spark, sf_dir))
+    return weights.doc_length(_kept(spark, sf_dir)[0].rows)
 
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weighted = weights.tf_idf(_kept(spark, sf_dir), term="term", unique_input=True)
-    return weighted.select("term", "doc_id", _rounded("weight"))
+    kept, known = _kept(spark, sf_dir)
+    weighted = weights.tf_idf_by_document(kept, term="term", df=known)
+    return weighted.rows.select("term", "doc_id", _rounded("weight"))
 
 
 def tf_idf_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every triple is given twice."""
-    triples = _kept(spark, sf_dir)
+    triples = _kept(spark, sf_dir)[0].rows.select("term", "doc_id", "freq")
     weighted = weights.tf_idf(triples.unionByName(triples), term="term")
     return weighted.select("term", "doc_id", _rounded("weight"))
 
@@ -219,10 +223,12 @@ def dense_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_vectors_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense rows over a third of the vocabulary, in blocks of 20 terms; other documents keep zero rows."""
+    """Dense rows over the terms that occur in conversations, in blocks of 20; other documents keep zero rows."""
     weighted = _dictionary_weights(spark, sf_dir)
-    third = weighted.vocabulary.filter("term_id % 3 = 0")
-    dense = vectors.to_dense_vectors(scale.written(weighted.weights), third, block_terms=20)
+    said = terms.tokenize(_table(spark, sf_dir, "conversations").select(F.col("text").alias("value"))).distinct()
+    spoken = terms.encode_terms(said, term_dictionary(spark, sf_dir))
+    part = weighted.vocabulary.join(spoken, "term_id", "left_semi")
+    dense = vectors.to_dense_vectors(weighted.weights, part, block_terms=20)
     total = F.aggregate("vector", F.lit(0.0), lambda acc, e: acc + e["weight"])
     cells = F.size("vector").cast("bigint").alias("cells")
     return dense.select("doc_id", "block", cells, F.round(total, 6).alias("total"))
@@ -349,18 +355,17 @@ def kmeans_iterations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/centers").select("iteration", "cluster", "term_id", _rounded("weight"))
 
 
+def _restarts(spark: SparkSession, sf_dir: str) -> clustering.KMeansRun:
+    weighted = _open_weights(spark, sf_dir)
+    return clustering.kmeans_restarts(weighted.weights, weighted.vocabulary, K, restarts=2)
+
+
 def kmeans_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weighted = weigh(corpus(spark, sf_dir), stop_words(spark))
-    run = clustering.kmeans_restarts(
-        weighted.weights, weighted.vocabulary, K, restarts=2, triples=weighted.triples
-    )
-    return run.loss.select("iteration", _rounded("loss"))
+    return _restarts(spark, sf_dir).loss.select("iteration", _rounded("loss"))
 
 
 def kmeans_restart_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weighted = weigh(corpus(spark, sf_dir), stop_words(spark))
-    run = clustering.kmeans_restarts(weighted.weights, weighted.vocabulary, K, restarts=2, triples=weighted.triples)
-    return run.classes
+    return _restarts(spark, sf_dir).classes
 
 
 def kmeans_iteration_loss(spark: SparkSession, sf_dir: str) -> DataFrame:

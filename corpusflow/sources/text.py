@@ -7,17 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions.text import doc_name, list_entry
 from ..functions.vectors import vector_entries
-from ..operators.scale import spread
+from ..operators.scale import size_shuffles, spread
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table; a file with fewer splits than cores is dealt out when it is read."""
-    return spread(spark.read.parquet(path))
+    """A Parquet table; shuffles are sized for it; one with fewer splits than cores is dealt out when it is read."""
+    scan = spark.read.parquet(path)
+    size_shuffles(scan)
+    return spread(scan)
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """All lines of a folder tree ``category/name.txt``: (doc_name, value)."""
+    """All lines of a folder tree ``category/name.txt``: (doc_name, value). The files are listed once, also to size shuffles."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
+    size_shuffles(lines)
     return lines.select(doc_name(F.col("_metadata.file_path")).alias("doc_name"), "value")
 
 
@@ -69,7 +72,9 @@ def read_doc_dictionary(spark: SparkSession, path: str, skip_first: bool = False
 def _fields(spark: SparkSession, path: str, **types: str) -> DataFrame:
     """Columns of a file whose fields are separated by any white space."""
     parts = F.split("value", r"\s+")
-    return spark.read.text(path).select(*[parts[i].cast(t).alias(c) for i, (c, t) in enumerate(types.items())])
+    lines = spark.read.text(path)
+    size_shuffles(lines)
+    return lines.select(*[parts[i].cast(t).alias(c) for i, (c, t) in enumerate(types.items())])
 
 
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
@@ -91,7 +96,9 @@ def read_pairs(
 
 def _vector_lines(spark: SparkSession, path: str, separator: str, key: str, key_type: str) -> DataFrame:
     parts = F.split("value", separator)
-    lines = spark.read.text(path).select(parts[0].cast(key_type).alias(key), vector_entries(parts[1]).alias("vector"))
+    lines = spark.read.text(path)
+    size_shuffles(lines)
+    lines = lines.select(parts[0].cast(key_type).alias(key), vector_entries(parts[1]).alias("vector"))
     return lines.select(key, F.inline("vector"))
 
 

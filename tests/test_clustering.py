@@ -109,7 +109,7 @@ def test_sum_weights(spark):
 def test_term_shares_sum_to_one(spark, sf_dir):
     from corpusflow.plans.queries import _kept
 
-    kept = _kept(spark, sf_dir)
+    kept = _kept(spark, sf_dir)[0].rows
     shares = kept.join(weights.doc_length(kept), "doc_id").selectExpr("doc_id", "freq / n_terms AS share")
     worst = shares.groupBy("doc_id").sum("share").selectExpr("max(abs(1 - `sum(share)`)) AS e").first()["e"]
     assert worst < 1e-9

@@ -3,9 +3,11 @@
 import pytest
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from corpusflow import sinks, sources
-from corpusflow.operators import scale, terms
-from corpusflow.plans.queries import STOP_WORDS
+from corpusflow.operators import layout, scale, terms
+from corpusflow.plans.queries import STOP_WORDS, corpus
 
 
 def words(spark, *items):
@@ -152,14 +154,76 @@ def test_shuffle_size_follows_the_input(spark, tmp_path, monkeypatch):
     for name in ("a.txt", "d/b.txt", "d/e/c.txt"):
         (tmp_path / name).write_text("x" * 1000)
     before = spark.conf.get("spark.sql.shuffle.partitions")
+    scan = spark.read.option("recursiveFileLookup", True).text(str(tmp_path))
     try:
-        assert scale.size_shuffles(spark, str(tmp_path)) == int(before)
+        assert scale.size_shuffles(scan) == int(before)
         monkeypatch.setattr(scale, "SHUFFLE_BYTES", 100)
-        assert scale.size_shuffles(spark, str(tmp_path)) == 30
+        assert scale.size_shuffles(scan) == 30
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        sources.read_corpus(spark, str(tmp_path))
         assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_registered_queries_size_their_shuffles(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(scale, "SHUFFLE_BYTES", 2000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        corpus(spark, sf_dir)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 3 * int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_corpus_is_listed_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.txt").write_text("one two")
+    reads = []
+    monkeypatch.setattr(type(spark.read), "load", lambda *a, **b: reads.append(a))
+    found = sources.read_corpus(spark, str(tmp_path))
+    assert found.count() == 1 and not reads
+
+
+def test_metrics_of_written_tables(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, None)], "k bigint, v string")
+    for some, rows, size in ((df, 2, 2 * (16 + 8 + 16) + 2), (df.limit(0), 0, 0), (df.filter("k > 5"), 0, 0)):
+        table = scale.written_lookup(some)
+        assert (table.observed["rows"], table.observed["bytes"]) == (rows, size)
+        assert scale.fits_broadcast(table) and table.count() == rows
+
+
+def test_marks(spark, monkeypatch):
+    keys = spark.range(0, 3000, 3).selectExpr("id", "string(id) AS name")
+    rows = spark.range(3000).selectExpr("string(id) AS name", "id AS _bits", "id AS n")
+    found = {r.n for r in scale.marked(rows, scale.marks(keys, "name"), "name").collect()}
+    assert set(range(0, 3000, 3)) <= found and len(found) < 1010
+    assert scale.marked(rows, scale.marks(keys.limit(0), "name"), "name").count() == 0
+    monkeypatch.setattr(scale, "MARK_ROWS", 1)  # crowded: more rows pass, none is lost
+    crowded = {r.n for r in scale.marked(rows, scale.marks(keys, "id"), "n").collect()}
+    assert set(range(0, 3000, 3)) <= crowded and len(crowded) < 1100
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcastBytes": 0}, {"hotRows": 3}, {"broadcastBytes": 0, "hotRows": 3}])
+def test_counts_by_document_equal_counts(spark, settings, monkeypatch, limits):
+    monkeypatch.setattr(terms, "hot_documents", lambda lines, text: layout.hot_documents(lines, text))
+    monkeypatch.setattr(layout, "TEXT_BYTES_PER_ROW", 2)
+    settings(**limits)
+    data = [(d, " ".join(f"w{(d * i) % 11}" for i in range(3 + d * 7 % 30))) for d in range(12)] + [(3, "w1 again"), (50, None)]
+    corpus = spark.createDataFrame([(*r, f"n{r[0]}") for r in data], "doc_id bigint, value string, doc_name string").repartition(3)
+    dictionary = scale.written(spark.createDataFrame([(f"w{i}", i) for i in range(8)], "term string, term_id bigint"))
+    names = spark.createDataFrame([(f"n{i}", 100 + i) for i in range(9)], "doc_name string, doc_id bigint")
+    for lists in ({}, {"stop_words": words(spark, "w1")}, {"term_dict": dictionary}, {"term_dict": dictionary, "doc_dict": names}):
+        docs = corpus.drop("doc_id") if "doc_dict" in lists else corpus.drop("doc_name")
+        wanted = terms.term_frequency(docs, **lists)
+        made = terms.counts_by_document(docs, **lists)
+        assert rows(made.rows, *wanted.columns) == rows(wanted)
+        if "hotRows" in limits and not lists:
+            assert made.hot is not None and made.rows.filter("part > 0").count()
+        lengths = made.sums(F.sum("freq").alias("n")).select("doc_id", "n").distinct()
+        assert rows(lengths) == rows(wanted.groupBy("doc_id").agg(F.sum("freq").alias("n")))
+        assert rows(made.documents()) == rows(wanted.select("doc_id").distinct())
+
+
 def test_stop_list_is_clean():
     assert len(STOP_WORDS) == len(set(STOP_WORDS)) and all(w == w.lower().strip() for w in STOP_WORDS)
