@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.scale import size_shuffles, written, written_lookup
+
 #: Fixed value: the white space of the contracts, as a regular-expression class.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -23,10 +26,34 @@ def normalised(text: Column) -> Column:
 
 
 def read(spark, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    """A given table; shuffles are sized for its files."""
     rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    size_shuffles(rows)
     return rows.select(*columns) if columns else rows
 
 
+def addressed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number for every row that stays the same however often it is read: its file and its place there.
+
+    A table that is not read straight from files is written first. The files
+    are numbered by their paths, one row for each.
+    """
+    try:
+        place = df.metadataColumn("_metadata")
+        df.select(place["row_index"], place["file_path"])
+    except AnalysisException:
+        df = written(df)
+        place = df.metadataColumn("_metadata")
+    path, row = fresh(df, "_path"), fresh(df, "_place")
+    files = df.select(place["file_path"].alias(path)).distinct()
+    number = (F.row_number().over(Window.orderBy(path)) - 1).cast("bigint")
+    files = written_lookup(files.select(path, number.alias(name)))
+    placed = df.select("*", place["file_path"].alias(path), place["row_index"].alias(row))
+    # far fewer files than rows: a path and a number each
+    placed = placed.join(F.broadcast(files), path)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.shiftleft(name, 40) + F.col(row)).alias(name))
+
+
 def fresh(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` does not have, starting with ``wanted`` (case does not tell names apart)."""
     taken = {c.lower() for c in df.columns}

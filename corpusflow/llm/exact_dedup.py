@@ -7,9 +7,9 @@ text. Which texts need their full hash is known to every task through a bitmap
 of fixed size that marks the surviving (length, prefix) groups. A false mark
 costs one more hash and cannot change the result.
 
-Cases: a null text counts as empty, and empty texts are equal to each other. A
-repeated row (same id, same text) is one more member of its group and stays or
-goes with its id. An empty table gives an empty result. Further columns are
+Cases: a null text counts as empty, and empty texts are equal to each other. For
+``exact_groups`` a repeated row (same id, same text) is one more member of its
+group and stays or goes with its id; ``deduplicate`` keeps one of them. An empty table gives an empty result. Further columns are
 ignored, whatever their names.
 """
 
@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.scale import written
-from .common import normalised, text_or_empty
+from ..operators.scale import drop_written, lookup_join, written, written_lookup
+from .common import addressed, fresh, normalised, text_or_empty
 
 #: Code points of the text that the prefix hash reads.
 PREFIX_CHARS = 128
@@ -107,11 +107,45 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def _copies(docs: DataFrame, row: str, id_col: str, text_col: str) -> DataFrame:
+    """(row): the rows that go. Only texts that share length and prefix with another are normalised twice and hashed."""
+    text = normalised(text_or_empty(text_col))
+    keys = docs.select(row, text.alias("_text")).select(
+        row,
+        F.octet_length("_text").cast("bigint").alias("_length"),
+        F.xxhash64(F.substring("_text", 1, PREFIX_CHARS)).alias("_prefix"),
+    )
+    keys = written(keys)
+    # a length held by one row needs no further look; rows are counted before they are joined
+    common = keys.groupBy("_length").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = keys.groupBy("_length", "_prefix").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = written_lookup(pairs.join(common.select("_length"), "_length", "left_semi").select("_length", "_prefix"))
+    surviving = lookup_join(keys, pairs, ["_length", "_prefix"], "left_semi", stored=True)
+    bits = written(bitmap_of(surviving, F.xxhash64(row)))
+    drop_written(keys)
+
+    at, bit = _bit(F.xxhash64(row))
+    rows = docs.select(row, F.col(id_col).alias("_id"), F.col(text_col).alias("_given"), at.alias("_row"), bit.alias("_bit"))
+    rows = rows.join(F.broadcast(bits), "_row").filter(F.expr(_MARKED))
+    full = F.sha2(normalised(text_or_empty("_given")), 256).alias("_digest")
+    full = written(rows.select(row, "_id", full))
+    # the smallest id stays, of rows with that id the first; a null id is greater than any
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", row))
+    groups = full.groupBy("_digest").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    groups = written_lookup(groups.select("_digest", F.col("_first")[row].alias("_stays")))
+    gone = lookup_join(full, groups, "_digest", stored=True)
+    return written_lookup(gone.filter(F.col(row) != F.col("_stays")).select(row))
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts.
 
-    Only the ids that go are joined back; where they are few they are
-    broadcast by Spark's own measure, else both sides are shuffled by id.
+    That is the row with the smallest id, of several such rows one. Rows are told
+    apart by their place, so an id may stand for several texts, and a text may
+    come with one id several times. Only the numbers of the rows that go meet the
+    table; they are broadcast if their measured size allows it.
     """
-    gone = exact_groups(docs, id_col, text_col).filter("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    row = fresh(docs, "_number")
+    placed = addressed(docs, row)
+    gone = _copies(placed, row, id_col, text_col)
+    return lookup_join(placed, gone, row, "left_anti", stored=False).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -52,8 +52,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.scale import written
-from .common import gather, text_blocks
+from ..operators.scale import fits_broadcast, lookup_join, written, written_lookup
+from .common import addressed, fresh, gather, text_blocks
 from .components import components
 
 PERCENT = 90
@@ -427,7 +427,22 @@ def similar_groups(
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest id."""
-    groups = similar_groups(docs, percent, shingle)
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay: of each component the row with the smallest id, of several such rows one.
+
+    Rows are compared under numbers of their own, so an id may stand for several
+    texts. A null id is greater than any; rows without words stay.
+    """
+    row = fresh(docs, "_number")
+    placed = addressed(docs, row)
+    groups = similar_groups(placed.select(F.col(row).alias("doc_id"), "text"), percent, shingle)
+    groups = written(groups.filter("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"))
+    # rows of components with several members, with their ids
+    many = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("component_id")
+    members = written(lookup_join(groups, written_lookup(many), "component_id", "left_semi", stored=True))
+    named = lookup_join(placed.select(row, F.col("doc_id").alias("_id")), members, row, small=fits_broadcast(members))
+    named = written(named)
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", row))
+    stays = named.groupBy("component_id").agg(first.alias("_first")).select("component_id", F.col("_first")[row].alias("_stays"))
+    gone = lookup_join(named, written_lookup(stays), "component_id", stored=True).filter(F.col(row) != F.col("_stays"))
+    gone = written_lookup(gone.select(row))
+    return lookup_join(placed, gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

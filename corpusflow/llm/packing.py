@@ -26,10 +26,11 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +41,10 @@ CAPACITY = 2048
 #: Id that closes a document.
 END_ID = 0
 #: Characters of text that a task encodes at once, and distinct words it remembers.
-BLOCK_CHARS = 6_000_000
-REMEMBERED_WORDS = 700_000
+BLOCK_CHARS = 4_000_000
+REMEMBERED_WORDS = 400_000
+#: Words of letters that the library sees in one text.
+TOGETHER = 256
 #: Marks that every word pattern sets apart from a letter before them.
 MARKS = ".,;:!?"
 #: Pieces that one part of a length numbers, about.
@@ -52,55 +55,98 @@ class WordEncoder:
     """Ids of texts by a ``tokenizers`` file that drops white space between words.
 
     Words are separated by space and line feed only, other white space is left
-    to the library. A word is encoded once and then remembered.
+    to the library. A word is encoded once and then remembered; when too many
+    are, the half that came in the most blocks stays.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
+        self.remembered = remembered
         self.words: dict[str, int] = {"": 0}
         self.flat = np.empty(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
-        self.lengths = np.zeros(1, np.int64)
+        self.starts, self.lengths, self.used = (np.zeros(1, np.int64) for _ in range(3))  # the empty word
+        self.parted: dict[str, bool] = {}
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if len(self.words) > REMEMBERED_WORDS:
-            self._forget()
-        known, words = len(self.words), self.words
-        chosen = [
-            np.fromiter((words.setdefault(w, len(words)) for w in text.replace("\n", " ").split(" ")), np.int64)
-            for text in texts
-        ]
-        if len(words) > known:
-            self._add(list(islice(words, known, None)), known)
-        for places in chosen:
-            yield gather(self.flat, self.starts[places], self.lengths[places])
-
-    def _add(self, new: list[str], known: int) -> None:
+        """The ids of each text. The words are split and told apart in Arrow, so Python sees distinct ones only."""
+        if len(self.words) > self.remembered:
+            self._keep_half()
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.words]
+        if new:
+            self._add(new)
+        places = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
+        self.used[places] += 1
+        of_word = places[coded.indices.to_numpy()]
+        lengths = self.lengths[of_word]
+        ids = gather(self.flat, self.starts[of_word], lengths)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[lists.offsets.to_numpy()]
+        for begin, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            yield ids[begin:end]
+
+    def _keep_half(self) -> None:
+        kept = np.argsort(-self.used[1:], kind="stable")[: self.remembered // 2] + 1
+        kept = np.concatenate([[0], np.sort(kept)])
+        names = list(self.words)
+        self.words = {names[place]: i for i, place in enumerate(kept)}
+        self.flat = gather(self.flat, self.starts[kept], self.lengths[kept])
+        self.lengths, self.used = self.lengths[kept], self.used[kept] // 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def _is_parted(self, letter: str) -> bool:
+        """Whether a mark behind this letter is a word of its own: not if the letter normalises into one with a mark."""
+        known = self.parted.get(letter)
+        if known is None:
+            known = letter.isalpha() and self.library.normalizer.normalize_str(letter).isalpha()
+            self.parted[letter] = known
+        return known
+
+    def _add(self, new: list[str]) -> None:
         """Ids of new words; a word and the mark behind it are encoded apart: many words differ in the mark only."""
-        split = {w: (w[:-1], w[-1]) for w in new if w[-1] in MARKS and w[-2:-1].isalpha()}
-
-        def remembered(word: str) -> list[int] | None:
-            place = self.words.get(word, known)
-            if place >= known:
-                return None
-            return self.flat[self.starts[place] : self.starts[place] + self.lengths[place]].tolist()
-
-        encoded = {part: remembered(part) for w in new for part in split.get(w, (w,))}
-        missing = [part for part, ids in encoded.items() if ids is None]
-        for part, found in zip(missing, self.library.encode_batch(missing, add_special_tokens=False), strict=True):
-            encoded[part] = found.ids
-        ids = [encoded[split[w][0]] + encoded[split[w][1]] if w in split else encoded[w] for w in new]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+        split = {w for w in new if w[-1] in MARKS and len(w) > 1 and self._is_parted(w[-2])}
+        parts = dict.fromkeys(chain.from_iterable((w[:-1], w[-1]) if w in split else (w,) for w in new))
+        parts = [w for w in parts if w not in self.words]
+        whole = [w for w in parts if w.isalpha()]
+        self._append(whole, *self._ids_of_letters(whole))
+        rest = [w for w in parts if w not in self.words]
+        self._append(rest, *self._ids_of_each(rest))
+        split = [w for w in new if w not in self.words]
+        pairs = [self.words[part] for w in split for part in (w[:-1], w[-1])]
+        lengths = self.lengths[pairs].reshape(-1, 2).sum(axis=1)
+        self._append(split, gather(self.flat, self.starts[pairs], self.lengths[pairs]), lengths)
+
+    def _ids_of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of words of letters, many in one text: each is one word of the library, too."""
+        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        texts = [" ".join(group) for group in groups]
+        flat, lengths = [], []
+        for group, text, found in zip(groups, texts, self.library.encode_batch(texts, add_special_tokens=False), strict=True):
+            numbers = found.word_ids
+            if numbers[-1] + 1 == len(group) and all(map(self._is_parted, set(text) - {" "})):
+                ids, sizes = np.array(found.ids, np.uint32), np.bincount(numbers)
+            else:  # letters that become more than letters, or that only Python takes for some
+                ids, sizes = self._ids_of_each(group)
+            flat.append(ids)
+            lengths.append(sizes)
+        none = np.empty(0, np.uint32), np.empty(0, np.int64)
+        return np.concatenate([none[0], *flat]), np.concatenate([none[1], *lengths])
+
+    def _ids_of_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [f.ids for f in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _append(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, flat])
+        self.used = np.concatenate([self.used, np.zeros(len(words), np.int64)])
+        self.flat = np.concatenate([self.flat, ids])
 
 
 @lru_cache(maxsize=1)
@@ -168,8 +214,10 @@ class ComplementIndex:
         for longest in lengths[::-1]:
             if longest < 1 or 3 * longest < total:
                 break
+            self.counts[longest] -= 1  # the pair sees what is left
             rest = self.pair(int(total - longest), int(longest))
-            if rest and self._enough((int(longest), *rest)):
+            self.counts[longest] += 1
+            if rest:
                 return (int(longest), *rest)
         return None
 

@@ -118,13 +118,18 @@ def test_repetition(spark, block):
 def test_quality_of_documents(spark, sf_dir):
     found = {r.doc_id: r for r in queries.op2_quality_rules(spark, sf_dir).collect()}
     for doc_id, text in documents(spark, sf_dir):
-        words, covered, _ = brute_repeats(text) if len(text) < 3000 else (None, None, None)
-        row = found[doc_id]
-        failed = row.n_words < 20 or 100 * row.n_repeat_words > 30 * row.n_words
-        assert row.base_failed == failed
-        assert not (row.kept and failed)
-        if words is not None:
-            assert (row.n_words, row.n_repeat_words) == (len(words), covered)
+        words, row = repetition.WORD.findall(text), found[doc_id]
+        covered = [len(repeated_places(words, least)) for least in (8, 20, 101)]
+        failed = len(words) < 20 or 100 * covered[0] > 30 * len(words)
+        assert (row.n_words, row.n_repeat_words, row.base_failed) == (len(words), covered[0], failed)
+        assert row.kept == (not failed and covered[1] <= 0.20 * len(words) and not covered[2])
+
+
+def repeated_places(words, least):
+    places = {}
+    for i in range(len(words) - least + 1):
+        places.setdefault(tuple(words[i : i + least]), []).append(i)
+    return {i + j for found in places.values() if len(found) > 1 for i in found for j in range(least)}
 
 
 def test_reject(edge):
@@ -135,6 +140,22 @@ def test_reject(edge):
     assert 11 not in ids and 5 not in ids  # too short; one sentence again and again
 
 
+def test_coverage_rejects_what_the_base_keeps(spark):
+    """A passage of 40 words twice in 300 words; phrases of 10 words as often cover as much and stay."""
+    words = [f"w{i}" for i in range(300)]
+    passage = words[:110] + words[:40] + words[110:260]
+    phrases = []
+    for at in range(0, 40, 10):
+        phrases += words[at : at + 10] + words[200 + at : 203 + at]
+    phrases = words[:200] + phrases + words[250:300]
+    rows = [(1, " ".join(passage)), (2, " ".join(phrases)), (3, " ".join(words))]
+    measured = repetition.measure(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found = {r.doc_id: r for r in repetition.judge(measured).collect()}
+    assert (found[1].n_repeat_words, found[1].n_long_words, found[1].base_failed, found[1].kept) == (80, 80, False, False)
+    assert (found[2].n_repeat_words, found[2].n_long_words, found[2].base_failed, found[2].kept) == (80, 0, False, True)
+    assert found[3].kept
+
+
 def test_a_long_repeat_is_rejected(spark):
     words = [f"w{i}" for i in range(1000)]
     docs = spark.createDataFrame([(1, " ".join(words + words[:101])), (2, " ".join(words + words[:100]))], "doc_id bigint, text string")

@@ -14,8 +14,8 @@ import corpus_pipeline  # noqa: E402
 from corpusflow.llm import repetition, secrets  # noqa: E402
 from corpusflow.llm.queries import ORACLE, QUERIES  # noqa: E402
 
-from .test_counts import brute_repeats  # noqa: E402
-from .test_similar import wanted_groups  # noqa: E402
+from .test_counts import repeated_places  # noqa: E402
+from .test_near_copies import brute_near  # noqa: E402
 from .test_texts import check_packed  # noqa: E402
 
 
@@ -51,10 +51,12 @@ def test_stages(spark, sf_dir):
     good = {}
     for i, text in before.items():
         n = len(repetition.WORD.findall(text or ""))
-        if n >= 20 and (len(text) > 6000 or 100 * brute_repeats(text)[1] <= 30 * n):
+        words = repetition.WORD.findall(text or "")
+        covered = [len(repeated_places(words, least)) for least in (8, 20, 101)]
+        if n >= 20 and 100 * covered[0] <= 30 * n and covered[1] <= 0.20 * n and not covered[2]:
             good[i] = text
     after = rows_of(docs_1)
-    assert {i for i in after if len(after[i]) <= 6000} == {i for i in good if len(good[i]) <= 6000}
+    assert after == good
 
     docs_2 = corpus_pipeline.written(stages["exact dedup"](spark, docs_1, sf_dir))
     first = {}
@@ -65,7 +67,7 @@ def test_stages(spark, sf_dir):
 
     docs_3 = corpus_pipeline.written(stages["n-gram Jaccard join"](spark, docs_2, sf_dir))
     after_3 = rows_of(docs_3)
-    assert set(after_3) == {g[2] for g in wanted_groups(list(after_2.items()))[1]}
+    assert set(after_3) == brute_near(list(after_2.items()), corpus_pipeline.NEAR_PERCENT, corpus_pipeline.NEAR_SHINGLE)
 
     docs_4 = corpus_pipeline.written(stages["secret scans"](spark, docs_3, sf_dir))
     after_4 = {r.doc_id: r for r in docs_4.collect()}
