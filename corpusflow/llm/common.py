@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,6 +88,27 @@ def text_blocks(batches: Iterator, size: int, *columns: str) -> Iterator[tuple]:
         yield tuple(held)
 
 
+_held: dict = {}
+
+
+def remembered(key: tuple, make: Callable):
+    """What a Python worker keeps from task to task: one thing at a time, made by ``make``."""
+    if key not in _held:
+        forget()
+        _held[key] = make()
+    return _held[key]
+
+
+def forget() -> None:
+    """Give back the memory that earlier tasks of this worker have left: workers are used again, by other operators, too."""
+    _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not on every system
+    if trim is not None:
+        trim(0)
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The slices ``flat[s:s+n]`` one after the other."""
     ends = np.cumsum(lengths)

@@ -53,14 +53,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.scale import fits_broadcast, lookup_join, written, written_lookup
-from .common import addressed, fresh, gather, text_blocks
+from .common import addressed, forget, fresh, gather, text_blocks
 from .components import components
 
 PERCENT = 90
 SHINGLE = 3
 ORDERS = 3
 #: Characters of text in a block.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 #: The table of frequencies: 2^27 places in groups of 2^16, 64 MB at any size of the corpus.
 PLACE_BITS, GROUP_BITS = 27, 16
 
@@ -139,6 +139,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, sig_a, sig_b): equal sets have equal signatures of 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for ids, texts in text_blocks(batches, BLOCK_CHARS, "doc_id", "text"):
             doc, tokens = shingle_sets(texts, shingle)
             n = len(texts)
@@ -165,6 +166,7 @@ def frequency_levels(docs: DataFrame, shingle: int = SHINGLE, place_bits: int =
     groups, width = 1 << (place_bits - GROUP_BITS), 1 << GROUP_BITS
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for (texts,) in text_blocks(batches, BLOCK_CHARS, "text"):
             places = np.sort(_place(shingle_sets(texts, shingle)[1], place_bits))
             cuts = np.searchsorted(places >> GROUP_BITS, np.arange(groups + 1))
@@ -221,6 +223,7 @@ def prefixes(docs: DataFrame, levels: Broadcast, percent: int = PERCENT, shingle
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         table = levels.value
         for ids, texts in text_blocks(batches, BLOCK_CHARS, "doc_id", "text"):
             doc, tokens = shingle_sets(texts, shingle)
@@ -278,6 +281,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
         pairs = pairs.filter(F.arrays_overlap(f"{o}_a", f"{o}_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             good = []
             for x, y in zip(batch.column("t_a"), batch.column("t_b"), strict=True):
@@ -302,6 +306,7 @@ def measured(pairs: DataFrame, sets: DataFrame, levels: Broadcast, percent: int
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         table = levels.value
 
         for batch in batches:

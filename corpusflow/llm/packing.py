@@ -25,7 +25,6 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.scale import written
-from .common import gather, text_blocks
+from .common import gather, remembered, text_blocks
 
 CAPACITY = 2048
 #: Id that closes a document.
@@ -149,12 +148,6 @@ class WordEncoder:
         self.flat = np.concatenate([self.flat, ids])
 
 
-@lru_cache(maxsize=1)
-def _encoder(path: str) -> WordEncoder:
-    """One for all tasks of a worker: words of earlier tasks are remembered."""
-    return WordEncoder(path)
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32), with ``ids`` if asked for.
 
@@ -164,7 +157,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text_col:
     schema += ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        # words of earlier tasks are remembered
+        encoder = remembered(("words", tokenizer), lambda: WordEncoder(tokenizer))
         for doc_ids, texts in text_blocks(batches, BLOCK_CHARS, "doc_id", "text"):
             rows: list[tuple] = []
             for doc_id, ids in zip(doc_ids, encoder.encode(texts), strict=True):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, text_blocks
+from .common import forget, fresh, text_blocks
 
 #: Fixed values of the contract: word pattern, symbols, window, base limits.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -145,6 +145,7 @@ def measure(
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_long_words", "longest_repeat"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for doc_ids, texts in text_blocks(batches, block_chars, "doc_id", "text"):
             found = _measures(texts, min_words)
             columns = [pa.array(doc_ids, pa.int64()), *(pa.array(found[n]) for n in names)]
@@ -172,6 +173,7 @@ def reject(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
     covered, longest = limits.get("max_covered", MAX_COVERED), limits.get("max_longest", MAX_LONGEST)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             # in blocks of bounded size: the order of rows stays
             kept: list[bool] = []

@@ -10,7 +10,8 @@ else. Three steps leave little text for the suffix array, without losing a match
 * In each string of ``length`` bytes the 32 bytes with the smallest hash are its
   anchor; equal strings have equal anchors. Strings whose anchor stands at one
   place only cannot occur again.
-* What is left of a segment are fragments; matches never cross them.
+* What is left of a segment are fragments; matches never cross them. Anchors of
+  4 bytes in 5 make them narrower once more.
 
 The suffix array of the fragments comes from the difference cover {1, 2} modulo 3:
 
@@ -43,10 +44,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.scale import written
+from ..operators.scale import below_broadcast_limit, drop_written, marked, marks, written
 from .jaccard import mixed
 
 LENGTH = 200
@@ -203,6 +204,97 @@ def segments(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> D
     return texts.mapInArrow(run, _SEGMENTS)
 
 
+def _at_several_places(runs: DataFrame, place: Column) -> DataFrame:
+    """The runs whose anchor stands at another place, too. Marks drop most others before the runs are joined."""
+    anchors = runs.groupBy("anchor").agg(F.min(place).alias("low_place"), F.max(place).alias("high_place"))
+    anchors = written(anchors.filter("low_place <> high_place").select("anchor"))
+    return marked(runs, marks(anchors, "anchor"), "anchor").join(anchors, "anchor")
+
+
+def _with_lists(texts: DataFrame, lists: DataFrame, name: str, how: str) -> DataFrame:
+    """Texts with the list of their row of ``lists`` (doc_id, version, list), a written table.
+
+    The lists are broadcast if their measured size allows it, so that no text moves.
+    """
+    size = lists.agg(F.coalesce(F.sum(F.size(name) * 64 + 64), F.lit(0))).first()[0]
+    lists = lists.withColumnsRenamed({"doc_id": "d", "version": "v"})
+    lists = F.broadcast(lists) if below_broadcast_limit(lists.sparkSession, size) else lists
+    return texts.join(lists, F.expr("doc_id <=> d AND version = v"), how).select("doc_id", "version", "text", name)
+
+
+def narrowed(frags: DataFrame, length: int) -> DataFrame:
+    """The parts of ``frags`` (written) whose strings may still match: wider anchors, of 4 bytes in 5, stand at several places.
+
+    Chance brings short anchors together, and common lines; of the strings that
+    hold them few agree over ``wide`` bytes. Equal strings have equal anchors of
+    any width, so no match is lost. A written table with the columns of ``frags``.
+    """
+    wide = max(ANCHOR, 4 * length // 5)
+
+    def anchored(batches: Batches) -> Batches:
+        for batch in batches:
+            numbers, coded = batch.column("frag").to_numpy(), batch.column("bytes").to_pylist()
+            at = 0
+            while at < len(coded):
+                end, total = at, 0
+                while end < len(coded) and (end == at or total + len(coded[end]) <= BLOCK_BYTES):
+                    total += len(coded[end])
+                    end += 1
+                yield _anchor_runs(numbers[at:end], coded[at:end], wide, length)
+                at = end
+
+    def cut(batches: Batches) -> Batches:
+        for batch in batches:
+            out: list[tuple] = []
+            names = ("doc_id", "version", "start", "alone", "bytes", "spans")
+            for doc_id, version, start, alone, coded, spans in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
+                at = 0
+                while at < len(spans):
+                    low, end = spans[at]["low"], spans[at]["high"] + length
+                    while at + 1 < len(spans) and spans[at + 1]["low"] <= end:
+                        at += 1
+                        end = max(end, spans[at]["high"] + length)
+                    at += 1
+                    out.append((doc_id, version, start + low, alone, coded[low:end]))
+            if out:
+                yield _fragment_rows(out)
+
+    runs = frags.select("frag", "bytes").mapInArrow(anchored, "anchor bigint, frag bigint, place int, low int, high int")
+    spans = _at_several_places(written(runs), F.struct("frag", "place")).groupBy("frag")
+    spans = spans.agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("spans"))
+    rows = frags.join(spans, "frag").select("doc_id", "version", "start", "alone", "bytes", "spans").mapInArrow(cut, _FRAGMENTS)
+    return written(rows.withColumn("frag", F.monotonically_increasing_id()))
+
+
+def _anchor_runs(frag: np.ndarray, coded: list[bytes], wide: int, length: int) -> pa.RecordBatch:
+    """(anchor, frag, place, low, high): strings low to high of a fragment have this anchor, at this place of it."""
+    data = np.frombuffer(b"".join(coded), np.uint8)
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+    begin = np.cumsum(sizes) - sizes
+    grams = Hashes(data).all(wide, 5)
+    keyed = (grams & np.uint64((1 << 64) - (1 << _AT_BITS))) | np.arange(len(grams), dtype=np.uint64)
+    least = sliding_minimum(keyed, length - wide + 1)
+    new = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    edges = np.union1d(new, begin[begin < len(least)])
+    of = np.searchsorted(begin, edges, side="right") - 1
+    ends = np.minimum(np.append(edges[1:], len(least)), (begin + sizes - length + 1)[of])
+    good = edges < ends
+    edges, ends, of = edges[good], ends[good], of[good]
+    place = (least[edges] & np.uint64((1 << _AT_BITS) - 1)).astype(np.int64) - begin[of]
+    columns = [(least[edges] >> np.uint64(_AT_BITS)).view(np.int64), frag[of]]
+    columns += [c.astype(np.int32) for c in (place, edges - begin[of], ends - 1 - begin[of])]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "frag", "place", "low", "high"])
+
+
+_FRAGMENTS = "doc_id bigint, version bigint, start bigint, alone boolean, bytes binary"
+
+
+def _fragment_rows(out: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+    arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "version", "start", "alone", "bytes"])
+
+
 def fragments(texts: DataFrame, single: DataFrame, length: int) -> DataFrame:
     """Written table (frag, doc_id, version, start, alone, bytes) of what may match in part.
 
@@ -212,9 +304,7 @@ def fragments(texts: DataFrame, single: DataFrame, length: int) -> DataFrame:
     runs = single.select("doc_id", "version", "start", "copies", F.explode("runs").alias("r"))
     runs = runs.select("doc_id", "version", "start", "copies", "r.*")
     place = F.struct("doc_id", "version", "place")
-    anchors = runs.groupBy("anchor").agg(F.min(place).alias("low_place"), F.max(place).alias("high_place"))
-    anchors = written(anchors.filter("low_place <> high_place").select("anchor"))
-    left = runs.join(anchors, "anchor").select(
+    left = _at_several_places(runs, place).select(
         "doc_id", "version", F.struct(
             (F.col("start") + F.col("low")).alias("low"),
             (F.col("start") + F.col("high") + length).alias("end"),
@@ -223,9 +313,7 @@ def fragments(texts: DataFrame, single: DataFrame, length: int) -> DataFrame:
         ).alias("piece"),
     )
     pieces = written(left.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list("piece")).alias("pieces")))
-    rows = texts.join(
-        pieces.withColumnsRenamed({"doc_id": "d", "version": "v"}), F.expr("doc_id <=> d AND version = v")
-    )
+    rows = _with_lists(texts, pieces, "pieces", "inner")
 
     def cut(batches: Batches) -> Batches:
         for batch in batches:
@@ -247,14 +335,13 @@ def fragments(texts: DataFrame, single: DataFrame, length: int) -> DataFrame:
                     at += 1
                     out.append((doc_id, version, low, piece["alone"], coded[low:end]))
             if out:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-                arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "version", "start", "alone", "bytes"])
+                yield _fragment_rows(out)
 
-    schema = "doc_id bigint, version bigint, start bigint, alone boolean, bytes binary"
-    cut_rows = rows.select("doc_id", "version", "text", "pieces").mapInArrow(cut, schema)
+    cut_rows = rows.mapInArrow(cut, _FRAGMENTS)
     cut_rows = cut_rows.dropDuplicates(["doc_id", "version", "start"])
-    return written(cut_rows.withColumn("frag", F.monotonically_increasing_id()))
+    made = written(cut_rows.withColumn("frag", F.monotonically_increasing_id()))
+    drop_written(pieces)
+    return made
 
 
 def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -297,8 +384,8 @@ def first_keys(frags: DataFrame) -> DataFrame:
     return frags.select("frag", "bytes").mapInArrow(run, schema)
 
 
-def named(keyed: DataFrame) -> DataFrame:
-    """Written table (frag, place, name): the rank of every row's key, equal keys having one name.
+def named(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(frag, place, name): the rank of every row's key, equal keys having one name; and the written table it reads.
 
     The rows are range partitioned by key and position. A task numbers the keys
     it has; the tasks' first and last keys, a few bytes each, give the base of
@@ -343,7 +430,7 @@ def named(keyed: DataFrame) -> DataFrame:
             )
 
     dealt = keyed.repartitionByRange(*keys, "frag", "place").sortWithinPartitions(*keys)
-    rows = written(dealt.mapInArrow(number, "part int, local bigint, frag bigint, place int, edge string"))
+    rows = stored = written(dealt.mapInArrow(number, "part int, local bigint, frag bigint, place int, edge string"))
     edges: dict[int, dict] = {}
     for row in rows.filter("edge IS NOT NULL").collect():  # two rows of each task
         known = edges.setdefault(row.part, {})
@@ -361,7 +448,7 @@ def named(keyed: DataFrame) -> DataFrame:
     spark = keyed.sparkSession
     table = F.broadcast(spark.createDataFrame(bases, "part int, base bigint"))  # a row of each task
     rows = rows.filter("frag IS NOT NULL").join(table, "part")
-    return rows.select("frag", "place", (F.col("base") + F.col("local")).alias("name"))
+    return rows.select("frag", "place", (F.col("base") + F.col("local")).alias("name")), stored
 
 
 def _by_fragment(batches: Batches, names: list[str], act: Callable[[dict], pa.RecordBatch | None]) -> Batches:
@@ -536,10 +623,12 @@ def _spans(found: DataFrame, length: int) -> DataFrame:
 
 def partial_matches(frags: DataFrame, length: int) -> DataFrame:
     """(doc_id, version, low, end): spans of the fragments whose strings occur again."""
-    names = named(first_keys(frags))
+    names, stored = named(first_keys(frags))
     reach = 27
     while reach < length:
-        names = named(triple_keys(names, reach))
+        before = stored
+        names, stored = named(triple_keys(names, reach))
+        drop_written(before)
         reach *= 3
     found = equal_neighbours(merged_orders(frags.select("frag", "bytes"), names, length))
     places = frags.filter("alone").select("frag", "doc_id", "version", "start")
@@ -565,7 +654,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, block_bytes: int = BL
     whole = whole.select(
         "doc_id", "version", F.col("start").alias("low"), (F.col("start") + F.col("windows") + length - 1).alias("end")
     )
-    return whole.unionByName(partial_matches(fragments(texts, single, length), length))
+    whole = written(whole)
+    drop_written(found)
+    frags = fragments(texts, single, length)
+    drop_written(single)
+    narrow = narrowed(frags, length)
+    drop_written(frags)
+    return whole.unionByName(partial_matches(narrow, length))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -574,8 +669,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLO
     texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("version"))
     span = F.struct("low", "end")
     spans = repeated_spans(texts, length, block_bytes).groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(span)).alias("spans"))
-    spans = written(spans).withColumnsRenamed({"doc_id": "d", "version": "v"})
-    rows = texts.join(spans, F.expr("doc_id <=> d AND version = v"), "left").select("doc_id", "text", "spans")
+    rows = _with_lists(texts, written(spans), "spans", "left").select("doc_id", "text", "spans")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:

@@ -12,13 +12,15 @@ captures is cut by its timestamps, so no task holds it whole.
 Cases: null html is an empty payload, a null URL an empty one. Payloads of at
 least ``min_revisit_bytes`` are deduplicated, empty ones too if it is 0. Rows
 that repeat a page id are captures of their own; those with the smallest id of
-their payload are all responses. An empty table gives no captures.
+their payload are all responses. A null page id is a response of its own and
+sorts before the others of its URL and time. An empty table gives no captures.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -35,8 +37,11 @@ RECORD_END = "\r\n\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
-#: Records of an archive file; a file is read back by one task.
-RECORDS_PER_FILE = 2000
+#: Records of an archive file by the bytes of their payloads: up to 32 KB, up to 1 MB, beyond. A file is read
+#: back by one task, whole, and takes some 64 MB at most, or one record.
+FILE_CLASSES = ((32 * 1024, 2000), (1024 * 1024, 64), (None, 1))
+#: Index rows that a task merges, about.
+RANGE_ROWS = 1_000_000
 #: Capture time of page 0 in seconds since 1970; page n follows n seconds later.
 FIRST_CAPTURE = 1_704_067_200
 
@@ -58,7 +63,10 @@ def _header(name: str, value: Column) -> Column:
 
 
 def captures(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
-    """``pages`` (page_id, url, html) with payload, digest, record type and the page a revisit refers to."""
+    """``pages`` (page_id, url, html) with payload, digest, record type and the page a revisit refers to.
+
+    A page without an id is never referred to, unless none of its payload has one, and never a revisit.
+    """
     rows = pages.select(
         "page_id",
         F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "").alias("url"),
@@ -84,9 +92,28 @@ def captures(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     )
 
 
-def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
-    """Write WARC files below ``path``."""
-    rows = captures(pages, min_revisit_bytes)
+def write_archives(
+    pages: DataFrame, path: str, min_revisit_bytes: int = 0, classes: tuple[tuple[int | None, int], ...] | None = None
+) -> None:
+    """Write WARC files below ``path``, one write for each class of payload sizes that there is."""
+    classes = classes or FILE_CLASSES
+    rows, above = captures(pages, min_revisit_bytes), -1
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    limits = [limit for limit, _ in classes]
+    inside = [
+        F.max((size > low) & (F.lit(True) if high is None else size <= high))
+        for low, high in zip([-1, *limits[:-1]], limits, strict=True)
+    ]
+    for (limit, records), some in zip(classes, pages.agg(*inside).first(), strict=True):
+        # the bytes of the payload, whatever the record holds of it
+        part = rows.filter(F.col("bytes") > above)
+        part = part if limit is None else part.filter(F.col("bytes") <= limit)
+        if some or above < 0:
+            _write_records(part, path, records)
+        above = limit
+
+
+def _write_records(rows: DataFrame, path: str, records: int) -> None:
     seconds = F.timestamp_seconds(F.coalesce("page_id", F.lit(0)) + FIRST_CAPTURE)
     date = F.date_format(F.to_utc_timestamp(seconds, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     is_revisit = F.col("record_type") == "revisit"
@@ -113,7 +140,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0) -> N
         block,
     )
     writer = rows.select(record.alias("value")).write.option("lineSep", RECORD_END)
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    writer.option("maxRecordsPerFile", records).mode("append").text(path)
 
 
 def url_key(url: str) -> str:
@@ -228,14 +255,17 @@ class LoserTree:
             self._play(run)
 
 
-def merge_runs(runs: DataFrame) -> DataFrame:
+def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Captures in global order: (merge_part, merge_place, run, capture...).
 
     ``runs`` is a written result of ``sorted_runs``. Order by merge_part and
     merge_place is order by URL key, timestamp and page. A task holds the index
-    rows of one range, no payloads.
+    rows of one range, no payloads; there are as many ranges as it takes to keep
+    them at about ``range_rows``. Equal captures are told apart by run and place,
+    so they may be cut, too.
     """
     columns = runs.columns
+    parts = max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(runs.count() / range_rows))
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         slices: dict[str, list[tuple]] = {}
@@ -256,7 +286,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
         merged[list(_NULLABLE)] = merged[list(_NULLABLE)].astype("Int64")
         yield merged
 
-    dealt = runs.repartitionByRange("url_key", "captured", "page_id").sortWithinPartitions("run", "place")
+    dealt = runs.repartitionByRange(parts, "url_key", "captured", "page_id", "run", "place").sortWithinPartitions("run", "place")
     schema = f"merge_part int, merge_place bigint, {_RUN}"
     return dealt.select(*columns).mapInPandas(merge, schema)
 

@@ -101,7 +101,7 @@ def test_warc(spark):
 
 
 def test_warc_global_order(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 7)
+    monkeypatch.setattr(warc, "FILE_CLASSES", ((None, 7),))
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = warc.archive_index(pages.unionByName(pages)).collect()
     rows.sort(key=lambda r: (r.merge_part, r.merge_place))
@@ -130,3 +130,27 @@ def test_empty(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.archive_index(pages).count() == 0
     assert chat.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_large_pages_in_small_files(spark, tmp_path):
+    """Pages of 2 MB: a file has few records, of large pages one; ranges of few rows keep the order."""
+    draw = random.Random(1)
+    pages = [(i, f"http://a.org/{i % 7}", "x" * draw.choice([0, 5, 900, 40_000])) for i in range(60)]
+    pages += [(100 + i, "http://b.org/", chr(65 + i % 3) * 2_000_000) for i in range(6)]
+    pages += [(None, "http://c.org/", "alone"), (None, "http://c.org/", None)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    classes = ((1000, 10), (50_000, 4), (None, 1))
+    warc.write_archives(df, str(tmp_path / "w"), 0, classes)
+    sizes = [f.stat().st_size for f in (tmp_path / "w").glob("part-*")]
+    assert max(sizes) < 2_100_000 and len(sizes) >= 6 + 4
+    runs = warc.written(warc.sorted_runs(spark, str(tmp_path / "w")))
+    by_page = {r.page_id: r for r in runs.filter("page_id IS NOT NULL").collect()}
+    assert len(by_page) == 66 and runs.count() == 68
+    assert sum(r.record_type == "response" for i, r in by_page.items() if i >= 100) == 3
+    assert all(r.refers_to == i - 3 for i, r in by_page.items() if i > 102)
+    for range_rows in (7, warc.RANGE_ROWS):
+        merged = sorted(warc.merge_runs(runs, range_rows).collect(), key=lambda r: (r.merge_part, r.merge_place))
+        order = [(r.url_key, r.captured, r.page_id is not None, r.page_id or 0) for r in merged]
+        assert order == sorted(order) and len(merged) == 68
+    nulls = runs.filter("page_id IS NULL").collect()
+    assert sorted(r.payload_bytes for r in nulls) == [0, 5] and all(r.record_type == "response" for r in nulls)
