@@ -83,9 +83,6 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     )
 
 
-
-
-
 def _compare(a: Column, b: Column) -> Column:
     """Order of two turns with the same number: by role, then text."""
     same = F.when(a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0)

@@ -40,8 +40,8 @@ CAPACITY = 2048
 #: Id that closes a document.
 END_ID = 0
 #: Characters of text that a task encodes at once, and distinct words it remembers.
-BLOCK_CHARS = 4_000_000
-REMEMBERED_WORDS = 400_000
+BLOCK_CHARS = 1_000_000
+REMEMBERED_WORDS = 250_000
 #: Words of letters that the library sees in one text.
 TOGETHER = 256
 #: Marks that every word pattern sets apart from a letter before them.
