@@ -10,8 +10,7 @@ else. Three steps leave little text for the suffix array, without losing a match
 * In each string of ``length`` bytes the 32 bytes with the smallest hash are its
   anchor; equal strings have equal anchors. Strings whose anchor stands at one
   place only cannot occur again.
-* What is left of a segment are fragments; matches never cross them. Anchors of
-  4 bytes in 5 make them narrower once more.
+* What is left of a segment are fragments; matches never cross them.
 
 The suffix array of the fragments comes from the difference cover {1, 2} modulo 3:
 
@@ -222,70 +221,6 @@ def _with_lists(texts: DataFrame, lists: DataFrame, name: str, how: str) -> Data
     return texts.join(lists, F.expr("doc_id <=> d AND version = v"), how).select("doc_id", "version", "text", name)
 
 
-def narrowed(frags: DataFrame, length: int) -> DataFrame:
-    """The parts of ``frags`` (written) whose strings may still match: wider anchors, of 4 bytes in 5, stand at several places.
-
-    Chance brings short anchors together, and common lines; of the strings that
-    hold them few agree over ``wide`` bytes. Equal strings have equal anchors of
-    any width, so no match is lost. A written table with the columns of ``frags``.
-    """
-    wide = max(ANCHOR, 4 * length // 5)
-
-    def anchored(batches: Batches) -> Batches:
-        for batch in batches:
-            numbers, coded = batch.column("frag").to_numpy(), batch.column("bytes").to_pylist()
-            at = 0
-            while at < len(coded):
-                end, total = at, 0
-                while end < len(coded) and (end == at or total + len(coded[end]) <= BLOCK_BYTES):
-                    total += len(coded[end])
-                    end += 1
-                yield _anchor_runs(numbers[at:end], coded[at:end], wide, length)
-                at = end
-
-    def cut(batches: Batches) -> Batches:
-        for batch in batches:
-            out: list[tuple] = []
-            names = ("doc_id", "version", "start", "alone", "bytes", "spans")
-            for doc_id, version, start, alone, coded, spans in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-                at = 0
-                while at < len(spans):
-                    low, end = spans[at]["low"], spans[at]["high"] + length
-                    while at + 1 < len(spans) and spans[at + 1]["low"] <= end:
-                        at += 1
-                        end = max(end, spans[at]["high"] + length)
-                    at += 1
-                    out.append((doc_id, version, start + low, alone, coded[low:end]))
-            if out:
-                yield _fragment_rows(out)
-
-    runs = frags.select("frag", "bytes").mapInArrow(anchored, "anchor bigint, frag bigint, place int, low int, high int")
-    spans = _at_several_places(written(runs), F.struct("frag", "place")).groupBy("frag")
-    spans = spans.agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("spans"))
-    rows = frags.join(spans, "frag").select("doc_id", "version", "start", "alone", "bytes", "spans").mapInArrow(cut, _FRAGMENTS)
-    return written(rows.withColumn("frag", F.monotonically_increasing_id()))
-
-
-def _anchor_runs(frag: np.ndarray, coded: list[bytes], wide: int, length: int) -> pa.RecordBatch:
-    """(anchor, frag, place, low, high): strings low to high of a fragment have this anchor, at this place of it."""
-    data = np.frombuffer(b"".join(coded), np.uint8)
-    sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-    begin = np.cumsum(sizes) - sizes
-    grams = Hashes(data).all(wide, 5)
-    keyed = (grams & np.uint64((1 << 64) - (1 << _AT_BITS))) | np.arange(len(grams), dtype=np.uint64)
-    least = sliding_minimum(keyed, length - wide + 1)
-    new = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    edges = np.union1d(new, begin[begin < len(least)])
-    of = np.searchsorted(begin, edges, side="right") - 1
-    ends = np.minimum(np.append(edges[1:], len(least)), (begin + sizes - length + 1)[of])
-    good = edges < ends
-    edges, ends, of = edges[good], ends[good], of[good]
-    place = (least[edges] & np.uint64((1 << _AT_BITS) - 1)).astype(np.int64) - begin[of]
-    columns = [(least[edges] >> np.uint64(_AT_BITS)).view(np.int64), frag[of]]
-    columns += [c.astype(np.int32) for c in (place, edges - begin[of], ends - 1 - begin[of])]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "frag", "place", "low", "high"])
-
-
 _FRAGMENTS = "doc_id bigint, version bigint, start bigint, alone boolean, bytes binary"
 
 
@@ -658,9 +593,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, block_bytes: int = BL
     drop_written(found)
     frags = fragments(texts, single, length)
     drop_written(single)
-    narrow = narrowed(frags, length)
-    drop_written(frags)
-    return whole.unionByName(partial_matches(narrow, length))
+    return whole.unionByName(partial_matches(frags, length))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
