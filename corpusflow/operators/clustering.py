@@ -20,12 +20,14 @@ from .layout import ByDocument, bucket_number, bucketed, by_document, parted, st
 from .scale import (
     below_broadcast_limit,
     hot_keys,
+    in_parts,
     is_stored,
     lookup_join,
     table_bytes,
     with_parts,
     written,
     written_lookup,
+    written_parts,
 )
 
 # Similarities are compared after rounding, so that the order in which a sum
@@ -93,7 +95,7 @@ def lay_out(weights: DataFrame | ByDocument, triples: DataFrame | None = None) -
     else:
         made = by_document(weights.select("term_id", "doc_id", "weight"), triples)
     points = made.rows.select("term_id", "doc_id", "weight", "part")
-    points.layout = made.having(points)
+    points.layout = made.having(points, made.stored, made.ready)
     return points
 
 
@@ -152,7 +154,8 @@ def _score(
     term, so a weight row meets all of them in one join row and the sums are
     plain columns. The size of that table and the length of each centroid are
     taken while it is written. A similarity is null for a zero document or an
-    empty slot. ``by_term`` is used when the centroids outgrow a broadcast.
+    empty slot. Centroids that outgrow a broadcast meet stored weights part by
+    part, and the sums of the parts are added up; beyond that ``by_term`` is used.
     ``carry`` (doc_id, slots), the choice that led to these centroids, is
     handed on in the same row as ``own``.
     """
@@ -168,11 +171,19 @@ def _score(
     sums = [F.sum(w * F.col(f"c{s}")).alias(f"d{s}") for s in slot]
     squares = F.sum(w * w).alias("sq")
     key = ["doc_id"]
-    if by_term is not None and not small:
+    parts = None if small or (layout is None and not is_stored(weights)) else in_parts(weights, wide, "term_id", "left")
+    if parts:
+        place = ["doc_id"] if layout is None else ["doc_id", "part"]
+        key = place if layout is not None and layout.hot is None else key
+        both = [*(f"d{s}" for s in slot), "sq"]
+        # one row per document and part of the terms is written
+        scored = written_parts([joined.groupBy(*place).agg(*sums, squares) for joined in parts])
+        scored = scored.groupBy(*key).agg(*[F.sum(c).alias(c) for c in both])
+    elif by_term is not None and not small:
         # summed inside the buckets before the sums of a document move
         scored = by_term.join(wide).groupBy("doc_id").agg(*sums, squares)
     else:
-        joined = lookup_join(weights, wide, "term_id", "left", stored=layout is not None, small=small)
+        joined = lookup_join(weights, wide, "term_id", "left", stored=layout is not None and layout.stored, small=small)
         if layout is None:
             scored = joined.groupBy("doc_id").agg(*sums, squares)
         else:

@@ -19,6 +19,7 @@ from .scale import (
     _setting,
     fits_broadcast,
     hot_keys,
+    in_parts,
     lookup_join,
     scan_bytes,
     table_path,
@@ -36,15 +37,21 @@ TEXT_BYTES_PER_ROW = 16
 
 @dataclass
 class ByDocument:
-    """Rows (term, doc_id, ..., part) partitioned by (doc_id, part); ``hot`` lists the cut documents, if there are any."""
+    """Rows (term, doc_id, ..., part) partitioned by (doc_id, part); ``hot`` lists the cut documents, if there are any.
+
+    ``stored`` says that ``rows`` are a written table, ``ready`` that they are made of one row by
+    row, next to no work to read again; other rows are written before they are read several times.
+    """
 
     rows: DataFrame
     buckets: int
     hot: DataFrame | None = None
+    stored: bool = False
+    ready: bool = False
 
-    def having(self, rows: DataFrame) -> ByDocument:
+    def having(self, rows: DataFrame, stored: bool = False, ready: bool = False) -> ByDocument:
         """The same layout with other rows that did not move."""
-        return replace(self, rows=rows)
+        return replace(self, rows=rows, stored=stored, ready=ready)
 
     def sums(self, *sums: Column) -> DataFrame:
         """(doc_id, part, ...) with a document's sums in each of its parts. Moves only sums of cut documents.
@@ -66,6 +73,10 @@ class ByDocument:
         # hashing one row per document spares sorting the rows
         return self.rows.join(self.sums(*sums).hint("shuffle_hash"), ["doc_id", "part"])
 
+    def written_sums(self, *sums: Column) -> DataFrame:
+        """``sums`` as a written table with the same layout."""
+        return bucketed(self.sums(*sums), self.buckets, "doc_id", moved=self.hot is None)
+
     def documents(self) -> DataFrame:
         """(doc_id): each document once."""
         inside = self.rows.groupBy("doc_id", "part").agg(F.lit(1).alias("_one")).select("doc_id")
@@ -80,14 +91,19 @@ def bucket_number(spark: SparkSession, rows: int | None = None) -> int:
     return min(max(spark.sparkContext.defaultParallelism, wanted), most)
 
 
-def bucketed(rows: DataFrame, buckets: int, key: str, moved: bool = False) -> DataFrame:
-    """``rows`` as a written table bucketed by ``key`` and ``part``; ``moved`` rows are partitioned that way already."""
-    spark = rows.sparkSession
+def bucketed(rows: DataFrame | list[DataFrame], buckets: int, key: str, moved: bool = False) -> DataFrame:
+    """``rows`` as a written table bucketed by ``key`` and ``part``; ``moved`` rows are partitioned that way already.
+
+    Several tables of rows are written one after the other.
+    """
+    tables = rows if isinstance(rows, list) else [rows]
+    spark = tables[0].sparkSession
     path = table_path(spark)
     name = path.rsplit("/", 1)[1]
-    # one task per bucket, so one file per bucket
-    dealt = rows if moved else rows.repartition(buckets, key, "part")
-    dealt.write.bucketBy(buckets, key, "part").option("path", path).saveAsTable(name)
+    for table in tables:
+        # one task per bucket, so one file per bucket
+        dealt = table if moved else table.repartition(buckets, key, "part")
+        dealt.write.mode("append").bucketBy(buckets, key, "part").option("path", path).saveAsTable(name)
     laid_out = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # only the name: the files lie outside the warehouse
     return laid_out
@@ -96,7 +112,8 @@ def bucketed(rows: DataFrame, buckets: int, key: str, moved: bool = False) -> Da
 def parted(rows: DataFrame, hot: DataFrame | None, key: str, other: str) -> DataFrame:
     """``rows`` with ``part``: rows of hot keys are cut by a hash of ``other``."""
     if hot is None:
-        return rows.withColumn("part", F.lit(0))
+        # 0, but no constant: grouping keys lose constants, and rows dealt out by one would be dealt out again
+        return rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(1)).cast("int"))
     part = F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1))).cast("int")
     return with_parts(rows, hot, [key]).withColumn("part", part).drop("_parts")
 
@@ -112,12 +129,12 @@ def by_document(rows: DataFrame, stored: DataFrame | None = None, term: str = "t
     buckets = bucket_number(rows.sparkSession, stored.count())
     hot = hot_keys(stored, ["doc_id"])
     hot = None if hot is None else written_lookup(hot)
-    return ByDocument(bucketed(parted(rows, hot, "doc_id", term), buckets, "doc_id"), buckets, hot)
+    return ByDocument(bucketed(parted(rows, hot, "doc_id", term), buckets, "doc_id"), buckets, hot, stored=True)
 
 
 def store(layout: ByDocument) -> ByDocument:
-    """The layout with its rows written; they do not move."""
-    return layout.having(bucketed(layout.rows, layout.buckets, "doc_id", moved=True))
+    """The layout with its rows written, if they are not at hand; they do not move."""
+    return layout if layout.stored or layout.ready else layout.having(bucketed(layout.rows, layout.buckets, "doc_id", moved=True), stored=True)
 
 
 def hot_documents(lines: DataFrame, text: str) -> DataFrame | None:
@@ -144,13 +161,27 @@ def counted(tokens: DataFrame, term: str, hot: DataFrame | None) -> ByDocument:
     rows = parted(tokens.select(term, "doc_id"), hot, "doc_id", term).repartition(buckets, "doc_id", "part")
     counts = rows.groupBy(term, "doc_id", "part").agg(F.count(F.lit(1)).alias("freq"))
     counts = counts.select(term, "doc_id", "freq", "part")
-    return ByDocument(bucketed(counts, buckets, "doc_id", moved=True), buckets, hot)
+    return ByDocument(bucketed(counts, buckets, "doc_id", moved=True), buckets, hot, stored=True)
+
 
+def look_up(
+    layout: ByDocument,
+    lookup: DataFrame,
+    key: str,
+    how: str = "inner",
+    small: bool | None = None,
+    columns: list[str] | None = None,
+) -> ByDocument:
+    """The layout joined with a lookup by term; ``columns``, if given, are kept.
 
-def look_up(layout: ByDocument, lookup: DataFrame, key: str, how: str = "inner", small: bool | None = None) -> ByDocument:
-    """The layout joined with a lookup by term: in place if it can be broadcast, else laid out again."""
+    A lookup that can be broadcast is joined in place, and so is a larger one, part by part
+    into a written table. Only a lookup of too many parts lets the rows move, once by term and once back.
+    """
     small = fits_broadcast(lookup) if small is None else small
     if small:
-        return layout.having(layout.rows.join(F.broadcast(lookup), key, how))
-    rows = lookup_join(layout.rows, lookup, key, how, small=False)
-    return layout.having(bucketed(rows, layout.buckets, "doc_id"))
+        joined = layout.rows.join(F.broadcast(lookup), key, how)
+        return layout.having(joined.select(*columns) if columns else joined)
+    parts = in_parts(layout.rows, lookup, key, how)
+    joined = parts or [lookup_join(layout.rows, lookup, key, how, small=False)]
+    kept = [rows.select(*columns) if columns else rows for rows in joined]
+    return layout.having(bucketed(kept, layout.buckets, "doc_id", moved=parts is not None), stored=True)

@@ -21,6 +21,8 @@ HOT_ROWS = 4_000_000
 HOT_LIST_BYTES = 256 * 1024 * 1024
 # Input bytes per shuffle partition: the counts of a text take about its own size.
 SHUFFLE_BYTES = 128 * 1024 * 1024
+# A stored table may be read this many times, each time against a part of a lookup that is too large for one broadcast.
+LOOKUP_READS = 12
 # Rows of a table of marks, 4 KB (32,768 bits) each: 8 MB, whatever it marks.
 MARK_ROWS = 2048
 
@@ -224,6 +226,47 @@ def lookup_join(
     return salted_join(rows if stored or is_stored(rows) else written(rows), lookup, key, how)
 
 
+def in_parts(rows: DataFrame, lookup: DataFrame, key: str | list[str], how: str = "inner") -> list[DataFrame] | None:
+    """``rows`` joined with a lookup that is too large for one broadcast: one result per part of the keys.
+
+    A part of the lookup is below the broadcast limit, so ``rows`` does not move but is read
+    once for each part; it should be a written table. The results together are the join.
+    They are to be written one after the other, so that tasks hold one part at a time.
+    None if that takes more than ``LOOKUP_READS`` reads: then a shuffle costs less.
+    """
+    key = [key] if isinstance(key, str) else key
+    if any(rows.schema[k].dataType != lookup.schema[k].dataType for k in key):
+        return None  # equal keys of different types have different hashes
+    limit = _setting(rows.sparkSession, "broadcastBytes", BROADCAST_BYTES)
+    size = getattr(lookup, "observed", {}).get("bytes")
+    size = lookup.agg(table_bytes(lookup)).first()[0] if size is None else size
+    if 1.1 * size > limit * LOOKUP_READS:  # parts differ in size by some percent
+        return None
+    parts = max(1, math.ceil(1.1 * size / limit))
+    lookup = lookup if is_stored(lookup) else written(lookup)
+    part = F.pmod(F.xxhash64(*key), F.lit(parts))
+    return [rows.filter(part == i).join(F.broadcast(lookup.filter(part == i)), key, how) for i in range(parts)]
+
+
+def written_parts(parts: list[DataFrame]) -> DataFrame:
+    """Results of ``in_parts`` as one written table, computed one after the other."""
+    spark = parts[0].sparkSession
+    path = table_path(spark)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+    table = spark.read.schema(parts[0].schema).parquet(path)
+    table.written_path, table.observed = path, {}
+    return table
+
+
+def stored_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", stored: bool = True) -> DataFrame:
+    """``lookup_join`` of rows that are cheap to read again: a lookup beyond a broadcast meets them ``in_parts``."""
+    if fits_broadcast(lookup):
+        return lookup_join(rows, lookup, key, how, small=True)
+    parts = in_parts(rows, lookup, key, how)
+    return written_parts(parts) if parts else lookup_join(rows, lookup, key, how, stored=stored, small=False)
+
+
 def _mark(columns: list[Column]) -> tuple[Column, Column]:
     """Row and bit of the marks of a key."""
     key = F.xxhash64(*columns)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import clustering, scale, terms, weights
-from ..operators.layout import ByDocument, look_up
+from ..operators.layout import ByDocument, look_up, store
 
 
 @dataclass
@@ -41,40 +41,23 @@ def weigh(
     """Count, drop rare terms, weigh.
 
     With a term dictionary the ids are its own. Without one every word counts,
-    and the words that reach the threshold are numbered by alphabet. They are
-    found in a first pass over the text and are the dictionary of the second:
-    reading text again costs less than to shuffle and store the counts of all
-    words, most of which are rare. (If documents have to be looked up too, the
-    counts are stored after all, as the lookup may be too large for two passes.)
-
-    The counts are laid out by document by the shuffle that makes them, and the
-    weights stay where they are.
+    and the words that reach the threshold are numbered by alphabet. The text is
+    read once: the counts of all words are laid out by document by the shuffle
+    that makes them, terms are looked up where the counts are, part by part if
+    they are too many for a broadcast, and the weights stay there, too.
     """
-    if term_dict is None and doc_dict is None:
-        tokens = terms.tokenize(corpus.select("value"))
-        if stop_words is not None and scale.fits_broadcast(stop_words):
-            suitable = terms.suitable_words(terms.remove_stop_words(tokens, stop_words, small=True), min_total)
-        else:
-            # counted first: a large list meets one row per word, never the tokens
-            suitable = terms.suitable_words(tokens, min_total)
-            if stop_words is not None:
-                suitable = terms.remove_stop_words(scale.written(suitable), stop_words, stored=True, small=False)
-        vocabulary = terms.vocabulary(suitable)
-        triples = terms.counts_by_document(corpus, stop_words, term_dict=vocabulary)
+    triples = terms.counts_by_document(corpus, stop_words, term_dict, doc_dict)
+    name = "term" if term_dict is None else "term_id"
+    known = terms.term_statistics(triples.rows, name).filter(F.col("total") >= min_total)
+    if term_dict is None:
+        # the documents of a term come with its id, which spares looking up the idf
+        vocabulary = scale.numbered(known.select("term", "df"), "term", "term_id")
+        triples = store(look_up(triples, vocabulary, "term", columns=["term_id", "doc_id", "freq", "df", "part"]))
         layout = weights.tf_idf_by_document(triples, n_docs)
     else:
-        triples = terms.counts_by_document(corpus, stop_words, term_dict, doc_dict)
-        name = "term" if term_dict is None else "term_id"
-        known = terms.term_statistics(triples.rows, name).filter(F.col("total") >= min_total)
-        if term_dict is None:
-            vocabulary = terms.vocabulary(known.select("term"))
-            triples = look_up(triples, vocabulary, "term")
-            triples = triples.having(triples.rows.select("term_id", "doc_id", "freq", "part"))
-            layout = weights.tf_idf_by_document(triples, n_docs)
-        else:
-            vocabulary = scale.written_lookup(known)
-            triples = look_up(triples, vocabulary.select("term_id"), "term_id", "left_semi", scale.fits_broadcast(vocabulary))
-            layout = weights.tf_idf_by_document(triples, n_docs, df=vocabulary)
+        vocabulary = scale.written_lookup(known)
+        triples = look_up(triples, vocabulary.select("term_id"), "term_id", "left_semi", scale.fits_broadcast(vocabulary))
+        layout = weights.tf_idf_by_document(triples, n_docs, df=vocabulary)
     flat = layout.rows.select("term_id", "doc_id", "weight")
     return Weighted(vocabulary, triples.rows.select("term_id", "doc_id", "freq"), flat, layout)
 

@@ -66,7 +66,7 @@ def _kept(spark: SparkSession, sf_dir: str) -> tuple[ByDocument, DataFrame]:
     """Open counts without rare terms, laid out by document, and the statistics of their terms."""
     counts = terms.counts_by_document(corpus(spark, sf_dir), stop_words(spark))
     known = scale.written_lookup(terms.term_statistics(counts.rows, "term").filter("total >= 3"))
-    return look_up(counts, known.select("term"), "term", "left_semi", scale.fits_broadcast(known)), known
+    return look_up(counts, known.select("term", "df"), "term", small=scale.fits_broadcast(known)), known
 
 
 def _open_weights(spark: SparkSession, sf_dir: str) -> Weighted:
@@ -194,8 +194,8 @@ def doc_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept, known = _kept(spark, sf_dir)
-    weighted = weights.tf_idf_by_document(kept, term="term", df=known)
+    kept, _ = _kept(spark, sf_dir)
+    weighted = weights.tf_idf_by_document(kept, term="term")
     return weighted.rows.select("term", "doc_id", _rounded("weight"))
 
 
