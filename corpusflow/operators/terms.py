@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from .layout import ByDocument, by_document, counted, hot_documents
-from .scale import fits_broadcast, lookup_join, marked, marks, numbered, salted_join, written
+from .scale import fits_broadcast, in_parts, lookup_join, marked, marks, numbered, salted_join, written, written_parts
 
 
 def tokenize(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -125,32 +125,43 @@ def suitable_terms(triples: DataFrame, min_total: int = 3, term: str = "term_id"
     return term_totals(triples, term).filter(F.col("total") >= min_total)
 
 
-def suitable_words(tokens: DataFrame, min_total: int = 3) -> DataFrame:
-    """``suitable_terms`` straight from tokens, when the counts per document are not at hand."""
-    totals = tokens.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-    return totals.filter(F.col("total") >= min_total)
-
-
 def term_statistics(triples: DataFrame, term: str = "term_id") -> DataFrame:
     """(term, total, df) of unique triples: occurrences and documents of each term in one pass."""
     return triples.groupBy(term).agg(F.sum("freq").alias("total"), F.count(F.lit(1)).alias("df"))
 
 
 def eliminate_terms(
-    triples: DataFrame, suitable: DataFrame, term: str = "term_id", unique_input: bool = False
+    triples: DataFrame,
+    suitable: DataFrame,
+    term: str = "term_id",
+    unique_input: bool = False,
+    stored: bool = False,
+    in_place: bool = False,
 ) -> DataFrame:
     """Triples of suitable terms, each once.
 
     ``unique_input`` skips the distinct (a shuffle of all rows) for a written
     table of unique triples, such as the stored result of ``term_frequency``.
-    Beyond a broadcast, marks of fixed size drop most rows of other terms; the
-    rest is dealt out by term, a hot term by document, too, and joined and made
-    distinct there in one shuffle. Copies of one triple meet in one task.
+    ``stored`` says that ``triples`` are read from written tables: terms beyond
+    a broadcast meet them part by part, and copies meet within a part; ``in_place``
+    as in ``weights.sum_weights``. Without ``stored``, or with too many parts, marks
+    of fixed size drop most rows of other terms; the rest is dealt out by term, a
+    hot term by document, too, and joined and made distinct there in one shuffle.
+    Copies of one triple meet in one task.
     """
-    triples, kept = triples.select(term, "doc_id", "freq"), suitable.select(term)
+    columns, kept = [term, "doc_id", "freq"], suitable.select(term)
+    # the part follows from document and term: copies in a layout are found where they are
+    placed = triples.select(*columns, *(["part"] if in_place else []))
+    triples = triples.select(*columns)
+
+    def single(rows: DataFrame) -> DataFrame:
+        return (rows if unique_input else rows.distinct()).select(*columns)
+
     if fits_broadcast(suitable):
-        rows = lookup_join(triples, kept, term, "left_semi", small=True)
-        return rows if unique_input else rows.distinct()
+        return single(lookup_join(placed, kept, term, "left_semi", small=True))
+    parts = in_parts(placed, kept, term, "left_semi") if unique_input or stored else None
+    if parts:
+        return written_parts([single(rows) for rows in parts])
     if unique_input:
         return lookup_join(triples, kept, term, "left_semi", stored=True, small=False)
     rows = written(marked(triples, marks(kept, term), term))

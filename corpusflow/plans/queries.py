@@ -81,6 +81,11 @@ def _dictionary_weights(spark: SparkSession, sf_dir: str) -> Weighted:
     )
 
 
+def _twice(rows: DataFrame) -> DataFrame:
+    """Every row two times, where it is."""
+    return rows.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+
+
 def _rounded(name: str, digits: int = 6) -> Column:
     return F.round(F.col(name), digits).alias(name)
 
@@ -143,9 +148,9 @@ def document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eliminated_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every triple is given twice and comes out once."""
-    counts = scale.written(open_counts(spark, sf_dir))
+    counts = terms.counts_by_document(corpus(spark, sf_dir), stop_words(spark)).rows
     suitable = scale.written_lookup(terms.suitable_terms(counts, term="term"))
-    return terms.eliminate_terms(counts.unionByName(counts), suitable, "term")
+    return terms.eliminate_terms(_twice(counts), suitable, "term", stored=True, in_place=True)
 
 
 def overwritten_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +178,8 @@ def suitable_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eliminated_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = scale.written(open_counts(spark, sf_dir))
-    return terms.eliminate_terms(counts, scale.written_lookup(terms.suitable_terms(counts, term="term")), "term")
+    suitable = scale.written_lookup(terms.suitable_terms(counts, term="term"))
+    return terms.eliminate_terms(counts, suitable, "term", unique_input=True)
 
 
 def top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
