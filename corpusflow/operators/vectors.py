@@ -18,12 +18,14 @@ def sparse_vectors(weights: DataFrame, key: str = "doc_id", entries_per_row: int
 
     By default a document is one row. ``entries_per_row`` deals its entries out
     over rows of about that many, by a hash of the term; for keys with a great
-    part of all terms.
+    part of all terms. Weights laid out by document are packed where they are.
     """
-    entries = F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("vector")
+    entries = F.sort_array(F.collect_list(F.struct("term_id", "weight"))).alias("vector")
     if entries_per_row is None:
-        return weights.groupBy(key).agg(entries)
-    weights = written(weights)
+        layout = getattr(weights, "layout", None)
+        in_place = key == "doc_id" and layout is not None and layout.hot is None
+        return weights.groupBy(key, *(["part"] if in_place else [])).agg(entries).select(key, "vector")
+    weights = weights if is_stored(weights) else written(weights)
     sizes = weights.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     parts = F.ceil(F.col("_n") / entries_per_row)
     rows = lookup_join(weights, written(sizes), key, stored=True)

@@ -329,7 +329,7 @@ def cluster_top_terms_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
 def centroid_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scale.table_path(spark)
     _, _, centroids = _one_pass(spark, sf_dir)
-    sinks.write_lines(sinks.centroid_lines(centroids), path)
+    sinks.write_lines(sinks.centroid_lines(centroids, vectors.BLOCK_TERMS), path)
     return sources.read_centroids(spark, path).select("cluster", "term_id", _rounded("weight"))
 
 
