@@ -207,15 +207,15 @@ def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tf_idf_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every triple is given twice."""
-    triples = _kept(spark, sf_dir)[0].rows.select("term", "doc_id", "freq")
-    weighted = weights.tf_idf(triples.unionByName(triples), term="term")
+    triples = _kept(spark, sf_dir)[0].rows.select("term", "doc_id", "freq", "part")
+    weighted = weights.tf_idf(_twice(triples), term="term", in_place=True)
     return weighted.select("term", "doc_id", _rounded("weight"))
 
 
 def sum_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every weight is given twice."""
     weighted = _open_weights(spark, sf_dir).weights
-    return weights.sum_weights(weighted.unionByName(weighted)).select("term_id", "doc_id", _rounded("weight"))
+    return weights.sum_weights(_twice(weighted), in_place=True).select("term_id", "doc_id", _rounded("weight"))
 
 
 def dense_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
