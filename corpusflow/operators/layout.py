@@ -9,6 +9,8 @@ length, its sums and its choice of a cluster are found where its rows are.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +35,8 @@ from .scale import (
 BUCKET_ROWS = 16_000_000
 # Bytes of text that stand for one row when documents are cut before they are counted.
 TEXT_BYTES_PER_ROW = 16
+# Files that a task writes at the same time before it sorts its rows by bucket.
+OPEN_FILES = 4
 
 
 @dataclass
@@ -91,6 +95,22 @@ def bucket_number(spark: SparkSession, rows: int | None = None) -> int:
     return min(max(spark.sparkContext.defaultParallelism, wanted), most)
 
 
+@contextmanager
+def _files_at_once(spark: SparkSession) -> Iterator[None]:
+    """Tasks write their buckets as the rows come.
+
+    Else Spark sorts, and spills, all rows of a task by their bucket, although a task has one
+    bucket only. A task with more buckets than open files still sorts.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(OPEN_FILES, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def bucketed(rows: DataFrame | list[DataFrame], buckets: int, key: str, moved: bool = False) -> DataFrame:
     """``rows`` as a written table bucketed by ``key`` and ``part``; ``moved`` rows are partitioned that way already.
 
@@ -100,10 +120,11 @@ def bucketed(rows: DataFrame | list[DataFrame], buckets: int, key: str, moved: b
     spark = tables[0].sparkSession
     path = table_path(spark)
     name = path.rsplit("/", 1)[1]
-    for table in tables:
-        # one task per bucket, so one file per bucket
-        dealt = table if moved else table.repartition(buckets, key, "part")
-        dealt.write.mode("append").bucketBy(buckets, key, "part").option("path", path).saveAsTable(name)
+    with _files_at_once(spark):
+        for table in tables:
+            # one task per bucket, so one file per bucket
+            dealt = table if moved else table.repartition(buckets, key, "part")
+            dealt.write.mode("append").bucketBy(buckets, key, "part").option("path", path).saveAsTable(name)
     laid_out = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # only the name: the files lie outside the warehouse
     return laid_out
@@ -151,14 +172,19 @@ def hot_documents(lines: DataFrame, text: str) -> DataFrame | None:
     return hot if hot.observed["rows"] else None
 
 
-def counted(tokens: DataFrame, term: str, hot: DataFrame | None) -> ByDocument:
+def dealt_lines(lines: DataFrame) -> DataFrame:
+    """Lines (doc_id, text) dealt out by document, without cut ones: their tokens are where ``counted`` wants them."""
+    return parted(lines, None, "doc_id", "").repartition(bucket_number(lines.sparkSession), "doc_id", "part")
+
+
+def counted(tokens: DataFrame, term: str, hot: DataFrame | None, moved: bool = False) -> ByDocument:
     """Occurrences of each term in each document, (term, doc_id, freq, part), laid out by the shuffle that counts them.
 
     Words of one document seldom repeat, so counting before the shuffle would
-    save less than a second shuffle costs.
+    save less than a second shuffle costs. ``moved`` tokens come from ``dealt_lines``.
     """
     buckets = bucket_number(tokens.sparkSession)
-    rows = parted(tokens.select(term, "doc_id"), hot, "doc_id", term).repartition(buckets, "doc_id", "part")
+    rows = tokens if moved else parted(tokens.select(term, "doc_id"), hot, "doc_id", term).repartition(buckets, "doc_id", "part")
     counts = rows.groupBy(term, "doc_id", "part").agg(F.count(F.lit(1)).alias("freq"))
     counts = counts.select(term, "doc_id", "freq", "part")
     return ByDocument(bucketed(counts, buckets, "doc_id", moved=True), buckets, hot, stored=True)

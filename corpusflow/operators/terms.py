@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from .layout import ByDocument, by_document, counted, hot_documents
+from .layout import ByDocument, by_document, counted, dealt_lines, hot_documents
 from .scale import fits_broadcast, in_parts, lookup_join, marked, marks, numbered, salted_join, written, written_parts
 
 
@@ -101,13 +101,19 @@ def counts_by_document(
 
     With lists that can be broadcast the tokens are dealt out by document and
     counted there, one shuffle in all. Larger lists are joined with the counts
-    first, as in ``term_frequency``, and the rest is laid out.
+    first, as in ``term_frequency``, and the rest is laid out. Without a term
+    dictionary nearly all tokens stay, and they take more than their text: then
+    the lines move, unless a document must be cut.
     """
     term = "term" if term_dict is None else "term_id"
     lines, known = _document_lines(corpus, doc_dict, text)
     rows, stop_left, terms_left = _early(tokenize(lines, text), stop_words, term_dict)
     if known and stop_left is None and terms_left is None:
-        return counted(rows, term, hot_documents(lines, text))
+        hot = hot_documents(lines, text)
+        if term_dict is None and hot is None:
+            there = _early(tokenize(dealt_lines(lines), text), stop_words, None)[0]
+            return counted(there, term, None, moved=True)
+        return counted(rows, term, hot)
     return by_document(term_frequency(corpus, stop_words, term_dict, doc_dict, text), term=term)
 
 
