@@ -54,7 +54,8 @@ class WordEncoder:
     """Ids of texts by a ``tokenizers`` file that drops white space between words.
 
     Words are separated by space and line feed only, other white space is left
-    to the library. A word is encoded once and then remembered; when too many
+    to the library. Words of ASCII characters are told apart in lower case, as
+    the library sees them. A word is encoded once and then remembered; when too many
     are, the half that came in the most blocks stays.
     """
 
@@ -63,9 +64,14 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        vocabulary = self.library.get_vocab()
+        #: Which ids close a word of the library.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for name, i in vocabulary.items() if name.endswith("</w>")]] = True
         self.remembered = remembered
         self.words: dict[str, int] = {"": 0}
-        self.flat = np.empty(0, np.uint32)
+        #: Ids of all words, filled up to ``held``; the other arrays have a place for each word. All have room for more.
+        self.flat, self.held = np.empty(0, np.uint32), 0
         self.starts, self.lengths, self.used = (np.zeros(1, np.int64) for _ in range(3))  # the empty word
         self.parted: dict[str, bool] = {}
 
@@ -75,13 +81,17 @@ class WordEncoder:
             self._keep_half()
         lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
         coded = lists.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        # the library lower-cases what it does not take for a control word
+        names = coded.dictionary
+        plain = pc.and_(pc.string_is_ascii(names), pc.invert(pc.match_substring(names, "<|")))
+        lowered = pc.if_else(plain, pc.ascii_lower(names), names).dictionary_encode()
+        distinct = lowered.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.words]
         if new:
             self._add(new)
         places = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
         self.used[places] += 1
-        of_word = places[coded.indices.to_numpy()]
+        of_word = places[lowered.indices.to_numpy()][coded.indices.to_numpy()]
         lengths = self.lengths[of_word]
         ids = gather(self.flat, self.starts[of_word], lengths)
         ends = np.concatenate([[0], np.cumsum(lengths)])[lists.offsets.to_numpy()]
@@ -89,13 +99,14 @@ class WordEncoder:
             yield ids[begin:end]
 
     def _keep_half(self) -> None:
-        kept = np.argsort(-self.used[1:], kind="stable")[: self.remembered // 2] + 1
+        kept = np.argsort(-self.used[1 : len(self.words)], kind="stable")[: self.remembered // 2] + 1
         kept = np.concatenate([[0], np.sort(kept)])
         names = list(self.words)
         self.words = {names[place]: i for i, place in enumerate(kept)}
         self.flat = gather(self.flat, self.starts[kept], self.lengths[kept])
         self.lengths, self.used = self.lengths[kept], self.used[kept] // 2
         self.starts = np.cumsum(self.lengths) - self.lengths
+        self.held = len(self.flat)
 
     def _is_parted(self, letter: str) -> bool:
         """Whether a mark behind this letter is a word of its own: not if the letter normalises into one with a mark."""
@@ -110,9 +121,10 @@ class WordEncoder:
         split = {w for w in new if w[-1] in MARKS and len(w) > 1 and self._is_parted(w[-2])}
         parts = dict.fromkeys(chain.from_iterable((w[:-1], w[-1]) if w in split else (w,) for w in new))
         parts = [w for w in parts if w not in self.words]
-        whole = [w for w in parts if w.isalpha()]
+        whole, rest = [], []
+        for w in parts:
+            (whole if w.isalpha() else rest).append(w)
         self._append(whole, *self._ids_of_letters(whole))
-        rest = [w for w in parts if w not in self.words]
         self._append(rest, *self._ids_of_each(rest))
         split = [w for w in new if w not in self.words]
         pairs = [self.words[part] for w in split for part in (w[:-1], w[-1])]
@@ -124,10 +136,11 @@ class WordEncoder:
         groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
         texts = [" ".join(group) for group in groups]
         flat, lengths = [], []
-        for group, text, found in zip(groups, texts, self.library.encode_batch(texts, add_special_tokens=False), strict=True):
-            numbers = found.word_ids
-            if numbers[-1] + 1 == len(group) and all(map(self._is_parted, set(text) - {" "})):
-                ids, sizes = np.array(found.ids, np.uint32), np.bincount(numbers)
+        for group, text, found in zip(groups, texts, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) == len(group) and ends[-1] + 1 == len(ids) and all(map(self._is_parted, set(text) - {" "})):
+                sizes = np.diff(ends, prepend=-1)
             else:  # letters that become more than letters, or that only Python takes for some
                 ids, sizes = self._ids_of_each(group)
             flat.append(ids)
@@ -141,11 +154,23 @@ class WordEncoder:
         return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
 
     def _append(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.used = np.concatenate([self.used, np.zeros(len(words), np.int64)])
-        self.flat = np.concatenate([self.flat, ids])
+        known = len(self.words)
+        self.words.update(zip(words, range(known, known + len(words)), strict=True))
+        self.starts = _put(self.starts, known, self.held + np.cumsum(lengths) - lengths)
+        self.lengths = _put(self.lengths, known, lengths)
+        self.used = _put(self.used, known, np.zeros(len(words), np.int64))
+        self.flat = _put(self.flat, self.held, ids)
+        self.held += len(ids)
+
+
+def _put(values: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``values`` with ``more`` from ``at`` on; they are copied only when their room is used up, by half at least."""
+    if at + len(more) > len(values):
+        room = np.empty(max(at + len(more), len(values) * 3 // 2), values.dtype)
+        room[:at] = values[:at]
+        values = room
+    values[at : at + len(more)] = more
+    return values
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, text_col: str = "text", with_ids: bool = False) -> DataFrame:

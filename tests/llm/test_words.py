@@ -37,6 +37,15 @@ def test_random_words(remembered):
         assert [ids.tolist() for ids in encoder.encode(texts)] == wanted
 
 
+def test_words_that_differ_in_case_are_encoded_once():
+    """op9_pack: the library lower-cases them; control words and letters under a mark keep their case."""
+    encoder = packing.WordEncoder(PATH)
+    texts = ["The the THE thE's DON'T", "<|ENDOFTEXT|> <|endoftext|> x<|EndOfText|>y A<|startoftext|>B", "J\u030c j\u030c H\u0331 İ I\u0307 \u212a K ẞ", ""]
+    wanted = [e.ids for e in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == wanted
+    assert "the" in encoder.words and not {"The", "THE", "DON'T"} & set(encoder.words)
+
+
 def test_a_triple_uses_its_longest_once():
     assert packing.plan({5: 1, 4: 1, 3: 1, 2: 1, 8: 1}, 20)[0] == ((8, 5, 4, 3), 1)
     counts = {5: 1, 4: 1, 3: 1, 2: 1}
