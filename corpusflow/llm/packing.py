@@ -25,7 +25,7 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -85,11 +85,13 @@ class WordEncoder:
         names = coded.dictionary
         plain = pc.and_(pc.string_is_ascii(names), pc.invert(pc.match_substring(names, "<|")))
         lowered = pc.if_else(plain, pc.ascii_lower(names), names).dictionary_encode()
-        distinct = lowered.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.words]
-        if new:
+        distinct = lowered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = np.fromiter(map(self.words.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = [distinct[i] for i in missing.tolist()]
             self._add(new)
-        places = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
+            places[missing] = np.fromiter(map(self.words.__getitem__, new), np.int64, len(new))
         self.used[places] += 1
         of_word = places[lowered.indices.to_numpy()][coded.indices.to_numpy()]
         lengths = self.lengths[of_word]
