@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .scale import (
@@ -35,6 +35,8 @@ from .scale import (
 BUCKET_ROWS = 16_000_000
 # Bytes of text that stand for one row when documents are cut before they are counted.
 TEXT_BYTES_PER_ROW = 16
+# Text per bucket where tokens are counted: some 3 million counts, whose hash table takes 300 MB.
+BUCKET_TEXT_BYTES = 32 * 1024 * 1024
 # Files that a task writes at the same time before it sorts its rows by bucket.
 OPEN_FILES = 4
 
@@ -87,9 +89,10 @@ class ByDocument:
         return inside if self.hot is None else inside.distinct()
 
 
-def bucket_number(spark: SparkSession, rows: int | None = None) -> int:
-    """Buckets for a table of so many rows, or for what shuffles are sized for."""
+def bucket_number(spark: SparkSession, rows: int | None = None, text_bytes: int = 0) -> int:
+    """Buckets for a table of so many rows, or for what shuffles are sized for and the counts of so much text."""
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions")) if rows is None else math.ceil(rows / BUCKET_ROWS)
+    wanted = max(wanted, math.ceil(text_bytes / _setting(spark, "bucketTextBytes", BUCKET_TEXT_BYTES)))
     # beyond Spark's own limit buckets grow, and with them the tasks
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     return min(max(spark.sparkContext.defaultParallelism, wanted), most)
@@ -100,15 +103,18 @@ def _files_at_once(spark: SparkSession) -> Iterator[None]:
     """Tasks write their buckets as the rows come.
 
     Else Spark sorts, and spills, all rows of a task by their bucket, although a task has one
-    bucket only. A task with more buckets than open files still sorts.
+    bucket only. A task with more buckets than open files still sorts, so a layout that is read
+    for another one is read bucket by bucket, not with many buckets in a task.
     """
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(max(OPEN_FILES, int(before))))
+    writers, scans = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = {name: spark.conf.get(name) for name in (writers, scans)}
+    spark.conf.set(writers, str(max(OPEN_FILES, int(before[writers]))))
+    spark.conf.set(scans, "false")
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def bucketed(rows: DataFrame | list[DataFrame], buckets: int, key: str, moved: bool = False) -> DataFrame:
@@ -158,32 +164,37 @@ def store(layout: ByDocument) -> ByDocument:
     return layout if layout.stored or layout.ready else layout.having(bucketed(layout.rows, layout.buckets, "doc_id", moved=True), stored=True)
 
 
-def hot_documents(lines: DataFrame, text: str) -> DataFrame | None:
-    """Documents with too much text for one task, as ``hot_keys`` lists them; ``lines`` has doc_id and the text.
+def hot_documents(lines: DataFrame, text: str) -> tuple[DataFrame | None, int]:
+    """Documents with too much text for one task, as ``hot_keys`` lists them, and the bytes of all text.
 
-    The text is measured, not split. A corpus whose files are far smaller than
-    such a document is not looked at.
+    ``lines`` has doc_id and the text, which is measured, not split. A corpus whose
+    files are far smaller than such a document is not looked at: its text counts as 0.
     """
     limit = _setting(lines.sparkSession, "hotRows", HOT_ROWS) * TEXT_BYTES_PER_ROW
     if 8 * scan_bytes(lines) <= limit:
-        return None
-    sizes = lines.groupBy("doc_id").agg(F.sum(F.octet_length(text)).alias("_n")).filter(F.col("_n") > limit)
+        return None, 0
+    seen = Observation()
+    sizes = lines.groupBy("doc_id").agg(F.sum(F.octet_length(text)).alias("_n"))
+    sizes = sizes.observe(seen, F.sum("_n").alias("bytes")).filter(F.col("_n") > limit)
     hot = written_lookup(sizes.select("doc_id", F.ceil(F.col("_n") / limit).cast("int").alias("_parts")))
-    return hot if hot.observed["rows"] else None
+    return hot if hot.observed["rows"] else None, seen.get["bytes"] or 0
 
 
-def dealt_lines(lines: DataFrame) -> DataFrame:
+def dealt_lines(lines: DataFrame, text_bytes: int = 0) -> DataFrame:
     """Lines (doc_id, text) dealt out by document, without cut ones: their tokens are where ``counted`` wants them."""
-    return parted(lines, None, "doc_id", "").repartition(bucket_number(lines.sparkSession), "doc_id", "part")
+    buckets = bucket_number(lines.sparkSession, text_bytes=text_bytes)
+    return parted(lines, None, "doc_id", "").repartition(buckets, "doc_id", "part")
 
 
-def counted(tokens: DataFrame, term: str, hot: DataFrame | None, moved: bool = False) -> ByDocument:
+def counted(tokens: DataFrame, term: str, hot: DataFrame | None, moved: bool = False, text_bytes: int = 0) -> ByDocument:
     """Occurrences of each term in each document, (term, doc_id, freq, part), laid out by the shuffle that counts them.
 
     Words of one document seldom repeat, so counting before the shuffle would
-    save less than a second shuffle costs. ``moved`` tokens come from ``dealt_lines``.
+    save less than a second shuffle costs. ``moved`` tokens come from ``dealt_lines``,
+    with the same ``text_bytes``: buckets do not grow with the corpus, so neither
+    do the counts that a task holds.
     """
-    buckets = bucket_number(tokens.sparkSession)
+    buckets = bucket_number(tokens.sparkSession, text_bytes=text_bytes)
     rows = tokens if moved else parted(tokens.select(term, "doc_id"), hot, "doc_id", term).repartition(buckets, "doc_id", "part")
     counts = rows.groupBy(term, "doc_id", "part").agg(F.count(F.lit(1)).alias("freq"))
     counts = counts.select(term, "doc_id", "freq", "part")

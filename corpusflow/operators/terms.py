@@ -109,11 +109,11 @@ def counts_by_document(
     lines, known = _document_lines(corpus, doc_dict, text)
     rows, stop_left, terms_left = _early(tokenize(lines, text), stop_words, term_dict)
     if known and stop_left is None and terms_left is None:
-        hot = hot_documents(lines, text)
+        hot, size = hot_documents(lines, text)
         if term_dict is None and hot is None:
-            there = _early(tokenize(dealt_lines(lines), text), stop_words, None)[0]
-            return counted(there, term, None, moved=True)
-        return counted(rows, term, hot)
+            there = _early(tokenize(dealt_lines(lines, size), text), stop_words, None)[0]
+            return counted(there, term, None, moved=True, text_bytes=size)
+        return counted(rows, term, hot, text_bytes=size)
     return by_document(term_frequency(corpus, stop_words, term_dict, doc_dict, text), term=term)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from corpusflow import sinks, sources
-from corpusflow.operators import clustering, scale, terms, vectors, weights
+from corpusflow.operators import clustering, layout, scale, terms, vectors, weights
 from corpusflow.plans.pipeline import weigh
 
 
@@ -149,3 +149,28 @@ def test_counting_moves_lines_and_sorts_no_bucket(spark, monkeypatch):
     assert counts.rows.count() == len(wanted)
     assert seen and min(seen) >= 1 and spark.conf.get(name) == before
     assert plans[0].index("Generate") < plans[0].index("RepartitionByExpression"), plans[0]
+
+
+def test_buckets_of_counts_follow_the_text(spark, settings):
+    """So that a task's counts do not grow with the corpus."""
+    settings(hotRows=1000, bucketTextBytes=2000)
+    texts = [(d, " ".join(f"w{(d * i) % 97}" for i in range(60))) for d in range(300)]
+    corpus = scale.written(spark.createDataFrame(texts, "doc_id bigint, value string"))
+    size = sum(len(t) for _, t in texts)
+    made = terms.counts_by_document(corpus)
+    assert made.hot is None and made.buckets == -(-size // 2000) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows(made.rows, "term", "doc_id", "freq") == rows(terms.term_frequency(corpus), "term", "doc_id", "freq")
+
+
+def test_a_layout_is_written_bucket_by_bucket(spark, corpus, plan):
+    """Not by tasks with many buckets, which sort their rows by bucket, and at size spill them."""
+    counts = terms.counts_by_document(corpus)
+    names = scale.written_lookup(counts.rows.select("term").distinct().withColumn("term_id", F.hash("term").cast("bigint")))
+    scans = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(scans)
+    joined = layout.look_up(counts, names, "term", columns=["term_id", "doc_id", "freq", "part"])
+    with layout._files_at_once(spark):
+        assert "Bucketed: true" in plan(joined.rows.select("*"))
+    assert spark.conf.get(scans) == before
+    stored, made = (at.rows.filter("doc_id IS NOT NULL").select("term_id", "doc_id", "freq") for at in (layout.store(joined), joined))
+    assert rows(stored) == rows(made)
