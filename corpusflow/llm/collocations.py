@@ -170,7 +170,7 @@ class _Block:
 
 
 def _pair_counts(texts: DataFrame, words: Broadcast, block: int) -> DataFrame:
-    """(pair, n) per block: neighbouring frequent words under their hash."""
+    """(pair, n) per block: neighbouring frequent words under 32 bits of their hash, half of what moves with 64."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, some in _by_language(batches, block):
@@ -183,9 +183,10 @@ def _pair_counts(texts: DataFrame, words: Broadcast, block: int) -> DataFrame:
                 found = made.pair_hashes(at[first])
                 for low in range(0, len(found), 500_000):
                     part = slice(low, low + 500_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(found[part]), pa.array(counts[part])], ["pair", "n"])
+                    pairs = pa.array(found[part].astype(np.int32))  # the lower half
+                    yield pa.RecordBatch.from_arrays([pairs, pa.array(counts[part])], ["pair", "n"])
 
-    return texts.mapInArrow(run, "pair bigint, n bigint")
+    return texts.mapInArrow(run, "pair int, n bigint")
 
 
 def count_windows(ids: np.ndarray, own: int, most: int, joined: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:

@@ -107,3 +107,11 @@ def test_windows_with_many_words():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "lang string, text string")
     assert collocations.collocations(df).collect() == []
+
+
+def test_pairs_move_in_four_bytes(spark):
+    """Pairs are counted for the marks only, so half of their hash will do."""
+    texts = collocations._texts(spark.createDataFrame([("en", "a b c a b")], "lang string, text string"), "text", "lang")
+    marked = spark.sparkContext.broadcast(np.full(1 << (collocations.BITMAP_BITS - 3), 255, np.uint8))
+    found = collocations._pair_counts(texts, marked, 1000)
+    assert dict(found.dtypes)["pair"] == "int" and sorted(r.n for r in found.collect()) == [1, 1, 2]
