@@ -410,9 +410,12 @@ def linked_classes(sets: DataFrame, levels: Broadcast, percent: int = PERCENT) -
 
 
 def similar_groups(
-    docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, place_bits: int = PLACE_BITS
+    docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, place_bits: int = PLACE_BITS, unique: bool = False
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text).
+
+    ``unique`` says that no id is repeated, which spares moving the sets to drop repetitions.
+    """
     docs = docs.select("doc_id", "text")
     sizes = written(signatures(docs, shingle))
     key = ["n_shingles", "sig_a", "sig_b"]
@@ -420,7 +423,8 @@ def similar_groups(
     levels = frequency_levels(docs, shingle, place_bits)
     # one text of each class, and one row of it
     chosen = classes.select(F.col("first").alias("doc_id")).distinct()
-    sets = prefixes(docs, levels, percent, shingle).join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = prefixes(docs, levels, percent, shingle).join(chosen, "doc_id", "left_semi")
+    sets = sets if unique else sets.dropDuplicates(["doc_id"])
     found = linked_classes(written(sets), levels, percent)
     levels.unpersist()
     labels = classes.join(found.withColumnRenamed("node", "first"), "first", "left")
@@ -439,7 +443,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE)
     """
     row = fresh(docs, "_number")
     placed = addressed(docs, row)
-    groups = similar_groups(placed.select(F.col(row).alias("doc_id"), "text"), percent, shingle)
+    groups = similar_groups(placed.select(F.col(row).alias("doc_id"), "text"), percent, shingle, unique=True)
     groups = written(groups.filter("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id"))
     # rows of components with several members, with their ids
     many = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("component_id")

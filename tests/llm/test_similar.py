@@ -145,3 +145,14 @@ def test_suffix_dedup_of_edge_texts(edge, texts, empty):
     wanted = suffix_dedup.brute_force([t.encode() for _, t in texts], 200)
     assert sorted((r.doc_id, bytes(r.kept)) for r in found) == sorted((i, k) for (i, _), k in zip(texts, wanted, strict=True))
     assert suffix_dedup.remove_repeats(empty).count() == 0
+
+
+def test_sets_of_numbered_rows_do_not_move_to_be_told_apart(spark, monkeypatch):
+    """The rows of ``one_of_each`` have numbers of their own: none is repeated, though ids and texts are."""
+    text = "one two three four five six"
+    docs = spark.createDataFrame([(1, text), (1, text), (2, text), (1, "seven eight nine"), (None, text)], "doc_id bigint, text string")
+    wanted = [(1, "seven eight nine"), (1, text)]
+    dropped, drop = [], type(docs).dropDuplicates
+    monkeypatch.setattr(type(docs), "dropDuplicates", lambda df, *a: dropped.append(df.columns) or drop(df, *a))
+    assert sorted(tuple(r) for r in jaccard.one_of_each(docs).collect()) == sorted(wanted)
+    assert not [c for c in dropped if "tokens" in c]
