@@ -1,18 +1,20 @@
 """Phrase collocations by marginalising the counts of the longest windows.
 
-Every word leads a window: the word and the next ones of its piece, padded with the
-empty string where the piece ends. Only these longest windows are counted. Each
-occurrence of a shorter phrase begins at one word, so its count is the sum over the
-windows that begin with it, and Spark's ROLLUP over the window's columns sums all
-lengths at once; no n-grams are made length by length.
-
-A phrase with a rare word or a rare pair of neighbours is rare. A first pass counts
-words, a second one the pairs of frequent words, under hashes; both only mark what
-is frequent in bitmaps of fixed size, and a window is padded from its first unmarked
-word or pair on. A false mark leaves a window longer than need be, which changes no
-count of a frequent phrase. All counts of phrases come from the windows. Texts of a
-block are counted together before they are shuffled, so a very common word or window
-is one row per block.
+Every pair of neighbours leads a window: the two words and the next ones of their
+piece, padded with the empty string where the piece ends. Only these longest windows are
+counted. Each occurrence of a shorter phrase begins at one word, so its count is the sum
+over the windows that begin with it, and Spark's ROLLUP over the window's columns sums
+all lengths at once; no n-grams are made length by length.
+
+A phrase with a rare word, a rare pair or a rare triple of neighbours is rare. A first
+pass counts words, a second one the pairs of frequent words, a third one the triples of
+frequent pairs, both under hashes; they mark what is frequent in bitmaps of fixed size,
+and a window ends before its first unmarked word, pair or triple. A false mark leaves a
+window longer than need be, which changes no count of a frequent phrase. The counts of
+phrases come from the windows, those of single words from the first pass. Texts of a
+block are counted together before they are shuffled. Triples move by groups of places,
+three bytes each, windows by buckets of their first pair: rows for each task, not for
+each of them, and the windows of a bucket are added up before Spark rolls them up.
 
 Both parts of any cut of a frequent phrase are at least as frequent as the phrase,
 so all counts that a score needs are in the table of frequent phrases. It is broadcast
@@ -35,6 +37,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,8 +51,12 @@ MIN_COUNT, MOST_WORDS, TOP = 100, 5, 2000
 COVERED_PERCENT = 100
 #: Bytes of text that are counted together.
 BLOCK_BYTES = 6_000_000
-#: The bitmaps of frequent words and pairs: 2^26 bits, 8 MB, each.
+#: The bitmaps of frequent words, pairs and triples: 2^26 bits, 8 MB, each.
 BITMAP_BITS = 26
+#: Triples are counted at 2^30 places, in groups of 2^16; a task sends so many at once.
+PLACE_BITS, GROUP_BITS, HELD_PLACES = 30, 16, 2_000_000
+#: Windows move in so many buckets; a task sends so many at once.
+BUCKET_BITS, HELD_WINDOWS = 12, 500_000
 
 #: Fixed values of the contract: ends of pieces, white space between words.
 _ENDS, _SPACE = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -168,6 +175,15 @@ class _Block:
     def pair_hashes(self, at: np.ndarray) -> np.ndarray:
         return _pair_hashes(self.hashes[self.ids[at]], self.hashes[self.ids[at + 1]])
 
+    def joined(self, pairs_marked: np.ndarray) -> np.ndarray:
+        """Whether each token makes a frequent pair with the next one."""
+        joined = np.zeros(len(self.ids), bool)
+        joined[self.pairs] = _is_set(pairs_marked, self.pair_hashes(self.pairs) & _PLACES)
+        return joined
+
+    def triple_hashes(self, at: np.ndarray) -> np.ndarray:
+        return _pair_hashes(self.pair_hashes(at).view(np.uint64), self.hashes[self.ids[at + 2]])
+
 
 def _pair_counts(texts: DataFrame, words: Broadcast, block: int) -> DataFrame:
     """(pair, n) per block: neighbouring frequent words under 32 bits of their hash, half of what moves with 64."""
@@ -189,16 +205,81 @@ def _pair_counts(texts: DataFrame, words: Broadcast, block: int) -> DataFrame:
     return texts.mapInArrow(run, "pair int, n bigint")
 
 
-def count_windows(ids: np.ndarray, own: int, most: int, joined: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+def _triples(joined: np.ndarray) -> np.ndarray:
+    """Places of the triples whose pairs are both frequent."""
+    return np.flatnonzero(joined[:-1] & joined[1:])
+
+
+def _triple_counts(texts: DataFrame, words: Broadcast, pairs: Broadcast, min_count: int, block: int) -> DataFrame:
+    """(place_group, low, n): triples of frequent pairs at their places, lower bits and counts in one row for each group.
+
+    Counts stop at ``min_count``: more is not asked for, and they stay one byte each.
+    """
+    kind, width = np.min_scalar_type(min_count).newbyteorder("<"), np.int64((1 << PLACE_BITS) - 1)
+
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        places, inverse = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        counts = np.bincount(inverse, np.concatenate([h[1] for h in held]), len(places))
+        counts = np.minimum(counts, min_count).astype(kind)
+        groups, first = np.unique(places >> GROUP_BITS, return_index=True)
+        cuts, low = np.append(first, len(places)), (places & ((1 << GROUP_BITS) - 1)).astype("<u2")
+        parts = [pa.array([c[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()) for c in (low, counts)]
+        return pa.RecordBatch.from_arrays([pa.array(groups.astype(np.int32)), *parts], ["place_group", "low", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for lang, some in _by_language(batches, block):
+            for tokens, own in token_parts(some, block, 2):
+                made = _Block(lang, tokens, words.value)
+                at = _triples(made.joined(pairs.value))
+                held.append(np.unique(made.triple_hashes(at[at < own]) & width, return_counts=True))
+                if sum(len(h[0]) for h in held) >= HELD_PLACES:
+                    yield packed(held)
+                    held = []
+        if any(len(h[0]) for h in held):
+            yield packed(held)
+
+    return texts.mapInArrow(run, "place_group int, low binary, n binary")
+
+
+def _frequent_places(counts: DataFrame, min_count: int) -> DataFrame:
+    """(place) with ``min_count`` triples or more: a group is added up in 2^16 counters while its rows stream by."""
+    kind = np.min_scalar_type(min_count).newbyteorder("<")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def finished(group: int, sums: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array((group << GROUP_BITS) + np.flatnonzero(sums >= min_count))], ["place"])
+
+        now, sums = None, np.zeros(1 << GROUP_BITS, np.int64)
+        for batch in batches:
+            for group, low, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if group != now:
+                    if now is not None:
+                        yield finished(now, sums)
+                    now, sums = group, np.zeros(1 << GROUP_BITS, np.int64)
+                sums[np.frombuffer(low, "<u2")] += np.frombuffer(n, kind)  # a row has a place once
+        if now is not None:
+            yield finished(now, sums)
+
+    rows = counts.repartition("place_group").sortWithinPartitions("place_group")
+    return rows.mapInArrow(run, "place bigint")
+
+
+def count_windows(
+    ids: np.ndarray, own: int, most: int, joined: np.ndarray, tripled: np.ndarray | None = None
+) -> tuple[list[np.ndarray], np.ndarray]:
     """Lead columns of the distinct padded windows that begin with an owned word, and their counts.
 
     ``ids`` has 0 where a window ends; ``joined`` says of each token whether a
-    window goes on to the next.
+    window goes on to the next, ``tripled`` whether one goes on to the next two.
     """
-    ids, joined = (np.concatenate([c, np.zeros(most, c.dtype)]) for c in (ids, joined))
+    tripled = np.ones(len(ids), bool) if tripled is None else tripled
+    ids, joined, tripled = (np.concatenate([c, np.zeros(most, c.dtype)]) for c in (ids, joined, tripled))
     columns = [ids[:own]]
     for ahead in range(1, most):
         goes_on = (columns[-1] > 0) & joined[ahead - 1 : own + ahead - 1]
+        if ahead > 1:
+            goes_on &= tripled[ahead - 2 : own + ahead - 2]
         columns.append(np.where(goes_on, ids[ahead : own + ahead], 0))
     begins = columns[0] > 0
     columns = [c[begins] for c in columns]
@@ -213,26 +294,85 @@ def count_windows(ids: np.ndarray, own: int, most: int, joined: np.ndarray) -> t
     return [c[first] for c in columns], counts
 
 
-def padded_windows(texts: DataFrame, words: Broadcast, pairs: Broadcast, most: int, block: int) -> DataFrame:
-    """(lang, w1, w2, ..., n): padded windows of frequent words and pairs, counted per block."""
-    names = [f"w{i + 1}" for i in range(most)]
+def _windows(
+    texts: DataFrame, words: Broadcast, pairs: Broadcast, triples: Broadcast, most: int, block: int
+) -> DataFrame:
+    """(lang, bucket, phrases, counts): windows of frequent pairs and triples, one per line, by their first pair.
+
+    Those of several blocks are counted together. No word has a line feed: it ends a piece.
+    """
+
+    def packed(held: list[pa.Table]) -> pa.RecordBatch:
+        rows = _added(pa.concat_tables(held), "bucket", "lang", "phrase").sort_by([("bucket", "ascending"), ("lang", "ascending")])
+        rows = rows.combine_chunks()
+        bucket, langs = rows["bucket"].to_numpy(), rows["lang"].dictionary_encode().combine_chunks().indices.to_numpy()
+        new = np.append(True, (bucket[1:] != bucket[:-1]) | (langs[1:] != langs[:-1]))
+        cuts = np.append(np.flatnonzero(new), rows.num_rows)
+        phrases = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), rows["phrase"].combine_chunks())
+        n = rows["n"].to_numpy().astype("<i8")
+        counts = pa.array([n[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+        first = rows.take(pa.array(cuts[:-1])).combine_chunks()
+        columns = [first["lang"].combine_chunks(), first["bucket"].combine_chunks(), pc.binary_join(phrases, "\n"), counts]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "phrases", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for lang, some in _by_language(batches, block):
             for tokens, own in token_parts(some, block, most - 1):
                 made = _Block(lang, tokens, words.value)
-                joined = np.zeros(len(made.ids), bool)
-                joined[made.pairs] = _is_set(pairs.value, made.pair_hashes(made.pairs) & _PLACES)
-                columns, counts = count_windows(made.ids, own, most, joined)
-                kept = pa.array(made.words, pa.binary()).cast(pa.string())
-                for at in range(0, len(counts), 100_000):
-                    part = slice(at, at + 100_000)
-                    arrays = [kept.take(pa.array(c[part])) for c in columns]
-                    langs = pa.array([lang] * len(arrays[0]), pa.string())
-                    yield pa.RecordBatch.from_arrays([langs, *arrays, pa.array(counts[part])], ["lang", *names, "n"])
+                joined = made.joined(pairs.value)
+                tripled, at = np.zeros(len(joined), bool), _triples(joined)
+                tripled[at] = _is_set(triples.value, made.triple_hashes(at) & _PLACES)
+                columns, counts = count_windows(made.ids, own, most, joined, tripled)
+                longer = columns[1] > 0  # single words have been counted
+                columns, counts = [c[longer] for c in columns], counts[longer]
+                hashed = _pair_hashes(made.hashes[columns[0]], made.hashes[columns[1]]).view(np.uint64)
+                bucket = (hashed >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+                kept = pa.array([None, *made.words[1:]], pa.binary()).cast(pa.string())
+                parts = [kept.take(pa.array(c)) for c in columns]
+                phrases = pc.binary_join_element_wise(*parts, " ", null_handling="skip")
+                rows = [pa.array([lang] * len(bucket), pa.string()), pa.array(bucket), phrases, pa.array(counts)]
+                held.append(pa.table(rows, ["lang", "bucket", "phrase", "n"]))
+                if sum(h.num_rows for h in held) >= HELD_WINDOWS:
+                    yield packed(held)
+                    held = []
+        if any(h.num_rows for h in held):
+            yield packed(held)
+
+    return texts.mapInArrow(run, "lang string, bucket int, phrases string, counts binary")
+
+
+def _added(rows: pa.Table, *names: str) -> pa.Table:
+    """Sums of ``n`` by ``names``."""
+    found = rows.group_by(list(names), use_threads=False).aggregate([("n", "sum")])
+    return found.select([*names, "n_sum"]).rename_columns([*names, "n"])
+
+
+def _summed(windows: DataFrame) -> DataFrame:
+    """(lang, phrase, n) of the distinct windows. A task adds up bucket by bucket."""
+
+    def added(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        phrases = pc.split_pattern(rows["phrases"].combine_chunks(), "\n")
+        langs = rows["lang"].combine_chunks().take(pc.list_parent_indices(phrases))
+        n = pa.array(np.frombuffer(b"".join(rows["counts"].to_pylist()), "<i8"))
+        yield from _added(pa.table([langs, phrases.flatten(), n], ["lang", "phrase", "n"]), "lang", "phrase").to_batches()
 
-    schema = ", ".join(["lang string", *(f"{n} string" for n in names), "n bigint"])
-    return texts.mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*held, batch])
+            bucket = rows["bucket"].to_numpy()
+            cut = int(np.searchsorted(bucket, bucket[-1]))  # the last one may go on
+            if cut:
+                yield from added(rows.slice(0, cut))
+            held = rows.slice(cut).to_batches()
+        if held:
+            yield from added(pa.Table.from_batches(held))
+
+    rows = windows.repartition("bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(run, "lang string, phrase string, n bigint")
 
 
 def frequent_phrases(
@@ -256,16 +396,22 @@ def frequent_phrases(
     words = send(_bitmap(counts.filter("word <> ''").select(checksum.bitwiseAND(low).alias("place"))))
     pairs = _pair_counts(texts, words, block).groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
     pairs = send(_bitmap(pairs.select(F.col("pair").bitwiseAND(low).alias("place"))))
+    triples = _frequent_places(_triple_counts(texts, words, pairs, min_count, block), min_count)
+    triples = send(_bitmap(triples.select(F.col("place").bitwiseAND(low).alias("place"))))
     names = [f"w{i + 1}" for i in range(most)]
-    summed = padded_windows(texts, words, pairs, most, block).rollup("lang", *names).agg(F.sum("n").alias("f"))
+    padded = [F.coalesce(F.get(F.split("phrase", " "), F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)]
+    windows = _summed(_windows(texts, words, pairs, triples, most, block)).select("lang", *padded, "n")
+    summed = windows.rollup("lang", *names).agg(F.sum("n").alias("f"))
     # a prefix with padding is a window's end, not a phrase; null stands for columns that are summed up
     phrase = [F.coalesce(n, F.lit("-")) != "" for n in names]
-    phrases = summed.filter((F.col("f") >= min_count) & F.col("w1").isNotNull())
+    phrases = summed.filter((F.col("f") >= min_count) & F.col("w2").isNotNull())
     for part in phrase:
         phrases = phrases.filter(part)
     size = sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
     phrases = phrases.select("lang", F.concat_ws(" ", *names).alias("phrase"), size.alias("size"), "f")
-    return written(phrases), totals
+    single = counts.filter((F.col("word") != "") & (F.col("n") >= min_count))
+    single = single.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), F.col("n").alias("f"))
+    return written(phrases.unionByName(single)), totals
 
 
 #: Exact: the products take up to 38 digits.

@@ -115,3 +115,23 @@ def test_pairs_move_in_four_bytes(spark):
     marked = spark.sparkContext.broadcast(np.full(1 << (collocations.BITMAP_BITS - 3), 255, np.uint8))
     found = collocations._pair_counts(texts, marked, 1000)
     assert dict(found.dtypes)["pair"] == "int" and sorted(r.n for r in found.collect()) == [1, 1, 2]
+
+
+def test_triples_and_windows_move_in_few_rows(spark):
+    """Triples have a row for each group of places, windows for each bucket, and rare triples end a window."""
+    draw = random.Random(3)
+    rows = [("en", " ".join(draw.choice("abcdefgh") for _ in range(3000))) for _ in range(8)]
+    texts = collocations._texts(spark.createDataFrame(rows, "lang string, text string").repartition(2), "text", "lang")
+    send = spark.sparkContext.broadcast
+    full, none = (send(np.full(1 << (collocations.BITMAP_BITS - 3), b, np.uint8)) for b in (255, 0))
+    counts = collocations._triple_counts(texts, full, full, 30, 6_000_000).collect()
+    assert sum(len(r.low) // 2 for r in counts) <= 2 * 8**3 and max(max(r.n) for r in counts) == 30
+    windows = collocations._windows(texts, full, full, none, 5, 6_000_000).collect()
+    assert len(windows) <= 2 * 64
+    found = Counter()
+    for r in windows:
+        found.update(dict(zip(r.phrases.split("\n"), np.frombuffer(r.counts, "<i8").tolist(), strict=True)))
+    wanted = Counter(f"{a} {b}" for _, t in rows for a, b in zip(t[::2], t[2::2]))
+    assert found == wanted
+    merged = collocations._summed(collocations._windows(texts, full, full, full, 5, 6_000_000)).collect()
+    assert len({r.phrase for r in merged}) == len(merged)
