@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import exact_dedup, jaccard, packing, repetition, secrets
-from corpusflow.operators.scale import written
+from corpusflow.operators.scale import bound_batches, written
 
 #: Near copies: Jaccard similarity in percent, words in a shingle.
 NEAR_PERCENT, NEAR_SHINGLE = 80, 5
@@ -22,6 +22,7 @@ NEAR_PERCENT, NEAR_SHINGLE = 80, 5
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the limits on repetition."""
+    bound_batches(spark)
     return repetition.reject(docs)
 
 
@@ -36,6 +37,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Similar are texts whose sets of five-word shingles have a Jaccard similarity
     of at least 0.8; the contract of ``op3`` (three words, 0.9) is that query's own.
     """
+    bound_batches(spark)
     return jaccard.one_of_each(docs, percent=NEAR_PERCENT, shingle=NEAR_SHINGLE)
 
 
@@ -47,6 +49,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequences and places."""
+    bound_batches(spark)
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 

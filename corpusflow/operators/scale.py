@@ -21,6 +21,8 @@ HOT_ROWS = 4_000_000
 HOT_LIST_BYTES = 256 * 1024 * 1024
 # Input bytes per shuffle partition: the counts of a text take about its own size.
 SHUFFLE_BYTES = 128 * 1024 * 1024
+# Rows in a batch that goes to Python or comes from there, where rows hold whole texts.
+ARROW_ROWS = 1000
 # A stored table may be read this many times, each time against a part of a lookup that is too large for one broadcast.
 LOOKUP_READS = 12
 # Rows of a table of marks, 4 KB (32,768 bits) each: 8 MB, whatever it marks.
@@ -120,6 +122,18 @@ def size_shuffles(scan: DataFrame) -> int:
     return wanted
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower ``spark.sql.execution.arrow.maxRecordsPerBatch`` to ARROW_ROWS.
+
+    Of whole texts a batch of 10,000 rows, Spark's default, takes tens of MB several times over,
+    in the executor as in its Python workers, which keep the memory. A session setting that is lower stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= ARROW_ROWS:  # 0 and less: no bound
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def _column_bytes(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType | T.BinaryType):
         return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16

@@ -81,3 +81,18 @@ def test_stages(spark, sf_dir):
 
     check_packed(stages["best-fit packing"](spark, docs_4, sf_dir), [(i, r.text) for i, r in after_4.items()])
     assert corpus_pipeline.run(spark, sf_dir).count() == stages["best-fit packing"](spark, docs_4, sf_dir).count()
+
+
+def test_texts_go_to_python_in_small_batches(spark, edge):
+    """The stages with Python bound the rows of a batch; a lower setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = edge.select("doc_id", "text", "lang", "source", "n_chars")
+    try:
+        for stage in (corpus_pipeline.quality_rules, corpus_pipeline.near_copies, corpus_pipeline.pack):
+            for setting, wanted in (("10000", "1000"), ("0", "1000"), ("10", "10")):
+                spark.conf.set(name, setting)
+                stage(spark, docs.limit(0), "")
+                assert spark.conf.get(name) == wanted
+    finally:
+        spark.conf.set(name, before)
