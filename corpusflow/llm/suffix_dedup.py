@@ -1,18 +1,21 @@
-"""Removal of repeated byte strings with a distributed difference-cover suffix array.
+"""Removal of repeated byte strings with suffix arrays over the texts that share an anchor.
 
 A byte goes if a string of ``length`` bytes that covers it also starts anywhere
-else. Three steps leave little text for the suffix array, without losing a match:
-
-* Texts are cut into segments at places that their content determines. A
-  segment with the ``length`` - 1 bytes behind it holds every string that starts
-  in it. Segments that occur again as a whole are removed as a whole, and only
-  one of each goes on.
-* In each string of ``length`` bytes the 32 bytes with the smallest hash are its
-  anchor; equal strings have equal anchors. Strings whose anchor stands at one
-  place only cannot occur again.
-* What is left of a segment are fragments; matches never cross them.
-
-The suffix array of the fragments comes from the difference cover {1, 2} modulo 3:
+else. In each string of ``length`` bytes the 32 bytes with the smallest hash are its
+anchor; equal strings have equal anchors, so strings meet only those of the same anchor:
+
+1. Neighbouring strings with one anchor are a run, some 85 strings that 284 bytes
+   hold. A run moves as its place, its anchor and a hash of its bytes. Equal runs of a
+   block of text are found where they are read, and one of them moves.
+2. Runs that are alone at their anchor cannot occur again. Runs that occur again as a
+   whole are removed as a whole, and only one of each goes on, if its anchor has others.
+3. The bytes of these move to their anchor. A task sorts the suffixes of some groups
+   by 8, 16, 32, ... and ``length`` bytes (names of names); strings that share
+   their place in that order are equal, byte by byte.
+
+An anchor with more than ``GROUP_RUNS`` different runs is too common for one task. Its
+runs are fragments of one suffix array over all tasks, from the difference cover {1, 2}
+modulo 3:
 
 1. Positions p with p mod 3 in {1, 2} are the sample. They are sorted by their
    first 27 bytes (three levels of triples, read off the text) and named by rank.
@@ -26,9 +29,8 @@ The suffix array of the fragments comes from the difference cover {1, 2} modulo
 4. In each of these orders equal prefixes stand side by side; neighbours are
    compared by the 64-bit hash of their ``length`` bytes.
 
-All sorts are range partitioned with the position as last key, so a string that
-stands at very many places is cut over several tasks. Groups by fragment are
-bounded by the longest segment.
+All these sorts are range partitioned with the position as last key, so a string that
+stands at very many places is cut over several tasks.
 
 Cases: null and empty texts have no bytes. A text shorter than ``length`` keeps
 all. Repeated rows are repetitions of each other: both lose all strings, like
@@ -43,16 +45,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.scale import below_broadcast_limit, drop_written, marked, marks, written
+from ..operators.scale import bound_batches, drop_written, fits_broadcast, in_parts, is_stored, written, written_lookup, written_parts
+from .common import addressed
 from .jaccard import mixed
 
 LENGTH = 200
 ANCHOR = 32
-#: A place ends a segment with probability 1 / 2^SEGMENT_BITS; bounds of its length in strings.
-SEGMENT_BITS, LEAST_SEGMENT, MOST_SEGMENT = 8, 64, 4096
+#: Different runs of an anchor that one task sorts; those of a more common anchor are sorted by all tasks.
+GROUP_RUNS = 8192
+#: Bytes whose suffixes are sorted at once, but for a larger group.
+SORT_BYTES = 1 << 20
 #: Bytes of text in a block; longer texts are cut into several.
 BLOCK_BYTES = 1 << 21
 _AT_BITS = 24  # place in a block, below the anchor hash
@@ -63,24 +68,24 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 Batches = Iterator[pa.RecordBatch]
 
 
-def _blocks(batches: Batches, size: int, length: int) -> Iterator[tuple[list, list, list[int], list[bytes]]]:
-    """(doc_id, version, place in the text, bytes) in blocks of bounded size.
+def _blocks(batches: Batches, size: int, length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """(ref, place in the text, bytes) in blocks of bounded size.
 
     A text longer than a block is cut into parts that overlap by ``length`` - 1
     bytes, so every string of ``length`` bytes is in exactly one of them.
     """
     size = min(size, (1 << _AT_BITS) - length)  # places in a block have _AT_BITS bits
-    held: tuple[list, list, list[int], list[bytes]] = ([], [], [], [])
+    held: tuple[list[int], list[int], list[bytes]] = ([], [], [])
     total = 0
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "text")), strict=True):
-            text = row[2].encode("utf-8")
-            for at in range(0, max(1, len(text) - length + 1), size):
-                part = text[at : at + size + length - 1]
+        for ref, text in zip(*(batch.column(c).to_pylist() for c in ("ref", "text")), strict=True):
+            coded = text.encode("utf-8")
+            for at in range(0, max(1, len(coded) - length + 1), size):
+                part = coded[at : at + size + length - 1]
                 if total and total + len(part) > size:
                     yield held
-                    held, total = ([], [], [], []), 0
-                for column, value in zip(held, (*row[:2], at, part), strict=True):
+                    held, total = ([], [], []), 0
+                for column, value in zip(held, (ref, at, part), strict=True):
                     column.append(value)
                 total += len(part)
     if held[0]:
@@ -117,166 +122,238 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def _cuts(marks: np.ndarray, first: int, last: int) -> list[int]:
-    """Segment starts in [first, last): content marks, not too close and not too far apart."""
-    starts = [first]
-    for mark in [*marks.tolist(), last]:
-        while mark - starts[-1] > MOST_SEGMENT:
-            starts.append(starts[-1] + MOST_SEGMENT)
-        if mark - starts[-1] >= LEAST_SEGMENT and mark < last:
-            starts.append(mark)
-    return starts
-
+_RUNS = "ref bigint, low bigint, windows int, several boolean, anchor bigint, key bigint"
 
-_SEGMENTS = (
-    "doc_id bigint, version bigint, start bigint, windows int, key_a bigint, key_b bigint,"
-    " runs array<struct<anchor:bigint,place:bigint,low:int,high:int>>"
-)
 
+def runs(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Runs of every text: where they start, how many strings start in them, their anchor, a hash of their bytes.
 
-def segments(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Segments of every text: where they start, how many strings start in them, keys of their bytes, anchors.
-
-    A run says that the strings ``low`` to ``high`` (counted in the segment)
-    have this anchor, which stands at ``place`` of the text.
+    Of equal runs in a block one has a row, with ``several``. The strings of all of them
+    have rows without partners: ``several`` and an anchor below zero.
     """
 
     def run(batches: Batches) -> Batches:
-        for ids, versions, places, coded in _blocks(batches, block_bytes, length):
+        for refs, places, coded in _blocks(batches, block_bytes, length):
             data = np.frombuffer(b"".join(coded), np.uint8)
-            if len(data) < length:
-                continue
             sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+            long = np.flatnonzero(sizes >= length)
+            if not len(long):
+                continue
             begin = np.cumsum(sizes) - sizes
-            shift = np.array(places) - begin  # from the block to the text
+            shift = (np.array(places) - begin)[long]  # from the block to the text
+            ref = np.array(refs)[long]
             hashes = Hashes(data)
             grams = hashes.all(ANCHOR)
-            marks = np.flatnonzero(mixed(grams, 3) >> np.uint64(64 - SEGMENT_BITS) == 0)
             keyed = (grams & np.uint64((1 << 64) - (1 << _AT_BITS))) | np.arange(len(grams), dtype=np.uint64)
             least = sliding_minimum(keyed, length - ANCHOR + 1)
-            new = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-
-            starts, docs = [], []
-            for number in np.flatnonzero(sizes >= length):
-                first, last = int(begin[number]), int(begin[number] + sizes[number] - length + 1)
-                inside = marks[np.searchsorted(marks, first + 1) : np.searchsorted(marks, last)]
-                found = _cuts(inside, first, last)
-                starts.extend(found)
-                docs.extend([number] * len(found))
-            if not starts:
-                continue
-            start, doc = np.array(starts), np.array(docs)
-            stop = np.append(start[1:], 0)
-            stop = np.where(np.append(doc[1:] != doc[:-1], True), (begin + sizes - length + 1)[doc], stop)
-            keys = [hashes.of(start, stop + length - 1, salt).view(np.int64) for salt in (11, 12)]
-
-            # runs of equal anchors, cut at the segments
-            edges = np.union1d(new, start)
-            of = np.searchsorted(start, edges, side="right") - 1
-            ends = np.minimum(np.append(edges[1:], len(least)), stop[of])
-            good = (of >= 0) & (edges < ends)
-            edges, ends, of = edges[good], ends[good], of[good]
-            anchor = (least[edges] >> np.uint64(_AT_BITS)).view(np.int64)
-            place = (least[edges] & np.uint64((1 << _AT_BITS) - 1)).astype(np.int64) + shift[doc[of]]
-            parts = pa.StructArray.from_arrays(
-                [
-                    pa.array(anchor),
-                    pa.array(place),
-                    pa.array((edges - start[of]).astype(np.int32)),
-                    pa.array((ends - 1 - start[of]).astype(np.int32)),
-                ],
-                ["anchor", "place", "low", "high"],
-            )
-            offsets = np.searchsorted(of, np.arange(len(start) + 1)).astype(np.int32)
+
+            # where the place of the anchor changes or a text begins; strings do not cross texts
+            first = begin[long]
+            low = np.union1d(np.flatnonzero(least[1:] != least[:-1]) + 1, first)
+            of = np.searchsorted(first, low, side="right") - 1
+            end = np.minimum(np.append(low[1:], len(least)), (first + sizes[long] - length + 1)[of])
+            good = (of >= 0) & (low < end)
+            low, end, of = low[good], end[good], of[good]
+            anchor = (least[low] >> np.uint64(_AT_BITS)).view(np.int64)
+            key = hashes.of(low, end + length - 1, 11).view(np.int64)
+
+            order = np.lexsort((key, anchor))
+            new = np.append(True, (anchor[order][1:] != anchor[order][:-1]) | (key[order][1:] != key[order][:-1]))
+            group = np.cumsum(new) - 1
+            several = np.zeros(len(low), bool)
+            several[order] = np.bincount(group)[group] > 1
+            one = np.sort(order[new])
+            again = np.flatnonzero(several)  # side by side they are one row
+            parted = (end[again][:-1] != low[again][1:]) | (of[again][:-1] != of[again][1:])
+            head, tail = again[np.append(True, parted)[: len(again)]], again[np.append(parted, True)[: len(again)]]
+            apart = mixed(ref[of[head]].view(np.uint64), 12) + (low + shift[of])[head].astype(np.uint64)
+            apart = ~(mixed(apart, 13) >> np.uint64(1)).view(np.int64)
+
+            at = np.append(one, head)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([ids[d] for d in docs], pa.int64()),
-                    pa.array([versions[d] for d in docs], pa.int64()),
-                    pa.array(start + shift[doc]),
-                    pa.array((stop - start).astype(np.int32)),
-                    *(pa.array(k) for k in keys),
-                    pa.ListArray.from_arrays(pa.array(offsets), parts),
+                    pa.array(ref[of[at]]),
+                    pa.array((low + shift[of])[at]),
+                    pa.array((np.append(end[one], end[tail]) - low[at]).astype(np.int32)),
+                    pa.array(several[at]),
+                    pa.array(np.append(anchor[one], apart)),
+                    pa.array(np.append(key[one], np.zeros(len(head), np.int64))),
                 ],
-                ["doc_id", "version", "start", "windows", "key_a", "key_b", "runs"],
+                ["ref", "low", "windows", "several", "anchor", "key"],
             )
 
-    return texts.mapInArrow(run, _SEGMENTS)
+    return texts.mapInArrow(run, _RUNS)
 
 
-def _at_several_places(runs: DataFrame, place: Column) -> DataFrame:
-    """The runs whose anchor stands at another place, too. Marks drop most others before the runs are joined."""
-    anchors = runs.groupBy("anchor").agg(F.min(place).alias("low_place"), F.max(place).alias("high_place"))
-    anchors = written(anchors.filter("low_place <> high_place").select("anchor"))
-    return marked(runs, marks(anchors, "anchor"), "anchor").join(anchors, "anchor")
+def repeated_runs(found: DataFrame, group_runs: int) -> DataFrame:
+    """Written table (ref, low, windows, anchor, whole, rest, common) of the runs whose anchor others have.
 
+    ``whole`` runs occur again as a whole. ``rest`` has one of each run whose anchor has
+    different ones, ``common`` says that these are more than ``group_runs``.
+    """
+    anchor = Window.partitionBy("anchor")
+    order = anchor.orderBy("key", "ref", "low")
+    rows = found.repartition("anchor")
+    rows = rows.withColumns({"_before": F.lag("key").over(order), "_after": F.lead("key").over(order)})
+    first = F.expr("_before IS NULL OR _before <> key")
+    rows = rows.select(
+        *["ref", "low", "windows", "anchor"],
+        F.expr("several OR _before <=> key OR _after <=> key").alias("whole"),
+        first.alias("_first"),
+        F.sum(first.cast("int")).over(anchor).alias("_keys"),
+    )
+    rows = rows.filter("whole OR _keys > 1")
+    rest = F.expr("_first AND _keys > 1")
+    rows = rows.select("ref", "low", "windows", "anchor", "whole", rest.alias("rest"), (rest & (F.col("_keys") > group_runs)).alias("common"))
+    return written(rows, rest=F.count_if("rest"), common=F.count_if("common"))
 
-def _with_lists(texts: DataFrame, lists: DataFrame, name: str, how: str) -> DataFrame:
-    """Texts with the list of their row of ``lists`` (doc_id, version, list), a written table.
 
-    The lists are broadcast if their measured size allows it, so that no text moves.
-    """
-    size = lists.agg(F.coalesce(F.sum(F.size(name) * 64 + 64), F.lit(0))).first()[0]
-    lists = lists.withColumnsRenamed({"doc_id": "d", "version": "v"})
-    lists = F.broadcast(lists) if below_broadcast_limit(lists.sparkSession, size) else lists
-    return texts.join(lists, F.expr("doc_id <=> d AND version = v"), how).select("doc_id", "version", "text", name)
+def _listed(rows: DataFrame, order: str, kind: np.dtype, pack: Callable[[dict], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Written table (ref, list): the rows of a text as records of ``kind``, which ``pack`` makes with the ref of each."""
 
+    def run(batches: Batches) -> Batches:
+        def act(columns: dict) -> pa.RecordBatch:
+            ref, records = pack({n: c.to_numpy() for n, c in columns.items()})
+            first = np.flatnonzero(np.append(True, ref[1:] != ref[:-1]))
+            offsets = (np.append(first, len(ref)) * kind.itemsize).astype(np.int32)
+            data = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(records.astype(kind).tobytes())]
+            lists = pa.Array.from_buffers(pa.binary(), len(first), data)
+            return pa.RecordBatch.from_arrays([pa.array(ref[first]), lists], ["ref", "list"])
 
-_FRAGMENTS = "doc_id bigint, version bigint, start bigint, alone boolean, bytes binary"
+        return _by_fragment(batches, names, act, "ref")
 
+    names = rows.columns
+    dealt = rows.repartition("ref").sortWithinPartitions("ref", order)
+    return written_lookup(dealt.mapInArrow(run, "ref bigint, list binary"))
 
-def _fragment_rows(out: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-    arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "version", "start", "alone", "bytes"])
+
+#: A text has less than 2 GB.
+_PIECE = np.dtype([("anchor", "<i8"), ("low", "<u4"), ("windows", "<u4"), ("alone", "?")])
+_PIECES = "ref bigint, start bigint, anchor bigint, alone boolean, bytes binary"
 
 
-def fragments(texts: DataFrame, single: DataFrame, length: int) -> DataFrame:
-    """Written table (frag, doc_id, version, start, alone, bytes) of what may match in part.
+def pieces(texts: DataFrame, rest: DataFrame, length: int) -> DataFrame:
+    """(ref, start, anchor, alone, bytes) of the runs ``rest``; ``alone`` says that a run has no copy.
 
-    ``single`` has one of each segment, with ``copies``; ``alone`` says that
-    the segment has no copy.
+    Texts do not move: lists beyond a broadcast meet them part by part, and the bytes are written;
+    beyond as many parts as ``in_parts`` allows texts move after all.
     """
-    runs = single.select("doc_id", "version", "start", "copies", F.explode("runs").alias("r"))
-    runs = runs.select("doc_id", "version", "start", "copies", "r.*")
-    place = F.struct("doc_id", "version", "place")
-    left = _at_several_places(runs, place).select(
-        "doc_id", "version", F.struct(
-            (F.col("start") + F.col("low")).alias("low"),
-            (F.col("start") + F.col("high") + length).alias("end"),
-            "start",
-            (F.col("copies") == 1).alias("alone"),
-        ).alias("piece"),
-    )
-    pieces = written(left.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list("piece")).alias("pieces")))
-    rows = _with_lists(texts, pieces, "pieces", "inner")
+
+    def pack(columns: dict) -> tuple[np.ndarray, np.ndarray]:
+        records = np.zeros(len(columns["ref"]), _PIECE)
+        for name in ("anchor", "low", "windows"):
+            records[name] = columns[name]
+        records["alone"] = ~columns["whole"].astype(bool)
+        return columns["ref"], records
 
     def cut(batches: Batches) -> Batches:
         for batch in batches:
             out: list[tuple] = []
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "version", "text", "pieces")]
-            seen = set()
-            for doc_id, version, text, found in zip(*columns, strict=True):
-                if (doc_id, version) in seen:
-                    continue  # a repeated row has the same fragments
-                seen.add((doc_id, version))
+            for ref, text, found in zip(*(batch.column(c).to_pylist() for c in ("ref", "text", "list")), strict=True):
                 coded = text.encode("utf-8")
-                at = 0
-                while at < len(found):
-                    piece = found[at]
-                    low, end = piece["low"], piece["end"]
-                    while at + 1 < len(found) and found[at + 1]["start"] == piece["start"] and found[at + 1]["low"] <= end:
-                        at += 1
-                        end = max(end, found[at]["end"])
-                    at += 1
-                    out.append((doc_id, version, low, piece["alone"], coded[low:end]))
+                for anchor, low, windows, alone in np.frombuffer(found, _PIECE).tolist():
+                    out.append((ref, low, anchor, alone, coded[low : low + windows + length - 1]))
+                if len(out) > 10_000:
+                    yield _piece_rows(out)
+                    out = []
             if out:
-                yield _fragment_rows(out)
+                yield _piece_rows(out)
+
+    texts = texts.select("ref", "text")
+    lists = _listed(rest.select("ref", "low", "windows", "anchor", "whole"), "low", _PIECE, pack)
+    small = fits_broadcast(lists)
+    parts = None if small else in_parts(texts, lists, "ref")
+    if parts:
+        return written_parts([p.select("ref", "text", "list").mapInArrow(cut, _PIECES) for p in parts])
+    rows = texts.join(F.broadcast(lists) if small else lists, "ref")
+    return rows.select("ref", "text", "list").mapInArrow(cut, _PIECES)
+
 
-    cut_rows = rows.mapInArrow(cut, _FRAGMENTS)
-    cut_rows = cut_rows.dropDuplicates(["doc_id", "version", "start"])
-    made = written(cut_rows.withColumn("frag", F.monotonically_increasing_id()))
-    drop_written(pieces)
-    return made
+def _piece_rows(out: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+    arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["ref", "start", "anchor", "alone", "bytes"])
+
+
+def repeated_starts(data: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
+    """Places whose ``length`` bytes start at another place, too; ``left`` are the bytes from a place to the end of its piece.
+
+    Suffixes are sorted by 8 bytes, then by twice as many, up to ``length``: by the rank of
+    their beginning and the rank of what follows. Places that have their rank for themselves need no further sort.
+    """
+    n = len(data)
+    padded = np.append(data, np.zeros(8, np.uint8))
+    words = np.zeros(n, np.uint64)
+    for i in range(8):
+        words = (words << np.uint64(8)) | padded[i : i + n]
+    depth = 8
+    at = np.flatnonzero(left >= depth)
+    at = at[np.argsort(words[at], kind="stable")]
+    new = np.append(True, words[at][1:] != words[at][:-1])[: len(at)]
+    rank = np.zeros(n, np.int64)
+    rank[at] = np.flatnonzero(new)[np.cumsum(new) - 1]
+    tied = at[~(new & np.append(new[1:], True))]
+    while depth < length:
+        step = min(depth, length - depth)
+        depth += step
+        at = tied[left[tied] >= depth]
+        pair = rank[at] * n + rank[at + step]
+        order = np.argsort(pair, kind="stable")
+        at, pair = at[order], pair[order]
+        old = rank[at]
+        new = np.append(True, pair[1:] != pair[:-1])[: len(at)]
+        old_start = np.flatnonzero(np.append(True, old[1:] != old[:-1])[: len(at)])
+        start = np.flatnonzero(new)
+        offset = start - old_start[np.searchsorted(old_start, start, side="right") - 1]
+        rank[at] = old + offset[np.cumsum(new) - 1]
+        tied = at[~(new & np.append(new[1:], True))[: len(at)]]
+    return np.sort(tied)
+
+
+def _stretches(group: np.ndarray, sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Rows [low, high) of whole groups with about ``most`` bytes in all; a larger group is on its own or the last."""
+    ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(group))
+    total = np.cumsum(sizes)
+    low = 0
+    while low < len(group):
+        before = int(total[low - 1]) if low else 0
+        over = int(np.searchsorted(total, before + most))  # the row that reaches it
+        high = int(ends[min(np.searchsorted(ends, over, side="right"), len(ends) - 1)])
+        yield low, high
+        low = high
+
+
+def group_matches(found: DataFrame, length: int) -> DataFrame:
+    """(ref, low, end): spans of the pieces whose strings occur again in a piece with the same anchor."""
+
+    def run(batches: Batches) -> Batches:
+        def act(columns: dict) -> pa.RecordBatch | None:
+            ref, start, anchor = (columns[c].to_numpy() for c in ("ref", "start", "anchor"))
+            alone = np.array(columns["alone"].to_pylist())
+            coded = columns["bytes"].to_pylist()
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+            out = []
+            for low, high in _stretches(anchor, sizes, SORT_BYTES):
+                data = np.frombuffer(b"".join(coded[low:high]), np.uint8)
+                end = np.cumsum(sizes[low:high])
+                owner = np.repeat(np.arange(low, high), sizes[low:high])
+                place = repeated_starts(data, end[owner - low] - np.arange(len(data)), length)
+                place = place[alone[owner[place]]]
+                if not len(place):
+                    continue
+                of = owner[place]
+                local = place - (end[of - low] - sizes[of])
+                new = np.append(True, (of[1:] != of[:-1]) | (place[1:] > place[:-1] + 1))
+                last = np.append(new[1:], True)
+                out.append((ref[of[new]], (start[of] + local)[new], (start[of] + local)[last] + length))
+            if not out:
+                return None
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["ref", "low", "end"])
+
+        return _by_fragment(batches, ["ref", "start", "anchor", "alone", "bytes"], act, "anchor", SORT_BYTES >> 8)
+
+    rows = found.repartition("anchor").sortWithinPartitions("anchor")
+    return rows.mapInArrow(run, "ref bigint, low bigint, end bigint")
 
 
 def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -386,15 +463,17 @@ def named(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("frag", "place", (F.col("base") + F.col("local")).alias("name")), stored
 
 
-def _by_fragment(batches: Batches, names: list[str], act: Callable[[dict], pa.RecordBatch | None]) -> Batches:
-    """Hand on rows that are sorted by ``frag`` in stretches that end with a fragment."""
+def _by_fragment(
+    batches: Batches, names: list[str], act: Callable[[dict], pa.RecordBatch | None], by: str = "frag", least: int = 50_000
+) -> Batches:
+    """Hand on rows that are sorted by ``by`` in stretches of ``least`` rows or more that end with a fragment."""
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         held = table if held is None else pa.concat_tables([held, table])
-        frag = held.column("frag").to_numpy()
+        frag = held.column(by).to_numpy()
         cut = int(np.searchsorted(frag, frag[-1])) if len(frag) else 0
-        if cut > 50_000:
+        if cut > least:
             found = act({n: held.slice(0, cut).column(n) for n in names})
             if found is not None:
                 yield found
@@ -557,7 +636,7 @@ def _spans(found: DataFrame, length: int) -> DataFrame:
 
 
 def partial_matches(frags: DataFrame, length: int) -> DataFrame:
-    """(doc_id, version, low, end): spans of the fragments whose strings occur again."""
+    """(ref, low, end): spans of the fragments whose strings occur again."""
     names, stored = named(first_keys(frags))
     reach = 27
     while reach < length:
@@ -566,55 +645,71 @@ def partial_matches(frags: DataFrame, length: int) -> DataFrame:
         drop_written(before)
         reach *= 3
     found = equal_neighbours(merged_orders(frags.select("frag", "bytes"), names, length))
-    places = frags.filter("alone").select("frag", "doc_id", "version", "start")
+    places = frags.filter("alone").select("frag", "ref", "start")
     spans = written(_spans(found, length)).join(places, "frag")
-    return spans.select(
-        "doc_id", "version", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("end")).alias("end")
-    )
+    return spans.select("ref", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("end")).alias("end"))
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, version, low, end): bytes to remove; spans may overlap.
+_SPAN = np.dtype([("low", "<u4"), ("end", "<u4")])
 
-    ``texts`` has doc_id, text and version, a hash of the text.
-    """
-    found = written(segments(texts, length, block_bytes))
-    key = ["key_a", "key_b"]
-    one = F.min(F.struct("doc_id", "version", "start", "windows", "runs")).alias("one")
-    single = found.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"), one)
-    single = written(single.select(*key, "copies", "one.*"))
-    copied = written(single.filter("copies > 1").select(*key))
-    # one row stands against all copies of a segment: AQE splits one with very many
-    whole = found.select(*key, "doc_id", "version", "start", "windows").join(copied, key)
-    whole = whole.select(
-        "doc_id", "version", F.col("start").alias("low"), (F.col("start") + F.col("windows") + length - 1).alias("end")
-    )
-    whole = written(whole)
-    drop_written(found)
-    frags = fragments(texts, single, length)
-    drop_written(single)
-    return whole.unionByName(partial_matches(frags, length))
 
+def _joined(spans: DataFrame) -> DataFrame:
+    """Written table (ref, list): spans that overlap or touch are one, in the order of the text."""
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    def pack(columns: dict) -> tuple[np.ndarray, np.ndarray]:
+        ref, low, end = (columns[c] for c in ("ref", "low", "end"))
+        far = (np.cumsum(np.append(True, ref[1:] != ref[:-1])) - 1) << 32  # beyond any text
+        reach = np.maximum.accumulate(far + end)
+        new = np.append(True, (far + low)[1:] > reach[:-1])
+        records = np.zeros(np.count_nonzero(new), _SPAN)
+        records["low"], records["end"] = low[new], (reach - far)[np.append(new[1:], True)]
+        return ref[new], records
+
+    return _listed(spans.select("ref", "low", "end"), "low", _SPAN, pack)
+
+
+def repeated_spans(texts: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, group_runs: int = GROUP_RUNS) -> DataFrame:
+    """Written table (ref, list): bytes to remove, as records of ``_SPAN``.
+
+    ``texts`` has ref, a number of its own for each row, and text.
+    """
+    found = repeated_runs(runs(texts.select("ref", "text"), length, block_bytes), group_runs)
+    end = (F.col("low") + F.col("windows") + length - 1).alias("end")
+    spans, read = found.filter("whole").select("ref", "low", end), [found]
+    if found.observed["rest"] > found.observed["common"]:
+        moved = pieces(texts, found.filter("rest AND NOT common"), length)
+        read += [moved] if is_stored(moved) else []
+        spans = spans.unionByName(group_matches(moved, length))
+    if found.observed["common"]:
+        frags = written(pieces(texts, found.filter("common"), length).withColumn("frag", F.monotonically_increasing_id()))
+        read.append(frags)
+        spans = spans.unionByName(partial_matches(frags, length))
+    joined = _joined(spans)
+    for table in read:
+        drop_written(table)
+    return joined
+
+
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES, group_runs: int = GROUP_RUNS
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` are the bytes that stay."""
-    text = F.coalesce("text", F.lit(""))
-    texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("version"))
-    span = F.struct("low", "end")
-    spans = repeated_spans(texts, length, block_bytes).groupBy("doc_id", "version").agg(F.array_sort(F.collect_set(span)).alias("spans"))
-    rows = _with_lists(texts, written(spans), "spans", "left").select("doc_id", "text", "spans")
+    bound_batches(docs.sparkSession)
+    texts = addressed(docs.select("doc_id", "text"), "ref").withColumn("text", F.coalesce("text", F.lit("")))
+    spans = repeated_spans(texts, length, block_bytes, group_runs)
+    # no text moves if the spans fit a broadcast
+    rows = texts.join(F.broadcast(spans) if fits_broadcast(spans) else spans, "ref", "left").select("doc_id", "text", "list")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             out = []
             for doc_id, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 coded = text.encode("utf-8")
-                kept, at, n_spans, stop = [], 0, 0, -1
-                for s in found or []:
-                    if s["low"] > stop:
-                        n_spans += 1
-                        kept.append(coded[at : s["low"]])
-                    stop = at = max(stop, s["end"])
+                kept, at, n_spans = [], 0, 0
+                for low, end in np.frombuffer(found or b"", _SPAN).tolist():
+                    kept.append(coded[at:low])
+                    at = end
+                    n_spans += 1
                 kept.append(coded[at:])
                 rest = b"".join(kept)
                 out.append((doc_id, len(coded), len(coded) - len(rest), n_spans, rest))
