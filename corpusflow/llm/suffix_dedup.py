@@ -14,8 +14,10 @@ anchor; equal strings have equal anchors, so strings meet only those of the same
    their place in that order are equal, byte by byte.
 
 An anchor with more than ``GROUP_RUNS`` different runs is too common for one task. Its
-runs are fragments of one suffix array over all tasks, from the difference cover {1, 2}
-modulo 3:
+runs are cut into slices of ``SLICE`` strings, counted from the anchor. All bytes that the
+strings of a slice share are its anchor now, and the three steps are done again. What is
+still too common are fragments of one suffix array over all tasks, from the difference
+cover {1, 2} modulo 3:
 
 1. Positions p with p mod 3 in {1, 2} are the sample. They are sorted by their
    first 27 bytes (three levels of triples, read off the text) and named by rank.
@@ -41,6 +43,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +59,8 @@ LENGTH = 200
 ANCHOR = 32
 #: Different runs of an anchor that one task sorts; those of a more common anchor are sorted by all tasks.
 GROUP_RUNS = 8192
+#: Strings in a slice of a run whose anchor is too common.
+SLICE = 16
 #: Bytes whose suffixes are sorted at once, but for a larger group.
 SORT_BYTES = 1 << 20
 #: Bytes of text in a block; longer texts are cut into several.
@@ -125,11 +130,37 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 _RUNS = "ref bigint, low bigint, windows int, several boolean, anchor bigint, key bigint"
 
 
+def _once(ref: np.ndarray, low: np.ndarray, windows: np.ndarray, anchor: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    """The runs of a block, in the order of the texts, with one row for equal ones (``several``).
+
+    The strings of all of these have rows without partners: ``several`` and an anchor below zero.
+    """
+    order = np.lexsort((key, anchor))
+    new = np.append(True, (anchor[order][1:] != anchor[order][:-1]) | (key[order][1:] != key[order][:-1]))
+    group = np.cumsum(new) - 1
+    several = np.zeros(len(low), bool)
+    several[order] = np.bincount(group)[group] > 1
+    one = np.sort(order[new])
+    again = np.flatnonzero(several)  # side by side they are one row
+    parted = ((low + windows)[again][:-1] != low[again][1:]) | (ref[again][:-1] != ref[again][1:])
+    head, tail = again[np.append(True, parted)[: len(again)]], again[np.append(parted, True)[: len(again)]]
+    apart = mixed(mixed(ref[head].view(np.uint64), 12) + low[head].astype(np.uint64), 13)
+    at = np.append(one, head)
+    columns = [
+        pa.array(ref[at]),
+        pa.array(low[at]),
+        pa.array((np.append((low + windows)[one], (low + windows)[tail]) - low[at]).astype(np.int32)),
+        pa.array(several[at]),
+        pa.array(np.append(anchor[one], ~(apart >> np.uint64(1)).view(np.int64))),
+        pa.array(np.append(key[one], np.zeros(len(head), np.int64))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["ref", "low", "windows", "several", "anchor", "key"])
+
+
 def runs(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Runs of every text: where they start, how many strings start in them, their anchor, a hash of their bytes.
 
-    Of equal runs in a block one has a row, with ``several``. The strings of all of them
-    have rows without partners: ``several`` and an anchor below zero.
+    Of equal runs in a block one goes on, see ``_once``.
     """
 
     def run(batches: Batches) -> Batches:
@@ -156,31 +187,7 @@ def runs(texts: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> DataF
             low, end, of = low[good], end[good], of[good]
             anchor = (least[low] >> np.uint64(_AT_BITS)).view(np.int64)
             key = hashes.of(low, end + length - 1, 11).view(np.int64)
-
-            order = np.lexsort((key, anchor))
-            new = np.append(True, (anchor[order][1:] != anchor[order][:-1]) | (key[order][1:] != key[order][:-1]))
-            group = np.cumsum(new) - 1
-            several = np.zeros(len(low), bool)
-            several[order] = np.bincount(group)[group] > 1
-            one = np.sort(order[new])
-            again = np.flatnonzero(several)  # side by side they are one row
-            parted = (end[again][:-1] != low[again][1:]) | (of[again][:-1] != of[again][1:])
-            head, tail = again[np.append(True, parted)[: len(again)]], again[np.append(parted, True)[: len(again)]]
-            apart = mixed(ref[of[head]].view(np.uint64), 12) + (low + shift[of])[head].astype(np.uint64)
-            apart = ~(mixed(apart, 13) >> np.uint64(1)).view(np.int64)
-
-            at = np.append(one, head)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ref[of[at]]),
-                    pa.array((low + shift[of])[at]),
-                    pa.array((np.append(end[one], end[tail]) - low[at]).astype(np.int32)),
-                    pa.array(several[at]),
-                    pa.array(np.append(anchor[one], apart)),
-                    pa.array(np.append(key[one], np.zeros(len(head), np.int64))),
-                ],
-                ["ref", "low", "windows", "several", "anchor", "key"],
-            )
+            yield _once(ref[of], low + shift[of], end - low, anchor, key)
 
     return texts.mapInArrow(run, _RUNS)
 
@@ -275,6 +282,47 @@ def _piece_rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["ref", "start", "anchor", "alone", "bytes"])
 
 
+def slices(found: DataFrame, length: int) -> DataFrame:
+    """The strings of pieces as runs of up to ``SLICE``, whose anchor is a hash of the bytes that all of these share.
+
+    Slices are counted from the anchor of the piece, so equal strings are in slices with equal anchors.
+    """
+
+    def cut(table: pa.Table) -> pa.RecordBatch:
+        ref, start, anchor = (table.column(c).to_numpy() for c in ("ref", "start", "anchor"))
+        coded = table.column("bytes").to_pylist()
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        begin = np.cumsum(sizes) - sizes
+        hashes = Hashes(np.frombuffer(b"".join(coded), np.uint8))
+        grams = (hashes.all(ANCHOR) >> np.uint64(_AT_BITS)).view(np.int64)
+        owner = np.repeat(np.arange(len(coded)), sizes)[: len(grams)]
+        at = np.flatnonzero((grams == anchor[owner]) & (np.arange(len(grams)) + ANCHOR <= (begin + sizes)[owner]))
+        place = at[np.unique(owner[at], return_index=True)[1]] - begin  # where the anchor stands first in each piece
+        windows = sizes - length + 1
+        last = place // SLICE  # the slice of the first string
+        count = last - (place - windows + 1) // SLICE + 1
+        of = np.repeat(np.arange(len(coded)), count)
+        number = last[of] - (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count))
+        first = place[of] - SLICE * number - SLICE + 1  # below zero in a slice that begins before the piece
+        low, end = np.maximum(first, 0), np.minimum(first + SLICE, windows[of])
+        core = hashes.of(begin[of] + first + SLICE - 1, begin[of] + first + length, 14)
+        core = (mixed(core + number.astype(np.uint64), 15) >> np.uint64(1)).view(np.int64)
+        key = hashes.of(begin[of] + low, begin[of] + end + length - 1, 11).view(np.int64)
+        return _once(ref[of], start[of] + low, end - low, core, key)
+
+    def run(batches: Batches) -> Batches:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held += [batch] if batch.num_rows else []
+            if sum(b.num_rows for b in held) >= 8192:
+                yield cut(pa.Table.from_batches(held))
+                held = []
+        if held:
+            yield cut(pa.Table.from_batches(held))
+
+    return found.mapInArrow(run, _RUNS)
+
+
 def repeated_starts(data: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
     """Places whose ``length`` bytes start at another place, too; ``left`` are the bytes from a place to the end of its piece.
 
@@ -673,17 +721,30 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, block_bytes: int = BL
 
     ``texts`` has ref, a number of its own for each row, and text.
     """
-    found = repeated_runs(runs(texts.select("ref", "text"), length, block_bytes), group_runs)
-    end = (F.col("low") + F.col("windows") + length - 1).alias("end")
-    spans, read = found.filter("whole").select("ref", "low", end), [found]
-    if found.observed["rest"] > found.observed["common"]:
-        moved = pieces(texts, found.filter("rest AND NOT common"), length)
-        read += [moved] if is_stored(moved) else []
-        spans = spans.unionByName(group_matches(moved, length))
+    read, parts = [], []
+
+    def moved(found: DataFrame, rest: str) -> DataFrame:
+        rows = pieces(texts, found.filter(rest), length)
+        read.extend([rows] if is_stored(rows) else [])
+        return rows
+
+    def matched(cut: DataFrame) -> DataFrame:
+        found = repeated_runs(cut, group_runs)
+        read.append(found)
+        end = (F.col("low") + F.col("windows") + length - 1).alias("end")
+        parts.append(found.filter("whole").select("ref", "low", end))
+        if found.observed["rest"] > found.observed["common"]:
+            parts.append(group_matches(moved(found, "rest AND NOT common"), length))
+        return found
+
+    found = matched(runs(texts.select("ref", "text"), length, block_bytes))
+    if found.observed["common"]:
+        found = matched(slices(moved(found, "common"), length))
     if found.observed["common"]:
-        frags = written(pieces(texts, found.filter("common"), length).withColumn("frag", F.monotonically_increasing_id()))
+        frags = written(moved(found, "common").withColumn("frag", F.monotonically_increasing_id()))
         read.append(frags)
-        spans = spans.unionByName(partial_matches(frags, length))
+        parts.append(partial_matches(frags, length))
+    spans = reduce(DataFrame.unionByName, parts)
     joined = _joined(spans)
     for table in read:
         drop_written(table)

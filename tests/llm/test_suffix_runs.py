@@ -70,18 +70,43 @@ def test_only_runs_at_the_ends_of_copies_move(spark, monkeypatch):
     assert 0 < rows <= 40 * 2 * 3 and size < total / 3
 
 
-@pytest.mark.parametrize("group_runs", [1, 4])
-def test_anchors_too_common_for_one_task(spark, monkeypatch, group_runs):
+@pytest.mark.parametrize(("group_runs", "length"), [(1, 200), (4, 200), (1, 64), (1, 32)])
+def test_anchors_too_common_for_one_task(spark, monkeypatch, group_runs, length):
+    """Their runs are cut into slices; what is common still goes to the suffix array of all tasks."""
     texts = repeated_texts(group_runs)
-    seen = []
-
-    def watched(frags, length, act=suffix_dedup.partial_matches):
-        seen.append(frags.count())
-        return act(frags, length)
-
-    monkeypatch.setattr(suffix_dedup, "partial_matches", watched)
-    assert kept_and_spans(suffix_dedup.remove_repeats(table(spark, texts), group_runs=group_runs)) == expected(texts)
-    assert seen[0] > group_runs
+    seen = {"slices": [], "partial_matches": []}
+    for name in seen:
+        def watched(rows, length, act=getattr(suffix_dedup, name), calls=seen[name]):
+            calls.append(rows.count())
+            return act(rows, length)
+
+        monkeypatch.setattr(suffix_dedup, name, watched)
+    found = suffix_dedup.remove_repeats(table(spark, texts), length, group_runs=group_runs)
+    assert kept_and_spans(found) == expected(texts, length)
+    if length == 32:
+        assert not seen["slices"]  # runs of one string have no others
+    else:
+        assert seen["slices"][0] > group_runs
+    if (group_runs, length) == (1, 200):
+        assert seen["partial_matches"]
+
+
+def test_slices_leave_little_of_a_common_passage(spark, monkeypatch):
+    """A passage in all texts: of the pieces around its ends one slice each reaches the suffix array of all tasks."""
+    draw = random.Random(9)
+    drawn = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz .,", k=n))
+    passage = drawn(900)
+    texts = [drawn(500) + passage + drawn(500) for _ in range(60)]
+    seen = {}
+    for name in ("slices", "partial_matches"):
+        def watched(rows, length, act=getattr(suffix_dedup, name), name=name):
+            seen[name] = rows.selectExpr("count(*)", "sum(length(bytes))").first()
+            return act(rows, length)
+
+        monkeypatch.setattr(suffix_dedup, name, watched)
+    assert kept_and_spans(suffix_dedup.remove_repeats(table(spark, texts), group_runs=20)) == expected(texts)
+    assert seen["slices"][0] >= 2 * 60
+    assert seen.get("partial_matches", (0, 0))[0] <= 2 * 60
 
 
 @pytest.mark.parametrize("limit", [800, 1])
